@@ -6,6 +6,7 @@ from aerolake.sources.bronze import (
     decode_documents,
     decode_states,
     explode_states,
+    parse_documents,
     read_bronze,
 )
 from aerolake.sources.events_adapter import snapshot_documents
@@ -16,6 +17,7 @@ __all__ = [
     "decode_documents",
     "decode_states",
     "explode_states",
+    "parse_documents",
     "read_bronze",
     "snapshot_documents",
 ]

@@ -64,9 +64,33 @@ def read_bronze(
     )
 
 
+def parse_documents(
+    df: DataFrame,
+    text_col: str = "value",
+    *,
+    source_col: str = "source_file_path",
+    record_col: str = "record_timestamp_unix",
+) -> DataFrame:
+    """JSON text documents already in a column (e.g. from a text or queue
+    source) -> document frame.  Text that is not valid JSON gives no states."""
+    doc = F.try_parse_json(F.col(text_col))
+    return df.select(
+        F.try_variant_get(doc, "$.time", "bigint").alias("time"),
+        F.try_variant_get(doc, "$.states", "variant").alias("states"),
+        F.try_variant_get(doc, "$.state_offset", "bigint").alias("state_offset"),
+        F.col(source_col).alias("source_file_path"),
+        F.col(record_col).cast("bigint").alias("record_timestamp_unix"),
+    )
+
+
 def corrupt_documents(docs: DataFrame) -> DataFrame:
-    """Files that could not be parsed, for quarantine/audit."""
-    return docs.where(F.col("_corrupt_record").isNotNull()).select(
+    """Files that could not be parsed, for quarantine/audit.
+
+    (``states`` is referenced too: Spark refuses a JSON scan whose only
+    column is the corrupt-record column.)
+    """
+    bad = F.col("_corrupt_record").isNotNull() & F.col("states").isNull()
+    return docs.where(bad).select(
         "source_file_path", "_corrupt_record"
     )
 
