@@ -26,14 +26,15 @@ def _null() -> Column:
 
 def state_vectors(events: DataFrame) -> DataFrame:
     """One VARIANT state vector per event plus its hour (``hu``) and id."""
+    # hour start by integer arithmetic on epoch seconds: date_trunc on a
+    # TIMESTAMP_NTZ would go through the session zone (wrong across DST)
     base = events.select(
         F.col("event_id").alias("e"),
         F.col("user_id").alias("u"),
         F.col("event_type").alias("et"),
         F.col("value").alias("val"),
-        ntz_to_epoch(F.date_trunc("hour", F.col("ts"))).alias("hu"),
         ntz_to_epoch(F.col("ts")).alias("su"),
-    )
+    ).withColumn("hu", F.col("su") - F.pmod(F.col("su"), F.lit(3600)))
     e, u, et, val, hu, su = (F.col(c) for c in ("e", "u", "et", "val", "hu", "su"))
     code = (
         F.when(e % 41 == 0, F.lit(None).cast("string"))

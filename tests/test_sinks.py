@@ -102,3 +102,14 @@ def test_replay_equals_in_memory_and_is_idempotent(spark, scratch):
     _, met2 = replay_bronze(spark, root, lake, zone="America/Recife", round_digits=6)
     assert met2.count() == expected.count()
     assert os.path.isdir(lake.silver.replace("file:", ""))
+
+
+def test_landing_is_zone_free_in_a_dst_gap(spark, scratch):
+    # 02:30 on 10 March 2024 does not exist in the session zone (New York)
+    ingest = 1710037800  # 2024-03-10 02:30:00 UTC
+    root = scratch("bronze")
+    land_bronze(documents(spark, [doc([state()])], ingest=ingest), root)
+    back = read_bronze(spark, root, multi_line=False)
+    r = back.select("day", "hour", "record_timestamp_unix", "source_file_path").first()
+    assert (r.day, r.hour, r.record_timestamp_unix) == (10, 2, ingest)
+    assert "flight_snapshot_2024-03-10_02-30-00" in r.source_file_path
