@@ -262,6 +262,8 @@ def oracle_queries() -> dict[str, str]:
         "silver_replace_rerun": _flight(f"SELECT {SILVER_COLS} FROM silver"),
         "gold_partition_roundtrip": _flight(f"SELECT {METRIC_COLS} FROM metrics_run"),
         "bronze_replay": _flight(f"SELECT {METRIC_COLS} FROM metrics_run"),
+        "serving_upsert_positions": _flight("SELECT * FROM serving_positions"),
+        "serving_upsert_metrics": _flight("SELECT * FROM serving_metrics"),
         "incremental_silver": _flight(
             f"SELECT {SILVER_COLS.replace('source_file_path, ', '')} FROM silver"),
     }

@@ -40,6 +40,7 @@ from aerolake.operators.silver import (
 from aerolake.operators.upsert import fold_latest, insert_ignore, merge_counts, upsert
 from aerolake.plans.pipeline import LakePaths, bronze_to_silver, replay_bronze
 from aerolake.sinks.lake import land_bronze, read_lake_table, write_partitioned
+from aerolake.sinks.serving import read_serving, upsert_serving_runs
 from aerolake.sources.bronze import decode_documents, read_bronze
 from aerolake.sources.events_adapter import snapshot_documents
 from aerolake.storage import fresh_path
@@ -183,6 +184,28 @@ def q_incremental_silver(spark, d):
     return read_lake_table(spark, out, [c for c in SILVER_COLUMNS if c != "source_file_path"])
 
 
+def _publish_two_batches(spark, history, contract, order, path) -> DataFrame:
+    """Publish the history as two upsert batches (runs before / from the 16th)."""
+    day = F.dayofmonth("ingested_at")
+    upsert_serving_runs(spark, path, history.where(day < 16), contract, order)
+    upsert_serving_runs(spark, path, history.where(day >= 16), contract, order)
+    return read_serving(spark, path, contract).select(*contract.columns)
+
+
+def q_serving_upsert_positions(spark, d):
+    return _publish_two_batches(
+        spark, silver(spark, d), GOLD_POSITIONS, ["ingested_at", "source_file_path"],
+        fresh_path(spark, "serving-positions"),
+    )
+
+
+def q_serving_upsert_metrics(spark, d):
+    runs = country_metrics(silver(spark, d), keep_run=True, round_digits=ROUND)
+    return _publish_two_batches(
+        spark, runs, GOLD_METRICS, ["ingested_at"], fresh_path(spark, "serving-metrics")
+    )
+
+
 def queries() -> dict[str, Query]:
     return {
         "bronze_states_decode": lambda s, d: decode_documents(documents(s, d)).drop("state_ordinal"),
@@ -220,4 +243,6 @@ def queries() -> dict[str, Query]:
         "gold_partition_roundtrip": q_gold_partition_roundtrip,
         "bronze_replay": q_bronze_replay,
         "incremental_silver": q_incremental_silver,
+        "serving_upsert_positions": q_serving_upsert_positions,
+        "serving_upsert_metrics": q_serving_upsert_metrics,
     }

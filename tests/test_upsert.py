@@ -1,4 +1,5 @@
 import pytest
+from pyspark.sql import functions as F
 from hypothesis import given, settings
 from hypothesis import strategies as st
 
@@ -79,3 +80,32 @@ def test_result_invariant_to_input_order(spark):
     a = rows(upsert(target, batch, ["k"]))
     b = rows(upsert(target.orderBy("v").repartition(7), batch.repartition(3), ["k"]))
     assert a == b and len(a) == 75
+
+
+def test_serving_upsert_touches_only_batch_partitions(spark, scratch):
+    import datetime as dt
+
+    from aerolake.contracts import GOLD_POSITIONS
+    from aerolake.operators.quality import DuplicateKeyError
+    from aerolake.plans.pipeline import bronze_to_silver
+    from aerolake.sinks.serving import read_serving, upsert_serving
+    from fixtures import HOUR, doc, documents, state
+
+    day = 86400
+    first = bronze_to_silver(documents(spark, [doc([state(code="a", tpos=HOUR), state(code="b", tpos=HOUR - day)])]))
+    path = scratch("serving")
+    assert upsert_serving(spark, path, first, GOLD_POSITIONS) == {"inserted_count": 2, "updated_count": 0}
+    def files_of(code):
+        df = spark.read.parquet(path).where(F.col("aircraft_code") == code)
+        return sorted(r.f for r in df.select(F.input_file_name().alias("f")).collect())
+
+    b_files = files_of("b")
+    second = bronze_to_silver(documents(spark, [doc([state(code="a", tpos=HOUR, vel=9.0), state(code="c", tpos=HOUR)])]))
+    assert upsert_serving(spark, path, second, GOLD_POSITIONS) == {"inserted_count": 1, "updated_count": 1}
+    out = {r.aircraft_code: r.velocity for r in read_serving(spark, path, GOLD_POSITIONS).collect()}
+    assert out == {"a": 9.0, "b": 200.0, "c": 200.0}
+    # the partition of "b" (the day before) was not rewritten
+    assert files_of("b") == b_files
+    dup = bronze_to_silver(documents(spark, [doc([state(code="z")])]))
+    with pytest.raises(DuplicateKeyError):
+        upsert_serving(spark, path, dup.unionByName(dup), GOLD_POSITIONS)
