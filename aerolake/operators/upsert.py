@@ -18,22 +18,49 @@ def upsert(
     batch: DataFrame,
     keys: Sequence[str],
     columns: Sequence[str] | None = None,
+    *,
+    newer_than: str | None = None,
 ) -> DataFrame:
     """Result of ``INSERT .. ON CONFLICT (keys) DO UPDATE SET <all other columns>``.
 
     New keys are inserted; an existing key takes every column from the batch.
-    The batch must have unique keys (see ``quality.assert_unique_keys``).
+    With ``newer_than`` (e.g. ``"ingested_at"``) an existing row is replaced
+    only when the batch row is at least as new, so replaying old data cannot
+    overwrite newer values.  The batch must have unique keys (see
+    ``quality.assert_unique_keys``).
     """
     cols = list(columns) if columns is not None else target.columns
+    if newer_than is not None:
+        batch = effective_batch(target, batch, keys, newer_than)
     kept = target.select(*cols).join(batch.select(*keys), list(keys), "left_anti")
     return kept.unionByName(batch.select(*cols))
 
 
-def merge_counts(target: DataFrame, batch: DataFrame, keys: Sequence[str]) -> DataFrame:
+def effective_batch(
+    target: DataFrame, batch: DataFrame, keys: Sequence[str], newer_than: str
+) -> DataFrame:
+    """Batch rows that win under a "newer wins" guard (older ones are dropped)."""
+    current = target.select(*keys, F.col(newer_than).alias("_current"))
+    return (
+        batch.join(current, list(keys), "left")
+        .where(F.col("_current").isNull() | (F.col(newer_than) >= F.col("_current")))
+        .drop("_current")
+    )
+
+
+def merge_counts(
+    target: DataFrame,
+    batch: DataFrame,
+    keys: Sequence[str],
+    *,
+    newer_than: str | None = None,
+) -> DataFrame:
     """``(inserted_count, updated_count)`` of an upsert, as a one-row DataFrame.
 
-    Only key columns are read from either side.
+    Only key columns (and the ``newer_than`` column) are read from either side.
     """
+    if newer_than is not None:
+        batch = effective_batch(target, batch, keys, newer_than)
     hits = target.select(*keys).withColumn("_hit", F.lit(True))
     joined = batch.select(*keys).join(hits, list(keys), "left")
     return joined.agg(

@@ -47,11 +47,14 @@ def upsert_serving(
     path: str,
     batch: DataFrame,
     contract: TableContract,
+    *,
+    newer_than: str | None = None,
 ) -> dict[str, int]:
     """Upsert ``batch`` into the serving table at ``path``; returns the counts.
 
     New keys are inserted, existing keys take every non-key column from the
-    batch.  Raises ``DuplicateKeyError`` before writing if the batch repeats a key.
+    batch (only if at least as new by ``newer_than``, when given).  Raises
+    ``DuplicateKeyError`` before writing if the batch repeats a key.
     """
     rows = batch.select(*contract.columns).withColumn(KEY_DATE, key_date(contract))
     assert_unique_keys(rows, contract.keys)
@@ -64,8 +67,9 @@ def upsert_serving(
     # one value per partition), used as a static partition filter
     touched = [r[0] for r in rows.select(KEY_DATE).distinct().collect()]
     affected = target.where(F.col(KEY_DATE).isin(touched))
-    counts = merge_counts(affected, rows, contract.keys).first().asDict()
-    merged = upsert(affected, rows, [*contract.keys, KEY_DATE], [*contract.columns, KEY_DATE])
+    keys = [*contract.keys, KEY_DATE]
+    counts = merge_counts(affected, rows, keys, newer_than=newer_than).first().asDict()
+    merged = upsert(affected, rows, keys, [*contract.columns, KEY_DATE], newer_than=newer_than)
     staging = fresh_path(spark, "serving-staging")
     write_partitioned(merged, staging, [KEY_DATE], mode="overwrite")
     write_partitioned(spark.read.parquet(staging), path, [KEY_DATE], mode="replace_partitions")

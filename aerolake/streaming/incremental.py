@@ -7,6 +7,11 @@ operators (``foreachBatch``), so the de-duplication keeps its fixed tie-break;
 its scope is the run (ingest instant), and a run's files are landed together
 and picked up in the same micro-batch.
 
+``dedup="watermark"`` instead de-duplicates in the stream itself with
+``dropDuplicatesWithinWatermark`` on the run instant (state is dropped once the
+watermark passes): duplicates split across micro-batches are caught too, but
+the *first arrival* survives, not the newest contact.
+
 Each micro-batch writes into its own ``stream_batch=<id>`` sub-partitions with
 dynamic partition overwrite, so a batch re-executed after a failure replaces
 its own partial output instead of appending twice (exactly-once output).
@@ -20,7 +25,15 @@ from pyspark.sql.streaming import StreamingQuery
 
 from aerolake.contracts import LAKE_PARTITION_COLUMNS
 from aerolake.functions.time import instant_from_path, ntz_to_epoch
+from aerolake.operators.silver import (
+    DEDUP_KEYS,
+    RUN_COLUMNS,
+    silver_projection,
+    typed_positions,
+    valid_positions,
+)
 from aerolake.plans.pipeline import bronze_to_silver
+from aerolake.sources.bronze import decode_documents
 from aerolake.sinks.lake import write_partitioned
 from aerolake.sources.bronze import BRONZE_READ_SCHEMA
 
@@ -65,12 +78,37 @@ def incremental_silver(
     multi_line: bool = False,
     available_now: bool = True,
     processing_time: str | None = None,
+    dedup: str = "batch",
+    watermark: str = "2 hours",
+    max_files_per_trigger: int | None = None,
 ) -> StreamingQuery:
-    """Start the Bronze -> Silver stream; returns the running query."""
-    docs = bronze_stream(spark, bronze_root, zone=zone, multi_line=multi_line)
+    """Start the Bronze -> Silver stream; returns the running query.
+
+    ``dedup="batch"`` (default) applies the batch de-duplication with its fixed
+    tie-break to each micro-batch; ``"watermark"`` de-duplicates across
+    micro-batches with bounded state (first arrival wins).
+    """
+    if dedup not in ("batch", "watermark"):
+        raise ValueError("dedup must be 'batch' or 'watermark'")
+    docs = bronze_stream(
+        spark, bronze_root, zone=zone, multi_line=multi_line,
+        max_files_per_trigger=max_files_per_trigger,
+    )
+    if dedup == "watermark":
+        valid = valid_positions(typed_positions(decode_documents(docs)))
+        # a watermark needs a TIMESTAMP column: the run instant
+        event_time = F.timestamp_seconds(ntz_to_epoch(F.col("ingested_at")))
+        docs = (
+            valid.withColumn("_run_time", event_time)
+            .withWatermark("_run_time", watermark)
+            .dropDuplicatesWithinWatermark([*RUN_COLUMNS, *DEDUP_KEYS])
+        )
+
+    def to_silver(batch: DataFrame) -> DataFrame:
+        return bronze_to_silver(batch) if dedup == "batch" else silver_projection(batch)
 
     def write_batch(batch: DataFrame, batch_id: int) -> None:
-        silver = bronze_to_silver(batch).withColumn(STREAM_BATCH_COLUMN, F.lit(batch_id))
+        silver = to_silver(batch).withColumn(STREAM_BATCH_COLUMN, F.lit(batch_id))
         write_partitioned(
             silver,
             silver_path,

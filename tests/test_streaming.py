@@ -24,3 +24,18 @@ def test_available_now_processes_only_new_files(spark, scratch):
     land_bronze(new, root)
     incremental_silver(spark, root, out, ckpt).awaitTermination()
     assert read_lake_table(spark, out).count() == expected.count() + 1
+
+
+def test_watermark_dedup_keeps_one_row_per_run_key(spark, scratch):
+    from pyspark.sql import functions as F
+
+    root, out, ckpt = scratch("bronze"), scratch("silver"), scratch("ckpt")
+    docs = R.documents(spark, SF_SMALL)
+    land_bronze(docs, root)
+    incremental_silver(spark, root, out, ckpt, dedup="watermark").awaitTermination()
+    got = read_lake_table(spark, out)
+    keys = ["ingested_at", "aircraft_code", "position_timestamp"]
+    expected = bronze_to_silver(docs)
+    assert got.count() == expected.count()
+    assert sorted(got.select(*keys).collect()) == sorted(expected.select(*keys).collect())
+    assert got.groupBy(*keys).count().where(F.col("count") > 1).count() == 0

@@ -109,3 +109,15 @@ def test_serving_upsert_touches_only_batch_partitions(spark, scratch):
     dup = bronze_to_silver(documents(spark, [doc([state(code="z")])]))
     with pytest.raises(DuplicateKeyError):
         upsert_serving(spark, path, dup.unionByName(dup), GOLD_POSITIONS)
+
+
+def test_newer_than_guard_keeps_newer_rows(spark):
+    s3 = "k string, v bigint, ts bigint"
+    target = spark.createDataFrame([("a", 1, 10), ("b", 2, 10)], s3)
+    batch = spark.createDataFrame([("a", 100, 5), ("b", 200, 20), ("c", 300, 1)], s3)
+    out = rows(upsert(target, batch, ["k"], newer_than="ts"))
+    assert out == [("a", 1, 10), ("b", 200, 20), ("c", 300, 1)]
+    c = merge_counts(target, batch, ["k"], newer_than="ts").collect()[0]
+    assert (c.inserted_count, c.updated_count) == (1, 1)
+    # without the guard the older row overwrites
+    assert rows(upsert(target, batch, ["k"]))[0] == ("a", 100, 5)
