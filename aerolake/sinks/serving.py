@@ -24,7 +24,7 @@ from aerolake.contracts import TableContract
 from aerolake.operators.quality import assert_unique_keys
 from aerolake.operators.upsert import merge_counts, upsert
 from aerolake.sinks.lake import write_partitioned
-from aerolake.storage import fresh_path
+from aerolake.storage import fresh_path, shared_root
 
 KEY_DATE = "key_date"
 
@@ -56,7 +56,10 @@ def upsert_serving(
     batch (only if at least as new by ``newer_than``, when given).  Raises
     ``DuplicateKeyError`` before writing if the batch repeats a key.
     """
-    rows = batch.select(*contract.columns).withColumn(KEY_DATE, key_date(contract))
+    shared_root(spark)  # checkpoint directory on shared storage
+    # The batch feeds several actions (key check, partition list, counts,
+    # merge): compute it once and cut its lineage with a reliable checkpoint.
+    rows = batch.select(*contract.columns).withColumn(KEY_DATE, key_date(contract)).checkpoint()
     assert_unique_keys(rows, contract.keys)
     target = read_serving(spark, path, contract)
     if target is None:

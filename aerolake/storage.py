@@ -15,14 +15,23 @@ from pyspark.sql import SparkSession
 
 
 def shared_root(spark: SparkSession) -> str:
-    """The session's checkpoint directory, set to a fresh local one if unset."""
-    sc = spark.sparkContext
-    root = spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get(
-        "spark.checkpoint.dir", None
-    )
+    """The session's checkpoint directory, set to a fresh local one if unset.
+
+    Also makes sure ``DataFrame.checkpoint()`` can be used.
+    """
+    root = spark.conf.get("spark.checkpoint.dir", None)
+    try:
+        sc = spark.sparkContext
+    except Exception:  # Spark Connect: no SparkContext; the server owns the setting
+        if root:
+            return root.rstrip("/")
+        return tempfile.mkdtemp(prefix="aerolake-ckpt-")
+    root = root or sc.getConf().get("spark.checkpoint.dir", None)
+    current = sc.getCheckpointDir()
     if root:
+        if not current:
+            sc.setCheckpointDir(root)
         return root.rstrip("/")
-    current = sc.getCheckpointDir()
     if current:
         # setCheckpointDir appends a per-application sub-directory; use its parent
         return os.path.dirname(current.rstrip("/"))
