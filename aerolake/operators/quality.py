@@ -33,6 +33,8 @@ def contract_violations(
     ] + [
         (f"max_len:{c}", F.count_if(F.length(F.col(c)) > n)) for c, n in contract.max_len.items()
     ]
+    if not checks:
+        checks = [("rows", F.lit(0).cast("bigint"))]
     single = df.agg(*[expr.alias(f"c{i}") for i, (_, expr) in enumerate(checks)])
     stack = "stack({n}, {pairs}) as (rule, violations)".format(
         n=len(checks),

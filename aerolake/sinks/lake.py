@@ -25,12 +25,13 @@ def write_partitioned(
     """Write ``df`` as Hive-partitioned files.
 
     ``append`` adds files (a rerun duplicates rows), ``replace_partitions``
-    atomically replaces only the partitions present in ``df`` (idempotent
-    rerun / replay), ``overwrite`` replaces the whole table.
+    replaces only the partitions present in ``df`` (idempotent rerun /
+    replay), ``overwrite`` replaces the whole table.
 
-    Rows are rebalanced on the partition columns first: AQE packs small
-    partitions into few files and splits a hot one (an hour holding a third of
-    the data) into several tasks, so neither tiny files nor one giant task.
+    Rows are rebalanced on the partition columns first (one shuffle): AQE
+    packs small partitions into few files and splits a hot one (an hour
+    holding a third of the data) into several tasks, so there are neither
+    tasks x partitions tiny files nor one giant task.
     """
     if mode not in WRITE_MODES:
         raise ValueError(f"mode must be one of {WRITE_MODES}, got {mode!r}")
