@@ -8,10 +8,16 @@ from datetime import datetime, timezone
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from aerolake.contracts import GOLD_METRIC_COLUMNS, GOLD_POSITION_COLUMNS, SILVER_COLUMNS
+from aerolake.contracts import (
+    GOLD_METRIC_COLUMNS,
+    GOLD_POSITION_COLUMNS,
+    SERVING_CONTRACTS,
+    SILVER_COLUMNS,
+)
 from aerolake.operators.gold import country_metrics, gold_positions
 from aerolake.operators.silver import raw_to_silver
 from aerolake.sinks.lake import read_lake_table, write_partitioned
+from aerolake.sinks.serving import upsert_serving_runs
 from aerolake.sources.bronze import decode_documents, read_bronze
 
 
@@ -41,6 +47,46 @@ class LakePaths:
         )
 
 
+def written_silver(spark: SparkSession, lake: LakePaths, record_epoch: int | None = None) -> DataFrame:
+    """Silver as written: one live run's rows (partition-pruned and pushed
+    down to its ingest instant), or the whole table when ``record_epoch`` is None."""
+    silver = read_lake_table(spark, lake.silver, SILVER_COLUMNS)
+    if record_epoch is None:
+        return silver
+    run = datetime.fromtimestamp(record_epoch, tz=timezone.utc).replace(tzinfo=None)
+    return silver.where(
+        (F.col("snapshot_date") == F.lit(run.date()))
+        & (F.col("snapshot_hour") == F.lit(run.hour))
+        & (F.col("ingested_at") == F.expr(f"TIMESTAMP_NTZ'{run:%Y-%m-%d %H:%M:%S}'"))
+    )
+
+
+def publish_serving(
+    spark: SparkSession,
+    lake: LakePaths,
+    serving_root: str,
+    *,
+    record_epoch: int | None = None,
+    round_digits: int | None = None,
+) -> dict[str, dict[str, int]]:
+    """Upsert the Gold of the processed runs into the Parquet serving tables.
+
+    A live run publishes its own rows; a replay publishes every run, folded so
+    that the last run wins per key, as hourly publishes one after another would.
+    """
+    silver = written_silver(spark, lake, record_epoch)
+    positions = gold_positions(silver)
+    metrics = country_metrics(silver, keep_run=True, round_digits=round_digits)
+    root = serving_root.rstrip("/")
+    out = {}
+    for name, df, order in [
+        ("gold_flight_positions", positions, ["ingested_at"]),
+        ("gold_country_metrics", metrics, ["ingested_at"]),
+    ]:
+        out[name] = upsert_serving_runs(spark, f"{root}/{name}", df, SERVING_CONTRACTS[name], order)
+    return out
+
+
 def run_medallion(
     spark: SparkSession,
     bronze_path: str,
@@ -63,15 +109,7 @@ def run_medallion(
     docs = read_bronze(spark, bronze_path, multi_line=multi_line, zone=zone, record_epoch=record_epoch)
     silver = bronze_to_silver(docs)
     write_partitioned(silver, lake.silver, mode=mode)
-    written = read_lake_table(spark, lake.silver, SILVER_COLUMNS)
-    if record_epoch is not None:
-        # live run: its own partition and ingest instant (pruned + pushed down)
-        run = datetime.fromtimestamp(record_epoch, tz=timezone.utc).replace(tzinfo=None)
-        written = written.where(
-            (F.col("snapshot_date") == F.lit(run.date()))
-            & (F.col("snapshot_hour") == F.lit(run.hour))
-            & (F.col("ingested_at") == F.expr(f"TIMESTAMP_NTZ'{run:%Y-%m-%d %H:%M:%S}'"))
-        )
+    written = written_silver(spark, lake, record_epoch)
     positions, metrics = silver_to_gold(written, round_digits=round_digits)
     write_partitioned(positions, lake.gold_positions, mode=mode)
     write_partitioned(metrics, lake.gold_metrics, mode=mode)

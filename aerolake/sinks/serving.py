@@ -92,3 +92,17 @@ def upsert_serving_runs(
 
     latest = fold_latest(history, contract.keys, order, contract.columns)
     return upsert_serving(spark, path, latest, contract)
+
+
+def register_serving_views(
+    spark: SparkSession, paths: dict[str, str], contracts: dict[str, TableContract]
+) -> list[str]:
+    """Expose serving tables as temporary views named after their contracts, so
+    consumer SQL (``SELECT .. FROM gold_flight_positions ORDER BY ..``) runs as is."""
+    names = []
+    for name, path in paths.items():
+        df = read_serving(spark, path, contracts[name])
+        if df is not None:
+            df.select(*contracts[name].columns).createOrReplaceTempView(name)
+            names.append(name)
+    return names

@@ -15,6 +15,9 @@ from the ``events`` table.  ``decode_documents`` turns it into the raw table.
 
 from __future__ import annotations
 
+from datetime import datetime, timezone
+from zoneinfo import ZoneInfo
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -83,6 +86,22 @@ def parse_documents(
     )
 
 
+def bronze_partition(instant_utc: datetime, zone: str = "UTC") -> Column:
+    """Partition predicate selecting the Bronze hour of a run instant.
+
+    The directories hold the local date/hour in ``zone``; used in a ``where``
+    on ``read_bronze`` output it becomes a ``PartitionFilters`` entry, so only
+    that hour's files are listed and read.
+    """
+    local = instant_utc.replace(tzinfo=timezone.utc).astimezone(ZoneInfo(zone))
+    return (
+        (F.col("year") == local.year)
+        & (F.col("month") == local.month)
+        & (F.col("day") == local.day)
+        & (F.col("hour") == local.hour)
+    )
+
+
 def corrupt_documents(docs: DataFrame) -> DataFrame:
     """Files that could not be parsed, for quarantine/audit.
 

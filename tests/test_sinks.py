@@ -113,3 +113,41 @@ def test_landing_is_zone_free_in_a_dst_gap(spark, scratch):
     r = back.select("day", "hour", "record_timestamp_unix", "source_file_path").first()
     assert (r.day, r.hour, r.record_timestamp_unix) == (10, 2, ingest)
     assert "flight_snapshot_2024-03-10_02-30-00" in r.source_file_path
+
+
+def test_bronze_partition_helper_prunes(spark, scratch):
+    import datetime as dt
+
+    from aerolake.sources.bronze import bronze_partition
+
+    root = scratch("bronze")
+    ingest = 1716084607  # 2024-05-19 02:10:07 UTC = 18 May 23:10:07 in Recife
+    land_bronze(documents(spark, [doc([state()])], ingest=ingest), root, zone="America/Recife")
+    land_bronze(documents(spark, [doc([state()])], ingest=ingest + 7200), root, zone="America/Recife")
+    q = read_bronze(spark, root, multi_line=False, zone="America/Recife").where(
+        bronze_partition(dt.datetime(2024, 5, 19, 2, 10, 7), "America/Recife")
+    )
+    assert "PartitionFilters: [isnotnull(year" in plan_text(q)
+    rows = q.select("day", "hour", "record_timestamp_unix").collect()
+    assert [(r.day, r.hour, r.record_timestamp_unix) for r in rows] == [(18, 23, ingest)]
+
+
+def test_consumer_sql_over_serving_views(spark, scratch):
+    from aerolake.contracts import GOLD_METRICS, GOLD_POSITIONS, SERVING_CONTRACTS
+    from aerolake.sinks.serving import register_serving_views, upsert_serving
+
+    silver = bronze_to_silver(documents(spark, [doc([state(code=c) for c in "abc"])]))
+    paths = {"gold_flight_positions": scratch("sp"), "gold_country_metrics": scratch("sm")}
+    upsert_serving(spark, paths["gold_flight_positions"], silver, GOLD_POSITIONS)
+    upsert_serving(spark, paths["gold_country_metrics"], country_metrics(silver), GOLD_METRICS)
+    assert register_serving_views(spark, paths, SERVING_CONTRACTS) == list(paths)
+    top = spark.sql(
+        "SELECT aircraft_code, ingested_at FROM gold_flight_positions "
+        "ORDER BY ingested_at DESC, aircraft_code LIMIT 20"
+    ).collect()
+    assert [r.aircraft_code for r in top] == ["a", "b", "c"]
+    counts = spark.sql(
+        "SELECT 'gold_flight_positions' AS t, COUNT(*) AS n FROM gold_flight_positions "
+        "UNION ALL SELECT 'gold_country_metrics', COUNT(*) FROM gold_country_metrics"
+    ).collect()
+    assert {r.t: r.n for r in counts} == {"gold_flight_positions": 3, "gold_country_metrics": 1}
