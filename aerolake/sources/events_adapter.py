@@ -10,6 +10,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import TimestampType
 
 from aerolake.functions.time import ntz_to_epoch
 
@@ -24,6 +25,18 @@ def _null() -> Column:
     return F.lit(None).cast("variant")
 
 
+def _epoch_seconds(df: DataFrame, name: str) -> Column:
+    """Whole epoch seconds of a timestamp column of either timestamp type.
+
+    ``events.ts`` is read as TIMESTAMP_NTZ (UTC wall clock); a session that
+    reads it as TIMESTAMP instead gets the same instant through ``unix_micros``.
+    Both forms are independent of the session zone.
+    """
+    if isinstance(df.schema[name].dataType, TimestampType):
+        return F.floor(F.unix_micros(F.col(name)) / F.lit(1_000_000)).cast("bigint")
+    return ntz_to_epoch(F.col(name))
+
+
 def state_vectors(events: DataFrame) -> DataFrame:
     """One VARIANT state vector per event plus its hour (``hu``) and id."""
     # hour start by integer arithmetic on epoch seconds: date_trunc on a
@@ -33,7 +46,7 @@ def state_vectors(events: DataFrame) -> DataFrame:
         F.col("user_id").alias("u"),
         F.col("event_type").alias("et"),
         F.col("value").alias("val"),
-        ntz_to_epoch(F.col("ts")).alias("su"),
+        _epoch_seconds(events, "ts").alias("su"),
     ).withColumn("hu", F.col("su") - F.pmod(F.col("su"), F.lit(3600)))
     e, u, et, val, hu, su = (F.col(c) for c in ("e", "u", "et", "val", "hu", "su"))
     code = (

@@ -37,3 +37,15 @@ def test_equal_contacts_resolved_by_event_order_across_parts(spark):
     rows = [(105, t, 3, "click", 2.0, ""), (102, t, 3, "click", 1.0, "")]
     silver = bronze_to_silver(snapshot_documents(events(spark, rows), part_size=4))
     assert [r.velocity for r in silver.collect()] == [1.0]
+
+
+def test_ltz_input_gives_the_same_documents(spark):
+    base = dt.datetime(2024, 3, 10, 2, 30, 7)
+    rows = [(i, base + dt.timedelta(minutes=7 * i), 1, "click", 1.0, "") for i in range(100, 130)]
+    ntz = events(spark, rows)
+    # the same wall-clock values held as TIMESTAMP (instants in UTC)
+    ltz = ntz.withColumn("ts", F.to_utc_timestamp(F.col("ts").cast("string"), "UTC"))
+    assert dict(ltz.dtypes)["ts"] == "timestamp"
+    a = decode_documents(snapshot_documents(ntz)).collect()
+    b = decode_documents(snapshot_documents(ltz)).collect()
+    assert sorted(map(str, a)) == sorted(map(str, b)) and len(a) == 30
