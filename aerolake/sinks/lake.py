@@ -68,14 +68,15 @@ def land_bronze(docs: DataFrame, root: str, zone: str = "UTC", mode: str = "appe
     """
     ingested = epoch_to_ntz("record_timestamp_unix")
     local = ingested if zone == "UTC" else F.convert_timezone(F.lit("UTC"), F.lit(zone), ingested)
-    payload = F.to_json(F.struct("time", "states", "state_offset"))
     # field extraction is zone-free on TIMESTAMP_NTZ (date_format is not)
     y, mo, d, h = F.year(local), F.month(local), F.dayofmonth(local), F.hour(local)
     stamp = F.format_string(
         "flight_snapshot_%04d-%02d-%02d_%02d-%02d-%02d", y, mo, d, h, F.minute(local), F.second(local)
     )
     out = docs.select(
-        payload.alias("value"),
+        "time",
+        "states",
+        "state_offset",
         F.format_string("%04d", y).alias("year"),
         F.format_string("%02d", mo).alias("month"),
         F.format_string("%02d", d).alias("day"),
@@ -83,5 +84,5 @@ def land_bronze(docs: DataFrame, root: str, zone: str = "UTC", mode: str = "appe
         stamp.alias("snapshot"),
     )
     return write_partitioned(
-        out, root, ["year", "month", "day", "hour", "snapshot"], mode, fmt="text"
+        out, root, ["year", "month", "day", "hour", "snapshot"], mode, fmt="json"
     )

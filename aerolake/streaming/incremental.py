@@ -47,8 +47,14 @@ def bronze_stream(
     zone: str = "UTC",
     multi_line: bool = False,
     max_files_per_trigger: int | None = None,
+    archive_dir: str | None = None,
 ) -> DataFrame:
-    """Streaming document frame over a Bronze root (new files only)."""
+    """Streaming document frame over a Bronze root (new files only).
+
+    With ``archive_dir`` processed files are moved there after each batch
+    (``cleanSource=archive``), so the per-trigger listing of the source stays
+    proportional to new data instead of the whole history.
+    """
     reader = (
         spark.readStream.schema(BRONZE_READ_SCHEMA)
         .option("multiLine", multi_line)
@@ -57,6 +63,8 @@ def bronze_stream(
     )
     if max_files_per_trigger is not None:
         reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
+    if archive_dir is not None:
+        reader = reader.option("cleanSource", "archive").option("sourceArchiveDir", archive_dir)
     raw = reader.json(bronze_root)
     fp = F.col("_metadata.file_path")
     return raw.select(
@@ -81,6 +89,7 @@ def incremental_silver(
     dedup: str = "batch",
     watermark: str = "2 hours",
     max_files_per_trigger: int | None = None,
+    archive_dir: str | None = None,
 ) -> StreamingQuery:
     """Start the Bronze -> Silver stream; returns the running query.
 
@@ -92,7 +101,7 @@ def incremental_silver(
         raise ValueError("dedup must be 'batch' or 'watermark'")
     docs = bronze_stream(
         spark, bronze_root, zone=zone, multi_line=multi_line,
-        max_files_per_trigger=max_files_per_trigger,
+        max_files_per_trigger=max_files_per_trigger, archive_dir=archive_dir,
     )
     if dedup == "watermark":
         valid = valid_positions(typed_positions(decode_documents(docs)))

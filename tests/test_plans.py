@@ -18,6 +18,9 @@ def test_no_python_in_plan(spark, name):
     text = plan_text(queries()[name](spark, SF_SMALL))
     for node in ("BatchEvalPython", "ArrowEvalPython", "PythonUDF", "MapInPandas", "FlatMapGroupsInPandas"):
         assert node not in text
+    # no all-pairs joins anywhere
+    for node in ("CartesianProduct", "BroadcastNestedLoopJoin"):
+        assert node not in text
 
 
 def test_dedup_uses_window_group_limit(spark):

@@ -50,3 +50,16 @@ def test_late_run_is_accepted_in_batch_mode(spark, scratch):
     incremental_silver(spark, root, out, ckpt).awaitTermination()
     got = sorted(r.aircraft_code for r in read_lake_table(spark, out).collect())
     assert got == ["new", "old"]
+
+
+def test_archive_moves_processed_files(spark, scratch):
+    import os
+
+    root, out, ckpt, archive = scratch("bronze"), scratch("silver"), scratch("ckpt"), scratch("archive")
+    land_bronze(documents(spark, [doc([state(code="a")])]), root)
+    incremental_silver(spark, root, out, ckpt, archive_dir=archive).awaitTermination()
+    land_bronze(documents(spark, [doc([state(code="b")])], ingest=HOUR + 86400), root)
+    incremental_silver(spark, root, out, ckpt, archive_dir=archive).awaitTermination()
+    assert sorted(r.aircraft_code for r in read_lake_table(spark, out).collect()) == ["a", "b"]
+    archived = [f for _, _, fs in os.walk(archive.replace("file:", "")) for f in fs if f.endswith(".txt") or f.endswith(".json")]
+    assert archived, "processed Bronze files are archived"
