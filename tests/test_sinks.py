@@ -151,3 +151,15 @@ def test_consumer_sql_over_serving_views(spark, scratch):
         "UNION ALL SELECT 'gold_country_metrics', COUNT(*) FROM gold_country_metrics"
     ).collect()
     assert {r.t: r.n for r in counts} == {"gold_flight_positions": 3, "gold_country_metrics": 1}
+
+
+def test_partition_hour_is_the_utc_ingest_hour_not_the_directory(spark, tmp_path):
+    d = tmp_path / "year=2024" / "month=05" / "day=19" / "hour=02"
+    d.mkdir(parents=True)
+    (d / "snapshot.json").write_text(json.dumps({"time": HOUR, "states": [state()]}, indent=4))
+    five_utc = 1716094800  # 2024-05-19 05:00:00 UTC
+    docs = read_bronze(spark, str(tmp_path), multi_line=True, record_epoch=five_utc)
+    r = bronze_to_silver(docs).select("snapshot_date", "snapshot_hour", "ingested_at").first()
+    assert (r.snapshot_date.isoformat(), r.snapshot_hour) == ("2024-05-19", 5)
+    assert r.ingested_at == utc(five_utc)
+    assert docs.select("hour").first().hour == 2
