@@ -85,6 +85,11 @@ def serving_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _orders_target_batch(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
+    """The upsert scenario over the whole ``orders`` table: the target holds the
+    orders whose key is not a multiple of 3, the batch re-delivers every even
+    key with a changed status and price (so keys divisible by 6 are new and the
+    other even keys are updates).  The split defines the two sides; no row of
+    ``orders`` is left out of the result."""
     orders = _table(spark, sf_dir, "orders")
     target = orders.where(F.col("o_orderkey") % 3 != 0)
     batch = orders.where(F.col("o_orderkey") % 2 == 0).select(
