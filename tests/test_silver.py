@@ -89,3 +89,15 @@ def test_silver_keys_unique_per_run(spark):
     silver = bronze_to_silver(documents(spark, [doc(s)]))
     assert silver.count() == silver.select("ingested_at", "aircraft_code", "position_timestamp").distinct().count()
     assert len(silver.columns) == 22
+
+
+def test_hot_key_third_of_rows(spark):
+    # one key holds a third of all states, spread over many partitions
+    hot = [state(code="hot", contact=HOUR + (i % 50), vel=float(i)) for i in range(600)]
+    cold = [state(code=f"c{i}", vel=1.0) for i in range(1200)]
+    docs = documents(spark, [doc(hot[i::6] + cold[i::6], state_offset=i * 10000) for i in range(6)])
+    silver = bronze_to_silver(docs.repartition(12))
+    assert silver.count() == 1201
+    r = silver.where("aircraft_code = 'hot'").collect()
+    # newest contact is HOUR+49 (i % 50 == 49); lowest ordinal among those is i = 49 (doc 1, pos 8)
+    assert len(r) == 1 and r[0].velocity == 49.0
