@@ -76,6 +76,22 @@ def bronze_stream(
     )
 
 
+def write_silver_batch(batch: DataFrame, batch_id: int, silver_path: str, *, decoded: bool = False) -> None:
+    """Write one micro-batch to Silver under its own ``stream_batch`` partitions.
+
+    Re-running the same ``batch_id`` (a retry after a failure) replaces that
+    batch's earlier output, so output is exactly-once.  ``decoded`` means the
+    rows are already validated and de-duplicated Silver rows.
+    """
+    silver = silver_projection(batch) if decoded else bronze_to_silver(batch)
+    write_partitioned(
+        silver.withColumn(STREAM_BATCH_COLUMN, F.lit(batch_id)),
+        silver_path,
+        [*LAKE_PARTITION_COLUMNS, STREAM_BATCH_COLUMN],
+        mode="replace_partitions",
+    )
+
+
 def incremental_silver(
     spark: SparkSession,
     bronze_root: str,
@@ -113,17 +129,8 @@ def incremental_silver(
             .dropDuplicatesWithinWatermark([*RUN_COLUMNS, *DEDUP_KEYS])
         )
 
-    def to_silver(batch: DataFrame) -> DataFrame:
-        return bronze_to_silver(batch) if dedup == "batch" else silver_projection(batch)
-
     def write_batch(batch: DataFrame, batch_id: int) -> None:
-        silver = to_silver(batch).withColumn(STREAM_BATCH_COLUMN, F.lit(batch_id))
-        write_partitioned(
-            silver,
-            silver_path,
-            [*LAKE_PARTITION_COLUMNS, STREAM_BATCH_COLUMN],
-            mode="replace_partitions",
-        )
+        write_silver_batch(batch, batch_id, silver_path, decoded=dedup == "watermark")
 
     writer = docs.writeStream.foreachBatch(write_batch).option("checkpointLocation", checkpoint)
     if available_now:

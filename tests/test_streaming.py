@@ -63,3 +63,15 @@ def test_archive_moves_processed_files(spark, scratch):
     assert sorted(r.aircraft_code for r in read_lake_table(spark, out).collect()) == ["a", "b"]
     archived = [f for _, _, fs in os.walk(archive.replace("file:", "")) for f in fs if f.endswith(".txt") or f.endswith(".json")]
     assert archived, "processed Bronze files are archived"
+
+
+def test_reexecuted_micro_batch_is_not_duplicated(spark, scratch):
+    from aerolake.streaming.incremental import write_silver_batch
+
+    out = scratch("silver")
+    batch = documents(spark, [doc([state(code="a"), state(code="b")])])
+    write_silver_batch(batch, 7, out)
+    write_silver_batch(batch, 7, out)  # the same batch again after a failure
+    assert read_lake_table(spark, out).count() == 2
+    write_silver_batch(documents(spark, [doc([state(code="c")])]), 8, out)
+    assert read_lake_table(spark, out).count() == 3
