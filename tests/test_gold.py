@@ -1,5 +1,3 @@
-import datetime as dt
-
 from aerolake.operators.gold import (
     busiest_countries,
     country_metrics,

@@ -83,8 +83,6 @@ def test_result_invariant_to_input_order(spark):
 
 
 def test_serving_upsert_touches_only_batch_partitions(spark, scratch):
-    import datetime as dt
-
     from aerolake.contracts import GOLD_POSITIONS
     from aerolake.operators.quality import DuplicateKeyError
     from aerolake.plans.pipeline import bronze_to_silver
