@@ -108,11 +108,14 @@ def run_medallion(
     """
     docs = read_bronze(spark, bronze_path, multi_line=multi_line, zone=zone, record_epoch=record_epoch)
     silver = bronze_to_silver(docs)
-    write_partitioned(silver, lake.silver, mode=mode)
+    # a live run fills one date/hour partition: the dedup shuffle already sized
+    # the tasks, so no write-time rebalance (replay keeps it: many partitions)
+    many = record_epoch is None
+    write_partitioned(silver, lake.silver, mode=mode, rebalance=many)
     written = written_silver(spark, lake, record_epoch)
     positions, metrics = silver_to_gold(written, round_digits=round_digits)
-    write_partitioned(positions, lake.gold_positions, mode=mode)
-    write_partitioned(metrics, lake.gold_metrics, mode=mode)
+    write_partitioned(positions, lake.gold_positions, mode=mode, rebalance=many)
+    write_partitioned(metrics, lake.gold_metrics, mode=mode, rebalance=many)
     return (
         read_lake_table(spark, lake.gold_positions, GOLD_POSITION_COLUMNS),
         read_lake_table(spark, lake.gold_metrics, GOLD_METRIC_COLUMNS),

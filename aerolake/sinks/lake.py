@@ -21,6 +21,7 @@ def write_partitioned(
     *,
     max_records_per_file: int = 5_000_000,
     fmt: str = "parquet",
+    rebalance: bool = True,
 ) -> str:
     """Write ``df`` as Hive-partitioned files.
 
@@ -31,12 +32,14 @@ def write_partitioned(
     Rows are rebalanced on the partition columns first (one shuffle): AQE
     packs small partitions into few files and splits a hot one (an hour
     holding a third of the data) into several tasks, so there are neither
-    tasks x partitions tiny files nor one giant task.
+    tasks x partitions tiny files nor one giant task.  When the rows all fall
+    into one partition (a live hourly run) and already come from a shuffle
+    that AQE sized, pass ``rebalance=False`` to save that extra shuffle.
     """
     if mode not in WRITE_MODES:
         raise ValueError(f"mode must be one of {WRITE_MODES}, got {mode!r}")
     cols = list(partition_by)
-    out = df.hint("rebalance", *cols) if cols else df
+    out = df.hint("rebalance", *cols) if cols and rebalance else df
     writer = out.write.option("maxRecordsPerFile", max_records_per_file)
     if cols:
         writer = writer.partitionBy(*cols)
