@@ -71,3 +71,22 @@ def test_missing_time_is_null(spark):
 def test_state_offset_shifts_ordinal(spark):
     text = json.dumps({"time": 1, "states": [state(), state()], "state_offset": 10000})
     assert sorted(r.state_ordinal for r in decode(spark, [text]).collect()) == [10000, 10001]
+
+
+from hypothesis import given, settings  # noqa: E402
+from hypothesis import strategies as st  # noqa: E402
+
+_scalar = st.one_of(
+    st.none(), st.booleans(), st.integers(-10**12, 10**12),
+    st.floats(allow_nan=False, allow_infinity=False, width=32), st.text(max_size=6),
+)
+_value = st.one_of(_scalar, st.lists(_scalar, max_size=3))
+_entry = st.one_of(st.lists(_value, max_size=20), _scalar, st.dictionaries(st.text(max_size=3), _scalar, max_size=2))
+
+
+@settings(max_examples=15, deadline=None)
+@given(st.lists(_entry, max_size=12))
+def test_lenient_decode_never_fails_and_keeps_every_list(spark, states):
+    rows = decode(spark, [json.dumps({"time": 1, "states": states})]).collect()
+    lists = [i for i, s in enumerate(states) if isinstance(s, list)]
+    assert sorted(r.state_ordinal for r in rows) == lists
