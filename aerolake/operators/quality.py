@@ -23,33 +23,32 @@ def contract_violations(
 ) -> DataFrame:
     """One row per rule: ``(table_name, rule, violations)``.
 
-    NOT NULL and length rules are one aggregate pass; key uniqueness counts
-    keys held by more than one row within a publish batch (``batch_columns``,
-    e.g. the run instant), as a group-by on the keys.
+    One pass: rows are grouped by (publish batch, key) with partial
+    aggregation, each group carries its NOT NULL / length violation counts
+    and its size, and a final global aggregate sums them and counts keys held
+    by more than one row within a publish batch (``batch_columns``, e.g. the
+    run instant).  The input is computed once, not once per rule.
     """
     name = label or contract.name
     checks = [
-        (f"not_null:{c}", F.count_if(F.col(c).isNull())) for c in contract.not_null
+        (f"not_null:{c}", F.col(c).isNull()) for c in contract.not_null
     ] + [
-        (f"max_len:{c}", F.count_if(F.length(F.col(c)) > n)) for c, n in contract.max_len.items()
+        (f"max_len:{c}", F.length(F.col(c)) > n) for c, n in contract.max_len.items()
     ]
-    if not checks:
-        checks = [("rows", F.lit(0).cast("bigint"))]
-    single = df.agg(*[expr.alias(f"c{i}") for i, (_, expr) in enumerate(checks)])
-    stack = "stack({n}, {pairs}) as (rule, violations)".format(
-        n=len(checks),
-        pairs=", ".join(f"'{rule}', c{i}" for i, (rule, _) in enumerate(checks)),
+    per_key = df.groupBy(*batch_columns, *contract.keys).agg(
+        F.count(F.lit(1)).alias("_rows"),
+        *[F.count_if(cond).alias(f"c{i}") for i, (_, cond) in enumerate(checks)],
     )
-    column_rules = single.selectExpr(stack)
-    dup = (
-        df.groupBy(*batch_columns, *contract.keys)
-        .count()
-        .where(F.col("count") > 1)
-        .agg(F.count(F.lit(1)).alias("violations"))
-        .select(F.lit("unique_key").alias("rule"), "violations")
+    totals = per_key.agg(
+        *[F.sum(f"c{i}").alias(f"c{i}") for i in range(len(checks))],
+        F.count_if(F.col("_rows") > 1).alias("dup"),
     )
-    return column_rules.unionByName(dup).select(
-        F.lit(name).alias("table_name"), "rule", F.col("violations").cast("bigint").alias("violations")
+    pairs = [f"'{rule}', c{i}" for i, (rule, _) in enumerate(checks)] + ["'unique_key', dup"]
+    stack = f"stack({len(pairs)}, {', '.join(pairs)}) as (rule, violations)"
+    return totals.selectExpr(stack).select(
+        F.lit(name).alias("table_name"),
+        "rule",
+        F.coalesce(F.col("violations").cast("bigint"), F.lit(0).cast("bigint")).alias("violations"),
     )
 
 
