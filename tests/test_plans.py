@@ -33,9 +33,10 @@ def test_topk_is_take_ordered(spark):
     assert "TakeOrderedAndProject" in text
 
 
-def test_aggregates_are_two_phase(spark):
+def test_aggregates_and_folds_reduce_before_the_shuffle(spark):
     text = plan_text(queries()["serving_fold_metrics"](spark, SF_SMALL))
-    assert "partial_max_by" in text and "partial_count" in text
+    assert "partial_count" in text
+    assert text.count("WindowGroupLimit") >= 4  # dedup and fold, each Partial + Final
 
 
 def test_events_scan_is_pruned(spark):
