@@ -51,6 +51,10 @@ def _parser() -> argparse.ArgumentParser:
     s.add_argument("--zone", default="UTC")
     s.add_argument("--dedup", choices=("batch", "watermark"), default="batch")
     s.add_argument("--processing-time", help="keep running with this trigger instead of availableNow")
+    s.add_argument("--gold-positions", help="also append Gold positions here")
+    s.add_argument("--gold-metrics", help="also append Gold metrics here")
+    s.add_argument("--serving", help="also upsert each batch into these serving tables")
+    s.add_argument("--round", type=int, default=None)
     return p
 
 
@@ -86,6 +90,8 @@ def main(argv: list[str] | None = None, spark: SparkSession | None = None) -> di
         q = incremental_silver(
             spark, args.bronze, args.silver, args.checkpoint, zone=args.zone, dedup=args.dedup,
             available_now=args.processing_time is None, processing_time=args.processing_time,
+            gold_positions_path=args.gold_positions, gold_metrics_path=args.gold_metrics,
+            serving_root=args.serving, round_digits=args.round,
         )
         q.awaitTermination()
         return {"command": "stream", "silver": args.silver}

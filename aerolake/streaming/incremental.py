@@ -23,7 +23,12 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from aerolake.contracts import LAKE_PARTITION_COLUMNS
+from aerolake.contracts import (
+    GOLD_METRIC_COLUMNS,
+    LAKE_PARTITION_COLUMNS,
+    SERVING_CONTRACTS,
+    SILVER_COLUMNS,
+)
 from aerolake.functions.time import instant_from_path, ntz_to_epoch
 from aerolake.operators.silver import (
     DEDUP_KEYS,
@@ -32,10 +37,11 @@ from aerolake.operators.silver import (
     typed_positions,
     valid_positions,
 )
+from aerolake.operators.gold import country_metrics, gold_positions
 from aerolake.plans.pipeline import bronze_to_silver
-from aerolake.sources.bronze import decode_documents
 from aerolake.sinks.lake import write_partitioned
-from aerolake.sources.bronze import BRONZE_READ_SCHEMA
+from aerolake.sinks.serving import upsert_serving_runs
+from aerolake.sources.bronze import BRONZE_READ_SCHEMA, decode_documents
 
 STREAM_BATCH_COLUMN = "stream_batch"
 
@@ -92,6 +98,44 @@ def write_silver_batch(batch: DataFrame, batch_id: int, silver_path: str, *, dec
     )
 
 
+def publish_batch_gold(
+    spark: SparkSession,
+    silver_path: str,
+    batch_id: int,
+    *,
+    gold_positions_path: str | None = None,
+    gold_metrics_path: str | None = None,
+    serving_root: str | None = None,
+    round_digits: int | None = None,
+) -> None:
+    """Gold and serving publish of one micro-batch, from the Silver it just wrote.
+
+    Reads back only that batch's ``stream_batch`` partitions (pruned), so the
+    decode is never recomputed.  Gold appends are idempotent per batch like
+    Silver; the serving upsert is idempotent by nature (a retried batch
+    rewrites the same values).  Runs within the batch are folded, last run wins.
+    """
+    written = (
+        spark.read.parquet(silver_path)
+        .where(F.col(STREAM_BATCH_COLUMN) == batch_id)
+        .select(*SILVER_COLUMNS)
+    )
+    positions = gold_positions(written)
+    metrics = country_metrics(written, keep_run=True, round_digits=round_digits)
+    parts = [*LAKE_PARTITION_COLUMNS, STREAM_BATCH_COLUMN]
+    tag = F.lit(batch_id).alias(STREAM_BATCH_COLUMN)
+    if gold_positions_path:
+        write_partitioned(positions.select("*", tag), gold_positions_path, parts, "replace_partitions")
+    if gold_metrics_path:
+        write_partitioned(
+            metrics.select(*GOLD_METRIC_COLUMNS, tag), gold_metrics_path, parts, "replace_partitions"
+        )
+    if serving_root:
+        root = serving_root.rstrip("/")
+        for name, df in (("gold_flight_positions", positions), ("gold_country_metrics", metrics)):
+            upsert_serving_runs(spark, f"{root}/{name}", df, SERVING_CONTRACTS[name], ["ingested_at"])
+
+
 def incremental_silver(
     spark: SparkSession,
     bronze_root: str,
@@ -106,8 +150,15 @@ def incremental_silver(
     watermark: str = "2 hours",
     max_files_per_trigger: int | None = None,
     archive_dir: str | None = None,
+    gold_positions_path: str | None = None,
+    gold_metrics_path: str | None = None,
+    serving_root: str | None = None,
+    round_digits: int | None = None,
 ) -> StreamingQuery:
-    """Start the Bronze -> Silver stream; returns the running query.
+    """Start the Bronze -> Silver (-> Gold -> serving) stream; returns the running query.
+
+    With Gold paths and/or ``serving_root`` each micro-batch continues like the
+    hourly batch job: Gold from the Silver just written, then the upsert.
 
     ``dedup="batch"`` (default) applies the batch de-duplication with its fixed
     tie-break to each micro-batch; ``"watermark"`` de-duplicates across
@@ -131,6 +182,12 @@ def incremental_silver(
 
     def write_batch(batch: DataFrame, batch_id: int) -> None:
         write_silver_batch(batch, batch_id, silver_path, decoded=dedup == "watermark")
+        if gold_positions_path or gold_metrics_path or serving_root:
+            publish_batch_gold(
+                batch.sparkSession, silver_path, batch_id,
+                gold_positions_path=gold_positions_path, gold_metrics_path=gold_metrics_path,
+                serving_root=serving_root, round_digits=round_digits,
+            )
 
     writer = docs.writeStream.foreachBatch(write_batch).option("checkpointLocation", checkpoint)
     if available_now:

@@ -75,3 +75,23 @@ def test_reexecuted_micro_batch_is_not_duplicated(spark, scratch):
     assert read_lake_table(spark, out).count() == 2
     write_silver_batch(documents(spark, [doc([state(code="c")])]), 8, out)
     assert read_lake_table(spark, out).count() == 3
+
+
+def test_stream_continues_to_gold_and_serving(spark, scratch):
+    from aerolake.contracts import GOLD_METRIC_COLUMNS, GOLD_POSITIONS
+    from aerolake.operators.gold import country_metrics
+    from aerolake.sinks.serving import read_serving
+
+    root, out, ckpt = scratch("bronze"), scratch("silver"), scratch("ckpt")
+    gp, gm, serving = scratch("gold-pos"), scratch("gold-met"), scratch("serving")
+    docs = R.documents(spark, SF_SMALL)
+    land_bronze(docs, root)
+    kw = dict(gold_positions_path=gp, gold_metrics_path=gm, serving_root=serving, round_digits=6)
+    incremental_silver(spark, root, out, ckpt, **kw).awaitTermination()
+    silver = bronze_to_silver(docs)
+    assert read_lake_table(spark, gp).count() == silver.count()
+    met = read_lake_table(spark, gm, GOLD_METRIC_COLUMNS)
+    assert sorted(met.collect()) == sorted(country_metrics(silver, round_digits=6).collect())
+    got = read_serving(spark, f"{serving}/gold_flight_positions", GOLD_POSITIONS).select(*GOLD_POSITIONS.columns)
+    assert got.exceptAll(R.serving_positions(spark, SF_SMALL)).count() == 0
+    assert got.count() == R.serving_positions(spark, SF_SMALL).count()
