@@ -163,3 +163,16 @@ def test_partition_hour_is_the_utc_ingest_hour_not_the_directory(spark, tmp_path
     assert (r.snapshot_date.isoformat(), r.snapshot_hour) == ("2024-05-19", 5)
     assert r.ingested_at == utc(five_utc)
     assert docs.select("hour").first().hour == 2
+
+
+def test_live_run_reads_back_only_its_partition(spark, scratch):
+    from aerolake.plans.pipeline import written_silver
+
+    lake = LakePaths.under(scratch("lake"))
+    silver = bronze_to_silver(documents(spark, [doc([state()])], ingest=1716084000))
+    write_partitioned(silver, lake.silver)
+    text = plan_text(written_silver(spark, lake, 1716084000))
+    assert "PartitionFilters: [isnotnull(snapshot_date" in text and "(snapshot_hour" in text
+    assert "PushedFilters: [IsNotNull(ingested_at), EqualTo(ingested_at" in text
+    assert written_silver(spark, lake, 1716084000).count() == 1
+    assert written_silver(spark, lake, 1716087600).count() == 0
