@@ -4,7 +4,9 @@ Environment: BENCH_SF_DIR (default /root/testdata/sf0.1), BENCH_CPUS (default 8)
 BENCH_REPEATS (default 3).  Every query is run once to warm up, then timed
 ``BENCH_REPEATS`` times with the ``noop`` sink (the whole plan runs, nothing is
 collected); the median is reported.  Building and landing the Bronze snapshot
-files is timed on its own, apart from decoding them.
+files is timed once on its own (``land_bronze_once``), apart from decoding them.
+``value`` is the sum of the medians of all timed queries, ``land_bronze_once``
+excluded.
 """
 
 from __future__ import annotations
