@@ -30,8 +30,12 @@ from aerolake.streaming.incremental import incremental_silver
 def _parser() -> argparse.ArgumentParser:
     p = argparse.ArgumentParser(prog="aerolake", description=__doc__.split("\n\n")[0])
     sub = p.add_subparsers(dest="command", required=True)
+    helps = {
+        "run": "one live run: Bronze file(s) -> Silver -> Gold (+ publish this run)",
+        "replay": "rebuild Silver and Gold from all of Bronze (+ publish the last-run-wins fold)",
+    }
     for name in ("run", "replay"):
-        s = sub.add_parser(name)
+        s = sub.add_parser(name, help=helps[name])
         s.add_argument("--bronze", required=True, help="Bronze file, directory or root")
         s.add_argument("--lake", required=True, help="lake root for Silver and Gold")
         s.add_argument("--zone", default="UTC", help="local zone of Bronze directory names")
@@ -44,7 +48,7 @@ def _parser() -> argparse.ArgumentParser:
         s.add_argument("--round", type=int, default=None, help="round averages to N digits")
         if name == "run":
             s.add_argument("--record-epoch", type=int, help="run instant (epoch s); default now")
-    s = sub.add_parser("stream")
+    s = sub.add_parser("stream", help="incremental Bronze -> Silver (-> Gold -> serving) over new files")
     s.add_argument("--bronze", required=True)
     s.add_argument("--silver", required=True)
     s.add_argument("--checkpoint", required=True)
