@@ -22,7 +22,7 @@ row counts once.  Repeated documents give repeated rows.  Extra columns are not
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence
 
 import numpy as np
 import pyarrow as pa
@@ -229,13 +229,17 @@ def contaminated_spans(
     text_col: str = "text",
     item_col: str = "item_id",
     item_text_col: str = "text",
+    carry: Sequence[str] = (),
     window: int = WINDOW,
     block_bytes: int = 16 << 20,
 ) -> DataFrame:
-    """Per document: ``id_col``, n_words, spans (array of start, end in words, merged), n_hit, item_ids (sorted strings)."""
+    """Per document: ``id_col``, the ``carry`` columns, n_words, spans (array of start, end in words, merged), n_hit, item_ids (sorted strings)."""
     spark = documents.sparkSession
     use_package_on_workers(spark)
-    rows = documents.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
+    # carried columns travel under numbers: their names may be anything
+    carried = [f"k{i}" for i in range(len(carry))]
+    rows = documents.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"), *[F.col(c).alias(k) for c, k in zip(carry, carried)])
+    kinds = "".join(f", {f.name} {f.dataType.simpleString()}" for f in rows.schema if f.name in carried)
     kind = rows.schema["id"].dataType.simpleString()
     spans_type = pa.list_(pa.struct([("start", pa.int32()), ("end", pa.int32())]))
 
@@ -255,14 +259,11 @@ def contaminated_spans(
                     pa.ListArray.from_arrays(pa.array(np.searchsorted(spans[:, 0], owners), pa.int32()), found).cast(spans_type),
                     pa.ListArray.from_arrays(pa.array(np.searchsorted(pairs[:, 0], owners), pa.int32()), items),
                 ]
-                names = ["id", "n_words", "spans", "item_ids"]
-                if keyed:
-                    out.append(piece.column(2))
-                    names.append("key")
-                yield pa.record_batch(out, names)
+                names = ["id", "n_words", "spans", "item_ids", *carried, *["key"] * keyed]
+                yield pa.record_batch([*out, *piece.columns[2:]], names)
 
-        schema = f"id {kind}, n_words long, spans array<struct<start:int,end:int>>, item_ids array<string>"
-        source = rows.withColumn("key", F.xxhash64("text")) if keyed else rows
+        schema = f"id {kind}, n_words long, spans array<struct<start:int,end:int>>, item_ids array<string>{kinds}"
+        source = rows.withColumn("key", F.xxhash64("text", *carried)) if keyed else rows
         return source.mapInArrow(search, schema + (", key long" if keyed else ""))
 
     blocks = _item_blocks(benchmark, item_col, item_text_col, block_bytes)
@@ -276,6 +277,7 @@ def contaminated_spans(
         # exact repeats of a row meet in one group: as many rows come out as went in
         found = found.groupBy("id", "key").agg(
             F.min("n_words").alias("n_words"),
+            *[F.first(k).alias(k) for k in carried],
             F.array_distinct(F.flatten(F.collect_set("spans"))).alias("spans"),
             F.array_distinct(F.flatten(F.collect_set("item_ids"))).alias("item_ids"),
             (F.count("*") / n).cast("int").alias("copies"),
@@ -293,6 +295,7 @@ def contaminated_spans(
         )
     return found.select(
         F.col("id").alias(id_col),
+        *[F.col(k).alias(c) for c, k in zip(carry, carried)],
         "n_words",
         "spans",
         F.expr("aggregate(spans, 0L, (a, s) -> a + s.end - s.start)").alias("n_hit"),

@@ -58,6 +58,21 @@ SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base
 FROM base JOIN bad ON base.source IS NOT DISTINCT FROM bad.source
 """
 
+SUBSTRING_DEDUP = f"""
+WITH d AS (SELECT doc_id, {WORDS.format('text')} AS w FROM documents),
+word AS (SELECT doc_id, unnest(range(1, len(w) + 1)) AS p, unnest(w) AS s FROM d),
+win AS (
+  SELECT doc_id, i, md5(array_to_string(w[i:i + 49], ' ')) AS h
+  FROM (SELECT doc_id, w, unnest(range(1, len(w) - 48)) AS i FROM d WHERE len(w) >= 50)
+),
+first AS (SELECT h, min(doc_id) AS first_id FROM win GROUP BY h HAVING min(doc_id) < max(doc_id)),
+gone AS (SELECT DISTINCT doc_id, unnest(range(i, i + 50)) AS p FROM win JOIN first USING (h) WHERE first_id < doc_id),
+kept AS (SELECT doc_id, count(*) AS n, string_agg(s, ' ' ORDER BY p) AS text FROM word ANTI JOIN gone USING (doc_id, p) GROUP BY doc_id)
+SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(len(w) - coalesce(n, 0) AS BIGINT) AS n_removed,
+       sha256(coalesce(kept.text, '')) AS kept_sha256
+FROM d LEFT JOIN kept USING (doc_id)
+"""
+
 # turns as text lists; a conversation goes if its list begins another, longer list, or if
 # an equal one has a smaller id
 CHAT_SNAPSHOTS = """
@@ -87,5 +102,6 @@ def oracle_queries() -> dict[str, str]:
     return {
         "op1_decontaminate": DECONTAMINATE,
         "op3_host_rules": HOST_RULES,
+        "op6_substring_dedup": SUBSTRING_DEDUP,
         "op7_chat_snapshots": CHAT_SNAPSHOTS,
     }

@@ -12,7 +12,12 @@ from aerolake.llm.bpe_counts import token_counts
 from aerolake.llm.chat import chat_documents
 from aerolake.llm.decontamination import contamination
 from aerolake.llm.host_rules import host_verdicts
+from aerolake.llm.language_id import identify_languages
 from aerolake.llm.mixing import pivotal_mix
+from aerolake.llm.ngram_join import similarity_classes
+from aerolake.llm.pii import personal_data, told
+from aerolake.llm.substring_dedup import without_repeats
+from aerolake.llm.toxicity import toxicity
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -44,11 +49,42 @@ def op3_host_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return host_verdicts(table(spark, sf_dir, "documents"))
 
 
+def op4_pii_candidates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Personal data of every document."""
+    found = personal_data(table(spark, sf_dir, "documents"))
+    base = F.filter("spans", lambda s: s["base"])
+    kinds = F.transform(base, lambda s: s["kind"])
+    counts = [(F.size(kinds) - F.size(F.array_remove(kinds, k))).cast("long").alias(f"n_{k}") for k in ("email", "ip", "card", "phone")]
+    return found.select("doc_id", *counts, F.sha2(told(base), 256).alias("base_sha256"), told(F.col("spans")).alias("spans"))
+
+
+def op5_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Toxicity score of every document."""
+    scored = toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+    return scored.select("doc_id", "held_out", "score", "predicted")
+
+
+def op6_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What is left of every document without passages of a smaller document."""
+    kept = without_repeats(table(spark, sf_dir, "documents"))
+    return kept.select("doc_id", "n_words", "n_removed", F.sha2("text", 256).alias("kept_sha256"))
+
+
 def op7_chat_snapshots(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Maximal conversations, rendered."""
     return chat_documents(table(spark, sf_dir, "conversations"))
 
 
+def op8_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Language of every document."""
+    return identify_languages(table(spark, sf_dir, "documents"))
+
+
+def op9_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Similarity class of every document and its text's links."""
+    return similarity_classes(table(spark, sf_dir, "documents"))
+
+
 def op10_pivotal_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Words the mix takes of every document."""
     return pivotal_mix(table(spark, sf_dir, "documents")).select("doc_id", "size", "source_size", "target", "taken")
@@ -59,6 +95,11 @@ def queries() -> dict[str, Query]:
         "op1_decontaminate": op1_decontaminate,
         "op2_token_counts": op2_token_counts,
         "op3_host_rules": op3_host_rules,
+        "op4_pii_candidates": op4_pii_candidates,
+        "op5_toxicity": op5_toxicity,
+        "op6_substring_dedup": op6_substring_dedup,
         "op7_chat_snapshots": op7_chat_snapshots,
+        "op8_language_id": op8_language_id,
+        "op9_ngram_join": op9_ngram_join,
         "op10_pivotal_mix": op10_pivotal_mix,
     }
