@@ -21,10 +21,12 @@ others share) and the one of the smallest hash.  Its links through a leader join
 the group; links beside the leaders are left to the other runs and buckets.
 
 Scale: one map pass gives each document its set's 128-bit key, size and first-level
-paths.  Equal sets, however many, are one row before anything is joined.  Texts are read
-again for classes with a candidate only.  Sets are compared after a size test, each
+paths.  Equal sets, however many, are one row before anything is joined.  Texts are
+shuffled twice: for the longer paths of classes in large buckets, and for the sets (as
+32-bit hashes) of classes with a candidate.  Sets are compared after a size test, each
 pair once.  Bucket sizes are partial aggregates; collected buckets hold at most
-``brute`` classes; components are joins.  Steps are written tables.
+``brute`` classes; components are joins.  Steps are written tables; the shuffles before
+them are released.
 
 Texts without words and null texts are classes of their own.  Rows with a null id take
 part; a class id is null only if all ids of the class are.  Repeated rows give repeated
@@ -109,7 +111,7 @@ def linked_classes(sets: DataFrame, pairs: DataFrame, threshold: float) -> DataF
         for batch in batches:
             keep = []
             for x, y in zip(batch.column(2), batch.column(3)):
-                x, y = (np.frombuffer(v.as_buffer(), dtype=np.uint64) for v in (x, y))
+                x, y = (np.frombuffer(v.as_buffer(), dtype=np.uint32) for v in (x, y))
                 both = len(np.intersect1d(x, y, assume_unique=True))
                 keep.append(both >= threshold * (len(x) + len(y) - both))
             yield pa.record_batch([batch.column(0), batch.column(1)], ["a", "b"]).filter(pa.array(keep, pa.bool_()))
@@ -157,38 +159,26 @@ def similarity_classes(
     classes = stored(every.where("key is not null").groupBy("key").agg(F.first("size").alias("size"), F.first("paths").alias("paths")), "join-classes")
     nodes = stored(classes.select("key", "size", F.explode(F.array_distinct("paths")).alias("path")), "join-nodes")
 
-    candidates: list[DataFrame] = []  # small buckets as sorted arrays of keys
-    sets, hubs = None, []
-    for level in range(1, depth + 1):
-        counts = nodes.groupBy("path").agg(F.count("*").alias("n")).where("n > 1")
-        met = stored(nodes.join(counts, "path"), "join-met")
-        candidates.append(met.where(F.col("n") <= brute).groupBy("path").agg(F.sort_array(F.collect_list(F.struct("key", "size"))).alias("bucket")).select("bucket"))
-        large = met.where(F.col("n") > brute)
+    def met(nodes: DataFrame) -> DataFrame:
+        """The nodes of buckets with more than one class, with the bucket's size n."""
+        sizes = stored(nodes.groupBy("path").agg(F.count("*").alias("n")).where("n > 1"), "join-buckets")
+        return stored(nodes.join(sizes, "path"), "join-met")
+
+    def small(nodes: DataFrame) -> DataFrame:
+        return nodes.where(F.col("n") <= brute).groupBy("path").agg(F.sort_array(F.collect_list(F.struct("key", "size"))).alias("bucket")).select("bucket")
+
+    level = met(nodes)
+    candidates, large = [small(level)], level.where(F.col("n") > brute)
+    hubs = [large.select("key")]
+    longer = stored(_longer_paths(rows, _one_row(every, large.groupBy("key").agg(F.collect_list("path").alias("split"))), shingle, branch, depth), "join-longer")
+    free_finished_shuffles(spark)
+    for deep in range(2, depth + 1):
+        # below large buckets only
+        parents = stored(large.select(F.col("path").alias("parent")).distinct(), "join-parents")
+        level = met(longer.where(F.col("level") == deep).join(parents, "parent", "left_semi").select("path", "key", "size"))
+        candidates.append(small(level))
+        large = level.where(F.col("n") > brute)
         hubs.append(large.select("key"))
-        if sets is None:
-            # the sets of all classes that met another one, from their texts
-            wanted = met.select("key").distinct()
-            one = F.min(F.struct(F.col("id").isNull().alias("null"), "id", "mark")).alias("one")
-            sets = _sets_of(rows, every.join(wanted, "key").groupBy("key").agg(one).select("key", "one.id", "one.mark"), shingle)
-            free_finished_shuffles(spark)
-        if level == depth:
-            break
-
-        def longer(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            for batch in batches:
-                keys, paths, sizes = [], [], []
-                for key, path, members in zip(batch.column(0), batch.column(1), batch.column(2)):
-                    members = np.frombuffer(members.as_buffer(), dtype=np.uint64)
-                    salt = np.array([path.as_py()], dtype=np.int64).view(np.uint64)[0]
-                    _, found = picked(members, np.float64(len(members)), salt, branch)
-                    keys += [key.as_py()] * len(found)
-                    sizes += [len(members)] * len(found)
-                    paths.append(found)
-                paths = np.concatenate(paths) if paths else np.empty(0, np.uint64)
-                yield pa.record_batch([pa.array(keys, pa.binary()), pa.array(sizes, pa.int32()), pa.array(paths.view(np.int64))], ["key", "size", "path"])
-
-        deeper = large.join(sets, "key").select("key", "path", "members").mapInArrow(longer, "key binary, size int, path long")
-        nodes = stored(deeper, "join-nodes")
 
     # leaders of the buckets that stay large
     central = hubs[0]
@@ -196,9 +186,8 @@ def similarity_classes(
         central = central.unionByName(more)
     central = central.groupBy("key").agg(F.count("*").alias("hub"))
     ranked = large.join(central, "key")
-    leaders = ranked.groupBy("path").agg(
-        F.max(F.struct("hub", "key", "size")).alias("hub"), F.min(F.struct(F.xxhash64("key", "path").alias("h"), "key", "size")).alias("any")
-    )
+    hub, some = F.max(F.struct("hub", "key", "size")).alias("hub"), F.min(F.struct(F.xxhash64("key", "path").alias("h"), "key", "size")).alias("any")
+    leaders = stored(ranked.groupBy("path").agg(hub, some), "join-leaders")
     stars = large.join(leaders, "path").select(F.col("key").alias("x"), F.col("size").alias("n"), F.explode(F.array(F.struct("hub.key", "hub.size"), F.struct("any.key", "any.size"))).alias("y"))
     stars = stars.select("x", "n", F.col("y.key").alias("y"), F.col("y.size").alias("m"))
     buckets = candidates[0]
@@ -210,7 +199,11 @@ def similarity_classes(
     # sets whose sizes differ more than the threshold allows cannot reach it
     possible = (F.col("x") != F.col("y")) & (F.least("n", "m") >= threshold * F.greatest("n", "m"))
     pairs = stored(pairs.where(possible).select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).distinct(), "join-pairs")
-    links = stored(linked_classes(sets, pairs, threshold), "join-links")
+    free_finished_shuffles(spark)
+    compared = pairs.select(F.explode(F.array("a", "b")).alias("key")).distinct()
+    sets = stored(_sets_of(rows, _one_row(every, compared), shingle), "join-sets")
+    free_finished_shuffles(spark)
+    links = stored(linked_classes(sets, pairs, threshold).distinct(), "join-links")
     free_finished_shuffles(spark)
     labels = connected_components(links)
     degree = links.select(F.explode(F.array("a", "b")).alias("node")).groupBy("node").agg(F.count("*").alias("n_links"))
@@ -223,18 +216,66 @@ def similarity_classes(
     )
 
 
+def _one_row(every: DataFrame, wanted: DataFrame) -> DataFrame:
+    """``wanted`` (key, ...) with the id and mark of one document of each class."""
+    one = F.min(F.struct(F.col("id").isNull().alias("null"), "id", "mark")).alias("one")
+    rest = [c for c in wanted.columns if c != "key"]
+    found = every.join(stored(wanted, "join-wanted"), "key").groupBy("key").agg(one, *[F.first(c).alias(c) for c in rest])
+    return found.select("key", F.col("one.id").alias("rep_id"), F.col("one.mark").alias("rep_mark"), *rest)
+
+
+def _rows_of(rows: DataFrame, reps: DataFrame) -> DataFrame:
+    """text, key and further columns of ``reps``, by the id and mark of their documents."""
+    same = F.col("id").eqNullSafe(F.col("rep_id")) & (F.col("mark") == F.col("rep_mark"))
+    return rows.join(reps, same).select("text", *[c for c in reps.columns if c not in ("rep_id", "rep_mark")])
+
+
+def _texts_sets(piece: pa.RecordBatch, shingle: int) -> Iterator[tuple[int, bytes, np.ndarray]]:
+    """Row, key and members of the texts that have the key of their row.
+
+    Texts may share an id and a mark: only those with the key count.
+    """
+    members, first = shingle_sets(piece.column(0), shingle)
+    keys = set_keys(members, first)
+    for i, key in enumerate(piece.column(1).to_pylist()):
+        if key == keys[i]:
+            yield i, key, members[first[i] : first[i + 1]]
+
+
+def _longer_paths(rows: DataFrame, reps: DataFrame, shingle: int, branch: float, depth: int) -> DataFrame:
+    """key, size, level, parent and path of all paths below the ``split`` paths, down to ``depth``."""
+
+    def extended(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for piece in pieces(batches, 0):
+            keys, sizes, levels, parents, paths = [], [], [], [np.empty(0, np.uint64)], [np.empty(0, np.uint64)]
+            for i, key, members in _texts_sets(piece, shingle):
+                front = np.array(piece.column(2)[i].as_py(), dtype=np.int64).view(np.uint64)
+                for level in range(2, depth + 1):
+                    following = []
+                    for salt in front:
+                        _, found = picked(members, np.float64(len(members)), salt, branch)
+                        found = np.unique(found)
+                        following.append(found)
+                        parents.append(np.full(len(found), salt))
+                        keys += [key] * len(found)
+                        sizes += [len(members)] * len(found)
+                        levels += [level] * len(found)
+                    front = np.concatenate(following) if following else front[:0]
+                    paths.append(front)
+            yield pa.record_batch(
+                [pa.array(keys, pa.binary()), pa.array(sizes, pa.int32()), pa.array(levels, pa.int32()), pa.array(np.concatenate(parents).view(np.int64)), pa.array(np.concatenate(paths).view(np.int64))],
+                ["key", "size", "level", "parent", "path"],
+            )
+
+    return _rows_of(rows, reps).select("text", "key", "split").mapInArrow(extended, "key binary, size int, level int, parent long, path long").distinct()
+
+
 def _sets_of(rows: DataFrame, reps: DataFrame, shingle: int) -> DataFrame:
-    """key, members (sorted 64-bit hashes as bytes) of the ``reps`` (key, id, mark), from the texts of their rows."""
+    """key and members (sorted 32-bit hashes as bytes) of the ``reps``; a repeated document may repeat its key."""
 
     def members_of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for piece in pieces(batches, 1):
-            members, first = shingle_sets(piece.column(1), shingle)
-            keys = set_keys(members, first)
-            # texts may share an id and a mark: only the one with the key counts
-            right = [i for i, k in enumerate(piece.column(0).to_pylist()) if k == keys[i]]
-            data = [members[first[i] : first[i + 1]].tobytes() for i in right]
-            yield pa.record_batch([pa.array([keys[i] for i in right], pa.binary()), pa.array(data, pa.binary())], ["key", "members"])
-
-    wanted = reps.select("key", F.col("id").alias("rep_id"), F.col("mark").alias("rep_mark"))
-    same = rows.join(wanted, F.col("id").eqNullSafe(F.col("rep_id")) & (F.col("mark") == F.col("rep_mark"))).select("key", "text")
-    return stored(same.mapInArrow(members_of, "key binary, members binary").dropDuplicates(["key"]), "join-sets")
+        for piece in pieces(batches, 0):
+            found = [(key, np.unique((members >> np.uint64(32)).astype(np.uint32)).tobytes()) for _, key, members in _texts_sets(piece, shingle)]
+            yield pa.record_batch([pa.array([k for k, _ in found], pa.binary()), pa.array([m for _, m in found], pa.binary())], ["key", "members"])
+
+    return _rows_of(rows, reps).select("text", "key").mapInArrow(members_of, "key binary, members binary")
