@@ -101,11 +101,14 @@ def repeated_spans(documents: DataFrame, *, id_col: str, text_col: str, window:
                 )
 
     every = stored(rows.mapInArrow(paths, f"anchor long, content long, id {kind}, mark int, start int, windows int"), "dedup-paths")
-    shared = every.groupBy("anchor").agg(F.count("*").alias("n")).where("n > 1").select("anchor")
+    # aggregates are written before they are joined: Spark splits a hot key of a join only
+    # when both sides come straight from a shuffle
+    shared = stored(every.groupBy("anchor").agg(F.count("*").alias("n")).where("n > 1").select("anchor"), "dedup-shared-anchors")
     common = stored(every.join(shared, "anchor", "left_semi"), "dedup-shared-paths")
     free_finished_shuffles(spark)
-    contents = common.groupBy("anchor", "content").agg(F.min("id").alias("first_id"))
+    contents = stored(common.groupBy("anchor", "content").agg(F.min("id").alias("first_id")), "dedup-contents")
     branching = common.groupBy("anchor").agg(F.min("content").alias("low"), F.max("content").alias("high")).select("anchor", (F.col("low") < F.col("high")).alias("branching"))
+    branching = stored(branching, "dedup-branching")
     judged = stored(common.join(contents, ["anchor", "content"]).join(branching, "anchor").where("id > first_id or branching"), "dedup-judged")
     whole = judged.where("id > first_id").select("id", "mark", "start", (F.col("start") + F.col("windows") + window - 1).alias("end"))
 
@@ -132,6 +135,7 @@ def repeated_spans(documents: DataFrame, *, id_col: str, text_col: str, window:
     windows = stored(source.mapInArrow(expanded, f"anchor long, content long, id {kind}, mark int, start int"), "dedup-windows")
     free_finished_shuffles(spark)
     firsts = windows.groupBy("anchor", "content").agg(F.min("id").alias("first_id"), F.max("id").alias("last_id")).where("first_id < last_id").select("anchor", "content", "first_id")
+    firsts = stored(firsts, "dedup-firsts")
     edges = windows.join(firsts, ["anchor", "content"]).where("id > first_id").select("id", "mark", "start", (F.col("start") + window).alias("end"))
     return stored(whole.unionByName(edges).groupBy("id", "mark").agg(F.collect_list(F.struct("start", "end")).alias("spans")), "dedup-spans")
 
