@@ -210,7 +210,8 @@ def similarity_classes(
     labels = labels.join(degree, "node")
     joined = every.select("id", "key").join(labels.withColumnRenamed("node", "key"), "key", "left").withColumn("label", F.coalesce("label", "key"))
     joined = stored(joined.select("id", "label", F.coalesce("n_links", F.lit(0)).alias("n_links")), "join-labelled")
-    smallest = joined.where("label is not null").groupBy("label").agg(F.min("id").alias("class_id"))
+    # written, so that Spark can split a hot label of the join
+    smallest = stored(joined.where("label is not null").groupBy("label").agg(F.min("id").alias("class_id")), "join-smallest")
     return joined.join(smallest, "label", "left").select(
         F.col("id").alias(id_col), F.when(F.col("label").isNull(), F.col("id")).otherwise(F.col("class_id")).alias("class_id"), "n_links"
     )
