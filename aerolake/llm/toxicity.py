@@ -3,8 +3,9 @@
 The lexicon is learned from labelled documents that are not held out: words, and stems
 (word beginnings shared by several words), whose documents are labelled toxic more often
 than chance allows for so many words (a likelihood ratio beyond 2 ln vocabulary).  The
-words stand in a trie.  A text's word is looked up as it is and by its stem; otherwise
-the Levenshtein automaton of the word (distance 1, words of 5 letters or more) is run
+words stand in a trie.  A word counts once for each pair of words around it, so that
+copies of a passage do not make its words telling.  A text's word is looked up as it is and by its stem; otherwise
+the Levenshtein automaton of the word (one edit, words of 5 letters or more) is run
 against the trie, so that misspelled terms count too.  A near word that clean training
 texts use is no misspelling.
 
@@ -57,36 +58,45 @@ class Trie:
             for letter in word:
                 node = node.setdefault(letter, {})
             node[""] = weight
-        # a word at distance 1 keeps the first half as its beginning or the second as its end
-        self.heads = {w[: len(w) // 2] for w in words if len(w) >= FUZZY_LENGTH}
-        self.tails = {w[len(w) // 2 :] for w in words if len(w) >= FUZZY_LENGTH}
-        self.head_sizes = sorted({len(h) for h in self.heads})
-        self.tail_sizes = sorted({len(t) for t in self.tails})
-
-    def near(self, word: str, distance: int = 1) -> float:
-        """The highest weight of a lexicon word within the distance; 0 if there is none.
-
-        The automaton's state after a trie path is the row of edit distances to the
-        word's beginnings; paths whose states all exceed the distance are cut off.
+        # a word at distance 1 differs by one letter in length at most, and keeps the first
+        # half of the lexicon word as its beginning or the second as its end
+        long = [w for w in words if len(w) >= FUZZY_LENGTH - 1]
+        lengths = [(w, n) for w in long for n in (len(w) - 1, len(w), len(w) + 1)]
+        self.heads = {(w[: len(w) // 2], n) for w, n in lengths}
+        self.tails = {(w[len(w) // 2 :], n) for w, n in lengths}
+        self.head_sizes = sorted({len(h) for h, _ in self.heads})
+        self.tail_sizes = sorted({len(t) for t, _ in self.tails})
+        self.longest = max(map(len, long), default=-1) + 1
+
+    def near(self, word: str) -> float:
+        """The highest weight of a lexicon word within one edit; 0 if there is none.
+
+        The states of the word's Levenshtein automaton after a trie path are two bit sets:
+        the beginnings of the word that the path equals, and those it is within one edit
+        of.  Paths without a state are cut off.
         """
-        if len(word) < FUZZY_LENGTH:
+        n = len(word)
+        if n < FUZZY_LENGTH or n > self.longest:
             return 0.0
-        if not any(word[:n] in self.heads for n in self.head_sizes) and not any(word[-n:] in self.tails for n in self.tail_sizes):
+        if not any((word[:k], n) in self.heads for k in self.head_sizes) and not any((word[-k:], n) in self.tails for k in self.tail_sizes):
             return 0.0
-        best, n = 0.0, len(word)
-        stack = [(self.root, tuple(range(n + 1)))]
+        places: dict[str, int] = {}
+        for i, letter in enumerate(word):
+            places[letter] = places.get(letter, 0) | 2 << i
+        whole, best = 1 << n, 0.0
+        stack = [(self.root, 1, 3)]
         while stack:
-            node, row = stack.pop()
-            if "" in node and row[n] <= distance:
-                best = max(best, node[""])
+            node, equal, near = stack.pop()
             for letter, child in node.items():
-                if not letter:
-                    continue
-                state = [row[0] + 1]
-                for i in range(n):
-                    state.append(min(state[i] + 1, row[i + 1] + 1, row[i] + (word[i] != letter)))
-                if min(state) <= distance:
-                    stack.append((child, tuple(state)))
+                if letter:
+                    at = places.get(letter, 0)
+                    same = equal << 1 & at
+                    # the letter matches, is extra in the path, replaces one, or one of the word is missing
+                    close = near << 1 & at | equal | equal << 1 | same << 1 | same
+                    if close:
+                        stack.append((child, same, close))
+                elif near & whole:
+                    best = max(best, child)
         return best
 
 
@@ -176,33 +186,37 @@ def learned_lexicon(sample: DataFrame, share: float = 0.8, min_stem_words: int =
     def words_of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for at in range(0, batch.num_rows, 200):
-                words, toxic = [], []
+                words, contexts, toxic = [], [], []
                 for text, label in zip(batch.column(0)[at : at + 200], batch.column(1)[at : at + 200].to_pylist()):
-                    mine = set(WORD.findall(text.as_py().lower()))
-                    words += mine
+                    found = WORD.findall(text.as_py().lower())
+                    mine = set(zip(found, ["", *found], [*found[1:], ""]))
+                    words += [w for w, _, _ in mine]
+                    contexts += [f"{a} {b}" for _, a, b in mine]
                     toxic += [label] * len(mine)
-                yield pa.record_batch([pa.array(words, pa.string()), pa.array(toxic, pa.int32())], ["word", "toxic"])
-
-    stats = sample.mapInArrow(words_of, "word string, toxic int").where("length(word) between 3 and 40").groupBy("word")
-    stats = stored(stats.agg(F.sum("toxic").alias("t"), (F.count("*") - F.sum("toxic")).alias("c")), "toxicity-words")
-    totals = sample.agg(F.coalesce(F.sum("toxic"), F.lit(0)).alias("t"), F.count("*").alias("n")).first()
-    clean = totals.n - totals.t
-    if not totals.t or not clean:
+                yield pa.record_batch([pa.array(words, pa.string()), pa.array(contexts, pa.string()), pa.array(toxic, pa.int32())], ["word", "context", "toxic"])
+
+    # a word counts once for the pair of words around it, however often that passage is copied
+    seen = sample.mapInArrow(words_of, "word string, context string, toxic int").where("length(word) between 3 and 40")
+    seen = seen.groupBy("word", F.xxhash64("context").alias("context")).agg(F.avg("toxic").alias("t"))
+    stats = stored(seen.groupBy("word").agg(F.sum("t").alias("t"), (F.count("*") - F.sum("t")).alias("c")), "toxicity-words")
+    totals = stats.agg(F.coalesce(F.sum("t"), F.lit(0.0)).alias("t"), F.coalesce(F.sum("c"), F.lit(0.0)).alias("c"), F.count("*").alias("n")).first()
+    if not totals.t or not totals.c:
         return Lexicon({}, {})
-    p = totals.t / totals.n
-    bar = 2 * math.log(max(stats.count(), 2))
+    p = totals.t / (totals.t + totals.c)
+    bar = 2 * math.log(max(totals.n, 2))
     ratio = 2 * (
         F.col("t") * F.log(F.col("t") / (F.col("t") + F.col("c")) / p)
         + F.when(F.col("c") > 0, F.col("c") * F.log(F.col("c") / (F.col("t") + F.col("c")) / (1 - p))).otherwise(0.0)
     )
     telling = (F.col("t") >= share * (F.col("t") + F.col("c"))) & (ratio > bar)
-    weight = F.log((F.col("t") + 0.5) / (totals.t + 1)) - F.log((F.col("c") + 0.5) / (clean + 1))
+    weight = F.log((F.col("t") + 0.5) / (totals.t + 1)) - F.log((F.col("c") + 0.5) / (totals.c + 1))
     words = {r.word: r.w for r in stats.where("t > 0").where(telling).select("word", weight.alias("w")).collect()}
     beginnings = stats.where(f"length(word) >= {STEMS[0]}").select(F.explode(F.array(*[F.when(F.length("word") >= n, F.substring("word", 1, n)) for n in STEMS])).alias("stem"), "t", "c")
     beginnings = beginnings.where("stem is not null").groupBy("stem").agg(F.sum("t").alias("t"), F.sum("c").alias("c"), F.sum(F.when(F.col("t") > 0, 1).otherwise(0)).alias("n"))
     chosen = {r.stem: r.w for r in beginnings.where(f"t > 0 and n >= {min_stem_words}").where(telling).select("stem", weight.alias("w")).collect()}
-    stems = {s: w for s, w in chosen.items() if not any(s[:n] in chosen for n in STEMS if n < len(s))}
-    words = {w: x for w, x in words.items() if not any(w[:n] in stems for n in STEMS)}
+    # what a shorter stem tells about as well is left out
+    stems = {s: w for s, w in chosen.items() if not any(chosen.get(s[:n], 0.0) > w - 1 for n in STEMS if n < len(s))}
+    words = {w: x for w, x in words.items() if not any(stems.get(w[:n], 0.0) > x - 1 for n in STEMS)}
     lexicon = Lexicon(words, stems)
     share_ = sample.sparkSession.sparkContext.broadcast(lexicon)
 
@@ -224,7 +238,7 @@ def toxicity(
     label_col: str = "toxic",
     folds: int = 3,
     fold: int = 1,
-    sample_labels: int = 30_000,
+    sample_labels: int = 10_000,
     threshold: float = 0.7,
 ) -> DataFrame:
     """``id_col``, held_out, score and predicted of every row, and the three sums of weights.
@@ -243,7 +257,7 @@ def toxicity(
             yield pa.record_batch([batch.column(0), *[pa.array(sums[:, i]) for i in range(3)]], ["id", "exact", "misspelled", "quoted"])
 
     three = "exact double, misspelled double, quoted double"
-    rows = sample.select(F.col("toxic").alias("id"), "text").mapInArrow(summed, f"id int, {three}").orderBy("id", "exact", "misspelled", "quoted").collect()
+    rows = sorted(sample.select(F.col("toxic").alias("id"), "text").mapInArrow(summed, f"id int, {three}").collect())
     y = np.array([float(r.id) for r in rows])
     known = len(set(y)) == 2
     weights = logistic(design(np.array([[r.exact, r.misspelled, r.quoted] for r in rows])), y, 0.1) if known else np.zeros(4)
