@@ -223,7 +223,8 @@ def fitted_judge(documents: DataFrame, *, id_col: str, text_col: str, sample_doc
                     table.append(features(text, c, len(found)))
             yield pa.record_batch([pa.array(halves, pa.int32()), pa.array(passed, pa.bool_()), pa.array(table, pa.list_(pa.float64()))], ["half", "passed", "features"])
 
-    found = rows.mapInArrow(described, "half int, passed boolean, features array<double>").orderBy("half", "features", "passed").collect()
+    found = rows.mapInArrow(described, "half int, passed boolean, features array<double>").collect()
+    found.sort(key=lambda r: (r.half, r.features, r.passed))  # the same in any order of rows
     x, y = np.array([r.features for r in found]), np.array([float(r.passed) for r in found])
     half = np.array([r.half for r in found])
     judge = Judge(BoostedTrees(), np.full(len(KINDS), 2.0))
