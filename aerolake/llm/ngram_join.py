@@ -156,7 +156,9 @@ def similarity_classes(
 
     every = stored(rows.mapInArrow(first_paths, f"id {kind}, mark int, key binary, size int, paths array<long>"), "join-documents")
     # one row per distinct set; equal sets have equal paths
-    classes = stored(every.where("key is not null").groupBy("key").agg(F.first("size").alias("size"), F.first("paths").alias("paths")), "join-classes")
+    # and any of the class's documents stands for it when texts are read again
+    one = F.min(F.struct(F.col("id").isNull().alias("null"), "id", "mark")).alias("one")
+    classes = stored(every.where("key is not null").groupBy("key").agg(F.first("size").alias("size"), F.first("paths").alias("paths"), one), "join-classes")
     nodes = stored(classes.select("key", "size", F.explode(F.array_distinct("paths")).alias("path")), "join-nodes")
 
     def met(nodes: DataFrame) -> DataFrame:
@@ -170,7 +172,7 @@ def similarity_classes(
     level = met(nodes)
     candidates, large = [small(level)], level.where(F.col("n") > brute)
     hubs = [large.select("key")]
-    longer = stored(_longer_paths(rows, _one_row(every, large.groupBy("key").agg(F.collect_list("path").alias("split"))), shingle, branch, depth), "join-longer")
+    longer = stored(_longer_paths(rows, _one_row(classes, large.groupBy("key").agg(F.collect_list("path").alias("split"))), shingle, branch, depth), "join-longer")
     free_finished_shuffles(spark)
     for deep in range(2, depth + 1):
         # below large buckets only
@@ -201,7 +203,7 @@ def similarity_classes(
     pairs = stored(pairs.where(possible).select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).distinct(), "join-pairs")
     free_finished_shuffles(spark)
     compared = pairs.select(F.explode(F.array("a", "b")).alias("key")).distinct()
-    sets = stored(_sets_of(rows, _one_row(every, compared), shingle), "join-sets")
+    sets = stored(_sets_of(rows, _one_row(classes, compared), shingle), "join-sets")
     free_finished_shuffles(spark)
     links = stored(linked_classes(sets, pairs, threshold).distinct(), "join-links")
     free_finished_shuffles(spark)
@@ -217,12 +219,9 @@ def similarity_classes(
     )
 
 
-def _one_row(every: DataFrame, wanted: DataFrame) -> DataFrame:
+def _one_row(classes: DataFrame, wanted: DataFrame) -> DataFrame:
     """``wanted`` (key, ...) with the id and mark of one document of each class."""
-    one = F.min(F.struct(F.col("id").isNull().alias("null"), "id", "mark")).alias("one")
-    rest = [c for c in wanted.columns if c != "key"]
-    found = every.join(stored(wanted, "join-wanted"), "key").groupBy("key").agg(one, *[F.first(c).alias(c) for c in rest])
-    return found.select("key", F.col("one.id").alias("rep_id"), F.col("one.mark").alias("rep_mark"), *rest)
+    return classes.select("key", F.col("one.id").alias("rep_id"), F.col("one.mark").alias("rep_mark")).join(stored(wanted, "join-wanted"), "key")
 
 
 def _rows_of(rows: DataFrame, reps: DataFrame) -> DataFrame:
