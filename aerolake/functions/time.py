@@ -22,10 +22,18 @@ SNAPSHOT_STAMP_REGEX = r"flight_snapshot_(\d{4}-\d{2}-\d{2}_\d{2}-\d{2}-\d{2})"
 SNAPSHOT_STAMP_FORMAT = "yyyy-MM-dd_HH-mm-ss"
 
 
+# Epoch seconds of the first and last second of the years 1 to 9999.
+MIN_EPOCH, MAX_EPOCH = -62_135_596_800, 253_402_300_799
+
+
 def epoch_to_ntz(seconds: Column | str) -> Column:
-    """Epoch seconds -> UTC ``TIMESTAMP_NTZ`` (second precision, null-safe)."""
+    """Epoch seconds -> UTC ``TIMESTAMP_NTZ`` (second precision, null-safe).
+
+    Values outside the years 1 to 9999 (milliseconds taken for seconds, say) give NULL.
+    """
     c = F.col(seconds) if isinstance(seconds, str) else seconds
-    return _epoch() + F.make_dt_interval(secs=c.cast("decimal(18,6)"))
+    valid = F.when(c.between(MIN_EPOCH, MAX_EPOCH), c)
+    return _epoch() + F.make_dt_interval(secs=valid.cast("decimal(18,6)"))
 
 
 def ntz_to_epoch(ts: Column | str) -> Column:

@@ -75,11 +75,12 @@ def insert_ignore(
     """``ON CONFLICT DO NOTHING``: rows of the batch whose key is new are added.
 
     With ``keys=None`` every column is a key (NULLs compare equal, as a
-    de-duplicating insert would treat them).
+    de-duplicating insert would treat them).  A key that the batch repeats is
+    inserted once.
     """
     key_cols = list(keys) if keys is not None else target.columns
     cond = [batch[c].eqNullSafe(target[c]) for c in key_cols]
-    new_rows = batch.join(target, cond, "left_anti")
+    new_rows = batch.join(target, cond, "left_anti").dropDuplicates(key_cols)
     return target.unionByName(new_rows.select(*target.columns))
 
 
@@ -89,7 +90,7 @@ def insert_ignore_counts(
     """``(inserted_count, updated_count)`` of an insert-ignore; updated is always 0."""
     key_cols = list(keys) if keys is not None else target.columns
     cond = [batch[c].eqNullSafe(target[c]) for c in key_cols]
-    new_rows = batch.join(target, cond, "left_anti")
+    new_rows = batch.join(target, cond, "left_anti").dropDuplicates(key_cols)
     return new_rows.agg(
         F.count(F.lit(1)).alias("inserted_count"), F.lit(0).cast("bigint").alias("updated_count")
     )

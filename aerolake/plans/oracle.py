@@ -142,9 +142,9 @@ WITH target AS (SELECT * FROM orders WHERE o_orderkey % 3 <> 0),
 batch AS (
   SELECT o_orderkey, o_custkey, 'U' AS o_orderstatus, o_totalprice + 1 AS o_totalprice,
          o_orderdate, o_orderpriority
-  FROM orders WHERE o_orderkey % 2 = 0
+  FROM orders WHERE o_orderkey % 2 = 0 OR o_orderkey % 3 = 0
 ),
-plain_batch AS (SELECT * FROM orders WHERE o_orderkey % 2 = 0)
+plain_batch AS (SELECT * FROM orders WHERE o_orderkey % 2 = 0 OR o_orderkey % 3 = 0)
 """
 
 RAW_COLS = (

@@ -36,10 +36,15 @@ def key_date(contract: TableContract) -> Column:
 
 
 def read_serving(spark: SparkSession, path: str, contract: TableContract) -> DataFrame | None:
+    """The serving table, or None if it was not created yet; a table that lacks a
+    contract column raises."""
     try:
-        return spark.read.parquet(path).select(*contract.columns, KEY_DATE)
-    except AnalysisException:
-        return None  # not created yet
+        table = spark.read.parquet(path)
+    except AnalysisException as error:
+        if error.getCondition() in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
+            return None
+        raise
+    return table.select(*contract.columns, KEY_DATE)
 
 
 def upsert_serving(
@@ -66,10 +71,9 @@ def upsert_serving(
         n = rows.count()
         write_partitioned(rows, path, [KEY_DATE], mode="replace_partitions")
         return {"inserted_count": n, "updated_count": 0}
-    # partition values touched by the batch: a short list of dates (metadata,
-    # one value per partition), used as a static partition filter
-    touched = [r[0] for r in rows.select(KEY_DATE).distinct().collect()]
-    affected = target.where(F.col(KEY_DATE).isin(touched))
+    # only the partitions whose dates the batch touches; the dates come from feed
+    # values, so they stay a table (Spark prunes the partitions by it at run time)
+    affected = target.join(rows.select(KEY_DATE).distinct(), KEY_DATE, "left_semi")
     keys = [*contract.keys, KEY_DATE]
     if newer_than is not None:
         counts = merge_counts(affected, rows, keys, newer_than=newer_than).first().asDict()
