@@ -53,7 +53,8 @@ def _parser() -> argparse.ArgumentParser:
     s.add_argument("--silver", required=True)
     s.add_argument("--checkpoint", required=True)
     s.add_argument("--zone", default="UTC")
-    s.add_argument("--dedup", choices=("batch", "watermark"), default="batch")
+    s.add_argument("--multi-line", action="store_true", help="one indented document per file")
+    s.add_argument("--quarantine", help="documents that cannot be parsed go here; without it they fail the stream")
     s.add_argument("--processing-time", help="keep running with this trigger instead of availableNow")
     s.add_argument("--gold-positions", help="also append Gold positions here")
     s.add_argument("--gold-metrics", help="also append Gold metrics here")
@@ -69,21 +70,20 @@ def _publish(spark, args, lake: LakePaths, record_epoch: int | None) -> dict:
             spark, lake, args.serving, record_epoch=record_epoch, round_digits=args.round
         )
     if args.jdbc_url:
-        from aerolake.operators.gold import country_metrics, gold_positions
+        from aerolake.operators.gold import country_metrics
         from aerolake.operators.upsert import fold_latest
         from aerolake.sinks.jdbc import publish_gold
 
         silver = written_silver(spark, lake, record_epoch)
         c = SERVING_CONTRACTS
-        positions = fold_latest(gold_positions(silver), c["gold_flight_positions"].keys,
-                                ["ingested_at"], c["gold_flight_positions"].columns)
+        positions = fold_latest(silver, c["gold_flight_positions"].keys,
+                                ["ingested_at", "source_file_path"], c["gold_flight_positions"].columns)
         metrics = fold_latest(country_metrics(silver, keep_run=True, round_digits=args.round),
                               c["gold_country_metrics"].keys, ["ingested_at"],
                               c["gold_country_metrics"].columns)
         props = {k: v for k, v in (("user", args.jdbc_user), ("password", args.jdbc_password),
                                    ("driver", args.jdbc_driver)) if v}
-        publish_gold(spark, positions, metrics, args.jdbc_url, props)
-        out["jdbc"] = "published"
+        out["jdbc"] = publish_gold(spark, positions, metrics, args.jdbc_url, props)
     return out
 
 
@@ -92,10 +92,10 @@ def main(argv: list[str] | None = None, spark: SparkSession | None = None) -> di
     spark = spark or SparkSession.builder.appName("aerolake").getOrCreate()
     if args.command == "stream":
         q = incremental_silver(
-            spark, args.bronze, args.silver, args.checkpoint, zone=args.zone, dedup=args.dedup,
+            spark, args.bronze, args.silver, args.checkpoint, zone=args.zone, multi_line=args.multi_line,
             available_now=args.processing_time is None, processing_time=args.processing_time,
             gold_positions_path=args.gold_positions, gold_metrics_path=args.gold_metrics,
-            serving_root=args.serving, round_digits=args.round,
+            serving_root=args.serving, quarantine_path=args.quarantine, round_digits=args.round,
         )
         q.awaitTermination()
         return {"command": "stream", "silver": args.silver}

@@ -194,6 +194,16 @@ GOLD_METRIC_SCHEMA = StructType(
 )
 
 
+def quoted(name: str) -> str:
+    """A column name as a quoted SQL identifier."""
+    return '"' + name.replace('"', '""') + '"'
+
+
+def quoted_table(name: str) -> str:
+    """A table name, ``schema.table`` too, as quoted SQL identifiers."""
+    return ".".join(map(quoted, name.split(".")))
+
+
 @dataclass(frozen=True)
 class TableContract:
     """Columns, conflict keys and column rules of one published table."""
@@ -209,8 +219,11 @@ class TableContract:
     def update_columns(self) -> list[str]:
         return [c for c in self.columns if c not in self.keys]
 
-    def ddl(self) -> str:
-        """Generic ``CREATE TABLE`` text for a relational serving target."""
+    def ddl(self, name: str | None = None, *, constraints: bool = True) -> str:
+        """Generic ``CREATE TABLE`` text for a relational serving target.
+
+        ``name`` is another table with these columns; without ``constraints`` it takes any rows.
+        """
         sql_types = {
             "string": "VARCHAR",
             "double": "DOUBLE PRECISION",
@@ -227,12 +240,13 @@ class TableContract:
             t = sql_types[f.dataType.simpleString()]
             if f.name in self.max_len:
                 t = f"VARCHAR({self.max_len[f.name]})"
-            if f.name in self.not_null:
+            if constraints and f.name in self.not_null:
                 t += " NOT NULL"
-            lines.append(f"{f.name} {t}")
-        lines.append(f"PRIMARY KEY ({', '.join(self.keys)})")
+            lines.append(f"{quoted(f.name)} {t}")
+        if constraints:
+            lines.append(f"PRIMARY KEY ({', '.join(map(quoted, self.keys))})")
         body = ",\n    ".join(lines)
-        return f"CREATE TABLE IF NOT EXISTS {self.name} (\n    {body}\n)"
+        return f"CREATE TABLE IF NOT EXISTS {quoted_table(name or self.name)} (\n    {body}\n)"
 
 
 GOLD_POSITIONS = TableContract(

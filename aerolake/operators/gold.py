@@ -23,15 +23,16 @@ def country_metrics(
     """Per snapshot, ingest date/hour and country: counts, averages, maximum.
 
     The snapshot time falls back to the ingest time; a NULL country becomes
-    ``UNKNOWN`` (an empty string stays its own group).  Groups are formed per
-    run (ingest instant), so a multi-run batch yields what separate runs
-    would; ``keep_run`` keeps ``ingested_at`` for a later last-run-wins fold.
+    ``UNKNOWN`` (an empty string stays its own group).  With ``keep_run`` groups
+    are also formed per run (ingest instant) and ``ingested_at`` is kept, so a
+    multi-run input yields what separate runs would, ready for a last-run-wins fold.
     Two-phase HashAggregate: a hot country is combined map-side.
     """
     avg_v = F.avg("velocity")
     avg_b = F.avg("barometric_altitude_m")
     if round_digits is not None:
         avg_v, avg_b = F.round(avg_v, round_digits), F.round(avg_b, round_digits)
+    run = ["ingested_at"] if keep_run else []
     grouped = silver.select(
         F.coalesce("snapshot_timestamp", "ingested_at").alias("snapshot_timestamp"),
         "snapshot_date",
@@ -42,7 +43,7 @@ def country_metrics(
         "velocity",
         "barometric_altitude_m",
         "geometric_altitude_m",
-    ).groupBy("snapshot_timestamp", "snapshot_date", "snapshot_hour", "country_of_origin", "ingested_at")
+    ).groupBy("snapshot_timestamp", "snapshot_date", "snapshot_hour", "country_of_origin", *run)
     metrics = grouped.agg(
         F.count(F.lit(1)).alias("total_flights"),
         F.sum(airborne_flag(F.col("is_on_ground"))).cast("bigint").alias("airborne_flights"),
@@ -51,8 +52,7 @@ def country_metrics(
         avg_b.alias("avg_barometric_altitude_m"),
         F.max("geometric_altitude_m").alias("max_geometric_altitude_m"),
     )
-    cols = GOLD_METRIC_COLUMNS + (["ingested_at"] if keep_run else [])
-    return metrics.select(*cols)
+    return metrics.select(*GOLD_METRIC_COLUMNS, *run)
 
 
 def ground_state_counts(silver: DataFrame) -> DataFrame:

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from aerolake.contracts import TableContract
@@ -14,6 +14,16 @@ class DuplicateKeyError(ValueError):
     """A publish batch holds a key more than once (the database would reject it)."""
 
 
+class ContractError(ValueError):
+    """A publish batch breaks a NOT NULL or length rule of its table."""
+
+
+def _rules(contract: TableContract) -> list[tuple[str, Column]]:
+    """Name and violation condition of the rules that one row can break."""
+    missing = [(f"not_null:{c}", F.col(c).isNull()) for c in contract.not_null]
+    return missing + [(f"max_len:{c}", F.length(F.col(c)) > n) for c, n in contract.max_len.items()]
+
+
 def contract_violations(
     df: DataFrame,
     contract: TableContract,
@@ -30,11 +40,7 @@ def contract_violations(
     run instant).  The input is computed once, not once per rule.
     """
     name = label or contract.name
-    checks = [
-        (f"not_null:{c}", F.col(c).isNull()) for c in contract.not_null
-    ] + [
-        (f"max_len:{c}", F.length(F.col(c)) > n) for c, n in contract.max_len.items()
-    ]
+    checks = _rules(contract)
     per_key = df.groupBy(*batch_columns, *contract.keys).agg(
         F.count(F.lit(1)).alias("_rows"),
         *[F.count_if(cond).alias(f"c{i}") for i, (_, cond) in enumerate(checks)],
@@ -57,3 +63,18 @@ def assert_unique_keys(batch: DataFrame, keys: Sequence[str]) -> None:
     dup = batch.groupBy(*keys).count().where(F.col("count") > 1).limit(1).collect()
     if dup:
         raise DuplicateKeyError(f"duplicate key in batch: {dup[0].asDict()}")
+
+
+def enforce_contract(batch: DataFrame, contract: TableContract, *, keys_unique: bool = False) -> None:
+    """Raise before any write if the batch breaks its table's contract.
+
+    NOT NULL and length rules are counted map-side in one pass.  ``keys_unique`` says
+    that the batch comes from a fold over the keys, which saves the shuffle of the key check.
+    """
+    checks = _rules(contract)
+    counts = batch.agg(*[F.count_if(broken).alias(rule) for rule, broken in checks]).first().asDict()
+    broken = {rule: n for rule, n in counts.items() if n}
+    if broken:
+        raise ContractError(f"{contract.name}: {broken}")
+    if not keys_unique:
+        assert_unique_keys(batch, contract.keys)

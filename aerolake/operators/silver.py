@@ -10,11 +10,19 @@ from pyspark.sql import functions as F
 from aerolake.contracts import SILVER_COLUMNS
 from aerolake.functions.time import epoch_to_ntz
 
-# Run scope of de-duplication and metrics: one run = one ingest instant.
-RUN_COLUMNS: tuple[str, ...] = ("ingested_at",)
 DEDUP_KEYS: tuple[str, ...] = ("aircraft_code", "position_timestamp")
 
 
+def run_scope() -> list[Column]:
+    """What one run's snapshot is: the ingest instant and the snapshot document.
+
+    The parts of a landed snapshot share a ``snapshot=`` directory and count as one
+    document; any other file is a document of its own, also under an equal instant.
+    """
+    path = F.col("source_file_path")
+    return [F.col("ingested_at"), F.regexp_replace(path, r"(/snapshot=[^/]+)/[^/]*$", "$1")]
+
+
 def typed_positions(raw: DataFrame) -> DataFrame:
     """Raw table -> Silver columns (+ ``state_ordinal``), before any filter.
 
@@ -92,15 +100,16 @@ def rejected_positions(typed: DataFrame) -> DataFrame:
 def dedup_positions(
     valid: DataFrame,
     keys: Sequence[str] = DEDUP_KEYS,
-    run_columns: Sequence[str] = RUN_COLUMNS,
+    scope: Sequence[Column] | None = None,
 ) -> DataFrame:
-    """Keep one row per (run, key): newest contact, then lowest state ordinal.
+    """Keep one row per (run's snapshot, key): newest contact, then lowest state
+    ordinal, then the first file.  ``scope`` replaces ``run_scope()``.
 
     ``row_number() = 1`` is planned as WindowGroupLimit (partial before the
     shuffle, final after), so a hot key is cut down on the map side.
     """
-    w = Window.partitionBy(*run_columns, *keys).orderBy(
-        F.col("last_contact_timestamp").desc_nulls_last(), F.col("state_ordinal").asc()
+    w = Window.partitionBy(*(run_scope() if scope is None else scope), *keys).orderBy(
+        F.col("last_contact_timestamp").desc_nulls_last(), F.col("state_ordinal").asc(), F.col("source_file_path").asc()
     )
     return (
         valid.select("*", F.row_number().over(w).alias("_rn"))

@@ -201,7 +201,43 @@ def _violations() -> str:
     return _flight("\nUNION ALL\n".join(parts))
 
 
+_GROUPED = """
+SELECT coalesce(snapshot_timestamp, ingested_at) AS snapshot_timestamp, snapshot_date, snapshot_hour,
+       coalesce(country_of_origin, 'UNKNOWN') AS country_of_origin,
+       count(*) AS total_flights,
+       CAST(sum(CASE WHEN is_on_ground = FALSE THEN 1 ELSE 0 END) AS BIGINT) AS airborne_flights,
+       CAST(sum(CASE WHEN is_on_ground = TRUE THEN 1 ELSE 0 END) AS BIGINT) AS grounded_flights,
+       round(avg(velocity), 6) AS avg_velocity,
+       round(avg(barometric_altitude_m), 6) AS avg_barometric_altitude_m,
+       max(geometric_altitude_m) AS max_geometric_altitude_m
+FROM ({rows}) GROUP BY 1, 2, 3, 4
+"""
+
+# the same snapshots half an hour later, and all of them as one run at a fixed instant
+_TWO_RUNS = (
+    "SELECT * FROM silver UNION ALL "
+    "SELECT * REPLACE (ingested_at + INTERVAL 30 MINUTE AS ingested_at) FROM silver"
+)
+_LIVE = "make_timestamp(1716084000 * 1000000)"
+_ONE_RUN = (
+    f"SELECT * REPLACE ({_LIVE} AS ingested_at, CAST({_LIVE} AS DATE) AS snapshot_date, "
+    f"CAST(hour({_LIVE}) AS INTEGER) AS snapshot_hour) FROM silver"
+)
+
+_TEXTS = """
+WITH ev AS (SELECT event_id AS e, epoch_us(date_trunc('hour', ts)) // 1000000 AS hu FROM events),
+texts AS (
+  SELECT hu + 7200 AS run, e % 97 = 0 AS cut,
+         '{"time": ' || hu || ', "feed": "f' || e || '", "states": [["c' || e || '"]]}' AS whole
+  FROM ev
+)
+"""
+
+
 def oracle_queries() -> dict[str, str]:
+    stream_cols = SILVER_COLS.replace("source_file_path, ", "")
+    raw_cols = RAW_COLS.replace(", source_file_path", "")
+    run_time = "make_timestamp(run * 1000000)"
     local = f"make_timestamp((hu + 7200 + ({_RECIFE_OFFSET_S})) * 1000000)"
     return {
         "bronze_states_decode": _flight(f"SELECT {RAW_COLS} FROM raw"),
@@ -214,7 +250,7 @@ def oracle_queries() -> dict[str, str]:
             "flight_callsign, latitude, longitude FROM silver"),
         "silver_flight_positions": _flight(f"SELECT {SILVER_COLS} FROM silver"),
         "gold_flight_positions": _flight(f"SELECT {GOLD_POS_COLS} FROM silver"),
-        "gold_country_metrics": _flight(f"SELECT {METRIC_COLS} FROM metrics_run"),
+        "gold_country_metrics": _flight(_GROUPED.format(rows="SELECT * FROM silver")),
         "ground_state_counts": _flight(
             "SELECT snapshot_date, snapshot_hour, count(*) AS total_flights, "
             "CAST(sum(CASE WHEN is_on_ground = FALSE THEN 1 ELSE 0 END) AS BIGINT) AS airborne_flights, "
@@ -249,6 +285,26 @@ def oracle_queries() -> dict[str, str]:
             "AND t.o_totalprice IS NOT DISTINCT FROM b.o_totalprice "
             "AND t.o_orderdate IS NOT DISTINCT FROM b.o_orderdate "
             "AND t.o_orderpriority IS NOT DISTINCT FROM b.o_orderpriority)"),
+        "insert_ignore_duplicates": _ORDERS + (
+            "SELECT * FROM target UNION ALL "
+            "(SELECT * FROM plain_batch EXCEPT SELECT * FROM target)"),
+        "gold_country_metrics_two_runs": _flight(_GROUPED.format(rows=_TWO_RUNS)),
+        "live_run_rerun": _flight(_GROUPED.format(rows=_ONE_RUN)),
+        "bronze_hour_scan": _flight(
+            f"SELECT {raw_cols} FROM raw "
+            "WHERE record_timestamp_unix = (SELECT min(hu) + 7200 FROM ev)"),
+        "bronze_multiline_decode": _flight(f"SELECT {raw_cols} FROM raw"),
+        "bronze_land_texts": _TEXTS + (
+            "SELECT CASE WHEN cut THEN substr(whole, 1, 20) ELSE whole END AS value, "
+            f"CAST(year({run_time}) AS INTEGER) AS year, CAST(month({run_time}) AS INTEGER) AS month, "
+            f"CAST(day({run_time}) AS INTEGER) AS day, CAST(hour({run_time}) AS INTEGER) AS hour FROM texts"),
+        "bronze_corrupt_documents": _TEXTS + (
+            "SELECT run AS record_timestamp_unix, substr(whole, 1, 20) AS document FROM texts WHERE cut"),
+        "bronze_replay_silver": _flight(f"SELECT {stream_cols} FROM silver"),
+        "bronze_replay_after_correction": _flight(
+            f"SELECT {GOLD_POS_COLS} FROM silver WHERE (epoch_us(ingested_at) // 3600000000) % 5 <> 0"),
+        "incremental_split_run": _flight(f"SELECT {stream_cols} FROM silver"),
+        "incremental_late_run": _flight(f"SELECT {stream_cols} FROM silver"),
         "bronze_partition_scan": (
             f"WITH ev AS (SELECT event_id AS e, epoch_us(date_trunc('hour', ts)) // 1000000 AS hu "
             f"FROM events), loc AS (SELECT e, hu, {local} AS lt FROM ev) "
@@ -260,10 +316,9 @@ def oracle_queries() -> dict[str, str]:
         "silver_append_rerun": _flight(
             f"SELECT {SILVER_COLS} FROM silver UNION ALL SELECT {SILVER_COLS} FROM silver"),
         "silver_replace_rerun": _flight(f"SELECT {SILVER_COLS} FROM silver"),
-        "gold_partition_roundtrip": _flight(f"SELECT {METRIC_COLS} FROM metrics_run"),
+        "gold_partition_roundtrip": _flight(_GROUPED.format(rows="SELECT * FROM silver")),
         "bronze_replay": _flight(f"SELECT {METRIC_COLS} FROM metrics_run"),
         "serving_upsert_positions": _flight("SELECT * FROM serving_positions"),
         "serving_upsert_metrics": _flight("SELECT * FROM serving_metrics"),
-        "incremental_silver": _flight(
-            f"SELECT {SILVER_COLS.replace('source_file_path, ', '')} FROM silver"),
+        "incremental_silver": _flight(f"SELECT {stream_cols} FROM silver"),
     }

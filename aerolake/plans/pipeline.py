@@ -5,20 +5,23 @@ from __future__ import annotations
 from dataclasses import dataclass
 from datetime import datetime, timezone
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from aerolake.contracts import (
     GOLD_METRIC_COLUMNS,
+    GOLD_METRIC_SCHEMA,
     GOLD_POSITION_COLUMNS,
+    GOLD_POSITION_SCHEMA,
     SERVING_CONTRACTS,
     SILVER_COLUMNS,
+    SILVER_SCHEMA,
 )
 from aerolake.operators.gold import country_metrics, gold_positions
 from aerolake.operators.silver import raw_to_silver
-from aerolake.sinks.lake import read_lake_table, write_partitioned
+from aerolake.sinks.lake import RUN_COLUMN, read_lake_table, write_partitioned, write_run, write_runs
 from aerolake.sinks.serving import upsert_serving_runs
-from aerolake.sources.bronze import decode_documents, read_bronze
+from aerolake.sources.bronze import corrupt_documents, decode_documents, is_corrupt, read_bronze
 
 
 def bronze_to_silver(docs: DataFrame, *, strict: bool = False) -> DataFrame:
@@ -36,21 +39,23 @@ class LakePaths:
     silver: str
     gold_positions: str
     gold_metrics: str
+    quarantine: str
 
     @classmethod
     def under(cls, root: str) -> "LakePaths":
         root = root.rstrip("/")
         return cls(
-            silver=f"{root}/silver/flight_positions_curated",
-            gold_positions=f"{root}/gold/flight_positions",
-            gold_metrics=f"{root}/gold/country_metrics",
+            silver=f"{root}/clean/positions",
+            gold_positions=f"{root}/reports/positions",
+            gold_metrics=f"{root}/reports/countries",
+            quarantine=f"{root}/quarantine/documents",
         )
 
 
 def written_silver(spark: SparkSession, lake: LakePaths, record_epoch: int | None = None) -> DataFrame:
     """Silver as written: one live run's rows (partition-pruned and pushed
     down to its ingest instant), or the whole table when ``record_epoch`` is None."""
-    silver = read_lake_table(spark, lake.silver, SILVER_COLUMNS)
+    silver = read_lake_table(spark, lake.silver, SILVER_COLUMNS, SILVER_SCHEMA)
     if record_epoch is None:
         return silver
     run = datetime.fromtimestamp(record_epoch, tz=timezone.utc).replace(tzinfo=None)
@@ -75,16 +80,40 @@ def publish_serving(
     that the last run wins per key, as hourly publishes one after another would.
     """
     silver = written_silver(spark, lake, record_epoch)
-    positions = gold_positions(silver)
+    return publish_runs(spark, silver, serving_root, round_digits=round_digits)
+
+
+def publish_runs(
+    spark: SparkSession, silver: DataFrame, serving_root: str, *, round_digits: int | None = None
+) -> dict[str, dict[str, int]]:
+    """Upsert the Gold of these Silver rows, the last run first, into the serving tables."""
     metrics = country_metrics(silver, keep_run=True, round_digits=round_digits)
     root = serving_root.rstrip("/")
-    out = {}
-    for name, df, order in [
-        ("gold_flight_positions", positions, ["ingested_at"]),
-        ("gold_country_metrics", metrics, ["ingested_at"]),
-    ]:
-        out[name] = upsert_serving_runs(spark, f"{root}/{name}", df, SERVING_CONTRACTS[name], order)
-    return out
+    return {
+        name: upsert_serving_runs(spark, f"{root}/{name}", df, SERVING_CONTRACTS[name], order)
+        for name, df, order in [
+            # documents of one run may share keys: the file decides
+            ("gold_flight_positions", silver, ["ingested_at", "source_file_path"]),
+            ("gold_country_metrics", metrics, ["ingested_at"]),
+        ]
+    }
+
+
+def quarantine_corrupt(docs: DataFrame, path: str) -> None:
+    """Write the documents that could not be parsed to ``path``, by run; a repeated run replaces its own."""
+    bad = corrupt_documents(docs).withColumnsRenamed({"_corrupt_record": "document", "record_timestamp_unix": RUN_COLUMN})
+    write_partitioned(bad, path, [RUN_COLUMN], "replace_partitions")
+
+
+def write_gold(
+    silver: DataFrame, positions_path: str | None, metrics_path: str | None, *, mode: str, round_digits: int | None = None
+) -> None:
+    """Write the Gold of any number of runs, each run to its own partitions."""
+    if positions_path:
+        write_runs(gold_positions(silver), positions_path, mode)
+    if metrics_path:
+        metrics = country_metrics(silver, keep_run=True, round_digits=round_digits)
+        write_runs(metrics, metrics_path, mode, GOLD_METRIC_COLUMNS)
 
 
 def run_medallion(
@@ -95,30 +124,43 @@ def run_medallion(
     record_epoch: int | None = None,
     zone: str = "UTC",
     multi_line: bool = False,
-    mode: str = "append",
+    rebuild: bool = False,
     round_digits: int | None = None,
 ) -> tuple[DataFrame, DataFrame]:
     """Bronze files -> Silver table -> both Gold tables.
 
-    Silver is written once and read back (restricted to the ingest partitions
-    of this run) before Gold is built, so decode, filters and de-duplication
-    run once however many Gold outputs and publishes follow, and the Gold jobs
-    start from a written table – a lost executor never recomputes the decode.
+    The run is the unit of work.  With ``record_epoch`` all files belong to that
+    live run: its rows replace what an earlier attempt of it wrote, in every
+    table, and other runs are left alone.  Without it the runs are those of the
+    path stamps, and each replaces itself; ``rebuild`` makes the tables anew, so
+    that runs which Bronze no longer yields go.
+
+    Silver is written once and read back (pruned to the run) before Gold is
+    built, so decode, filters and de-duplication run once however many outputs
+    follow.  Documents that cannot be parsed are counted on the way and, if there
+    are any, written to the quarantine table by a second pass.
     Returns the Gold DataFrames as read back from the lake.
     """
     docs = read_bronze(spark, bronze_path, multi_line=multi_line, zone=zone, record_epoch=record_epoch)
-    silver = bronze_to_silver(docs)
-    # a live run fills one date/hour partition: the dedup shuffle already sized
-    # the tasks, so no write-time rebalance (replay keeps it: many partitions)
-    many = record_epoch is None
-    write_partitioned(silver, lake.silver, mode=mode, rebalance=many)
+    seen = Observation()
+    silver = bronze_to_silver(docs.observe(seen, F.count_if(is_corrupt()).alias("corrupt")))
+    if record_epoch is not None:
+        write_run(silver, lake.silver, record_epoch)
+    else:
+        write_runs(silver, lake.silver, "overwrite" if rebuild else "replace_partitions")
+    if seen.get["corrupt"]:
+        quarantine_corrupt(docs, lake.quarantine)
     written = written_silver(spark, lake, record_epoch)
-    positions, metrics = silver_to_gold(written, round_digits=round_digits)
-    write_partitioned(positions, lake.gold_positions, mode=mode, rebalance=many)
-    write_partitioned(metrics, lake.gold_metrics, mode=mode, rebalance=many)
+    if record_epoch is not None:
+        positions, metrics = silver_to_gold(written, round_digits=round_digits)
+        write_run(positions, lake.gold_positions, record_epoch)
+        write_run(metrics, lake.gold_metrics, record_epoch)
+    else:
+        mode = "overwrite" if rebuild else "replace_partitions"
+        write_gold(written, lake.gold_positions, lake.gold_metrics, mode=mode, round_digits=round_digits)
     return (
-        read_lake_table(spark, lake.gold_positions, GOLD_POSITION_COLUMNS),
-        read_lake_table(spark, lake.gold_metrics, GOLD_METRIC_COLUMNS),
+        read_lake_table(spark, lake.gold_positions, GOLD_POSITION_COLUMNS, GOLD_POSITION_SCHEMA),
+        read_lake_table(spark, lake.gold_metrics, GOLD_METRIC_COLUMNS, GOLD_METRIC_SCHEMA),
     )
 
 
@@ -134,8 +176,9 @@ def replay_bronze(
     """Rebuild Silver and Gold from all of Bronze, idempotently.
 
     The run instant of every document comes from its path stamp (in local
-    ``zone``), so history lands in its original date/hour partitions, and
-    only the partitions present in Bronze are replaced.
+    ``zone``), so history lands in its original date/hour partitions.  The lake
+    tables then hold what this Bronze yields and nothing else: give it the whole
+    root.  A rebuild that dies leaves incomplete tables; repeat it.
     """
     return run_medallion(
         spark,
@@ -144,6 +187,6 @@ def replay_bronze(
         record_epoch=None,
         zone=zone,
         multi_line=multi_line,
-        mode="replace_partitions",
+        rebuild=True,
         round_digits=round_digits,
     )

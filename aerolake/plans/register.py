@@ -9,6 +9,7 @@ directory and return the table as read back.
 from __future__ import annotations
 
 from collections.abc import Callable
+from datetime import datetime, timezone
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -22,6 +23,7 @@ from aerolake.contracts import (
     POSITION_KEYS,
     SILVER_COLUMNS,
 )
+from aerolake.functions.time import epoch_to_ntz, ntz_to_epoch
 from aerolake.operators.gold import (
     busiest_countries,
     country_metrics,
@@ -38,10 +40,10 @@ from aerolake.operators.silver import (
     valid_positions,
 )
 from aerolake.operators.upsert import fold_latest, insert_ignore, merge_counts, upsert
-from aerolake.plans.pipeline import LakePaths, bronze_to_silver, replay_bronze
-from aerolake.sinks.lake import land_bronze, read_lake_table, write_partitioned
+from aerolake.plans.pipeline import LakePaths, bronze_to_silver, replay_bronze, run_medallion
+from aerolake.sinks.lake import land_bronze, land_texts, read_lake_table, write_partitioned
 from aerolake.sinks.serving import read_serving, upsert_serving_runs
-from aerolake.sources.bronze import decode_documents, read_bronze
+from aerolake.sources.bronze import bronze_partition, corrupt_documents, decode_documents, read_bronze
 from aerolake.sources.events_adapter import snapshot_documents
 from aerolake.storage import fresh_path
 from aerolake.streaming.incremental import incremental_silver as start_incremental
@@ -52,6 +54,12 @@ ROUND = 6
 # Bronze directories are written in this local zone by the replay queries.
 LOCAL_ZONE = "America/Recife"
 ORDER_KEYS = ["o_orderkey"]
+# The run instant of the live-run query, and the part size that spreads a run over files.
+LIVE_RUN = 1_716_084_000
+SMALL_PARTS = 50
+
+# Silver as read from landed files, whose paths differ from run to run of a query.
+STREAM_COLUMNS = [c for c in SILVER_COLUMNS if c != "source_file_path"]
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -120,6 +128,20 @@ def q_insert_ignore_result(spark, d):
     return insert_ignore(target, batch)
 
 
+def q_insert_ignore_duplicates(spark, d):
+    """Every batch row twice: it is inserted once."""
+    orders = _table(spark, d, "orders")
+    batch = orders.where((F.col("o_orderkey") % 2 == 0) | (F.col("o_orderkey") % 3 == 0))
+    return insert_ignore(orders.where(F.col("o_orderkey") % 3 != 0), batch.unionByName(batch))
+
+
+def q_metrics_two_runs(spark, d):
+    """Every snapshot ingested again half an hour later: runs of one hour share a group."""
+    docs = documents(spark, d)
+    again = docs.withColumn("record_timestamp_unix", F.col("record_timestamp_unix") + 1800)
+    return country_metrics(bronze_to_silver(docs.unionByName(again)), round_digits=ROUND)
+
+
 def q_contract_violations(spark, d):
     t = typed(spark, d)
     s = silver(spark, d)
@@ -146,6 +168,53 @@ def q_bronze_partition_scan(spark, d):
     )
 
 
+def q_bronze_hour_scan(spark, d):
+    """The states of the first run's hour, read with its partition predicate."""
+    root = _landed(spark, d, LOCAL_ZONE)
+    docs = documents(spark, d).agg(F.min("record_timestamp_unix")).first()[0]
+    instant = datetime.fromtimestamp(docs, tz=timezone.utc).replace(tzinfo=None)
+    hour = read_bronze(spark, root, zone=LOCAL_ZONE).where(bronze_partition(instant, LOCAL_ZONE))
+    return decode_documents(hour).drop("state_ordinal", "source_file_path")
+
+
+def _texts(spark, d) -> DataFrame:
+    """One JSON text an event, with a key the decode does not know; every 97th is cut off."""
+    su = F.unix_seconds("ts") if dict(_table(spark, d, "events").dtypes)["ts"] == "timestamp" else ntz_to_epoch("ts")
+    events = _table(spark, d, "events").select("event_id", (su - F.pmod(su, F.lit(3600))).alias("hu"))
+    whole = F.format_string('{"time": %d, "feed": "f%d", "states": [["c%d"]]}', "hu", "event_id", "event_id")
+    text = F.when(F.col("event_id") % 97 == 0, F.substring(whole, 1, 20)).otherwise(whole)
+    return events.select(text.alias("value"), (F.col("hu") + 7200).alias("record_timestamp_unix"))
+
+
+def q_bronze_land_texts(spark, d):
+    """Landed texts, read back as text."""
+    root = fresh_path(spark, "bronze-texts")
+    land_texts(_texts(spark, d), root)
+    back = spark.read.text(root)
+    return back.select("value", *[F.col(c).cast("int").alias(c) for c in ("year", "month", "day", "hour")])
+
+
+def q_bronze_corrupt_documents(spark, d):
+    """Documents for the quarantine, with the run they came in."""
+    root = fresh_path(spark, "bronze-texts")
+    land_texts(_texts(spark, d), root)
+    bad = corrupt_documents(read_bronze(spark, root))
+    return bad.select("record_timestamp_unix", F.col("_corrupt_record").alias("document"))
+
+
+def q_bronze_multiline_decode(spark, d):
+    """Snapshots as indented files, one document a file, decoded."""
+    root = fresh_path(spark, "bronze-indented")
+    text = F.to_json(F.struct("time", "states", "state_offset"), {"pretty": "true"})
+    at = epoch_to_ntz("record_timestamp_unix")
+    parts = [f(at) for f in (F.year, F.month, F.dayofmonth, F.hour, F.minute, F.second)]
+    stamp = F.format_string("flight_snapshot_%04d-%02d-%02d_%02d-%02d-%02d", *parts)
+    docs = documents(spark, d)
+    write_partitioned(docs.select(text.alias("value"), stamp.alias("snapshot")), root, ["snapshot"], fmt="text", max_records_per_file=1)
+    back = read_bronze(spark, root, multi_line=True)
+    return decode_documents(back).drop("state_ordinal", "source_file_path")
+
+
 def q_silver_partition_roundtrip(spark, d):
     path = fresh_path(spark, "silver")
     write_partitioned(silver(spark, d), path)
@@ -181,12 +250,61 @@ def q_bronze_replay(spark, d):
     return metrics
 
 
+def q_bronze_replay_silver(spark, d):
+    root = _landed(spark, d, LOCAL_ZONE)
+    lake = LakePaths.under(fresh_path(spark, "lake"))
+    replay_bronze(spark, root, lake, zone=LOCAL_ZONE)
+    return read_lake_table(spark, lake.silver, STREAM_COLUMNS)
+
+
+def q_bronze_replay_after_correction(spark, d):
+    """A replay of all of Bronze, then of a Bronze without every fifth hour's states: those runs go."""
+    lake = LakePaths.under(fresh_path(spark, "lake"))
+    replay_bronze(spark, _landed(spark, d, LOCAL_ZONE), lake, zone=LOCAL_ZONE)
+    emptied = (F.col("record_timestamp_unix") / 3600).cast("bigint") % 5 == 0
+    docs = documents(spark, d).withColumn("states", F.when(~emptied, F.col("states")))
+    corrected = fresh_path(spark, "bronze")
+    land_bronze(docs, corrected, zone=LOCAL_ZONE)
+    positions, _ = replay_bronze(spark, corrected, lake, zone=LOCAL_ZONE)
+    return positions
+
+
+def q_live_run_rerun(spark, d):
+    """All snapshots as one live run, run twice: the metrics of one run."""
+    root = _landed(spark, d, LOCAL_ZONE)
+    lake = LakePaths.under(fresh_path(spark, "lake"))
+    run_medallion(spark, root, lake, record_epoch=LIVE_RUN, round_digits=ROUND)
+    return run_medallion(spark, root, lake, record_epoch=LIVE_RUN, round_digits=ROUND)[1]
+
+
+def q_incremental_split_run(spark, d):
+    """Every run's files lie in two landings and the stream takes some files at a time."""
+    docs = snapshot_documents(_table(spark, d, "events"), SMALL_PARTS)
+    part = F.coalesce("state_offset", F.lit(0)) / SMALL_PARTS
+    root, out = fresh_path(spark, "bronze"), fresh_path(spark, "silver-stream")
+    land_bronze(docs.where(part % 2 == 0), root)
+    land_bronze(docs.where(part % 2 == 1), root)
+    start_incremental(spark, root, out, fresh_path(spark, "stream-ckpt"), max_files_per_trigger=600).awaitTermination()
+    return read_lake_table(spark, out, STREAM_COLUMNS)
+
+
+def q_incremental_late_run(spark, d):
+    """The runs of the first half of a month land after those of the second."""
+    docs = documents(spark, d)
+    late = F.dayofmonth(epoch_to_ntz("record_timestamp_unix")) < 16
+    root, out, ckpt = (fresh_path(spark, n) for n in ("bronze", "silver-stream", "stream-ckpt"))
+    for landed in (docs.where(~late), docs.where(late)):
+        land_bronze(landed, root)
+        start_incremental(spark, root, out, ckpt).awaitTermination()
+    return read_lake_table(spark, out, STREAM_COLUMNS)
+
+
 def q_incremental_silver(spark, d):
     root = _landed(spark, d, "UTC")
     out = fresh_path(spark, "silver-stream")
     query = start_incremental(spark, root, out, fresh_path(spark, "stream-ckpt"))
     query.awaitTermination()
-    return read_lake_table(spark, out, [c for c in SILVER_COLUMNS if c != "source_file_path"])
+    return read_lake_table(spark, out, STREAM_COLUMNS)
 
 
 def _publish_two_batches(spark, history, contract, order, path) -> DataFrame:
@@ -241,6 +359,17 @@ def queries() -> dict[str, Query]:
         "upsert_result": q_upsert_result,
         "upsert_counts": q_upsert_counts,
         "insert_ignore_result": q_insert_ignore_result,
+        "insert_ignore_duplicates": q_insert_ignore_duplicates,
+        "gold_country_metrics_two_runs": q_metrics_two_runs,
+        "bronze_hour_scan": q_bronze_hour_scan,
+        "bronze_land_texts": q_bronze_land_texts,
+        "bronze_corrupt_documents": q_bronze_corrupt_documents,
+        "bronze_multiline_decode": q_bronze_multiline_decode,
+        "bronze_replay_silver": q_bronze_replay_silver,
+        "bronze_replay_after_correction": q_bronze_replay_after_correction,
+        "live_run_rerun": q_live_run_rerun,
+        "incremental_split_run": q_incremental_split_run,
+        "incremental_late_run": q_incremental_late_run,
         "bronze_partition_scan": q_bronze_partition_scan,
         "silver_partition_roundtrip": q_silver_partition_roundtrip,
         "silver_append_rerun": q_silver_append_rerun,

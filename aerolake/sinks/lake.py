@@ -3,12 +3,18 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from datetime import datetime, timezone
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from aerolake.contracts import LAKE_PARTITION_COLUMNS
-from aerolake.functions.time import epoch_to_ntz
+from aerolake.functions.time import epoch_to_ntz, ntz_to_epoch
+
+# A run's rows lie in a directory of their own, which a repeated run replaces.
+RUN_COLUMN = "run"
+RUN_PARTITION_COLUMNS = [*LAKE_PARTITION_COLUMNS, RUN_COLUMN]
 
 WRITE_MODES = ("append", "replace_partitions", "overwrite")
 
@@ -53,22 +59,50 @@ def write_partitioned(
     return path
 
 
+def write_runs(
+    df: DataFrame, path: str, mode: str = "replace_partitions", columns: Sequence[str] | None = None
+) -> str:
+    """Write rows (``columns`` of them) of any number of runs (by ``ingested_at``), each run to its own partition.
+
+    ``replace_partitions`` replaces the runs that have rows in ``df``; ``overwrite``
+    replaces the whole table.
+    """
+    rows = df.select(*(columns or df.columns), ntz_to_epoch("ingested_at").alias(RUN_COLUMN))
+    return write_partitioned(rows, path, RUN_PARTITION_COLUMNS, mode)
+
+
+def run_directory(path: str, record_epoch: int) -> str:
+    at = datetime.fromtimestamp(record_epoch, tz=timezone.utc)
+    return f"{path}/snapshot_date={at:%Y-%m-%d}/snapshot_hour={at.hour}/{RUN_COLUMN}={record_epoch}"
+
+
+def write_run(df: DataFrame, path: str, record_epoch: int, *, max_records_per_file: int = 5_000_000) -> str:
+    """Write the rows of one run, in place of what that run wrote before.
+
+    The tasks are those of the shuffle the rows come from, sized by AQE.  A run
+    without rows leaves an empty file, so nothing of an earlier attempt stays.
+    """
+    rows = df.drop(*LAKE_PARTITION_COLUMNS).write.mode("overwrite").option("partitionOverwriteMode", "static")
+    rows.option("maxRecordsPerFile", max_records_per_file).parquet(run_directory(path, record_epoch))
+    return path
+
+
 def read_lake_table(
-    spark: SparkSession, path: str, columns: Sequence[str] | None = None
+    spark: SparkSession,
+    path: str,
+    columns: Sequence[str] | None = None,
+    schema: StructType | None = None,
 ) -> DataFrame:
-    """Read a partitioned lake table; partition columns come back as DATE / INT."""
-    df = spark.read.parquet(path)
-    return df.select(*columns) if columns is not None else df
+    """Read a partitioned lake table; partition columns come back as DATE / INT.
 
+    With ``schema`` nothing is inferred, so a table without any file is an empty one.
+    """
+    df = spark.read.parquet(path) if schema is None else spark.read.schema(schema).parquet(path)
+    return df.select(*columns) if columns is not None else df
 
-def land_bronze(docs: DataFrame, root: str, zone: str = "UTC", mode: str = "append") -> str:
-    """Land snapshot documents as JSON Lines under
-    ``year=YYYY/month=MM/day=DD/hour=HH/snapshot=flight_snapshot_<stamp>/``.
 
-    Directory date/hour and the stamp are the run instant in local ``zone``
-    (the stamp is what a replay reads the run instant back from).  One line
-    per document keeps the files splittable; ``time`` is omitted when unknown.
-    """
+def _bronze_directories(zone: str) -> list[Column]:
+    """Values of the Bronze directories: the run instant in local ``zone``, and its stamp."""
     ingested = epoch_to_ntz("record_timestamp_unix")
     local = ingested if zone == "UTC" else F.convert_timezone(F.lit("UTC"), F.lit(zone), ingested)
     # field extraction is zone-free on TIMESTAMP_NTZ (date_format is not)
@@ -76,16 +110,37 @@ def land_bronze(docs: DataFrame, root: str, zone: str = "UTC", mode: str = "appe
     stamp = F.format_string(
         "flight_snapshot_%04d-%02d-%02d_%02d-%02d-%02d", y, mo, d, h, F.minute(local), F.second(local)
     )
-    out = docs.select(
-        "time",
-        "states",
-        "state_offset",
+    return [
         F.format_string("%04d", y).alias("year"),
         F.format_string("%02d", mo).alias("month"),
         F.format_string("%02d", d).alias("day"),
         F.format_string("%02d", h).alias("hour"),
         stamp.alias("snapshot"),
-    )
-    return write_partitioned(
-        out, root, ["year", "month", "day", "hour", "snapshot"], mode, fmt="json"
-    )
+    ]
+
+
+BRONZE_DIRECTORIES = ["year", "month", "day", "hour", "snapshot"]
+
+
+def land_texts(texts: DataFrame, root: str, zone: str = "UTC", mode: str = "append", *, text_col: str = "value") -> str:
+    """Land document texts as they came, one a line, in the directories of ``land_bronze``.
+
+    All keys of a document and documents that cannot be parsed are kept.  Only line
+    breaks, which JSON allows between tokens alone, become spaces.  Null texts are not landed.
+    """
+    line = F.translate(F.col(text_col), "\r\n", "  ").alias("value")
+    out = texts.where(F.col(text_col).isNotNull()).select(line, *_bronze_directories(zone))
+    return write_partitioned(out, root, BRONZE_DIRECTORIES, mode, fmt="text")
+
+
+def land_bronze(docs: DataFrame, root: str, zone: str = "UTC", mode: str = "append") -> str:
+    """Land snapshot documents as JSON Lines under
+    ``year=YYYY/month=MM/day=DD/hour=HH/snapshot=flight_snapshot_<stamp>/``.
+
+    Directory date/hour and the stamp are the run instant in local ``zone``
+    (the stamp is what a replay reads the run instant back from).  One line
+    per document keeps the files splittable; ``time`` is omitted when unknown.
+    Documents at hand as text are landed unchanged by ``land_texts`` instead.
+    """
+    out = docs.select("time", "states", "state_offset", *_bronze_directories(zone))
+    return write_partitioned(out, root, BRONZE_DIRECTORIES, mode, fmt="json")

@@ -6,10 +6,11 @@ exactly one partition and an hourly batch touches only the few partitions of
 its keys.  Only those partitions are read, merged and replaced; the rest of a
 very large table is never shuffled or rewritten.
 
-The merge result is first written to a staging location and then swapped in
-with dynamic partition overwrite, because Spark cannot overwrite a path that
-the same job reads.  A retry after a failure redoes both steps from the same
-inputs, so the publish is idempotent.
+The merge result is first written to a hidden folder of the table and then
+swapped in with dynamic partition overwrite.  The swap replaces partitions one
+after another; if it dies half way, the complete staged result is still there
+and the next upsert swaps it in before anything else.  Until then readers may
+miss partitions of the unfinished upsert.
 """
 
 from __future__ import annotations
@@ -21,12 +22,13 @@ from pyspark.sql import functions as F
 from pyspark.sql.utils import AnalysisException
 
 from aerolake.contracts import TableContract
-from aerolake.operators.quality import assert_unique_keys
-from aerolake.operators.upsert import merge_counts, upsert
+from aerolake.operators.quality import enforce_contract
+from aerolake.operators.upsert import fold_latest, merge_counts, upsert
 from aerolake.sinks.lake import write_partitioned
-from aerolake.storage import fresh_path, shared_root
+from aerolake.storage import discard, exists, fresh_path
 
 KEY_DATE = "key_date"
+STAGED = "_staged_merge"  # hidden from Spark's readers by its underscore
 
 
 def key_date(contract: TableContract) -> Column:
@@ -47,6 +49,14 @@ def read_serving(spark: SparkSession, path: str, contract: TableContract) -> Dat
     return table.select(*contract.columns, KEY_DATE)
 
 
+def finish_swap(spark: SparkSession, path: str) -> None:
+    """Swap in a staged result that an earlier upsert left, if it is complete."""
+    staged = f"{path.rstrip('/')}/{STAGED}"
+    if exists(spark, f"{staged}/_SUCCESS"):
+        write_partitioned(spark.read.parquet(staged), path, [KEY_DATE], mode="replace_partitions")
+    discard(spark, staged)
+
+
 def upsert_serving(
     spark: SparkSession,
     path: str,
@@ -54,23 +64,38 @@ def upsert_serving(
     contract: TableContract,
     *,
     newer_than: str | None = None,
+    keys_unique: bool = False,
 ) -> dict[str, int]:
     """Upsert ``batch`` into the serving table at ``path``; returns the counts.
 
     New keys are inserted, existing keys take every non-key column from the
     batch (only if at least as new by ``newer_than``, when given).  Raises
-    ``DuplicateKeyError`` before writing if the batch repeats a key.
+    ``ContractError`` or ``DuplicateKeyError`` before writing if the batch breaks the
+    contract; ``keys_unique`` says that the batch cannot repeat a key.
     """
-    shared_root(spark)  # checkpoint directory on shared storage
-    # The batch feeds several actions (key check, partition list, counts,
-    # merge): compute it once and cut its lineage with a reliable checkpoint.
-    rows = batch.select(*contract.columns).withColumn(KEY_DATE, key_date(contract)).checkpoint()
-    assert_unique_keys(rows, contract.keys)
+    # the batch feeds the checks, the counts and the merge: computed once
+    scratch = fresh_path(spark, "serving-batch")
+    batch.select(*contract.columns).withColumn(KEY_DATE, key_date(contract)).write.parquet(scratch)
+    rows = spark.read.parquet(scratch)
+    try:
+        enforce_contract(rows, contract, keys_unique=keys_unique)
+        finish_swap(spark, path)
+        counts = _merge(spark, path, rows, contract, newer_than)
+    finally:
+        discard(spark, scratch)
+    return {k: int(v) for k, v in counts.items()}
+
+
+def _merge(
+    spark: SparkSession, path: str, rows: DataFrame, contract: TableContract, newer_than: str | None
+) -> dict[str, int]:
     target = read_serving(spark, path, contract)
+    n_rows = rows.count()
     if target is None:
-        n = rows.count()
         write_partitioned(rows, path, [KEY_DATE], mode="replace_partitions")
-        return {"inserted_count": n, "updated_count": 0}
+        return {"inserted_count": n_rows, "updated_count": 0}
+    if not n_rows:
+        return {"inserted_count": 0, "updated_count": 0}
     # only the partitions whose dates the batch touches; the dates come from feed
     # values, so they stay a table (Spark prunes the partitions by it at run time)
     affected = target.join(rows.select(KEY_DATE).distinct(), KEY_DATE, "left_semi")
@@ -78,17 +103,15 @@ def upsert_serving(
     if newer_than is not None:
         counts = merge_counts(affected, rows, keys, newer_than=newer_than).first().asDict()
     merged = upsert(affected, rows, keys, [*contract.columns, KEY_DATE], newer_than=newer_than)
-    staging = fresh_path(spark, "serving-staging")
-    write_partitioned(merged, staging, [KEY_DATE], mode="overwrite")
+    staged = f"{path.rstrip('/')}/{STAGED}"
+    write_partitioned(merged, staged, [KEY_DATE], mode="overwrite")
     if newer_than is None:
         # merged = (affected - updated) + batch, so the counts follow from three
-        # row counts (Parquet footers for the two written tables) - no extra join
-        n_merged = spark.read.parquet(staging).count()
-        n_affected = affected.count()
-        inserted = n_merged - n_affected
-        counts = {"inserted_count": inserted, "updated_count": rows.count() - inserted}
-    write_partitioned(spark.read.parquet(staging), path, [KEY_DATE], mode="replace_partitions")
-    return {k: int(v) for k, v in counts.items()}
+        # row counts (Parquet footers for the written tables) - no extra join
+        inserted = spark.read.parquet(staged).count() - affected.count()
+        counts = {"inserted_count": inserted, "updated_count": n_rows - inserted}
+    finish_swap(spark, path)
+    return counts
 
 
 def upsert_serving_runs(
@@ -100,10 +123,8 @@ def upsert_serving_runs(
 ) -> dict[str, int]:
     """Publish several runs at once: the last run (by ``order``) wins per key,
     exactly as if the runs had been upserted one after another."""
-    from aerolake.operators.upsert import fold_latest
-
     latest = fold_latest(history, contract.keys, order, contract.columns)
-    return upsert_serving(spark, path, latest, contract)
+    return upsert_serving(spark, path, latest, contract, keys_unique=True)
 
 
 def register_serving_views(

@@ -34,7 +34,7 @@ def read_bronze(
     spark: SparkSession,
     path: str,
     *,
-    multi_line: bool = True,
+    multi_line: bool = False,
     zone: str = "UTC",
     record_epoch: int | None = None,
 ) -> DataFrame:
@@ -43,10 +43,11 @@ def read_bronze(
     Hive-style ``year=/month=/day=/hour=`` directories become INT columns, so a
     ``where`` on them is a partition filter.  The run instant is ``record_epoch``
     when given (a live run), else it is parsed from the path stamp in ``zone``
-    (replay).  Malformed files land in ``_corrupt_record`` and yield no states.
+    (replay); a path without a stamp then fails the job.  Malformed documents land
+    in ``_corrupt_record`` and yield no states (see ``corrupt_documents``).
 
     ``multi_line=True`` reads one (indented) document per file, one task per
-    file; ``False`` reads JSON Lines, which Spark splits across tasks.
+    file; ``False`` reads JSON Lines, as landed here, which Spark splits across tasks.
     """
     raw = (
         spark.read.schema(BRONZE_READ_SCHEMA)
@@ -57,7 +58,7 @@ def read_bronze(
     )
     fp = F.col("_metadata.file_path")
     if record_epoch is None:
-        run = ntz_to_epoch(instant_from_path(fp, zone))
+        run = stamped_run(fp, zone)
     else:
         run = F.lit(record_epoch).cast("bigint")
     return raw.select(
@@ -67,6 +68,14 @@ def read_bronze(
     )
 
 
+def stamped_run(path: Column, zone: str = "UTC") -> Column:
+    """Run instant (epoch s) of a path's stamp; a path without one fails the job, as
+    rows without a run could be neither partitioned nor told apart."""
+    missing = F.raise_error(F.concat(F.lit("no run instant in the path "), path)).cast("bigint")
+    run = ntz_to_epoch(instant_from_path(path, zone))
+    return F.when(run.isNull(), missing).otherwise(run)
+
+
 def parse_documents(
     df: DataFrame,
     text_col: str = "value",
@@ -103,17 +112,20 @@ def bronze_partition(instant_utc: datetime, zone: str = "UTC") -> Column:
 
 
 def corrupt_documents(docs: DataFrame) -> DataFrame:
-    """Files that could not be parsed, for quarantine/audit.
+    """Documents that could not be parsed, with file and run, for quarantine.
 
     (``states`` is referenced too: Spark refuses a JSON scan whose only
     column is the corrupt-record column.)
     """
-    bad = F.col("_corrupt_record").isNotNull() & F.col("states").isNull()
-    return docs.where(bad).select(
-        "source_file_path", "_corrupt_record"
+    return docs.where(is_corrupt()).select(
+        "source_file_path", "record_timestamp_unix", "_corrupt_record"
     )
 
 
+def is_corrupt() -> Column:
+    return F.col("_corrupt_record").isNotNull() & F.col("states").isNull()
+
+
 def _is_list(value: Column) -> Column:
     # An entry is used only if it is a JSON array (an empty one included).
     return F.try_variant_get(value, "$", "array<variant>").isNotNull()

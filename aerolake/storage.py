@@ -1,8 +1,9 @@
 """Shared scratch locations for written intermediates.
 
 Written tables and stream checkpoints go under the cluster's shared
-``spark.checkpoint.dir``.  Only when the session has none (local tests) is a
-private directory created and registered as the checkpoint directory.
+``spark.checkpoint.dir``.  Only when the session has none and runs in one process
+(``local`` master, as in tests) is a private directory created and registered as the
+checkpoint directory; on a cluster a missing setting raises.
 """
 
 from __future__ import annotations
@@ -25,7 +26,7 @@ def shared_root(spark: SparkSession) -> str:
     except Exception:  # Spark Connect: no SparkContext; the server owns the setting
         if root:
             return root.rstrip("/")
-        return tempfile.mkdtemp(prefix="aerolake-ckpt-")
+        raise ValueError("set spark.checkpoint.dir to a folder that the server and its executors share") from None
     root = root or sc.getConf().get("spark.checkpoint.dir", None)
     current = sc.getCheckpointDir()
     if root:
@@ -35,6 +36,8 @@ def shared_root(spark: SparkSession) -> str:
     if current:
         # setCheckpointDir appends a per-application sub-directory; use its parent
         return os.path.dirname(current.rstrip("/"))
+    if not sc.master.startswith("local") or sc.master.startswith("local-cluster"):
+        raise ValueError("set spark.checkpoint.dir to a folder that the driver and the executors share")
     local = tempfile.mkdtemp(prefix="aerolake-ckpt-")
     sc.setCheckpointDir(local)
     return local
@@ -43,3 +46,20 @@ def shared_root(spark: SparkSession) -> str:
 def fresh_path(spark: SparkSession, name: str) -> str:
     """A new, unused location ``<shared root>/aerolake/<name>-<uuid>``."""
     return f"{shared_root(spark)}/aerolake/{name}-{uuid.uuid4().hex[:12]}"
+
+
+def _file_system(spark: SparkSession, path: str):
+    """The Hadoop file system of ``path`` and the path object."""
+    target = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), target
+
+
+def exists(spark: SparkSession, path: str) -> bool:
+    system, target = _file_system(spark, path)
+    return system.exists(target)
+
+
+def discard(spark: SparkSession, path: str) -> None:
+    """Remove a written intermediate that nothing reads any more."""
+    system, target = _file_system(spark, path)
+    system.delete(target, True)

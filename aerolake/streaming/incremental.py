@@ -2,48 +2,33 @@
 
 A JSON file stream over the Bronze root with a checkpoint replaces the hourly
 scheduler: ``availableNow`` processes everything new and stops, so a rerun
-with nothing new adds nothing.  Each micro-batch goes through the same batch
-operators (``foreachBatch``), so the de-duplication keeps its fixed tie-break;
-its scope is the run (ingest instant), and a run's files are landed together
-and picked up in the same micro-batch.
-
-``dedup="watermark"`` instead de-duplicates in the stream itself with
-``dropDuplicatesWithinWatermark`` on the run instant (state is dropped once the
-watermark passes): duplicates split across micro-batches are caught too, but
-the *first arrival* survives, not the newest contact.
-
-Each micro-batch writes into its own ``stream_batch=<id>`` sub-partitions with
-dynamic partition overwrite, so a batch re-executed after a failure replaces
-its own partial output instead of appending twice (exactly-once output).
+with nothing new adds nothing.
+
+The run is the unit of work.  A micro-batch only tells which runs have new
+files; those runs are recomputed whole, from all their files in Bronze, by the
+batch operators, and replace their own partitions in Silver and Gold.  So a run
+whose files are spread over micro-batches, a run that lands late and a
+micro-batch that is executed again all end in what one batch run gives, with no
+watermark that could drop anything and no state to keep.
+
+Cost: a run with files in k micro-batches is read k times; land a run's files
+together.  The re-read is pruned to the Bronze hours between the first and the
+last touched run, and joined on the touched runs, which stay a table.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from aerolake.contracts import (
-    GOLD_METRIC_COLUMNS,
-    LAKE_PARTITION_COLUMNS,
-    SERVING_CONTRACTS,
-    SILVER_COLUMNS,
-)
-from aerolake.functions.time import instant_from_path, ntz_to_epoch
-from aerolake.operators.silver import (
-    DEDUP_KEYS,
-    RUN_COLUMNS,
-    silver_projection,
-    typed_positions,
-    valid_positions,
-)
-from aerolake.operators.gold import country_metrics, gold_positions
-from aerolake.plans.pipeline import bronze_to_silver
-from aerolake.sinks.lake import write_partitioned
-from aerolake.sinks.serving import upsert_serving_runs
-from aerolake.sources.bronze import BRONZE_READ_SCHEMA, decode_documents
-
-STREAM_BATCH_COLUMN = "stream_batch"
+from aerolake.contracts import BRONZE_PARTITION_COLUMNS, SILVER_COLUMNS, SILVER_SCHEMA
+from aerolake.plans.pipeline import bronze_to_silver, publish_runs, quarantine_corrupt, write_gold
+from aerolake.sinks.lake import read_lake_table, write_runs
+from aerolake.sources.bronze import BRONZE_READ_SCHEMA, is_corrupt, read_bronze, stamped_run
+from aerolake.storage import discard, exists, fresh_path
+
+_HOUR_DIRECTORY = r"/year=(\d+)/month=(\d+)/day=(\d+)/hour=(\d+)/"
 
 
 def bronze_stream(
@@ -73,67 +58,53 @@ def bronze_stream(
         reader = reader.option("cleanSource", "archive").option("sourceArchiveDir", archive_dir)
     raw = reader.json(bronze_root)
     fp = F.col("_metadata.file_path")
-    return raw.select(
-        "time",
-        "states",
-        "state_offset",
-        fp.alias("source_file_path"),
-        ntz_to_epoch(instant_from_path(fp, zone)).alias("record_timestamp_unix"),
-    )
+    return raw.select("*", fp.alias("source_file_path"), stamped_run(fp, zone).alias("record_timestamp_unix"))
 
 
-def write_silver_batch(batch: DataFrame, batch_id: int, silver_path: str, *, decoded: bool = False) -> None:
-    """Write one micro-batch to Silver under its own ``stream_batch`` partitions.
+def _hour_key(columns: list[Column]) -> Column:
+    """Year, month, day and hour as one number, in order of time."""
+    year, month, day, hour = (c.cast("bigint") for c in columns)
+    return ((year * 100 + month) * 100 + day) * 100 + hour
 
-    Re-running the same ``batch_id`` (a retry after a failure) replaces that
-    batch's earlier output, so output is exactly-once.  ``decoded`` means the
-    rows are already validated and de-duplicated Silver rows.
-    """
-    silver = silver_projection(batch) if decoded else bronze_to_silver(batch)
-    write_partitioned(
-        silver.withColumn(STREAM_BATCH_COLUMN, F.lit(batch_id)),
-        silver_path,
-        [*LAKE_PARTITION_COLUMNS, STREAM_BATCH_COLUMN],
-        mode="replace_partitions",
-    )
+
+def touched_runs(batch: DataFrame, path: str) -> DataFrame:
+    """Write the runs (and their Bronze hours, if the layout has them) of a micro-batch's files."""
+    part = [F.regexp_extract("source_file_path", _HOUR_DIRECTORY, i) for i in range(1, 5)]
+    hour = F.when(part[0] != "", _hour_key([F.when(p != "", p) for p in part]))
+    batch.select("record_timestamp_unix", hour.alias("hour_key")).distinct().write.parquet(path)
+    return batch.sparkSession.read.parquet(path)
 
 
-def publish_batch_gold(
+def whole_runs(
     spark: SparkSession,
-    silver_path: str,
-    batch_id: int,
+    touched: DataFrame,
+    bronze_root: str,
     *,
-    gold_positions_path: str | None = None,
-    gold_metrics_path: str | None = None,
-    serving_root: str | None = None,
-    round_digits: int | None = None,
-) -> None:
-    """Gold and serving publish of one micro-batch, from the Silver it just wrote.
+    zone: str = "UTC",
+    multi_line: bool = False,
+    archive_dir: str | None = None,
+) -> DataFrame:
+    """All documents of the touched runs, also those of earlier micro-batches.
 
-    Reads back only that batch's ``stream_batch`` partitions (pruned), so the
-    decode is never recomputed.  Gold appends are idempotent per batch like
-    Silver; the serving upsert is idempotent by nature (a retried batch
-    rewrites the same values).  Runs within the batch are folded, last run wins.
+    The root is listed before the archive: a file that moves in between fails the
+    read, and the micro-batch is repeated, but it is never missed.
     """
-    written = (
-        spark.read.parquet(silver_path)
-        .where(F.col(STREAM_BATCH_COLUMN) == batch_id)
-        .select(*SILVER_COLUMNS)
-    )
-    positions = gold_positions(written)
-    metrics = country_metrics(written, keep_run=True, round_digits=round_digits)
-    parts = [*LAKE_PARTITION_COLUMNS, STREAM_BATCH_COLUMN]
-    tag = F.lit(batch_id).alias(STREAM_BATCH_COLUMN)
-    if gold_positions_path:
-        write_partitioned(positions.select("*", tag), gold_positions_path, parts, "replace_partitions")
-    if gold_metrics_path:
-        write_partitioned(
-            metrics.select(*GOLD_METRIC_COLUMNS, tag), gold_metrics_path, parts, "replace_partitions"
-        )
-    if serving_root:
-        root = serving_root.rstrip("/")
-        for name, df in (("gold_flight_positions", positions), ("gold_country_metrics", metrics)):
-            upsert_serving_runs(spark, f"{root}/{name}", df, SERVING_CONTRACTS[name], ["ingested_at"])
+    span = touched.agg(
+        F.min("hour_key").alias("first"), F.max("hour_key").alias("last"), F.count_if(F.col("hour_key").isNull()).alias("flat")
+    ).first()
+    runs = touched.select("record_timestamp_unix").distinct()
+    roots = [bronze_root]
+    if archive_dir is not None and exists(spark, archive_dir):
+        roots.append(archive_dir)
+    found = None
+    for root in roots:
+        docs = read_bronze(spark, root, multi_line=multi_line, zone=zone)
+        if not span["flat"] and set(BRONZE_PARTITION_COLUMNS) <= set(docs.columns):
+            hour = _hour_key([F.col(c) for c in BRONZE_PARTITION_COLUMNS])
+            docs = docs.where(hour.between(span["first"], span["last"]))
+        docs = docs.select("time", "states", "state_offset", "_corrupt_record", "source_file_path", "record_timestamp_unix")
+        found = docs if found is None else found.unionByName(docs)
+    return found.join(runs, "record_timestamp_unix", "left_semi")
 
 
 def incremental_silver(
@@ -146,52 +117,57 @@ def incremental_silver(
     multi_line: bool = False,
     available_now: bool = True,
     processing_time: str | None = None,
-    dedup: str = "batch",
-    watermark: str = "2 hours",
     max_files_per_trigger: int | None = None,
     archive_dir: str | None = None,
     gold_positions_path: str | None = None,
     gold_metrics_path: str | None = None,
     serving_root: str | None = None,
+    quarantine_path: str | None = None,
     round_digits: int | None = None,
 ) -> StreamingQuery:
     """Start the Bronze -> Silver (-> Gold -> serving) stream; returns the running query.
 
     With Gold paths and/or ``serving_root`` each micro-batch continues like the
-    hourly batch job: Gold from the Silver just written, then the upsert.
-
-    ``dedup="batch"`` (default) applies the batch de-duplication with its fixed
-    tie-break to each micro-batch; ``"watermark"`` de-duplicates across
-    micro-batches with bounded state (first arrival wins).
+    hourly batch job: Gold of its runs from the Silver just written, then the upsert
+    (a run that lands late is published late, over what newer runs published for
+    the same keys, as separate hourly jobs would).  Documents that cannot be parsed go
+    to ``quarantine_path`` (by run); without one they fail the micro-batch.
     """
-    if dedup not in ("batch", "watermark"):
-        raise ValueError("dedup must be 'batch' or 'watermark'")
     docs = bronze_stream(
         spark, bronze_root, zone=zone, multi_line=multi_line,
         max_files_per_trigger=max_files_per_trigger, archive_dir=archive_dir,
     )
-    if dedup == "watermark":
-        valid = valid_positions(typed_positions(decode_documents(docs)))
-        # a watermark needs a TIMESTAMP column: the run instant
-        event_time = F.timestamp_seconds(ntz_to_epoch(F.col("ingested_at")))
-        docs = (
-            valid.withColumn("_run_time", event_time)
-            .withWatermark("_run_time", watermark)
-            .dropDuplicatesWithinWatermark([*RUN_COLUMNS, *DEDUP_KEYS])
-        )
-
-    def write_batch(batch: DataFrame, batch_id: int) -> None:
-        write_silver_batch(batch, batch_id, silver_path, decoded=dedup == "watermark")
+
+    def process(batch: DataFrame, batch_id: int) -> None:
+        session = batch.sparkSession
+        scratch = fresh_path(session, "touched-runs")
+        touched = touched_runs(batch, scratch)
+        whole = whole_runs(session, touched, bronze_root, zone=zone, multi_line=multi_line, archive_dir=archive_dir)
+        if batch.where(is_corrupt()).limit(1).count():
+            if quarantine_path is None:
+                raise ValueError("Bronze documents that cannot be parsed, and no quarantine_path")
+            quarantine_corrupt(whole, quarantine_path)
+        write_runs(bronze_to_silver(whole), silver_path)
         if gold_positions_path or gold_metrics_path or serving_root:
-            publish_batch_gold(
-                batch.sparkSession, silver_path, batch_id,
-                gold_positions_path=gold_positions_path, gold_metrics_path=gold_metrics_path,
-                serving_root=serving_root, round_digits=round_digits,
-            )
+            written = silver_of(session, silver_path, touched.select(F.col("record_timestamp_unix").alias("_run")).distinct())
+            write_gold(written, gold_positions_path, gold_metrics_path, mode="replace_partitions", round_digits=round_digits)
+            if serving_root:
+                publish_runs(session, written, serving_root, round_digits=round_digits)
+        discard(session, scratch)
 
-    writer = docs.writeStream.foreachBatch(write_batch).option("checkpointLocation", checkpoint)
+    writer = docs.writeStream.foreachBatch(process).option("checkpointLocation", checkpoint)
     if available_now:
         writer = writer.trigger(availableNow=True)
     elif processing_time is not None:
         writer = writer.trigger(processingTime=processing_time)
     return writer.start()
+
+
+def silver_of(spark: SparkSession, silver_path: str, runs: DataFrame) -> DataFrame:
+    """Silver as written of the given runs (``_run``), pruned to the span of their partitions."""
+    span = runs.agg(F.min("_run").alias("first"), F.max("_run").alias("last")).first()
+    silver = read_lake_table(spark, silver_path, schema=SILVER_SCHEMA)
+    if span["first"] is None:
+        return silver.select(*SILVER_COLUMNS).limit(0)
+    silver = silver.where(F.col("run").between(span["first"], span["last"]))
+    return silver.join(runs, F.col("run") == F.col("_run"), "left_semi").select(*SILVER_COLUMNS)

@@ -60,3 +60,10 @@ def test_topk_and_counts(spark):
     assert len(busiest_countries(country_metrics(s), 20).collect()) == 1
     counts = {r.table_name: r.row_count for r in row_counts({"a": s, "b": country_metrics(s)}).collect()}
     assert counts == {"a": 30, "b": 1}
+
+
+def test_two_runs_of_an_hour_share_a_group(spark):
+    docs = documents(spark, [doc([state(code="a")])]).unionByName(documents(spark, [doc([state(code="b")])], ingest=INGEST + 60))
+    s = bronze_to_silver(docs)
+    assert [r.total_flights for r in country_metrics(s).collect()] == [2]
+    assert [r.total_flights for r in country_metrics(s, keep_run=True).collect()] == [1, 1]

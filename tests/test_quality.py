@@ -26,6 +26,6 @@ def test_violations_before_and_after_filters(spark):
 
 def test_ddl_text():
     ddl = GOLD_POSITIONS.ddl()
-    assert "aircraft_code VARCHAR(10) NOT NULL" in ddl
-    assert "PRIMARY KEY (aircraft_code, position_timestamp)" in ddl
-    assert "snapshot_hour INTEGER NOT NULL" in GOLD_METRICS.ddl()
+    assert '"aircraft_code" VARCHAR(10) NOT NULL' in ddl
+    assert 'PRIMARY KEY ("aircraft_code", "position_timestamp")' in ddl
+    assert '"snapshot_hour" INTEGER NOT NULL' in GOLD_METRICS.ddl()

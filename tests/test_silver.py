@@ -101,3 +101,14 @@ def test_hot_key_third_of_rows(spark):
     r = silver.where("aircraft_code = 'hot'").collect()
     # newest contact is HOUR+49 (i % 50 == 49); lowest ordinal among those is i = 49 (doc 1, pos 8)
     assert len(r) == 1 and r[0].velocity == 49.0
+
+
+def test_documents_of_one_run_keep_their_rows(spark):
+    from aerolake.plans.pipeline import bronze_to_silver
+
+    one, two = (documents(spark, [doc([state(code="a")])], source=s) for s in ("f1.json", "f2.json"))
+    assert bronze_to_silver(one.unionByName(two)).count() == 2
+    # parts of one landed snapshot are one document
+    parts = [documents(spark, [doc([state(code="a", vel=v)])], source=f"/x/snapshot=s/{v}.json") for v in (1.0, 2.0)]
+    kept = bronze_to_silver(parts[1].unionByName(parts[0])).collect()
+    assert [r.velocity for r in kept] == [1.0]

@@ -176,3 +176,35 @@ def test_live_run_reads_back_only_its_partition(spark, scratch):
     assert "PushedFilters: [IsNotNull(ingested_at), EqualTo(ingested_at" in text
     assert written_silver(spark, lake, 1716084000).count() == 1
     assert written_silver(spark, lake, 1716087600).count() == 0
+
+
+def test_live_run_again_replaces_its_rows(spark, scratch, tmp_path):
+    f = tmp_path / "snapshot.json"
+    lake = LakePaths.under(scratch("lake"))
+    for codes in ("abc", "ab"):
+        f.write_text(json.dumps({"time": HOUR, "states": [state(code=c) for c in codes]}, indent=4))
+        pos, met = run_medallion(spark, str(f), lake, record_epoch=1716084000, multi_line=True)
+    assert sorted(r.aircraft_code for r in pos.collect()) == ["a", "b"]
+    assert [r.total_flights for r in met.collect()] == [2]
+    # the snapshot turns out empty: nothing of the run stays
+    f.write_text(json.dumps({"time": HOUR, "states": []}, indent=4))
+    pos, met = run_medallion(spark, str(f), lake, record_epoch=1716084000, multi_line=True)
+    assert pos.count() == met.count() == 0
+
+
+def test_empty_snapshot_on_a_fresh_lake(spark, scratch, tmp_path):
+    f = tmp_path / "flight_snapshot_2024-05-19_02-00-00.json"
+    f.write_text(json.dumps({"time": HOUR, "states": []}))
+    pos, met = run_medallion(spark, str(f), LakePaths.under(scratch("lake")), record_epoch=1716084000)
+    assert (pos.count(), met.count()) == (0, 0)
+    pos, met = replay_bronze(spark, str(tmp_path), LakePaths.under(scratch("lake")))
+    assert (pos.count(), met.count()) == (0, 0)
+
+
+def test_corrupt_documents_of_a_run_are_quarantined(spark, scratch, tmp_path):
+    (tmp_path / "a.json").write_text(json.dumps({"time": HOUR, "states": [state(code="a")]}, indent=4))
+    (tmp_path / "b.json").write_text('{"time": 1, "states": [[')
+    lake = LakePaths.under(scratch("lake"))
+    pos, _ = run_medallion(spark, str(tmp_path), lake, record_epoch=1716084000, multi_line=True)
+    assert pos.count() == 1
+    assert [r.document for r in spark.read.parquet(lake.quarantine).collect()] == ['{"time": 1, "states": [[']

@@ -26,21 +26,6 @@ def test_available_now_processes_only_new_files(spark, scratch):
     assert read_lake_table(spark, out).count() == expected.count() + 1
 
 
-def test_watermark_dedup_keeps_one_row_per_run_key(spark, scratch):
-    from pyspark.sql import functions as F
-
-    root, out, ckpt = scratch("bronze"), scratch("silver"), scratch("ckpt")
-    docs = R.documents(spark, SF_SMALL)
-    land_bronze(docs, root)
-    incremental_silver(spark, root, out, ckpt, dedup="watermark").awaitTermination()
-    got = read_lake_table(spark, out)
-    keys = ["ingested_at", "aircraft_code", "position_timestamp"]
-    expected = bronze_to_silver(docs)
-    assert got.count() == expected.count()
-    assert sorted(got.select(*keys).collect()) == sorted(expected.select(*keys).collect())
-    assert got.groupBy(*keys).count().where(F.col("count") > 1).count() == 0
-
-
 def test_late_run_is_accepted_in_batch_mode(spark, scratch):
     root, out, ckpt = scratch("bronze"), scratch("silver"), scratch("ckpt")
     land_bronze(documents(spark, [doc([state(code="new")])], ingest=HOUR + 86400), root)
@@ -65,16 +50,61 @@ def test_archive_moves_processed_files(spark, scratch):
     assert archived, "processed Bronze files are archived"
 
 
-def test_reexecuted_micro_batch_is_not_duplicated(spark, scratch):
-    from aerolake.streaming.incremental import write_silver_batch
+def test_run_split_over_micro_batches_equals_one_run(spark, scratch):
+    from aerolake.contracts import GOLD_METRICS
+    from aerolake.sinks.serving import read_serving
 
-    out = scratch("silver")
-    batch = documents(spark, [doc([state(code="a"), state(code="b")])])
-    write_silver_batch(batch, 7, out)
-    write_silver_batch(batch, 7, out)  # the same batch again after a failure
-    assert read_lake_table(spark, out).count() == 2
-    write_silver_batch(documents(spark, [doc([state(code="c")])]), 8, out)
-    assert read_lake_table(spark, out).count() == 3
+    root, out, ckpt, serving, gm = (scratch(n) for n in ("bronze", "silver", "ckpt", "serving", "metrics"))
+    # two files of one run; "b" is in both, the newer contact in the first
+    land_bronze(documents(spark, [doc([state(code="a"), state(code="b", contact=HOUR + 9, vel=1.0)])]), root)
+    land_bronze(documents(spark, [doc([state(code="b", vel=2.0), state(code="c"), state(code="d")])]), root)
+    kw = dict(max_files_per_trigger=1, gold_metrics_path=gm, serving_root=serving)
+    incremental_silver(spark, root, out, ckpt, **kw).awaitTermination()
+    got = {r.aircraft_code: r.velocity for r in read_lake_table(spark, out).collect()}
+    assert got == {"a": 200.0, "b": 1.0, "c": 200.0, "d": 200.0}
+    assert read_lake_table(spark, out).count() == 4
+    assert [r.total_flights for r in read_lake_table(spark, gm).collect()] == [4]
+    published = read_serving(spark, f"{serving}/gold_country_metrics", GOLD_METRICS).collect()
+    assert [r.total_flights for r in published] == [4]
+    # the whole stream again, as after a lost checkpoint: runs replace themselves
+    incremental_silver(spark, root, out, scratch("ckpt2"), **kw).awaitTermination()
+    assert read_lake_table(spark, out).count() == 4
+
+
+def test_run_split_by_the_archive_is_whole(spark, scratch):
+    root, out, ckpt, archive = (scratch(n) for n in ("bronze", "silver", "ckpt", "archive"))
+    for codes in ("ab", "cd", "e"):
+        land_bronze(documents(spark, [doc([state(code=c) for c in codes])]), root)
+        incremental_silver(spark, root, out, ckpt, archive_dir=archive).awaitTermination()
+    assert sorted(r.aircraft_code for r in read_lake_table(spark, out).collect()) == list("abcde")
+
+
+def test_corrupt_documents_go_to_quarantine_or_fail_the_stream(spark, scratch):
+    import pytest
+
+    from aerolake.sinks.lake import land_texts
+    from fixtures import INGEST
+
+    root, out = scratch("bronze"), scratch("silver")
+    texts = spark.createDataFrame([(doc([state(code="a")]), INGEST), ('{"time": 1, "sta', INGEST)], "value string, record_timestamp_unix bigint")
+    land_texts(texts, root)
+    with pytest.raises(Exception, match="quarantine_path"):
+        incremental_silver(spark, root, out, scratch("ckpt")).awaitTermination()
+    bad = scratch("bad")
+    incremental_silver(spark, root, out, scratch("ckpt"), quarantine_path=bad).awaitTermination()
+    assert [r.aircraft_code for r in read_lake_table(spark, out).collect()] == ["a"]
+    assert [(r.document, r.run) for r in spark.read.parquet(bad).collect()] == [('{"time": 1, "sta', INGEST)]
+
+
+def test_unstamped_file_fails(spark, tmp_path):
+    import pytest
+
+    from aerolake.sources.bronze import read_bronze
+
+    (tmp_path / "positions.json").write_text(doc([state()]))
+    with pytest.raises(Exception, match="no run instant"):
+        bronze_to_silver(read_bronze(spark, str(tmp_path))).collect()
+    assert bronze_to_silver(read_bronze(spark, str(tmp_path), record_epoch=HOUR)).count() == 1
 
 
 def test_stream_continues_to_gold_and_serving(spark, scratch):
