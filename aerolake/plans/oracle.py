@@ -218,7 +218,7 @@ _TWO_RUNS = (
     "SELECT * FROM silver UNION ALL "
     "SELECT * REPLACE (ingested_at + INTERVAL 30 MINUTE AS ingested_at) FROM silver"
 )
-_LIVE = "make_timestamp(1716084000 * 1000000)"
+_LIVE = "make_timestamp(CAST(1716084000 AS BIGINT) * 1000000)"
 _ONE_RUN = (
     f"SELECT * REPLACE ({_LIVE} AS ingested_at, CAST({_LIVE} AS DATE) AS snapshot_date, "
     f"CAST(hour({_LIVE}) AS INTEGER) AS snapshot_hour) FROM silver"
