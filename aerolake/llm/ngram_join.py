@@ -10,22 +10,22 @@ lies below ``branch`` / size.  Sets that pick the same member meet in a bucket.
 of at most ``brute`` classes is compared pair by pair.  A larger one is split: each of
 its sets again picks members, by a hash that depends on the path so far, down to
 ``depth``.  Unlike sets part quickly, as they share few members; sets at 0.8 or more
-share so many that a pair fails to meet in a run with a chance of at most
-exp(-branch * 0.88), so the runs find all but a 1 - ``recall`` of the pairs:
-``runs_for`` gives their number.
+share so many that they stay together at every level with a known chance, so the runs
+find all but a 1 - ``recall`` of the pairs: ``runs_for`` gives their number.
 
-Buckets still large at the full depth are groups of near copies.  They are not expanded
-into all pairs: every class is compared with its bucket's leaders, the class found in
-the most large buckets (a group's common original holds the most members that the
-others share) and the one of the smallest hash.  Its links through a leader join
-the group; links beside the leaders are left to the other runs and buckets.
+Buckets still large at the full depth are mostly groups of near copies.  They are compared
+whole, in blocks: a bucket is dealt into blocks of about ``block`` classes, and each two
+blocks meet in one task.  A pair in several large buckets counts in the one of the smallest
+path alone, so a task puts out no pairs but each class's number of links and edges that
+span what is linked.  Work in such a bucket grows with the square of its distinct sets (not
+of its documents), rows with the square divided by ``block``.
 
 Scale: one map pass gives each document its set's 128-bit key, size and first-level
 paths.  Equal sets, however many, are one row before anything is joined.  Texts are
 shuffled twice: for the longer paths of classes in large buckets, and for the sets (as
-32-bit hashes) of classes with a candidate.  Sets are compared after a size test, each
-pair once.  Bucket sizes are partial aggregates; collected buckets hold at most
-``brute`` classes; components are joins.  Steps are written tables; the shuffles before
+32-bit hashes) of classes with a candidate.  Sets are compared after a size test.
+Bucket sizes are partial aggregates; collected buckets hold at most ``brute`` classes,
+tasks two blocks (in long sets, of fewer classes); components are joins.  Steps are written tables; the shuffles before
 them are released.
 
 Texts without words and null texts are classes of their own.  Rows with a null id take
@@ -53,15 +53,21 @@ BRANCH = 1.6
 BRUTE = 24
 DEPTH = 3
 RECALL = 0.99999
+BLOCK = 512
+#: members in a block, about
+BLOCK_MEMBERS = 2_000_000
 
 
-def runs_for(recall: float, branch: float = BRANCH, threshold: float = THRESHOLD) -> int:
-    """Runs after which a pair at ``threshold`` has met with probability ``recall``.
+def runs_for(recall: float, branch: float = BRANCH, threshold: float = THRESHOLD, depth: int = DEPTH) -> int:
+    """Runs after which a pair at ``threshold`` has met at the last level with probability ``recall``.
 
     Of a set's members a share of 2t / (1 + t) is common to a pair of equal sizes at
-    Jaccard t; the number of common picks is Poisson with mean branch * share.
+    Jaccard t; the common picks below a common path are Poisson with mean branch * share,
+    and the pair parts if all its common paths end.
     """
-    missed = math.exp(-branch * 2 * threshold / (1 + threshold))
+    missed = 0.0
+    for _ in range(depth):
+        missed = math.exp(-branch * 2 * threshold / (1 + threshold) * (1 - missed))
     return max(1, math.ceil(math.log(1 - recall) / math.log(missed)))
 
 
@@ -120,6 +126,83 @@ def linked_classes(sets: DataFrame, pairs: DataFrame, threshold: float) -> DataF
     return full.mapInArrow(similar, "a binary, b binary")
 
 
+def met_earlier(path: int, left: list[list[int]], right: list[list[int]]) -> np.ndarray:
+    """Which pairs of a left and a right list share a value below ``path``."""
+    values, at = np.unique([p for ps in (*left, *right) for p in ps if p < path], return_inverse=True)
+    rows = np.repeat(np.arange(len(left) + len(right)), [sum(p < path for p in ps) for ps in (*left, *right)])
+    shared = np.zeros((len(left), len(right)), dtype=bool)
+    for start in range(0, len(values), 4096):
+        part = (at >= start) & (at < start + 4096)
+        held = np.zeros((len(left) + len(right), min(4096, len(values) - start)), dtype=np.float32)
+        held[rows[part], at[part] - start] = 1
+        shared |= held[: len(left)] @ held[len(left) :].T > 0
+    return shared
+
+
+def block_links(path: int, same: bool, sides: np.ndarray, members: list[np.ndarray], large: list[list[int]], threshold: float) -> tuple[np.ndarray, list[tuple[int, int]]]:
+    """Links of each set to sets of the other side (or within the ``same`` block), and edges that span them.
+
+    Pairs that share a ``large`` path below ``path`` are left out.
+    """
+    sizes = np.array([len(m) for m in members], dtype=np.int64)
+    left = np.flatnonzero(sides == 0)
+    right = left if same else np.flatnonzero(sides == 1)
+    right = right[np.argsort(sizes[right], kind="stable")]
+    ids, counts = np.unique(np.concatenate(members), return_inverse=True, return_counts=True)[1:]
+    common = counts[ids] > 1  # a member of one set alone is in no intersection
+    owner = np.repeat(np.arange(len(members)), sizes)[common]
+    ids = ids[common]
+    first = np.searchsorted(owner, np.arange(len(members) + 1))
+    lists = [ids[first[r] : first[r + 1]] for r in right]
+    joined = np.concatenate(lists) if lists else ids[:0]
+    ends = np.concatenate([[0], np.cumsum([len(x) for x in lists])]).astype(np.int64)
+    earlier = met_earlier(path, [large[i] for i in left], [large[i] for i in right])
+    links, edges, group = np.zeros(len(members), dtype=np.int64), [], np.arange(len(members))
+    marks = np.zeros(len(counts) + 1, dtype=np.int64)
+    for row, x in enumerate(left):
+        a = np.searchsorted(sizes[right], math.floor(threshold * sizes[x] * (1 - 1e-9)))
+        b = np.searchsorted(sizes[right], math.ceil(sizes[x] / threshold * (1 + 1e-9)), side="right")
+        open_pairs = ~earlier[row, a:b]
+        if same:
+            open_pairs &= right[a:b] > x
+        if not open_pairs.any():
+            continue
+        marks[ids[first[x] : first[x + 1]]] = 1
+        sums = np.concatenate([[0], np.cumsum(marks[joined[ends[a] : ends[b]]])])
+        both = sums[ends[a + 1 : b + 1] - ends[a]] - sums[ends[a:b] - ends[a]]
+        marks[ids[first[x] : first[x + 1]]] = 0
+        near = right[a:b][open_pairs & (both >= threshold * (sizes[x] + sizes[right[a:b]] - both))]
+        links[x] += len(near)
+        links[near] += 1
+        others, at = np.unique(group[near], return_index=True)
+        for g, y in zip(others, near[at]):
+            if g != group[x]:
+                edges.append((int(x), int(y)))
+                group[group == g] = group[x]
+    return links, edges
+
+
+def large_links(dealt: DataFrame, threshold: float) -> DataFrame:
+    """Links within large buckets: rows (a, b, null) are spanning edges, rows (a, null, n) a class's links.
+
+    ``dealt`` has path, i and j (the two blocks), side, key, members and large.
+    """
+
+    def compared(table: pa.Table) -> pa.Table:
+        keys = table["key"].to_pylist()
+        members = [np.frombuffer(v.as_buffer(), dtype=np.uint32) for v in table["members"]]
+        sides = table["side"].to_numpy()
+        same = table["i"][0].as_py() == table["j"][0].as_py()
+        links, edges = block_links(table["path"][0].as_py(), same, sides, members, table["large"].to_pylist(), threshold)
+        some = np.flatnonzero(links).tolist()
+        a = [keys[x] for x, _ in edges] + [keys[x] for x in some]
+        b = [keys[y] for _, y in edges] + [None] * len(some)
+        n = [None] * len(edges) + links[some].tolist()
+        return pa.table({"a": pa.array(a, pa.binary()), "b": pa.array(b, pa.binary()), "n": pa.array(n, pa.int64())})
+
+    return dealt.groupBy("path", "i", "j").applyInArrow(compared, "a binary, b binary, n long")
+
+
 def similarity_classes(
     documents: DataFrame,
     *,
@@ -131,13 +214,14 @@ def similarity_classes(
     branch: float = BRANCH,
     brute: int = BRUTE,
     depth: int = DEPTH,
+    block: int = BLOCK,
 ) -> DataFrame:
-    """``id_col``, class_id (smallest id of the class) and n_links (verified links to other texts) of every row."""
+    """``id_col``, class_id (smallest id of the class) and n_links (other distinct sets at the threshold) of every row."""
     spark = documents.sparkSession
     use_package_on_workers(spark)
     rows = documents.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"), F.hash(text_col).alias("mark"))
     kind = rows.schema["id"].dataType.simpleString()
-    salts = mixed(np.arange(1, runs_for(recall, branch, threshold) + 1, dtype=np.uint64))
+    salts = mixed(np.arange(1, runs_for(recall, branch, threshold, depth) + 1, dtype=np.uint64))
 
     def first_paths(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for piece in pieces(batches, 1):
@@ -162,8 +246,8 @@ def similarity_classes(
     nodes = stored(classes.select("key", "size", F.explode(F.array_distinct("paths")).alias("path")), "join-nodes")
 
     def met(nodes: DataFrame) -> DataFrame:
-        """The nodes of buckets with more than one class, with the bucket's size n."""
-        sizes = stored(nodes.groupBy("path").agg(F.count("*").alias("n")).where("n > 1"), "join-buckets")
+        """The nodes of buckets with more than one class, with the bucket's classes n and their members."""
+        sizes = stored(nodes.groupBy("path").agg(F.count("*").alias("n"), F.sum("size").alias("n_members")).where("n > 1"), "join-buckets")
         return stored(nodes.join(sizes, "path"), "join-met")
 
     def small(nodes: DataFrame) -> DataFrame:
@@ -171,7 +255,6 @@ def similarity_classes(
 
     level = met(nodes)
     candidates, large = [small(level)], level.where(F.col("n") > brute)
-    hubs = [large.select("key")]
     longer = stored(_longer_paths(rows, _one_row(classes, large.groupBy("key").agg(F.collect_list("path").alias("split"))), shingle, branch, depth), "join-longer")
     free_finished_shuffles(spark)
     for deep in range(2, depth + 1):
@@ -180,35 +263,37 @@ def similarity_classes(
         level = met(longer.where(F.col("level") == deep).join(parents, "parent", "left_semi").select("path", "key", "size"))
         candidates.append(small(level))
         large = level.where(F.col("n") > brute)
-        hubs.append(large.select("key"))
-
-    # leaders of the buckets that stay large
-    central = hubs[0]
-    for more in hubs[1:]:
-        central = central.unionByName(more)
-    central = central.groupBy("key").agg(F.count("*").alias("hub"))
-    ranked = large.join(central, "key")
-    hub, some = F.max(F.struct("hub", "key", "size")).alias("hub"), F.min(F.struct(F.xxhash64("key", "path").alias("h"), "key", "size")).alias("any")
-    leaders = stored(ranked.groupBy("path").agg(hub, some), "join-leaders")
-    stars = large.join(leaders, "path").select(F.col("key").alias("x"), F.col("size").alias("n"), F.explode(F.array(F.struct("hub.key", "hub.size"), F.struct("any.key", "any.size"))).alias("y"))
-    stars = stars.select("x", "n", F.col("y.key").alias("y"), F.col("y.size").alias("m"))
+
+    # the buckets that stay large, by class; a class has a bounded number of paths
+    belongs = stored(large.groupBy("key").agg(F.sort_array(F.collect_list("path")).alias("large")), "join-large")
     buckets = candidates[0]
     for more in candidates[1:]:
         buckets = buckets.unionByName(more)
     buckets = buckets.distinct()
     pairs = buckets.select(F.posexplode("bucket").alias("i", "one"), "bucket").select("one", F.explode(F.expr("slice(bucket, i + 2, size(bucket))")).alias("two"))
-    pairs = pairs.select(F.col("one.key").alias("x"), F.col("one.size").alias("n"), F.col("two.key").alias("y"), F.col("two.size").alias("m")).unionByName(stars)
+    pairs = pairs.select(F.col("one.key").alias("x"), F.col("one.size").alias("n"), F.col("two.key").alias("y"), F.col("two.size").alias("m"))
     # sets whose sizes differ more than the threshold allows cannot reach it
     possible = (F.col("x") != F.col("y")) & (F.least("n", "m") >= threshold * F.greatest("n", "m"))
     pairs = stored(pairs.where(possible).select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).distinct(), "join-pairs")
+    # a pair that also meets in a large bucket is compared there
+    for side in "ab":
+        pairs = pairs.join(belongs.withColumnsRenamed({"key": side, "large": f"large_{side}"}), side, "left")
+    pairs = stored(pairs.where(~F.coalesce(F.arrays_overlap("large_a", "large_b"), F.lit(False))).select("a", "b"), "join-pairs")
+    free_finished_shuffles(spark)
+    compared = pairs.select(F.explode(F.array("a", "b")).alias("key")).unionByName(belongs.select("key")).distinct()
+    sets = stored(_sets_of(rows, _one_row(classes, compared), shingle).dropDuplicates(["key"]), "join-sets")
     free_finished_shuffles(spark)
-    compared = pairs.select(F.explode(F.array("a", "b")).alias("key")).distinct()
-    sets = stored(_sets_of(rows, _one_row(classes, compared), shingle), "join-sets")
+    links = stored(linked_classes(sets, pairs, threshold).select("a", "b", F.lit(None).cast("long").alias("n")), "join-links")
     free_finished_shuffles(spark)
-    links = stored(linked_classes(sets, pairs, threshold).distinct(), "join-links")
+    n_blocks = F.ceil(F.greatest(F.col("n") / block, F.col("n_members") / BLOCK_MEMBERS)).cast("int")
+    dealt = large.select("path", "key", n_blocks.alias("blocks")).withColumn("mine", F.pmod(F.xxhash64("key", "path"), "blocks").cast("int"))
+    dealt = dealt.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+    dealt = dealt.select("path", "key", F.least("mine", "other").alias("i"), F.greatest("mine", "other").alias("j"), (F.col("mine") > F.col("other")).cast("int").alias("side"))
+    within = stored(large_links(dealt.join(sets.join(belongs, "key"), "key"), threshold), "join-within")
     free_finished_shuffles(spark)
-    labels = connected_components(links)
-    degree = links.select(F.explode(F.array("a", "b")).alias("node")).groupBy("node").agg(F.count("*").alias("n_links"))
+    labels = connected_components(links.unionByName(within).where("b is not null").select("a", "b"))
+    degree = links.select(F.explode(F.array("a", "b")).alias("node"), F.lit(1).cast("long").alias("n"))
+    degree = degree.unionByName(within.where("b is null").select(F.col("a").alias("node"), "n")).groupBy("node").agg(F.sum("n").alias("n_links"))
     labels = labels.join(degree, "node")
     joined = every.select("id", "key").join(labels.withColumnRenamed("node", "key"), "key", "left").withColumn("label", F.coalesce("label", "key"))
     joined = stored(joined.select("id", "label", F.coalesce("n_links", F.lit(0)).alias("n_links")), "join-labelled")

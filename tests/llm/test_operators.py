@@ -225,17 +225,22 @@ def test_similarity_classes_match_brute_force(docs, empty, spark):
             i = parent[i]
         return i
 
-    ids = sorted(texts)
+    ids, partners = sorted(texts), {i: set() for i in texts}
     for n, i in enumerate(ids):
         for j in ids[:n]:
             if sets[i] and sets[j] and len(sets[i] & sets[j]) >= 0.8 * len(sets[i] | sets[j]):
+                if sets[i] != sets[j]:
+                    partners[i].add(sets[j])
+                    partners[j].add(sets[i])
                 a, b = sorted((root(i), root(j)))
                 parent[b] = a
-    got = similarity_classes(table).collect()
-    assert len(got) == table.count()
-    assert {r.doc_id: r.class_id for r in got if r.doc_id is not None} == {i: root(i) for i in ids}
+    for settings in {}, {"block": 16}, {"brute": 4, "block": 7, "depth": 2}:  # whole buckets, blocks of them, and nearly all in blocks
+        got = similarity_classes(table, **settings).collect()
+        assert len(got) == table.count()
+        assert {r.doc_id: r.class_id for r in got if r.doc_id is not None} == {i: root(i) for i in ids}
+        assert {r.doc_id: r.n_links for r in got if r.doc_id is not None} == {i: len(partners[i]) for i in ids}
     assert similarity_classes(empty).count() == 0
-    assert math.exp(-1.6 * 1.6 / 1.8) ** runs_for(0.99999) <= 1e-5
+    assert math.exp(-1.6 * 1.6 / 1.8) ** runs_for(0.99999, depth=1) <= 1e-5 and runs_for(0.99999) > runs_for(0.99999, depth=1)
 
 
 def test_mix(spark, docs, empty):
