@@ -13,12 +13,13 @@ its sets again picks members, by a hash that depends on the path so far, down to
 share so many that they stay together at every level with a known chance, so the runs
 find all but a 1 - ``recall`` of the pairs: ``runs_for`` gives their number.
 
-Buckets still large at the full depth are mostly groups of near copies.  They are compared
-whole, in blocks: a bucket is dealt into blocks of about ``block`` classes, and each two
-blocks meet in one task.  A pair in several large buckets counts in the one of the smallest
-path alone, so a task puts out no pairs but each class's number of links and edges that
-span what is linked.  Work in such a bucket grows with the square of its distinct sets (not
-of its documents), rows with the square divided by ``block``.
+Buckets still large at the full depth are mostly groups of near copies, and one group
+fills many buckets.  Their classes are compared whole, in blocks, each pair once: a class
+is at home in its largest bucket, a home is dealt into blocks of about ``block`` classes,
+and two blocks that hold classes of one bucket meet in one task.  A task puts out no pairs
+but each class's number of links and edges that span what is linked.  Work in such a group
+grows with the square of its distinct sets (not of its documents), rows with the square
+divided by ``block``.
 
 Scale: one map pass gives each document its set's 128-bit key, size and first-level
 paths.  Equal sets, however many, are one row before anything is joined.  Texts are
@@ -126,24 +127,8 @@ def linked_classes(sets: DataFrame, pairs: DataFrame, threshold: float) -> DataF
     return full.mapInArrow(similar, "a binary, b binary")
 
 
-def met_earlier(path: int, left: list[list[int]], right: list[list[int]]) -> np.ndarray:
-    """Which pairs of a left and a right list share a value below ``path``."""
-    values, at = np.unique([p for ps in (*left, *right) for p in ps if p < path], return_inverse=True)
-    rows = np.repeat(np.arange(len(left) + len(right)), [sum(p < path for p in ps) for ps in (*left, *right)])
-    shared = np.zeros((len(left), len(right)), dtype=bool)
-    for start in range(0, len(values), 4096):
-        part = (at >= start) & (at < start + 4096)
-        held = np.zeros((len(left) + len(right), min(4096, len(values) - start)), dtype=np.float32)
-        held[rows[part], at[part] - start] = 1
-        shared |= held[: len(left)] @ held[len(left) :].T > 0
-    return shared
-
-
-def block_links(path: int, same: bool, sides: np.ndarray, members: list[np.ndarray], large: list[list[int]], threshold: float) -> tuple[np.ndarray, list[tuple[int, int]]]:
-    """Links of each set to sets of the other side (or within the ``same`` block), and edges that span them.
-
-    Pairs that share a ``large`` path below ``path`` are left out.
-    """
+def block_links(same: bool, sides: np.ndarray, members: list[np.ndarray], threshold: float) -> tuple[np.ndarray, list[tuple[int, int]]]:
+    """Links of each set to sets of the other side (or within the ``same`` block), and edges that span them."""
     sizes = np.array([len(m) for m in members], dtype=np.int64)
     left = np.flatnonzero(sides == 0)
     right = left if same else np.flatnonzero(sides == 1)
@@ -156,22 +141,20 @@ def block_links(path: int, same: bool, sides: np.ndarray, members: list[np.ndarr
     lists = [ids[first[r] : first[r + 1]] for r in right]
     joined = np.concatenate(lists) if lists else ids[:0]
     ends = np.concatenate([[0], np.cumsum([len(x) for x in lists])]).astype(np.int64)
-    earlier = met_earlier(path, [large[i] for i in left], [large[i] for i in right])
     links, edges, group = np.zeros(len(members), dtype=np.int64), [], np.arange(len(members))
     marks = np.zeros(len(counts) + 1, dtype=np.int64)
-    for row, x in enumerate(left):
+    for x in left:
         a = np.searchsorted(sizes[right], math.floor(threshold * sizes[x] * (1 - 1e-9)))
         b = np.searchsorted(sizes[right], math.ceil(sizes[x] / threshold * (1 + 1e-9)), side="right")
-        open_pairs = ~earlier[row, a:b]
-        if same:
-            open_pairs &= right[a:b] > x
-        if not open_pairs.any():
+        if a >= b:
             continue
         marks[ids[first[x] : first[x + 1]]] = 1
         sums = np.concatenate([[0], np.cumsum(marks[joined[ends[a] : ends[b]]])])
         both = sums[ends[a + 1 : b + 1] - ends[a]] - sums[ends[a:b] - ends[a]]
         marks[ids[first[x] : first[x + 1]]] = 0
-        near = right[a:b][open_pairs & (both >= threshold * (sizes[x] + sizes[right[a:b]] - both))]
+        near = right[a:b][both >= threshold * (sizes[x] + sizes[right[a:b]] - both)]
+        if same:
+            near = near[near > x]
         links[x] += len(near)
         links[near] += 1
         others, at = np.unique(group[near], return_index=True)
@@ -185,22 +168,22 @@ def block_links(path: int, same: bool, sides: np.ndarray, members: list[np.ndarr
 def large_links(dealt: DataFrame, threshold: float) -> DataFrame:
     """Links within large buckets: rows (a, b, null) are spanning edges, rows (a, null, n) a class's links.
 
-    ``dealt`` has path, i and j (the two blocks), side, key, members and large.
+    ``dealt`` has x and y (the two blocks), side (1 for y's classes), key and members.
     """
 
     def compared(table: pa.Table) -> pa.Table:
         keys = table["key"].to_pylist()
         members = [np.frombuffer(v.as_buffer(), dtype=np.uint32) for v in table["members"]]
         sides = table["side"].to_numpy()
-        same = table["i"][0].as_py() == table["j"][0].as_py()
-        links, edges = block_links(table["path"][0].as_py(), same, sides, members, table["large"].to_pylist(), threshold)
+        same = table["x"][0].as_py() == table["y"][0].as_py()
+        links, edges = block_links(same, sides, members, threshold)
         some = np.flatnonzero(links).tolist()
         a = [keys[x] for x, _ in edges] + [keys[x] for x in some]
         b = [keys[y] for _, y in edges] + [None] * len(some)
         n = [None] * len(edges) + links[some].tolist()
         return pa.table({"a": pa.array(a, pa.binary()), "b": pa.array(b, pa.binary()), "n": pa.array(n, pa.int64())})
 
-    return dealt.groupBy("path", "i", "j").applyInArrow(compared, "a binary, b binary, n long")
+    return dealt.groupBy("x", "y").applyInArrow(compared, "a binary, b binary, n long")
 
 
 def similarity_classes(
@@ -246,8 +229,8 @@ def similarity_classes(
     nodes = stored(classes.select("key", "size", F.explode(F.array_distinct("paths")).alias("path")), "join-nodes")
 
     def met(nodes: DataFrame) -> DataFrame:
-        """The nodes of buckets with more than one class, with the bucket's classes n and their members."""
-        sizes = stored(nodes.groupBy("path").agg(F.count("*").alias("n"), F.sum("size").alias("n_members")).where("n > 1"), "join-buckets")
+        """The nodes of buckets with more than one class, with the bucket's size n."""
+        sizes = stored(nodes.groupBy("path").agg(F.count("*").alias("n")).where("n > 1"), "join-buckets")
         return stored(nodes.join(sizes, "path"), "join-met")
 
     def small(nodes: DataFrame) -> DataFrame:
@@ -264,8 +247,15 @@ def similarity_classes(
         candidates.append(small(level))
         large = level.where(F.col("n") > brute)
 
-    # the buckets that stay large, by class; a class has a bounded number of paths
-    belongs = stored(large.groupBy("key").agg(F.sort_array(F.collect_list("path")).alias("large")), "join-large")
+    # blocks of the classes in buckets that stay large, and the blocks that meet
+    homes = large.groupBy("key").agg(F.max(F.struct("n", "path")).alias("top"), F.first("size").alias("size"))
+    homes = stored(homes.select("key", "size", F.col("top.path").alias("home")), "join-homes")
+    n_blocks = F.ceil(F.greatest(F.count("*") / block, F.sum("size") / BLOCK_MEMBERS)).alias("n_blocks")
+    homes = homes.join(stored(homes.groupBy("home").agg(n_blocks), "join-homes"), "home")
+    blocks = stored(homes.select("key", F.xxhash64("home", F.pmod(F.xxhash64("key", "home"), "n_blocks")).alias("block")), "join-blocks")
+    held = stored(large.join(blocks, "key").select("path", "block").distinct(), "join-held")
+    meets = held.withColumnRenamed("block", "x").join(held.withColumnRenamed("block", "y"), "path")
+    meets = stored(meets.where("x <= y").select("x", "y").distinct(), "join-meets")
     buckets = candidates[0]
     for more in candidates[1:]:
         buckets = buckets.unionByName(more)
@@ -275,21 +265,22 @@ def similarity_classes(
     # sets whose sizes differ more than the threshold allows cannot reach it
     possible = (F.col("x") != F.col("y")) & (F.least("n", "m") >= threshold * F.greatest("n", "m"))
     pairs = stored(pairs.where(possible).select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).distinct(), "join-pairs")
-    # a pair that also meets in a large bucket is compared there
+    # a pair whose blocks meet is compared there; a class in no block has a key of its own, so that nulls do not gather
     for side in "ab":
-        pairs = pairs.join(belongs.withColumnsRenamed({"key": side, "large": f"large_{side}"}), side, "left")
-    pairs = stored(pairs.where(~F.coalesce(F.arrays_overlap("large_a", "large_b"), F.lit(False))).select("a", "b"), "join-pairs")
+        pairs = pairs.join(blocks.withColumnsRenamed({"key": side, "block": f"block_{side}"}), side, "left")
+    own = [F.coalesce(f"block_{side}", F.xxhash64(F.col(side))) for side in "ab"]
+    pairs = pairs.select("a", "b", F.least(*own).alias("x"), F.greatest(*own).alias("y"))
+    pairs = stored(pairs.join(meets, ["x", "y"], "left_anti").select("a", "b"), "join-pairs")
     free_finished_shuffles(spark)
-    compared = pairs.select(F.explode(F.array("a", "b")).alias("key")).unionByName(belongs.select("key")).distinct()
+    compared = pairs.select(F.explode(F.array("a", "b")).alias("key")).unionByName(blocks.select("key")).distinct()
     sets = stored(_sets_of(rows, _one_row(classes, compared), shingle).dropDuplicates(["key"]), "join-sets")
     free_finished_shuffles(spark)
     links = stored(linked_classes(sets, pairs, threshold).select("a", "b", F.lit(None).cast("long").alias("n")), "join-links")
     free_finished_shuffles(spark)
-    n_blocks = F.ceil(F.greatest(F.col("n") / block, F.col("n_members") / BLOCK_MEMBERS)).cast("int")
-    dealt = large.select("path", "key", n_blocks.alias("blocks")).withColumn("mine", F.pmod(F.xxhash64("key", "path"), "blocks").cast("int"))
-    dealt = dealt.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
-    dealt = dealt.select("path", "key", F.least("mine", "other").alias("i"), F.greatest("mine", "other").alias("j"), (F.col("mine") > F.col("other")).cast("int").alias("side"))
-    within = stored(large_links(dealt.join(sets.join(belongs, "key"), "key"), threshold), "join-within")
+    sides = meets.select("x", "y", F.col("x").alias("block"), F.lit(0).alias("side"))
+    sides = sides.unionByName(meets.where("x < y").select("x", "y", F.col("y").alias("block"), F.lit(1).alias("side")))
+    dealt = blocks.join(sides, "block").join(sets, "key").select("x", "y", "side", "key", "members")
+    within = stored(large_links(dealt, threshold), "join-within")
     free_finished_shuffles(spark)
     labels = connected_components(links.unionByName(within).where("b is not null").select("a", "b"))
     degree = links.select(F.explode(F.array("a", "b")).alias("node"), F.lit(1).cast("long").alias("n"))

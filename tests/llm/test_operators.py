@@ -234,7 +234,7 @@ def test_similarity_classes_match_brute_force(docs, empty, spark):
                     partners[j].add(sets[i])
                 a, b = sorted((root(i), root(j)))
                 parent[b] = a
-    for settings in {}, {"block": 16}, {"brute": 4, "block": 7, "depth": 2}:  # whole buckets, blocks of them, and nearly all in blocks
+    for settings in {}, {"block": 16}, {"brute": 4, "block": 7, "depth": 2}:
         got = similarity_classes(table, **settings).collect()
         assert len(got) == table.count()
         assert {r.doc_id: r.class_id for r in got if r.doc_id is not None} == {i: root(i) for i in ids}
