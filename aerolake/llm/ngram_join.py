@@ -247,13 +247,14 @@ def similarity_classes(
         candidates.append(small(level))
         large = level.where(F.col("n") > brute)
 
-    # blocks of the classes in buckets that stay large, and the blocks that meet
-    homes = large.groupBy("key").agg(F.max(F.struct("n", "path")).alias("top"), F.first("size").alias("size"))
-    homes = stored(homes.select("key", "size", F.col("top.path").alias("home")), "join-homes")
+    # blocks of the classes in buckets that stay large, and the blocks that meet; a class has few paths, however large its buckets
+    homes = large.groupBy("key").agg(F.max(F.struct("n", "path")).alias("top"), F.first("size").alias("size"), F.collect_list("path").alias("paths"))
+    homes = stored(homes.select("key", "size", "paths", F.col("top.path").alias("home")), "join-homes")
     n_blocks = F.ceil(F.greatest(F.count("*") / block, F.sum("size") / BLOCK_MEMBERS)).alias("n_blocks")
     homes = homes.join(stored(homes.groupBy("home").agg(n_blocks), "join-homes"), "home")
-    blocks = stored(homes.select("key", F.xxhash64("home", F.pmod(F.xxhash64("key", "home"), "n_blocks")).alias("block")), "join-blocks")
-    held = stored(large.join(blocks, "key").select("path", "block").distinct(), "join-held")
+    blocks = stored(homes.select("key", F.xxhash64("home", F.pmod(F.xxhash64("key", "home"), "n_blocks")).alias("block"), "paths"), "join-blocks")
+    held = stored(blocks.select(F.explode("paths").alias("path"), "block").distinct(), "join-held")
+    blocks = blocks.select("key", "block")
     meets = held.withColumnRenamed("block", "x").join(held.withColumnRenamed("block", "y"), "path")
     meets = stored(meets.where("x <= y").select("x", "y").distinct(), "join-meets")
     buckets = candidates[0]
