@@ -3,10 +3,15 @@
 High-recall generators propose spans of a text, which may overlap: e-mail addresses
 (plain and spelled out), dotted quads, card-like and phone-like digit runs, loose digit
 runs, social security numbers, and long tokens that mix letters and digits.  The base
-kinds (email, ip, card, phone) that pass their checks are always selected.  All other
-candidates are judged by boosted trees over format features (lengths, shares of digits
-and letters, groups, checksums, variety) and context features (neighbouring characters
-and words); each kind has a threshold on the calibrated probability.
+kinds (email, ip, card, phone) that pass their checks are always selected.  A card or
+phone run that fails is proposed as ``card_like`` or ``phone_like``, with its parts: the
+stretches of whole digit groups with the digits of a card, and the beginnings with the
+digits of a phone.  Loose digit runs are proposed with all their stretches of 7 to 19
+digits, tokens with the parts between equals signs.  What touches a selected base span
+is not proposed, as it cannot be selected.  All candidates of the added kinds are judged
+by boosted trees over format features (lengths, shares of digits and letters, groups,
+checksums, variety) and context features (neighbouring characters and words); each kind
+has a threshold on the calibrated probability.
 
 The trees are fitted on weak labels in a bounded sample of documents: candidates that
 pass a strict check of their format are positive, those that fail it negative.  Half of
@@ -37,8 +42,11 @@ from aerolake.llm.boosting import BoostedTrees
 from aerolake.llm.session import use_package_on_workers
 
 #: the base kinds, then those the method adds, in the order in which ties are told
-KINDS = ("email", "ip", "card", "phone", "ssn", "number", "secret", "mailtext")
+KINDS = ("email", "ip", "card", "phone", "ssn", "number", "secret", "mailtext", "card_like", "phone_like")
 BASE = 4
+CARD_LIKE, PHONE_LIKE = 8, 9
+#: candidates that are scored at a time
+BLOCK = 4096
 
 # The base patterns and the added generators.
 LOCAL = frozenset("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789._%+-")
@@ -60,9 +68,11 @@ CONTEXT = (
     re.compile(r"host|server|addr|ip\b|login|user", re.I),
 )
 DIGIT = re.compile(r"[0-9]")
+GROUP = re.compile(r"[0-9]+")
+TOKEN_PART = re.compile(r"[^=]{16,}")
 
 
-@dataclass
+@dataclass(slots=True)
 class Candidate:
     kind: int
     start: int
@@ -94,6 +104,38 @@ def emails(text: str) -> list[tuple[int, int]]:
     return out
 
 
+def stretches(groups: list[tuple[int, int]], least: int, most: int) -> Iterator[tuple[int, int]]:
+    """First and last index of neighbouring digit groups with ``least`` to ``most`` digits together; at most ``most`` a group."""
+    for i in range(len(groups)):
+        digits = 0
+        for j in range(i, len(groups)):
+            digits += groups[j][1] - groups[j][0]
+            if digits > most:
+                break
+            if digits >= least:
+                yield i, j
+
+
+def card_parts(text: str, start: int, end: int) -> Iterator[Candidate]:
+    """The parts of a failed card run; the checksum counts for groups as cards have them, of 4 digits or more but the last."""
+    groups = [m.span() for m in GROUP.finditer(text, start, end)]
+    for i, j in stretches(groups, 14, 19):
+        if j - i + 1 < len(groups):
+            shaped = all(b - a >= 4 for a, b in groups[i:j])
+            yield Candidate(CARD_LIKE, groups[i][0], groups[j][1], shaped and luhn("".join(text[a:b] for a, b in groups[i : j + 1])))
+
+
+def phone_parts(text: str, start: int, end: int) -> Iterator[Candidate]:
+    """The beginnings of a failed phone run that have the digits of a phone."""
+    digits = 0
+    for m in GROUP.finditer(text, start, end):
+        digits += m.end() - m.start()
+        if digits > 15:
+            break
+        if digits >= 10 and m.end() < end:
+            yield Candidate(PHONE_LIKE, start, m.end(), True)
+
+
 def candidates(text: str) -> list[Candidate]:
     """All proposed spans; ``passed`` tells whether the strict check of the kind holds."""
     out = []
@@ -104,20 +146,31 @@ def candidates(text: str) -> list[Candidate]:
             out.append(Candidate(1, *m.span(), all(len(p.lstrip("0")) <= 3 and int(p.lstrip("0")[:4] or 0) <= 255 for p in m[0].split("."))))
         for m in CARD.finditer(text):
             digits = m[0].replace(" ", "").replace("-", "")
-            if len(digits) >= 7:
-                out.append(Candidate(2, *m.span(), 14 <= len(digits) <= 19 and luhn(digits)))
+            if 14 <= len(digits) <= 19 and luhn(digits):
+                out.append(Candidate(2, *m.span(), True))
+            elif len(digits) >= 7:
+                out.append(Candidate(CARD_LIKE, *m.span(), False))
+                out += card_parts(text, *m.span())
         for m in PHONE.finditer(text):
-            out.append(Candidate(3, *m.span(), 10 <= sum(c.isdigit() for c in m[0]) <= 15))
+            if 10 <= sum(c.isdigit() for c in m[0]) <= 15:
+                out.append(Candidate(3, *m.span(), True))
+            else:
+                out.append(Candidate(PHONE_LIKE, *m.span(), False))
+                out += phone_parts(text, *m.span())
         for m in SSN.finditer(text):
             out.append(Candidate(4, *m.span(), m[0][:3] not in ("000", "666") and m[0][0] != "9" and m[0][4:6] != "00" and m[0][7:] != "0000"))
         for m in NUMBER.finditer(text):
-            n = sum(c.isdigit() for c in m[0])
-            if 7 <= n <= 19 and not m[0].isdigit():
-                near = text[max(0, m.start() - 30) : m.start()]
-                out.append(Candidate(5, *m.span(), bool(CONTEXT[1].search(near) or CONTEXT[2].search(near))))
+            groups = [g.span() for g in GROUP.finditer(text, *m.span())]
+            for i, j in stretches(groups, 7, 19):
+                a = groups[i][0]
+                near = text[max(0, a - 30) : a]
+                out.append(Candidate(5, a, groups[j][1], bool(CONTEXT[1].search(near) or CONTEXT[2].search(near))))
         for m in SECRET.finditer(text):
-            if DIGIT.search(m[0]) and re.search("[A-Za-z]", m[0]):
-                out.append(Candidate(6, *m.span(), bool(KNOWN_TOKEN.match(m[0]) or NAMED_TOKEN.search(text[max(0, m.start() - 20) : m.start()]))))
+            parts = [p.span() for p in TOKEN_PART.finditer(text, *m.span())]
+            for a, b in dict.fromkeys([m.span(), *parts]):
+                token = text[a:b]
+                if DIGIT.search(token) and re.search("[A-Za-z]", token):
+                    out.append(Candidate(6, a, b, bool(KNOWN_TOKEN.match(token) or NAMED_TOKEN.search(text[max(0, a - 20) : a]))))
     if "at" in text:
         for m in MAILTEXT.finditer(text):
             start = m.start()
@@ -125,7 +178,8 @@ def candidates(text: str) -> list[Candidate]:
                 start -= 1
             if start < m.start():
                 out.append(Candidate(7, start, m.end(), "(at)" in m[0] or "[at]" in m[0]))
-    return out
+    taken = _Taken([(c.start, c.end) for c in out if c.kind < BASE and c.passed])
+    return [c for c in out if c.kind < BASE or taken.free(c.start, c.end)]
 
 
 def features(text: str, c: Candidate, n: int) -> list[float]:
@@ -167,10 +221,15 @@ class Judge:
         """Selected (start, kind, end, base, score), ordered; an added span does not overlap a better one."""
         found = candidates(text) if text else []
         chosen = [(c.start, c.kind, c.end, True, 1.0) for c in found if c.kind < BASE and c.passed]
-        rest = [c for c in found if c.kind >= BASE or not c.passed]
+        rest = [c for c in found if c.kind >= BASE]
         if rest and (self.thresholds <= 1).any():
-            scores = self.trees.probability(np.array([features(text, c, len(found)) for c in rest]))
-            ranked = sorted(((float(s), c) for s, c in zip(scores, rest) if s >= self.thresholds[c.kind] and c.kind >= BASE), key=lambda x: (-x[0], x[1].start, x[1].kind))
+            ranked = []
+            for i in range(0, len(rest), BLOCK):
+                block = rest[i : i + BLOCK]
+                scores = self.trees.probability(np.array([features(text, c, len(found)) for c in block]))
+                ranked += [(float(s), c) for s, c in zip(scores, block) if s >= self.thresholds[c.kind]]
+            # of equal scores the first, the longest and the most special
+            ranked.sort(key=lambda x: (-x[0], x[1].start, -x[1].end, -x[1].kind))
             # ranked spans go in unless a chosen one overlaps; kept apart by start
             taken = _Taken([(a, b) for a, _, b, _, _ in chosen])
             for s, c in ranked:
@@ -195,10 +254,14 @@ class _Taken:
                 self.starts.append(a)
                 self.ends.append(b)
 
-    def add(self, a: int, b: int) -> bool:
+    def free(self, a: int, b: int) -> bool:
         i = self.bisect.bisect_left(self.starts, b)
-        if i and self.ends[i - 1] > a:
+        return not i or self.ends[i - 1] <= a
+
+    def add(self, a: int, b: int) -> bool:
+        if not self.free(a, b):
             return False
+        i = self.bisect.bisect_left(self.starts, b)
         self.starts.insert(i, a)
         self.ends.insert(i, b)
         return True

@@ -271,3 +271,22 @@ def test_mix(spark, docs, empty):
         taken[r.source] += r.taken
     assert all(abs(taken[s] - target[s]) <= 60 for s in order)
     assert pivotal_mix(docs).count() == docs.count() and pivotal_mix(empty).count() == 0
+
+
+def test_personal_data_in_merged_runs(spark):
+    cards, phone = ["7536784127813050", "4845168114407329"], "+49 30 1234567"
+    texts = [f"word {cards[0]} {cards[1]} word", f"word {phone} 4845168114407329 word", "call 0301234567 0307654321 9876543210 now", "export api_key=q8Zk3LmP0xYt7Rw2Va"]
+    rows = [(100 * k + i, f"{'w ' * i}{t}") for k, t in enumerate(texts) for i in range(60)]
+    rows += [(1000 + i, f"{'w ' * (i % 60)}order 12345678{i:03d} 1234567890123456 of x9y8z7w6v5u4t3s{i:03d}") for i in range(200)]
+    got = {}
+    for r in personal_data(spark.createDataFrame(rows, "doc_id long, text string")).collect():
+        got[r.doc_id] = [(s.kind, dict(rows)[r.doc_id][s.start : s.end]) for s in r.spans]
+    for i in range(60):
+        assert got[i] == [("card_like", c) for c in cards]
+        assert got[100 + i] == [("phone_like", phone), ("card_like", cards[1])]
+        assert "".join(x for _, x in got[200 + i]).replace(" ", "") == "030123456703076543219876543210"
+        assert ("secret", "q8Zk3LmP0xYt7Rw2Va") in got[300 + i] or ("secret", "api_key=q8Zk3LmP0xYt7Rw2Va") in got[300 + i]
+    assert not any(got[1000 + i] for i in range(200))
+    # overlapping proposals stay linear, and base spans are never touched
+    assert len(candidates("12 " * 10_000)) < 200_000
+    assert [(c.kind, c.passed) for c in candidates("4111 1111 1111 1111")] == [(2, True)]
