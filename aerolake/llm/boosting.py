@@ -79,26 +79,27 @@ class BoostedTrees:
             score += self.rate * tree.apply(x)
         return score
 
-    def calibrate(self, x: np.ndarray, y: np.ndarray, steps: int = 50) -> BoostedTrees:
-        """Platt scaling on rows not used by ``fit``, with smoothed targets."""
-        if len(y) and 0 < y.sum() < len(y):
-            s = self.raw(x)
-            target = np.where(y > 0, (y.sum() + 1) / (y.sum() + 2), 1 / (len(y) - y.sum() + 2))
+    def calibrate(self, s: np.ndarray, y: np.ndarray, n: np.ndarray, steps: int = 50) -> BoostedTrees:
+        """Platt scaling on raw scores that stand for ``n`` rows each, with smoothed targets."""
+        right, wrong = float((n * y).sum()), float((n * (1 - y)).sum())
+        if right and wrong:
+            target = np.where(y > 0, (right + 1) / (right + 2), 1 / (wrong + 2))
             design = np.stack([s, np.ones_like(s)], axis=1)
-            self.slope, self.shift = logistic(design, target, 1e-3, steps)
+            self.slope, self.shift = logistic(design, target, 1e-3, steps, n)
         return self
 
-    def probability(self, x: np.ndarray) -> np.ndarray:
-        return sigmoid(self.slope * self.raw(x) + self.shift) if len(x) else np.empty(0)
+    def calibrated(self, raw: np.ndarray) -> np.ndarray:
+        return sigmoid(self.slope * raw + self.shift)
 
 
-def logistic(x: np.ndarray, y: np.ndarray, ridge: float, steps: int = 50) -> np.ndarray:
-    """Weights of a logistic regression by Newton's method."""
+def logistic(x: np.ndarray, y: np.ndarray, ridge: float, steps: int = 50, n: np.ndarray | None = None) -> np.ndarray:
+    """Weights of a logistic regression by Newton's method; row i stands for ``n[i]`` rows."""
     w = np.zeros(x.shape[1])
+    n = np.ones(len(y)) if n is None else n
     for _ in range(steps):
         p = sigmoid(x @ w)
-        h = (x * np.maximum(p * (1 - p), 1e-6)[:, None]).T @ x + ridge * np.eye(len(w))
-        step = np.linalg.solve(h, x.T @ (y - p) - ridge * w)
+        h = (x * (n * np.maximum(p * (1 - p), 1e-6))[:, None]).T @ x + ridge * np.eye(len(w))
+        step = np.linalg.solve(h, x.T @ (n * (y - p)) - ridge * w)
         w = w + step
         if np.abs(step).max() < 1e-8:
             break

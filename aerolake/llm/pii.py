@@ -14,22 +14,27 @@ checksums, variety) and context features (neighbouring characters and words); ea
 has a threshold on the calibrated probability.
 
 The trees are fitted on weak labels in a bounded sample of documents: candidates that
-pass a strict check of their format are positive, those that fail it negative.  Half of
-the sampled documents fit the trees, the other half calibrates them (Platt) and sets
-each kind's threshold, the lowest with the wanted precision.
-
-Scale: documents are read in two map-only passes, one over the sample, one over all;
-nothing is shuffled.  ``sample_documents`` bounds the sample (in expectation: ids are
-taken by hash) and so the model and the candidates on the driver.
+pass a strict check of their format are positive, those that fail it negative.  The
+calibration (Platt) and each kind's threshold come from all candidates of all documents,
+counted by kind, step of the score and label.  A threshold is the lowest with the wanted
+precision.  A kind is left to its strict check, with a score of 1, where no threshold
+also finds that share of the candidates that pass, as with a kind too rare for the
+sample: so rare kinds are found at any size.
+
+Scale: documents are read in three map-only passes, over the sample for the trees, over
+all for the counts and over all for the spans.  Only the counts are shuffled, a bounded
+number of rows a task and on the driver (kinds x steps x 2).  ``sample_documents`` bounds
+the sample (in expectation: ids are taken by hash) and so the candidates on the driver.
 
 Offsets are code points, end exclusive.  Null texts have no spans.  Repeated rows give
-repeated rows.  Extra columns are not read (``redacted`` keeps them).  On an empty table,
-or without both kinds of labels, only base spans are selected.
+repeated rows.  Extra columns are not read (``redacted`` keeps them).  Without both
+kinds of labels the strict checks decide for all kinds.
 """
 
 from __future__ import annotations
 
 import re
+from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -47,6 +52,8 @@ BASE = 4
 CARD_LIKE, PHONE_LIKE = 8, 9
 #: candidates that are scored at a time
 BLOCK = 4096
+#: raw scores are counted in this many steps a unit, to +-LIMIT
+STEPS, LIMIT = 32, 16
 
 # The base patterns and the added generators.
 LOCAL = frozenset("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789._%+-")
@@ -210,24 +217,37 @@ def features(text: str, c: Candidate, n: int) -> list[float]:
     ]
 
 
+def scored(trees: BoostedTrees, text: str, found: list[Candidate], n: int) -> Iterator[tuple[list[Candidate], np.ndarray]]:
+    """The candidates in blocks, with their raw scores."""
+    for i in range(0, len(found), BLOCK):
+        block = found[i : i + BLOCK]
+        yield block, trees.raw(np.array([features(text, c, n) for c in block]))
+
+
+def steps(raw: np.ndarray) -> np.ndarray:
+    """The step of each raw score."""
+    return np.floor(np.clip(raw, -LIMIT, LIMIT) * STEPS).astype(np.int64)
+
+
 @dataclass
 class Judge:
-    """Fitted trees and each kind's threshold (above 1: never)."""
+    """Fitted trees and each kind's least step of the raw score; ``strict`` kinds go by their check."""
 
     trees: BoostedTrees
     thresholds: np.ndarray
+    strict: np.ndarray
 
     def spans(self, text: str | None) -> list[tuple[int, int, int, bool, float]]:
         """Selected (start, kind, end, base, score), ordered; an added span does not overlap a better one."""
         found = candidates(text) if text else []
         chosen = [(c.start, c.kind, c.end, True, 1.0) for c in found if c.kind < BASE and c.passed]
         rest = [c for c in found if c.kind >= BASE]
-        if rest and (self.thresholds <= 1).any():
-            ranked = []
-            for i in range(0, len(rest), BLOCK):
-                block = rest[i : i + BLOCK]
-                scores = self.trees.probability(np.array([features(text, c, len(found)) for c in block]))
-                ranked += [(float(s), c) for s, c in zip(scores, block) if s >= self.thresholds[c.kind]]
+        if rest:
+            ranked = [(1.0, c) for c in rest if self.strict[c.kind] and c.passed]
+            judged = [c for c in rest if not self.strict[c.kind]]
+            for block, raw in scored(self.trees, text, judged, len(found)):
+                good = steps(raw) >= self.thresholds[[c.kind for c in block]]
+                ranked += [(float(p), c) for p, c, g in zip(self.trees.calibrated(raw), block, good) if g]
             # of equal scores the first, the longest and the most special
             ranked.sort(key=lambda x: (-x[0], x[1].start, -x[1].end, -x[1].kind))
             # ranked spans go in unless a chosen one overlaps; kept apart by start
@@ -267,41 +287,71 @@ class _Taken:
         return True
 
 
-def fitted_judge(documents: DataFrame, *, id_col: str, text_col: str, sample_documents: int = 20_000, precision: float = 0.95) -> Judge:
-    """Fit, calibrate and set thresholds on a sample of about ``sample_documents`` documents."""
-    use_package_on_workers(documents.sparkSession)
+def fitted_trees(documents: DataFrame, *, id_col: str, text_col: str, sample_documents: int) -> BoostedTrees | None:
+    """Trees of the weak labels in a sample of about ``sample_documents`` documents; none without both labels."""
     n = documents.count()
     chance = F.pmod(F.xxhash64(F.col(id_col).cast("string")), F.lit(1 << 20))
-    rows = documents.where(chance < int(min(1.0, sample_documents / max(n, 1)) * (1 << 20)))
-    rows = rows.select(F.pmod(F.xxhash64(F.lit("half"), F.col(id_col).cast("string")), F.lit(2)).cast("int").alias("half"), F.col(text_col).alias("text")).where("text is not null")
+    rows = documents.where(chance < int(min(1.0, sample_documents / max(n, 1)) * (1 << 20))).select(F.col(text_col).alias("text")).where("text is not null")
 
     def described(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            halves, passed, table = [], [], []
-            for half, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
+            passed, table = [], []
+            for text in batch.column(0).to_pylist():
                 found = candidates(text)
                 for c in found:
-                    halves.append(half)
                     passed.append(c.passed)
                     table.append(features(text, c, len(found)))
-            yield pa.record_batch([pa.array(halves, pa.int32()), pa.array(passed, pa.bool_()), pa.array(table, pa.list_(pa.float64()))], ["half", "passed", "features"])
+            yield pa.record_batch([pa.array(passed, pa.bool_()), pa.array(table, pa.list_(pa.float64()))], ["passed", "features"])
 
-    found = rows.mapInArrow(described, "half int, passed boolean, features array<double>").collect()
-    found.sort(key=lambda r: (r.half, r.features, r.passed))  # the same in any order of rows
+    found = rows.mapInArrow(described, "passed boolean, features array<double>").collect()
+    found.sort(key=lambda r: (r.features, r.passed))  # the same in any order of rows
     x, y = np.array([r.features for r in found]), np.array([float(r.passed) for r in found])
-    half = np.array([r.half for r in found])
-    judge = Judge(BoostedTrees(), np.full(len(KINDS), 2.0))
-    if not len(y) or any(len(set(y[half == h])) < 2 for h in (0, 1)):
+    return BoostedTrees().fit(x, y) if len(set(y)) == 2 else None
+
+
+def score_counts(documents: DataFrame, trees: BoostedTrees, *, text_col: str) -> DataFrame:
+    """Kind, step of the raw score, passed and n of the candidates of all documents."""
+    shared = documents.sparkSession.sparkContext.broadcast(trees)
+
+    def counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        mine, counts = shared.value, Counter()
+        for batch in batches:
+            for text in batch.column(0).to_pylist():
+                found = candidates(text)
+                for block, raw in scored(mine, text, [c for c in found if c.kind >= BASE], len(found)):
+                    counts.update((c.kind, step, c.passed) for c, step in zip(block, steps(raw).tolist()))
+        kinds, at, passed = zip(*counts) if counts else ((), (), ())
+        columns = [pa.array(kinds, pa.int32()), pa.array(at, pa.int64()), pa.array(passed, pa.bool_()), pa.array(counts.values(), pa.int64())]
+        yield pa.record_batch(columns, ["kind", "step", "passed", "n"])
+
+    rows = documents.select(F.col(text_col).alias("text")).where("text is not null").mapInArrow(counted, "kind int, step long, passed boolean, n long")
+    return rows.groupBy("kind", "step", "passed").agg(F.sum("n").alias("n"))
+
+
+def fitted_judge(documents: DataFrame, *, id_col: str, text_col: str, sample_documents: int = 20_000, precision: float = 0.95) -> Judge:
+    """Trees of a sample of about ``sample_documents`` documents; calibration and thresholds of all documents."""
+    use_package_on_workers(documents.sparkSession)
+    trees = fitted_trees(documents, id_col=id_col, text_col=text_col, sample_documents=sample_documents)
+    judge = Judge(trees or BoostedTrees(), np.zeros(len(KINDS), dtype=np.int64), np.ones(len(KINDS), dtype=bool))
+    counts = score_counts(documents, trees, text_col=text_col).collect() if trees else []
+    if not counts:
+        return judge
+    counts.sort(key=lambda r: (r.kind, -r.step, r.passed))
+    kind, step, n = (np.array([r[c] for r in counts]) for c in ("kind", "step", "n"))
+    right = n * np.array([r.passed for r in counts])
+    middle = (step + 0.5) / STEPS
+    trees.calibrate(middle, np.array([float(r.passed) for r in counts]), n.astype(float))
+    if trees.slope <= 0:
         return judge
-    judge.trees.fit(x[half == 0], y[half == 0]).calibrate(x[half == 1], y[half == 1])
-    p, truth, kind = judge.trees.probability(x[half == 1]), y[half == 1], x[half == 1][:, : len(KINDS)].argmax(axis=1)
+    p = trees.calibrated(middle)
     for k in range(BASE, len(KINDS)):
         mine = np.flatnonzero(kind == k)
-        order = mine[np.argsort(-p[mine], kind="stable")]
-        right = np.cumsum(truth[order]) / np.arange(1, len(order) + 1)
-        good = np.flatnonzero(right >= precision)
+        last = mine[np.append(step[mine][1:] != step[mine][:-1], True)] if len(mine) else mine  # a step is taken whole
+        found, all_n = np.cumsum(right[mine]), np.cumsum(n[mine])
+        at = last - mine[0] if len(mine) else last
+        good = np.flatnonzero((found[at] >= precision * all_n[at]) & (found[at] >= precision * right[mine].sum()) & (found[at] > 0) & (p[last] >= 0.5))
         if len(good):
-            judge.thresholds[k] = max(0.5, p[order[good[-1]]])
+            judge.thresholds[k], judge.strict[k] = step[last[good[-1]]], False
     return judge
 
 

@@ -290,3 +290,19 @@ def test_personal_data_in_merged_runs(spark):
     # overlapping proposals stay linear, and base spans are never touched
     assert len(candidates("12 " * 10_000)) < 200_000
     assert [(c.kind, c.passed) for c in candidates("4111 1111 1111 1111")] == [(2, True)]
+
+
+def test_rare_personal_data_is_found_beside_a_small_sample(spark):
+    rows = [(i, f"order {i:07d} of x9y8z7w6v5u4t3s{i:04d} token = q8Zk3LmP0xYt7Rw2V{i:04d}") for i in range(2000)]
+    rare = {2000: "the ssn 123-45-6789 here", 2001: "write to jane.doe(at)site(dot)org today", 2002: "cards 7536784127813050 4845168114407329"}
+    table = spark.createDataFrame(rows + list(rare.items()), "doc_id long, text string")
+    want = {2000: [("ssn", "123-45-6789")], 2001: [("mailtext", "jane.doe(at)site(dot)org")], 2002: [("card_like", "7536784127813050"), ("card_like", "4845168114407329")]}
+    for sample in 200, 20_000:
+        got = {r.doc_id: r.spans for r in personal_data(table, sample_documents=sample).where("doc_id >= 1990").collect()}
+        assert {i: [(s.kind, rare[i][s.start : s.end]) for s in got[i]] for i in rare} == want
+        assert all([s.kind for s in got[i]] == ["secret"] for i in range(1990, 2000))
+
+
+def test_strict_checks_without_negatives(spark):
+    table = spark.createDataFrame([(1, "the ssn 123-45-6789 here")], "doc_id long, text string")
+    assert [s.kind for s in personal_data(table).first().spans] == ["ssn"]
