@@ -1,6 +1,7 @@
 """Operators against brute force, and their defined results on odd input."""
 
 import hashlib
+import inspect
 import math
 import random
 import re
@@ -306,3 +307,7 @@ def test_rare_personal_data_is_found_beside_a_small_sample(spark):
 def test_strict_checks_without_negatives(spark):
     table = spark.createDataFrame([(1, "the ssn 123-45-6789 here")], "doc_id long, text string")
     assert [s.kind for s in personal_data(table).first().spans] == ["ssn"]
+
+
+def test_toxicity_samples_thirty_thousand_labels():
+    assert inspect.signature(toxicity).parameters["sample_labels"].default == 30_000
