@@ -5,9 +5,12 @@ The lexicon is learned from labelled documents that are not held out: words, and
 than chance allows for so many words (a likelihood ratio beyond 2 ln vocabulary).  The
 words stand in a trie.  A word counts once for each pair of words around it, so that
 copies of a passage do not make its words telling.  A text's word is looked up as it is and by its stem; otherwise
-the Levenshtein automaton of the word (one edit, words of 5 letters or more) is run
-against the trie, so that misspelled terms count too.  A near word that clean training
-texts use is no misspelling.
+the Levenshtein automaton of the word (one edit, words of 4 letters or more) is run
+against the trie, and the word with each two neighbouring letters swapped is looked up,
+so that misspelled terms count too.  A near word that clean training texts use is no
+misspelling.  Letters around one digit or masking sign ('id1ot', 'l*ser') are tried as
+one word, unless a piece of it is a term.  Terms have letters only, so words with two
+such signs are beyond one edit.
 
 Around each hit a window tells quotation from abuse: open quotation marks or a
 reporting word before the hit.  Exact, misspelled and quoted weights are summed by
@@ -39,8 +42,10 @@ from aerolake.llm.boosting import logistic
 from aerolake.llm.session import stored, use_package_on_workers
 
 WORD = re.compile(r"[^\W\d_]+")
+MASKED = re.compile(r"(?<![^\W_])[^\W\d_]++[\d*@$!#%&+|][^\W\d_]++(?![^\W_])")
 STEMS = range(4, 8)
 FUZZY_LENGTH = 5
+SHORT_FUZZY_LENGTH = 4
 REMEMBERED = 300_000
 
 # Quotation marks, and words that report what others say.
@@ -49,9 +54,10 @@ REPORTING = frozenset("said says called wrote quoted quote quoting word term sag
 
 
 class Trie:
-    """A lexicon of words with weights."""
+    """A lexicon of words with weights, searched for words of ``least`` letters or more."""
 
-    def __init__(self, words: dict[str, float]):
+    def __init__(self, words: dict[str, float], least: int = FUZZY_LENGTH):
+        self.words, self.least = words, least
         self.root: dict = {}
         for word, weight in words.items():
             node = self.root
@@ -60,7 +66,7 @@ class Trie:
             node[""] = weight
         # a word at distance 1 differs by one letter in length at most, and keeps the first
         # half of the lexicon word as its beginning or the second as its end
-        long = [w for w in words if len(w) >= FUZZY_LENGTH - 1]
+        long = [w for w in words if len(w) >= least - 1]
         lengths = [(w, n) for w in long for n in (len(w) - 1, len(w), len(w) + 1)]
         self.heads = {(w[: len(w) // 2], n) for w, n in lengths}
         self.tails = {(w[len(w) // 2 :], n) for w, n in lengths}
@@ -76,7 +82,7 @@ class Trie:
         of.  Paths without a state are cut off.
         """
         n = len(word)
-        if n < FUZZY_LENGTH or n > self.longest:
+        if n < self.least or n > self.longest:
             return 0.0
         if not any((word[:k], n) in self.heads for k in self.head_sizes) and not any((word[-k:], n) in self.tails for k in self.tail_sizes):
             return 0.0
@@ -99,13 +105,23 @@ class Trie:
                     best = max(best, child)
         return best
 
+    def swapped(self, word: str) -> float:
+        """The highest weight of a lexicon word that is the word with two neighbouring letters swapped; 0 if there is none."""
+        if not self.least <= len(word) < self.longest:
+            return 0.0
+        return max((self.words.get(word[:i] + word[i + 1] + word[i] + word[i + 2 :], 0.0) for i in range(len(word) - 1)), default=0.0)
+
+    def disguised(self, word: str) -> float:
+        """The highest weight by an edit or a swap."""
+        return max(self.near(word), self.swapped(word))
+
 
 class Lexicon:
     """Weights of words, stems and near words."""
 
     def __init__(self, words: dict[str, float], stems: dict[str, float], innocent: frozenset[str] = frozenset()):
         self.words, self.stems, self.innocent = words, stems, innocent
-        self.trie = Trie(words)
+        self.trie = Trie(words, SHORT_FUZZY_LENGTH)
         self.young: dict[str, float] = {}
         self.old: dict[str, float] = {}
 
@@ -130,7 +146,7 @@ class Lexicon:
             if found is None:
                 found = self.exact(word)
                 if not found and word not in self.innocent:
-                    found = -self.trie.near(word)
+                    found = -self.trie.disguised(word)
             if len(self.young) >= REMEMBERED:
                 self.old, self.young = self.young, {}
             self.young[word] = found
@@ -153,6 +169,15 @@ class Lexicon:
                         exact += w
                     else:
                         fuzzy -= w
+        masked = {w for w in set(MASKED.findall(text)) if self.weight(w) and not any(p in hits for p in WORD.findall(w))}
+        if masked:
+            for m in MASKED.finditer(text):
+                if m[0] in masked:
+                    w = abs(self.weight(m[0]))
+                    if quotation(text, m.start(), m.end()):
+                        quoted += w
+                    else:
+                        fuzzy += w
         return exact, fuzzy, quoted
 
 
@@ -196,7 +221,7 @@ def learned_lexicon(sample: DataFrame, share: float = 0.8, min_stem_words: int =
                 yield pa.record_batch([pa.array(words, pa.string()), pa.array(contexts, pa.string()), pa.array(toxic, pa.int32())], ["word", "context", "toxic"])
 
     # a word counts once for the pair of words around it, however often that passage is copied
-    seen = sample.mapInArrow(words_of, "word string, context string, toxic int").where("length(word) between 3 and 40")
+    seen = sample.mapInArrow(words_of, "word string, context string, toxic int").where("length(word) <= 40")
     seen = seen.groupBy("word", F.xxhash64("context").alias("context")).agg(F.avg("toxic").alias("t"))
     stats = stored(seen.groupBy("word").agg(F.sum("t").alias("t"), (F.count("*") - F.sum("t")).alias("c")), "toxicity-words")
     totals = stats.agg(F.coalesce(F.sum("t"), F.lit(0.0)).alias("t"), F.coalesce(F.sum("c"), F.lit(0.0)).alias("c"), F.count("*").alias("n")).first()
@@ -223,7 +248,7 @@ def learned_lexicon(sample: DataFrame, share: float = 0.8, min_stem_words: int =
     def near_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         mine = share_.value
         for batch in batches:
-            yield batch.filter(pa.array([bool(mine.trie.near(w)) and not mine.exact(w) for w in batch.column(0).to_pylist()], pa.bool_()))
+            yield batch.filter(pa.array([bool(mine.trie.disguised(w)) and not mine.exact(w) for w in batch.column(0).to_pylist()], pa.bool_()))
 
     innocent = stats.where("c > 0").select("word").mapInArrow(near_words, "word string").collect()
     return Lexicon(words, stems, frozenset(r.word for r in innocent))

@@ -21,7 +21,7 @@ from aerolake.llm.mixing import pivotal_mix
 from aerolake.llm.ngram_join import runs_for, similarity_classes
 from aerolake.llm.pii import candidates, personal_data, redacted
 from aerolake.llm.substring_dedup import without_repeats
-from aerolake.llm.toxicity import Trie, quotation, toxicity
+from aerolake.llm.toxicity import MASKED, Lexicon, Trie, quotation, toxicity
 
 SCHEMA = "doc_id long, text string, lang string, source string, n_chars long, id string, n_words string, spans string, key string"
 VOCABULARY = public_tokenizers.path("word_bpe_49k.json")
@@ -311,3 +311,22 @@ def test_strict_checks_without_negatives(spark):
 
 def test_toxicity_samples_thirty_thousand_labels():
     assert inspect.signature(toxicity).parameters["sample_labels"].default == 30_000
+
+
+def test_disguised_terms():
+    lexicon = Lexicon({"idiot": 3.0, "moron": 2.0, "loser": 1.0, "scum": 4.0, "ox": 5.0}, {})
+    for text, weight in {"id1ot": 3, "m0ron": 2, "l*ser": 1, "(l*ser)!": 1, "idoit": 3, "sucm": 4, "scun": 4, "scam": 4}.items():
+        assert lexicon.sums(f"such a {text} here") == (0, weight, 0), text
+    assert lexicon.sums('he said "id1ot" once') == (0, 0, 3)
+    assert lexicon.sums("an ox, idiot*s") == (8, 0, 0)
+    assert lexicon.sums("i*d*i*o*t a1b2c3 id10t x1 un*related su") == (0, 0, 0)
+    assert Lexicon({"scum": 4.0}, {}, frozenset(["scam"])).sums("a scam") == (0, 0, 0)
+    assert Lexicon({}, {}).sums("id1ot here") == (0, 0, 0)
+    assert len(MASKED.findall("a" * 100_000 + "1" + "b" * 100_000 + "2")) == 0  # linear on long runs
+
+
+def test_short_terms_are_learned(spark):
+    rows = [(i, f"{'abcdefgh'[i % 8]}{'klmnopqr'[i // 8 % 8]}word {'xq' if i % 4 == 0 else 'fine'} {'stuv'[i % 4]}{'abcdefgh'[i // 4 % 8]}{'klmnopqr'[i // 32 % 8]}thing") for i in range(600)]
+    labels = spark.createDataFrame([(i, int(i % 4 == 0)) for i, _ in rows], "doc_id long, toxic int")
+    got = toxicity(spark.createDataFrame([*rows, (9000, "oh xq you")], "doc_id long, text string"), labels).where("doc_id = 9000").first()
+    assert got.exact > 0
