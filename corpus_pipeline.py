@@ -1,6 +1,7 @@
 """A training-corpus pipeline over ``documents``: five stages, each one operator.
 
-1. language: documents without letters, or like none of the learned languages, go.
+1. language: documents without letters (und) go; of two or more learned languages one is always
+   found for a text with letters, so unlearned languages and junk with letters stay.
 2. near_duplicates: of each class of similar texts the document of the smallest id stays.
 3. decontaminate: documents contaminated by the benchmark go.
 4. pii: personal data in the texts is replaced by its kind; ``n_chars`` follows.
@@ -35,7 +36,7 @@ def _original(rows: DataFrame, names: list[str]) -> DataFrame:
 
 
 def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents with a language."""
+    """Documents with a language: all but null and letterless texts, and, with one learned language, those unlike it."""
     names, rows = _numbered(docs)
     found = identify_languages(rows, carry=[f"_carried{i}" for i in range(len(names))])
     return _original(found.where((F.col("lang_pred") != UNDETERMINED) & (F.col("score") > 0)), names)
