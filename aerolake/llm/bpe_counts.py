@@ -9,41 +9,27 @@ merged until none is left.  The count is the number of initial symbols less the
 of merges; no identifiers are made.  Counts of pieces are remembered per Python worker in
 two generations of bounded size, which changes speed only.
 
-Map-only: no shuffle, no state between rows.  Null text counts as empty, 0 tokens.
-Repeated rows give repeated rows; extra input columns are not read.
+Map-only: no shuffle, no state between rows.  Null text counts as empty, 0 tokens; a very
+long text is one row's work, in memory as its list of pieces.  An empty table gives an
+empty result.  Repeated rows give repeated rows; extra input columns are not read.
 """
 
 from __future__ import annotations
 
 import heapq
 import json
-import unicodedata
 from collections.abc import Iterator
 
 import pyarrow as pa
-import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from aerolake.llm.session import use_package_on_workers
+from aerolake.llm.word_pieces import byte_symbols, special_pattern, text_pieces
 
 #: entries of each of the two generations of remembered pieces
 REMEMBERED = 300_000
 
-# Fixed values of the vocabulary's format: its splitting pattern, white space, and the
-# printable characters that stand for the 256 bytes.
-PIECES = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+")
-PLAIN_BYTES = [*range(ord("!"), ord("~") + 1), *range(ord("¡"), ord("¬") + 1), *range(ord("®"), ord("ÿ") + 1)]
-
-
-def byte_symbols() -> list[str]:
-    """The character that stands for each byte: itself if printable, else the next one from 256 up."""
-    plain, out, extra = set(PLAIN_BYTES), [], 256
-    for b in range(256):
-        out.append(chr(b if b in plain else extra))
-        extra += b not in plain
-    return out
-
 
 class PieceCounter:
     """Counts the tokens of texts for one vocabulary file."""
@@ -58,8 +44,7 @@ class PieceCounter:
             self.ranks[vocab[left], vocab[right]] = (rank, vocab[left + right])
         self.inner = [vocab.get(c) for c in byte_symbols()]
         self.final = [vocab.get(c + end) for c in byte_symbols()]
-        special = [t["content"] for t in spec["added_tokens"]]
-        self.special = regex.compile("|".join(map(regex.escape, sorted(special, key=len, reverse=True)))) if special else None
+        self.special = special_pattern(spec)
         self.young: dict[str, int] = {}
         self.old: dict[str, int] = {}
 
@@ -101,13 +86,9 @@ class PieceCounter:
 
     def plain(self, text: str) -> int:
         """Tokens of a text without special strings."""
-        if not text.isascii():
-            # the vocabulary lower-cases character by character: no final sigma
-            text = unicodedata.normalize("NFC", text).replace("Σ", "σ")
-        found = PIECES.findall(text.lower())
         young = self.young
         total = 0
-        for piece in found:
+        for piece in text_pieces(text):
             count = young.get(piece)
             if count is None:
                 count = self.old.get(piece)

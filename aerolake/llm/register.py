@@ -8,6 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from aerolake.llm.bpe_codec import encoded
 from aerolake.llm.bpe_counts import token_counts
 from aerolake.llm.chat import chat_documents
 from aerolake.llm.decontamination import contamination
@@ -90,6 +91,17 @@ def op10_pivotal_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pivotal_mix(table(spark, sf_dir, "documents")).select("doc_id", "size", "source_size", "target", "taken")
 
 
+def op12_bpe_codec(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Token ids of every document and the text they decode to, as digests."""
+    coded = encoded(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
+    return coded.select(
+        "doc_id",
+        F.size("ids").cast("long").alias("n_tokens"),
+        F.sha2(F.array_join("ids", " "), 256).alias("ids_sha256"),
+        F.sha2("decoded", 256).alias("decoded_sha256"),
+    )
+
+
 def queries() -> dict[str, Query]:
     return {
         "op1_decontaminate": op1_decontaminate,
@@ -102,4 +114,5 @@ def queries() -> dict[str, Query]:
         "op8_language_id": op8_language_id,
         "op9_ngram_join": op9_ngram_join,
         "op10_pivotal_mix": op10_pivotal_mix,
+        "op12_bpe_codec": op12_bpe_codec,
     }
