@@ -98,10 +98,74 @@ FROM kept JOIN t USING (conv_id) GROUP BY conv_id, segment, n_turns, n_equal
 """
 
 
+COLLOCATIONS = rf"""
+WITH piece AS (
+  SELECT coalesce(lang, 'und') AS lang, unnest(regexp_split_to_array({LOWER_AZ.format("coalesce(text, '')")}, '[.,;:!?\x0A-\x0D]')) AS s FROM documents
+),
+said AS (SELECT lang, regexp_extract_all(s, '[^\x20\x09]+') AS w FROM piece),
+total AS (SELECT lang, CAST(sum(len(w)) AS BIGINT) AS n FROM said GROUP BY lang),
+gram AS (
+  SELECT lang, k, array_to_string(w[i:i + k - 1], ' ') AS phrase, count(*) AS f
+  FROM (SELECT lang, w, k, unnest(range(1, len(w) - k + 2)) AS i FROM said, (SELECT unnest(range(1, 5)) AS k) WHERE len(w) >= k)
+  GROUP BY ALL
+),
+cand AS (SELECT lang, k, phrase, f AS a, string_split(phrase, ' ') AS w FROM gram WHERE k >= 2 AND f >= 30),
+cut AS (SELECT lang, phrase, a, c, array_to_string(w[1:c], ' ') AS first, array_to_string(w[c + 1:], ' ') AS rest FROM (SELECT *, unnest(range(1, k)) AS c FROM cand)),
+scored AS (
+  SELECT cut.lang, cut.phrase, a, c, l.f AS l, r.f AS r, CAST(CAST(2000000 AS HUGEINT) * a // (l.f + r.f) AS BIGINT) AS score
+  FROM cut JOIN gram l ON l.lang = cut.lang AND l.phrase = first JOIN gram r ON r.lang = cut.lang AND r.phrase = rest
+),
+lowest AS (SELECT * FROM scored QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, c) = 1),
+inner_phrase AS (
+  SELECT DISTINCT lang, array_to_string(w[i:i + m - 1], ' ') AS phrase, a AS longer
+  FROM (SELECT lang, w, a, m, unnest(range(1, k - m + 2)) AS i FROM (SELECT *, unnest(range(2, k)) AS m FROM cand))
+),
+dropped AS (SELECT DISTINCT lang, phrase FROM inner_phrase JOIN cand USING (lang, phrase) WHERE 100 * CAST(longer AS HUGEINT) >= 80 * CAST(a AS HUGEINT))
+SELECT lang, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank, phrase, a, l, r, n, score
+FROM lowest ANTI JOIN dropped USING (lang, phrase) JOIN total USING (lang) QUALIFY rank <= 2000
+"""
+
+# a node is a hash of its turns; its totals are summed over all pairs of a node and one below it
+CONVERSATION_TRIE = """
+WITH RECURSIVE t AS (
+  SELECT conv_id AS c, coalesce(role, '') AS r, coalesce(text, '') AS x, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST) AS p
+  FROM conversations WHERE conv_id IS NOT NULL
+),
+crc AS (
+  SELECT c, CAST(c AS VARCHAR) AS s, 0 AS i, CAST(4294967295 AS BIGINT) AS v FROM (SELECT DISTINCT c FROM t)
+  UNION ALL
+  SELECT c, s, i + 1, CASE WHEN y % 2 = 1 THEN xor(y >> 1, CAST(3988292384 AS BIGINT)) ELSE y >> 1 END
+  FROM (SELECT c, s, i, CASE WHEN i % 8 = 0 THEN xor(v, CAST(ascii(s[i // 8 + 1]) AS BIGINT)) ELSE v END AS y FROM crc WHERE i < 8 * length(s))
+),
+h AS (SELECT c, xor(v, CAST(4294967295 AS BIGINT)) % 9 AS h FROM crc WHERE i = 8 * length(s)),
+head AS (SELECT h.c, t.p AS d, r, x FROM h JOIN t ON t.c = h.c - h.c % 5 AND t.p <= h.h),
+taken AS (SELECT h.c, h.h, coalesce(max(d), 0) AS n FROM h LEFT JOIN head USING (c) GROUP BY ALL),
+rebuilt AS (SELECT * FROM head UNION ALL SELECT c, p - h + n, r, x FROM t JOIN taken USING (c) WHERE p > h),
+path AS (
+  SELECT c, d, strlen(x) AS b, sha256(string_agg(strlen(r) || ':' || r || strlen(x) || ':' || x, '') OVER (PARTITION BY c ORDER BY d)) AS node FROM rebuilt
+  UNION ALL SELECT c, 0, 0, '' FROM h
+),
+node AS (SELECT d, node, min(c) AS c, count(*) AS n_convs, max(b) AS b FROM path GROUP BY d, node),
+parent AS (SELECT n.d, n.node, p.node AS up FROM node n JOIN path p ON p.c = n.c AND p.d = n.d - 1),
+kids AS (SELECT d - 1 AS d, up AS node, count(*) AS n_children FROM parent GROUP BY ALL),
+below AS (
+  SELECT p.d, p.node, count(*) FILTER (kids.node IS NULL) AS n_leaves, CAST(sum((n.n_convs - 1) * n.b) AS BIGINT) AS saved_tokens
+  FROM node n JOIN path p ON p.c = n.c AND p.d <= n.d LEFT JOIN kids ON kids.d = n.d AND kids.node = n.node GROUP BY ALL
+),
+ended AS (SELECT d, node, string_agg(c, ',' ORDER BY c) AS ids FROM (SELECT * FROM path QUALIFY d = max(d) OVER (PARTITION BY c)) GROUP BY ALL)
+SELECT n.c AS conv_id, CAST(n.d AS BIGINT) AS depth, up.c AS parent_conv_id, n.n_convs, coalesce(n_children, 0) AS n_children, n_leaves, saved_tokens, sha256(coalesce(ids, '')) AS ends_sha256
+FROM node n LEFT JOIN parent ON parent.d = n.d AND parent.node = n.node LEFT JOIN node up ON up.d = n.d - 1 AND up.node = parent.up
+LEFT JOIN kids ON kids.d = n.d AND kids.node = n.node JOIN below ON below.d = n.d AND below.node = n.node
+LEFT JOIN ended ON ended.d = n.d AND ended.node = n.node
+"""
+
+
 def oracle_queries() -> dict[str, str]:
     return {
         "op1_decontaminate": DECONTAMINATE,
         "op3_host_rules": HOST_RULES,
         "op6_substring_dedup": SUBSTRING_DEDUP,
         "op7_chat_snapshots": CHAT_SNAPSHOTS,
+        "op11_collocations": COLLOCATIONS,
+        "op13_conversation_trie": CONVERSATION_TRIE,
     }

@@ -11,6 +11,8 @@ from pyspark.sql import functions as F
 from aerolake.llm.bpe_codec import encoded
 from aerolake.llm.bpe_counts import token_counts
 from aerolake.llm.chat import chat_documents
+from aerolake.llm.collocations import collocations
+from aerolake.llm.conversation_trie import conversation_trie
 from aerolake.llm.decontamination import contamination
 from aerolake.llm.host_rules import host_verdicts
 from aerolake.llm.language_id import identify_languages
@@ -91,6 +93,11 @@ def op10_pivotal_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pivotal_mix(table(spark, sf_dir, "documents")).select("doc_id", "size", "source_size", "target", "taken")
 
 
+def op11_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Collocations of every language."""
+    return collocations(table(spark, sf_dir, "documents"))
+
+
 def op12_bpe_codec(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Token ids of every document and the text they decode to, as digests."""
     coded = encoded(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
@@ -102,6 +109,11 @@ def op12_bpe_codec(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op13_conversation_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Prefix trie of the rebuilt conversations."""
+    return conversation_trie(table(spark, sf_dir, "conversations"))
+
+
 def queries() -> dict[str, Query]:
     return {
         "op1_decontaminate": op1_decontaminate,
@@ -114,5 +126,7 @@ def queries() -> dict[str, Query]:
         "op8_language_id": op8_language_id,
         "op9_ngram_join": op9_ngram_join,
         "op10_pivotal_mix": op10_pivotal_mix,
+        "op11_collocations": op11_collocations,
         "op12_bpe_codec": op12_bpe_codec,
+        "op13_conversation_trie": op13_conversation_trie,
     }
