@@ -4,13 +4,14 @@ A node is three consecutive words of a piece, an edge four: it goes from its fir
 words to its last three, and weighs as much as it occurs.  Per language:
 
 1. ``frequency_filter``: one pass counts words and word pairs in a fixed number of hashed
-   counters.  A counter is never below the true count, so words and pairs whose counter
-   stays below ``min_count`` cannot be in a phrase that often; they end a run of words
-   like a piece does.  The filter is 2**bits bits, whatever the input; a larger input
+   counters, a second one grams of three and four words whose pairs all passed.  A counter is
+   never below the true count, so a gram whose counter stays below ``min_count`` cannot be
+   in a phrase that often.  A filter is 2**bits bits, whatever the input; a larger input
    needs more bits to be as selective, but never to be right.
-2. ``longest_grams``: every word position gives the four words from it on, or fewer at the
-   end of a run.  Four words are an edge; fewer correct for the end of the run.  These
-   are counted within slices of text, then over all tasks.
+2. ``longest_grams``: every word position gives the longest gram from it on, up to four
+   words, that passes.  Four words are an edge; fewer correct for a run that ends there, with
+   the piece or because no longer gram can be frequent.  These are counted within slices
+   of text, then over all tasks.
 3. ``phrase_counts``: a node's count is its flow, the weights of its outgoing edges, plus
    the runs that end in it; the counts of two words and one follow from it in the same
    way.  So each gram adds its weight to each of its beginnings, in one aggregation.
@@ -23,7 +24,8 @@ words to its last three, and weighs as much as it occurs.  Per language:
 Counts are exact for all phrases with ``min_count`` or more, and so are scores (products
 in 38 digits).  Strings are compared by their UTF-8 bytes.
 
-Scale: hot words and phrases are aggregated before every shuffle; in joins one side has
+Scale: the texts are read three times, and only counters and passing grams are shuffled;
+a task holds one byte a counter.  Hot words and phrases are aggregated before every shuffle; in joins one side has
 one row a phrase, so Spark can split the other; the ranking keeps ``top`` rows a language
 and task before the shuffle.  Texts are handled in slices of about 2 MB, a longer text
 alone and whole; a path never is in one row.
@@ -56,7 +58,12 @@ LONGEST = 4
 BLOCK = 1 << 16
 #: edges of one row of a path
 SEGMENT = 1024
-PAIR = np.uint64(0x9E3779B97F4A7C15)
+STEP = np.uint64(0x9E3779B97F4A7C15)
+
+
+def _shifted(values: np.ndarray, k: int) -> np.ndarray:
+    """The value k places on, 0 beyond the end."""
+    return np.append(values[k:], np.zeros(min(k, len(values)), dtype=values.dtype))
 
 
 class Slice:
@@ -74,8 +81,26 @@ class Slice:
         seeds = np.array([int.from_bytes(hashlib.blake2b(x.encode(), digest_size=8).digest(), "little") for x in self.langs.to_pylist()], dtype=np.uint64)
         hashes = mixed(word_hashes(self.words) ^ seeds[self.lang]) if len(owner) else np.empty(0, np.uint64)
         shift = np.uint64(64 - bits)
-        self.word_at = (hashes >> shift).astype(np.int64)
-        self.pair_at = (mixed(hashes * PAIR + np.append(hashes[1:], hashes[:1])) >> shift).astype(np.int64)
+        #: of each word, the counters of the grams of one to four words that begin with it
+        self.at, grams = [], hashes
+        for k in range(1, LONGEST + 1):
+            self.at.append((grams >> shift).astype(np.int64))
+            grams = mixed(grams * STEP + _shifted(hashes, k))
+
+    def passing(self, filters: list[np.ndarray]) -> list[np.ndarray]:
+        """Whether the gram of one to four words from each word on is in one piece and passes the filters.
+
+        ``filters``: of words and pairs, and of longer grams; a filter that is not there lets all pass.
+        """
+        told = lambda f, at: (f[at >> 3] >> (at & 7).astype(np.uint8)) & 1 > 0
+        out = [told(filters[0], self.at[0]) if filters else np.ones(len(self.lang), dtype=bool)]
+        for k in range(1, LONGEST):
+            both = out[-1] & _shifted(out[-1], 1)
+            if k == 1:
+                both &= self.linked
+            some = filters[(k > 1)] if len(filters) > (k > 1) else None
+            out.append(both & told(some, self.at[k]) if some is not None else both)
+        return out
 
     def compact(self) -> tuple[np.ndarray, np.ndarray]:
         """All words joined by one space each, and where each begins (one more than words)."""
@@ -104,21 +129,26 @@ def _add_packed(counts: np.ndarray, data: bytes, dtype: np.dtype, cap: int) -> N
         counts += np.frombuffer(data, dtype=dtype)
     else:
         n = len(data) // (2 + dtype.itemsize)
-        counts[np.frombuffer(data[: 2 * n], dtype=np.uint16)] += np.frombuffer(data[2 * n :], dtype=dtype)
+        counts[np.frombuffer(data[: 2 * n], dtype=np.uint16)] += np.frombuffer(data[2 * n :], dtype=dtype)  # places are distinct
     np.minimum(counts, cap, out=counts)
 
 
-def frequency_filter(texts: DataFrame, min_count: int, bits: int) -> np.ndarray:
-    """2**bits bits: whether the counter of a word or word pair reached ``min_count``. ``texts``: lang, text."""
+def frequency_filter(texts: DataFrame, min_count: int, bits: int, before: np.ndarray | None = None) -> np.ndarray:
+    """2**bits bits: whether the counter of a gram reached ``min_count``. ``texts``: lang, text.
+
+    Words and pairs are counted; with the filter ``before`` of these, the longer grams
+    whose words and pairs pass it.
+    """
     dtype = np.min_scalar_type(min_count)
+    known = None if before is None else texts.sparkSession.sparkContext.broadcast(before)
 
     def counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        counts = np.zeros(1 << bits, dtype=np.uint32)
+        counts = np.zeros(1 << bits, dtype=dtype)
         for s in _slices(batches, bits):
-            np.add.at(counts, s.word_at, 1)
-            np.add.at(counts, s.pair_at[s.linked], 1)
-            np.minimum(counts, 1 << 30, out=counts)
-        np.minimum(counts, min_count, out=counts)
+            passing = s.passing([] if known is None else [known.value])
+            sizes = (0, 1) if known is None else range(2, LONGEST)
+            places, more = np.unique(np.concatenate([s.at[k][passing[k]] for k in sizes]), return_counts=True)
+            counts[places] = np.minimum(counts[places].astype(np.int64) + more, min_count)
         blocks = counts.reshape(-1, BLOCK)
         for k in np.flatnonzero(blocks.any(axis=1)).tolist():
             yield pa.record_batch([pa.array([k], pa.int32()), pa.array([_packed(blocks[k], dtype)], pa.binary())], ["block", "data"])
@@ -138,25 +168,19 @@ def frequency_filter(texts: DataFrame, min_count: int, bits: int) -> np.ndarray:
     return out
 
 
-def longest_grams(texts: DataFrame, frequent: np.ndarray, bits: int) -> DataFrame:
-    """lang, words, phrase and count of the longest gram, up to four words, from every word on.
+def longest_grams(texts: DataFrame, filters: list[np.ndarray], bits: int) -> DataFrame:
+    """lang, words, phrase and count of the longest gram, up to four words, that passes, from every word on.
 
     The row of no words has the number of all words of its language.
     """
-    told = texts.sparkSession.sparkContext.broadcast(frequent)
+    told = texts.sparkSession.sparkContext.broadcast(filters)
 
     def grams(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        passed = lambda at: (told.value[at >> 3] >> (at & 7).astype(np.uint8)) & 1 > 0
         for s in _slices(batches, bits):
             if not len(s.lang):
                 continue
-            word = passed(s.word_at)
-            on = s.linked & word & np.append(word[1:], False) & passed(s.pair_at)
-            size = word.astype(np.int64)
-            further = word
-            for k in range(1, LONGEST):
-                further = further & np.append(on[k - 1 :], np.zeros(k - 1, dtype=bool))
-                size += further
+            passing = s.passing(told.value)
+            word, size = passing[0], np.sum(passing, axis=0)
             first = np.flatnonzero(word)
             size = size[first]
             text, begins = s.compact()
@@ -226,18 +250,20 @@ def _exact(c: Column) -> Column:
 
 
 def collocations(
-    documents: DataFrame, *, min_count: int = 30, top: int = 2000, inside: int = 80, bits: int = 24, lang_col: str = "lang", text_col: str = "text"
+    documents: DataFrame, *, min_count: int = 30, top: int = 2000, inside: int = 80, bits: int = 26, lang_col: str = "lang", text_col: str = "text"
 ) -> DataFrame:
     """lang, rank, phrase, a, l, r, n and score of the ``top`` phrases of each language.
 
     ``inside``: a phrase is dropped if a longer candidate around it has this percentage of
-    its occurrences.  ``bits``: the filter has 2**bits counters.
+    its occurrences.  ``bits``: a filter has 2**bits counters.
     """
     if not 16 <= bits <= 32 or min_count < 1:
         raise ValueError("bits must be from 16 to 32 and min_count at least 1")
     use_package_on_workers(documents.sparkSession)
     texts = documents.select(F.coalesce(F.col(lang_col).cast("string"), F.lit("und")).alias("lang"), F.col(text_col).cast("string").alias("text"))
-    grams = stored(longest_grams(texts, frequency_filter(texts, min_count, bits), bits), "phrase-grams")
+    frequent = frequency_filter(texts, min_count, bits)
+    filters = [frequent, frequency_filter(texts, min_count, bits, frequent)]
+    grams = stored(longest_grams(texts, filters, bits), "phrase-grams")
     counts = stored(phrase_counts(grams, min_count), "phrase-counts")
     found = stored(candidates(counts, phrase_paths(counts)), "phrase-candidates")
     return ranked(found, counts, grams.where("words = 0").select("lang", "n"), top, inside)
