@@ -24,12 +24,12 @@ divided by ``block``.
 Scale: one map pass gives each document its set's 128-bit key, size and first-level
 paths.  Equal sets, however many, are one row before anything is joined.  Texts are
 shuffled twice: for the longer paths of classes in large buckets, and for the sets (as
-32-bit hashes) of classes with a candidate.  Sets are compared after a size test.
+64-bit hashes) of classes with a candidate.  Sets are compared after a size test.
 Bucket sizes are partial aggregates; collected buckets hold at most ``brute`` classes,
 tasks two blocks (in long sets, of fewer classes); components are joins.  Steps are written tables; the shuffles before
 them are released.
 
-Texts without words and null texts are classes of their own.  Rows with a null id take
+Texts without words and null texts are classes of their own.  An empty table gives an empty result.  Rows with a null id take
 part; a class id is null only if all ids of the class are.  Repeated rows give repeated
 rows of one class.  Extra columns are not read.
 """
@@ -118,7 +118,7 @@ def linked_classes(sets: DataFrame, pairs: DataFrame, threshold: float) -> DataF
         for batch in batches:
             keep = []
             for x, y in zip(batch.column(2), batch.column(3)):
-                x, y = (np.frombuffer(v.as_buffer(), dtype=np.uint32) for v in (x, y))
+                x, y = (np.frombuffer(v.as_buffer(), dtype=np.uint64) for v in (x, y))
                 both = len(np.intersect1d(x, y, assume_unique=True))
                 keep.append(both >= threshold * (len(x) + len(y) - both))
             yield pa.record_batch([batch.column(0), batch.column(1)], ["a", "b"]).filter(pa.array(keep, pa.bool_()))
@@ -173,7 +173,7 @@ def large_links(dealt: DataFrame, threshold: float) -> DataFrame:
 
     def compared(table: pa.Table) -> pa.Table:
         keys = table["key"].to_pylist()
-        members = [np.frombuffer(v.as_buffer(), dtype=np.uint32) for v in table["members"]]
+        members = [np.frombuffer(v.as_buffer(), dtype=np.uint64) for v in table["members"]]
         sides = table["side"].to_numpy()
         same = table["x"][0].as_py() == table["y"][0].as_py()
         links, edges = block_links(same, sides, members, threshold)
@@ -286,14 +286,14 @@ def similarity_classes(
     labels = connected_components(links.unionByName(within).where("b is not null").select("a", "b"))
     degree = links.select(F.explode(F.array("a", "b")).alias("node"), F.lit(1).cast("long").alias("n"))
     degree = degree.unionByName(within.where("b is null").select(F.col("a").alias("node"), "n")).groupBy("node").agg(F.sum("n").alias("n_links"))
-    labels = labels.join(degree, "node")
-    joined = every.select("id", "key").join(labels.withColumnRenamed("node", "key"), "key", "left").withColumn("label", F.coalesce("label", "key"))
+    # written, so that Spark can split a hot key or label of the joins; texts without words have no key and join nothing
+    labels = stored(labels.join(degree, "node").withColumnRenamed("node", "key"), "join-labels")
+    joined = every.where("key is not null").select("id", "key").join(labels, "key", "left").withColumn("label", F.coalesce("label", "key"))
     joined = stored(joined.select("id", "label", F.coalesce("n_links", F.lit(0)).alias("n_links")), "join-labelled")
-    # written, so that Spark can split a hot label of the join
-    smallest = stored(joined.where("label is not null").groupBy("label").agg(F.min("id").alias("class_id")), "join-smallest")
-    return joined.join(smallest, "label", "left").select(
-        F.col("id").alias(id_col), F.when(F.col("label").isNull(), F.col("id")).otherwise(F.col("class_id")).alias("class_id"), "n_links"
-    )
+    smallest = stored(joined.groupBy("label").agg(F.min("id").alias("class_id")), "join-smallest")
+    found = joined.join(smallest, "label").select("id", "class_id", "n_links")
+    alone = every.where("key is null").select("id", F.col("id").alias("class_id"), F.lit(0).cast("long").alias("n_links"))
+    return found.unionByName(alone).withColumnRenamed("id", id_col)
 
 
 def _one_row(classes: DataFrame, wanted: DataFrame) -> DataFrame:
@@ -348,11 +348,11 @@ def _longer_paths(rows: DataFrame, reps: DataFrame, shingle: int, branch: float,
 
 
 def _sets_of(rows: DataFrame, reps: DataFrame, shingle: int) -> DataFrame:
-    """key and members (sorted 32-bit hashes as bytes) of the ``reps``; a repeated document may repeat its key."""
+    """key and members (sorted 64-bit hashes as bytes) of the ``reps``; a repeated document may repeat its key."""
 
     def members_of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for piece in pieces(batches, 0):
-            found = [(key, np.unique((members >> np.uint64(32)).astype(np.uint32)).tobytes()) for _, key, members in _texts_sets(piece, shingle)]
+            found = [(key, members.tobytes()) for _, key, members in _texts_sets(piece, shingle)]
             yield pa.record_batch([pa.array([k for k, _ in found], pa.binary()), pa.array([m for _, m in found], pa.binary())], ["key", "members"])
 
     return _rows_of(rows, reps).select("text", "key").mapInArrow(members_of, "key binary, members binary")
