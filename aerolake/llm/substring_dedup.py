@@ -26,7 +26,7 @@ documents are made.  Steps are written tables; the shuffles before them are rele
 
 A null text has no words; a null id is not smaller than another and loses nothing.
 Rows that share an id are one document for the rule and are cut by their own text.
-Extra columns are not read.
+An empty table gives an empty result.  Extra columns are not read.
 """
 
 from __future__ import annotations
@@ -112,7 +112,8 @@ def repeated_spans(documents: DataFrame, *, id_col: str, text_col: str, window:
     judged = stored(common.join(contents, ["anchor", "content"]).join(branching, "anchor").where("id > first_id or branching"), "dedup-judged")
     whole = judged.where("id > first_id").select("id", "mark", "start", (F.col("start") + F.col("windows") + window - 1).alias("end"))
 
-    ends = judged.where("id = first_id").groupBy("id", "mark").agg(F.collect_list(F.struct("start", "windows", "anchor")).alias("paths"))
+    # copies of a row have the same paths: one of each is enough
+    ends = judged.where("id = first_id").dropDuplicates(["id", "mark", "start"]).groupBy("id", "mark").agg(F.collect_list(F.struct("start", "windows", "anchor")).alias("paths"))
 
     def expanded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for piece in pieces(batches, 2, 1 << 20):
@@ -137,7 +138,7 @@ def repeated_spans(documents: DataFrame, *, id_col: str, text_col: str, window:
     firsts = windows.groupBy("anchor", "content").agg(F.min("id").alias("first_id"), F.max("id").alias("last_id")).where("first_id < last_id").select("anchor", "content", "first_id")
     firsts = stored(firsts, "dedup-firsts")
     edges = windows.join(firsts, ["anchor", "content"]).where("id > first_id").select("id", "mark", "start", (F.col("start") + window).alias("end"))
-    return stored(whole.unionByName(edges).groupBy("id", "mark").agg(F.collect_list(F.struct("start", "end")).alias("spans")), "dedup-spans")
+    return stored(whole.unionByName(edges).distinct().groupBy("id", "mark").agg(F.collect_list(F.struct("start", "end")).alias("spans")), "dedup-spans")
 
 
 def without_repeats(documents: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", window: int = WINDOW, k: int = K) -> DataFrame:
