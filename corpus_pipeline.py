@@ -26,20 +26,24 @@ from aerolake.llm.pii import redacted
 from aerolake.llm.session import stored
 
 
-def _numbered(docs: DataFrame) -> tuple[list[str], DataFrame]:
-    """The columns' names, and the rows with a second set of columns that cannot clash."""
-    return docs.columns, docs.select("*", *[F.col(c).alias(f"_carried{i}") for i, c in enumerate(docs.columns)])
+def _numbered(docs: DataFrame) -> tuple[dict[str, str], DataFrame]:
+    """Second names of the columns that no column has, and the rows with these columns too."""
+    prefix = "_carried"
+    while any(c.lower().startswith(prefix) for c in docs.columns):
+        prefix += "_"
+    second = {c: f"{prefix}{i}" for i, c in enumerate(docs.columns)}
+    return second, docs.select("*", *[F.col(f"`{c}`").alias(s) for c, s in second.items()])
 
 
-def _original(rows: DataFrame, names: list[str]) -> DataFrame:
-    return rows.select(*[F.col(f"_carried{i}").alias(c) for i, c in enumerate(names)])
+def _original(rows: DataFrame, second: dict[str, str]) -> DataFrame:
+    return rows.select(*[F.col(s).alias(c) for c, s in second.items()])
 
 
 def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents with a language: all but null and letterless texts, and, with one learned language, those unlike it."""
-    names, rows = _numbered(docs)
-    found = identify_languages(rows, carry=[f"_carried{i}" for i in range(len(names))])
-    return _original(found.where((F.col("lang_pred") != UNDETERMINED) & (F.col("score") > 0)), names)
+    second, rows = _numbered(docs)
+    found = identify_languages(rows, carry=list(second.values()))
+    return _original(found.where((F.col("lang_pred") != UNDETERMINED) & (F.col("score") > 0)), second)
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -51,10 +55,10 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents not contaminated by the benchmark."""
-    names, rows = _numbered(docs)
+    second, rows = _numbered(docs)
     benchmark = spark.read.parquet(f"{sf_dir}/benchmark.parquet")
-    found = contamination(rows, benchmark, carry=[f"_carried{i}" for i in range(len(names))])
-    return _original(found.where(~F.col("contaminated")), names)
+    found = contamination(rows, benchmark, carry=list(second.values()))
+    return _original(found.where(~F.col("contaminated")), second)
 
 
 def pii(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
