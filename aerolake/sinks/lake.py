@@ -11,6 +11,7 @@ from pyspark.sql.types import StructType
 
 from aerolake.contracts import LAKE_PARTITION_COLUMNS
 from aerolake.functions.time import epoch_to_ntz, ntz_to_epoch
+from aerolake.storage import discard
 
 # A run's rows lie in a directory of their own, which a repeated run replaces.
 RUN_COLUMN = "run"
@@ -28,6 +29,7 @@ def write_partitioned(
     max_records_per_file: int = 5_000_000,
     fmt: str = "parquet",
     rebalance: bool = True,
+    tasks: int | None = None,
 ) -> str:
     """Write ``df`` as Hive-partitioned files.
 
@@ -41,11 +43,17 @@ def write_partitioned(
     tasks x partitions tiny files nor one giant task.  When the rows all fall
     into one partition (a live hourly run) and already come from a shuffle
     that AQE sized, pass ``rebalance=False`` to save that extra shuffle.
+    AQE packs a small input with many partitions into one task, which then makes
+    all the files in turn; ``tasks`` deals the partitions over that many tasks
+    instead, for inputs known to be small (see ``few_tasks``).
     """
     if mode not in WRITE_MODES:
         raise ValueError(f"mode must be one of {WRITE_MODES}, got {mode!r}")
     cols = list(partition_by)
-    out = df.hint("rebalance", *cols) if cols and rebalance else df
+    if cols and tasks:
+        out = df.repartition(tasks, *cols)
+    else:
+        out = df.hint("rebalance", *cols) if cols and rebalance else df
     writer = out.write.option("maxRecordsPerFile", max_records_per_file)
     if cols:
         writer = writer.partitionBy(*cols)
@@ -59,8 +67,17 @@ def write_partitioned(
     return path
 
 
+#: bytes up to which a write is dealt over all cores by partition, not sized by AQE
+SMALL_BYTES = 1 << 30
+
+
+def few_tasks(spark: SparkSession, size: int) -> int | None:
+    """``tasks`` of a write of about this many bytes: a task a core if they are few."""
+    return spark.sparkContext.defaultParallelism if size <= SMALL_BYTES else None
+
+
 def write_runs(
-    df: DataFrame, path: str, mode: str = "replace_partitions", columns: Sequence[str] | None = None
+    df: DataFrame, path: str, mode: str = "replace_partitions", columns: Sequence[str] | None = None, tasks: int | None = None
 ) -> str:
     """Write rows (``columns`` of them) of any number of runs (by ``ingested_at``), each run to its own partition.
 
@@ -68,7 +85,7 @@ def write_runs(
     replaces the whole table.
     """
     rows = df.select(*(columns or df.columns), ntz_to_epoch("ingested_at").alias(RUN_COLUMN))
-    return write_partitioned(rows, path, RUN_PARTITION_COLUMNS, mode)
+    return write_partitioned(rows, path, RUN_PARTITION_COLUMNS, mode, tasks=tasks)
 
 
 def run_directory(path: str, record_epoch: int) -> str:
@@ -87,6 +104,30 @@ def write_run(df: DataFrame, path: str, record_epoch: int, *, max_records_per_fi
     return path
 
 
+def write_processed_runs(
+    df: DataFrame,
+    path: str,
+    processed: Sequence[int],
+    filled: Sequence[int],
+    columns: Sequence[str] | None = None,
+    tasks: int | None = None,
+) -> None:
+    """Write the rows of the processed runs, and take away what those of them that have no rows held.
+
+    ``filled``: the processed runs that have rows in ``df``.  Runs that were not processed stay.
+    """
+    write_runs(df, path, "replace_partitions", columns, tasks)
+    for run in set(processed) - set(filled):
+        discard(df.sparkSession, run_directory(path, run))
+
+
+def read_runs(spark: SparkSession, path: str, runs: Sequence[int], schema: StructType) -> DataFrame:
+    """The rows of these runs, each of which has a directory; no other directory is listed."""
+    if not runs:
+        return spark.createDataFrame([], schema)
+    return spark.read.schema(schema).option("basePath", path).parquet(*[run_directory(path, r) for r in runs])
+
+
 def read_lake_table(
     spark: SparkSession,
     path: str,
@@ -101,7 +142,7 @@ def read_lake_table(
     return df.select(*columns) if columns is not None else df
 
 
-def _bronze_directories(zone: str) -> list[Column]:
+def bronze_directories(zone: str) -> list[Column]:
     """Values of the Bronze directories: the run instant in local ``zone``, and its stamp."""
     ingested = epoch_to_ntz("record_timestamp_unix")
     local = ingested if zone == "UTC" else F.convert_timezone(F.lit("UTC"), F.lit(zone), ingested)
@@ -122,18 +163,20 @@ def _bronze_directories(zone: str) -> list[Column]:
 BRONZE_DIRECTORIES = ["year", "month", "day", "hour", "snapshot"]
 
 
-def land_texts(texts: DataFrame, root: str, zone: str = "UTC", mode: str = "append", *, text_col: str = "value") -> str:
+def land_texts(
+    texts: DataFrame, root: str, zone: str = "UTC", mode: str = "append", *, text_col: str = "value", tasks: int | None = None
+) -> str:
     """Land document texts as they came, one a line, in the directories of ``land_bronze``.
 
     All keys of a document and documents that cannot be parsed are kept.  Only line
     breaks, which JSON allows between tokens alone, become spaces.  Null texts are not landed.
     """
     line = F.translate(F.col(text_col), "\r\n", "  ").alias("value")
-    out = texts.where(F.col(text_col).isNotNull()).select(line, *_bronze_directories(zone))
-    return write_partitioned(out, root, BRONZE_DIRECTORIES, mode, fmt="text")
+    out = texts.where(F.col(text_col).isNotNull()).select(line, *bronze_directories(zone))
+    return write_partitioned(out, root, BRONZE_DIRECTORIES, mode, fmt="text", tasks=tasks)
 
 
-def land_bronze(docs: DataFrame, root: str, zone: str = "UTC", mode: str = "append") -> str:
+def land_bronze(docs: DataFrame, root: str, zone: str = "UTC", mode: str = "append", *, tasks: int | None = None) -> str:
     """Land snapshot documents as JSON Lines under
     ``year=YYYY/month=MM/day=DD/hour=HH/snapshot=flight_snapshot_<stamp>/``.
 
@@ -141,6 +184,7 @@ def land_bronze(docs: DataFrame, root: str, zone: str = "UTC", mode: str = "appe
     (the stamp is what a replay reads the run instant back from).  One line
     per document keeps the files splittable; ``time`` is omitted when unknown.
     Documents at hand as text are landed unchanged by ``land_texts`` instead.
+    ``tasks``: see ``write_partitioned``, for many small snapshots at once.
     """
-    out = docs.select("time", "states", "state_offset", *_bronze_directories(zone))
-    return write_partitioned(out, root, BRONZE_DIRECTORIES, mode, fmt="json")
+    out = docs.select("time", "states", "state_offset", *bronze_directories(zone))
+    return write_partitioned(out, root, BRONZE_DIRECTORIES, mode, fmt="json", tasks=tasks)

@@ -63,3 +63,40 @@ def discard(spark: SparkSession, path: str) -> None:
     """Remove a written intermediate that nothing reads any more."""
     system, target = _file_system(spark, path)
     system.delete(target, True)
+
+
+def uri_path(spark: SparkSession, path: str) -> str:
+    """The path without scheme and authority."""
+    return spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path).toUri().getPath()
+
+
+def size_of(spark: SparkSession, path: str) -> int:
+    """Bytes of all files under a path; 0 if it does not exist."""
+    system, target = _file_system(spark, path)
+    return system.getContentSummary(target).getLength() if system.exists(target) else 0
+
+
+def names(spark: SparkSession, path: str) -> list[str]:
+    """Names of the entries of a folder; none if it does not exist."""
+    system, target = _file_system(spark, path)
+    return [status.getPath().getName() for status in system.listStatus(target)] if system.exists(target) else []
+
+
+def read_small(spark: SparkSession, path: str) -> str:
+    """The text of a small file."""
+    system, target = _file_system(spark, path)
+    stream = system.open(target)
+    try:
+        return spark.sparkContext._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8")
+    finally:
+        stream.close()
+
+
+def create_new(spark: SparkSession, path: str, text: str) -> None:
+    """Write a small file that must not exist yet."""
+    system, target = _file_system(spark, path)
+    stream = system.create(target, False)
+    try:
+        stream.writeBytes(text)
+    finally:
+        stream.close()
