@@ -19,14 +19,19 @@ from pyspark.sql import SparkSession
 from aerolake.contracts import SERVING_CONTRACTS
 from aerolake.plans.pipeline import (
     LakePaths,
+    process_bronze,
     publish_serving,
-    replay_bronze,
-    run_medallion,
     written_silver,
 )
 from aerolake.streaming.incremental import incremental_silver
 
 
+def _formats(s: argparse.ArgumentParser) -> None:
+    one = s.add_mutually_exclusive_group()
+    one.add_argument("--multi-line", action="store_const", const=True, dest="multi_line", help="each file is one document; default: told per file")
+    one.add_argument("--lines", action="store_const", const=False, dest="multi_line", help="each line is a document")
+
+
 def _parser() -> argparse.ArgumentParser:
     p = argparse.ArgumentParser(prog="aerolake", description=__doc__.split("\n\n")[0])
     sub = p.add_subparsers(dest="command", required=True)
@@ -39,7 +44,7 @@ def _parser() -> argparse.ArgumentParser:
         s.add_argument("--bronze", required=True, help="Bronze file, directory or root")
         s.add_argument("--lake", required=True, help="lake root for Silver and Gold")
         s.add_argument("--zone", default="UTC", help="local zone of Bronze directory names")
-        s.add_argument("--multi-line", action="store_true", help="one indented document per file")
+        _formats(s)
         s.add_argument("--serving", help="root of the Parquet serving tables to upsert into")
         s.add_argument("--jdbc-url", help="JDBC URL of the serving database")
         s.add_argument("--jdbc-user")
@@ -53,7 +58,9 @@ def _parser() -> argparse.ArgumentParser:
     s.add_argument("--silver", required=True)
     s.add_argument("--checkpoint", required=True)
     s.add_argument("--zone", default="UTC")
-    s.add_argument("--multi-line", action="store_true", help="one indented document per file")
+    _formats(s)
+    s.add_argument("--rejects", help="rejected states go here, with the reason")
+    s.add_argument("--runs", help="table of what was read and kept of each run")
     s.add_argument("--quarantine", help="documents that cannot be parsed go here; without it they fail the stream")
     s.add_argument("--processing-time", help="keep running with this trigger instead of availableNow")
     s.add_argument("--gold-positions", help="also append Gold positions here")
@@ -95,24 +102,20 @@ def main(argv: list[str] | None = None, spark: SparkSession | None = None) -> di
             spark, args.bronze, args.silver, args.checkpoint, zone=args.zone, multi_line=args.multi_line,
             available_now=args.processing_time is None, processing_time=args.processing_time,
             gold_positions_path=args.gold_positions, gold_metrics_path=args.gold_metrics,
-            serving_root=args.serving, quarantine_path=args.quarantine, round_digits=args.round,
+            serving_root=args.serving, quarantine_path=args.quarantine, rejects_path=args.rejects, runs_path=args.runs,
+            round_digits=args.round,
         )
         q.awaitTermination()
         return {"command": "stream", "silver": args.silver}
     lake = LakePaths.under(args.lake)
+    epoch = None
     if args.command == "run":
         epoch = args.record_epoch if args.record_epoch is not None else int(time.time())
-        run_medallion(
-            spark, args.bronze, lake, record_epoch=epoch, zone=args.zone,
-            multi_line=args.multi_line, round_digits=args.round,
-        )
-    else:
-        epoch = None
-        replay_bronze(
-            spark, args.bronze, lake, zone=args.zone, multi_line=args.multi_line,
-            round_digits=args.round,
-        )
-    result = {"command": args.command, "lake": args.lake, **_publish(spark, args, lake, epoch)}
+    bronze = process_bronze(
+        spark, args.bronze, lake, record_epoch=epoch, zone=args.zone,
+        multi_line=args.multi_line, rebuild=args.command == "replay", round_digits=args.round,
+    )
+    result = {"command": args.command, "lake": args.lake, "bronze": bronze, **_publish(spark, args, lake, epoch)}
     print(json.dumps(result))
     return result
 

@@ -174,6 +174,11 @@ SILVER_SCHEMA = StructType(
     ]
 )
 
+# Rejected states as written: Silver's columns, the place in the document and the first rule broken.
+REJECT_SCHEMA = StructType(
+    [*SILVER_SCHEMA.fields, StructField("state_ordinal", LongType()), StructField("reject_reason", StringType())]
+)
+
 GOLD_POSITION_SCHEMA = StructType(
     [f for f in SILVER_SCHEMA.fields if f.name in GOLD_POSITION_COLUMNS]
 )

@@ -234,11 +234,26 @@ texts AS (
 """
 
 
+_RUN = "epoch_us(ingested_at) // 1000000"
+_RUN_TABLE = f"""
+SELECT r.run, coalesce(states, 0) AS states, coalesce(rejected, 0) AS rejected, coalesce(kept, 0) AS kept, CAST(0 AS BIGINT) AS quarantined
+FROM (SELECT DISTINCT hu + 7200 AS run FROM ev) r
+LEFT JOIN (SELECT {_RUN} AS run, count(*) AS states, count(reject_reason) AS rejected FROM checked GROUP BY 1) c ON c.run = r.run
+LEFT JOIN (SELECT {_RUN} AS run, count(*) AS kept FROM silver GROUP BY 1) s ON s.run = r.run
+"""
+
+
 def oracle_queries() -> dict[str, str]:
     stream_cols = SILVER_COLS.replace("source_file_path, ", "")
     raw_cols = RAW_COLS.replace(", source_file_path", "")
     run_time = "make_timestamp(run * 1000000)"
     local = f"make_timestamp((hu + 7200 + ({_RECIFE_OFFSET_S})) * 1000000)"
+    latest = "SELECT * FROM serving_positions ORDER BY ingested_at DESC, aircraft_code, position_timestamp LIMIT 20"
+    busiest = "SELECT * FROM serving_metrics ORDER BY snapshot_timestamp DESC, total_flights DESC, country_of_origin LIMIT 20"
+    counts = (
+        "SELECT 'gold_flight_positions' AS table_name, count(*) AS row_count FROM serving_positions "
+        "UNION ALL SELECT 'gold_country_metrics', count(*) FROM serving_metrics"
+    )
     return {
         "bronze_states_decode": _flight(f"SELECT {RAW_COLS} FROM raw"),
         "silver_typed_projection": _flight(f"SELECT {SILVER_COLS} FROM typed"),
@@ -259,15 +274,18 @@ def oracle_queries() -> dict[str, str]:
             "FROM silver GROUP BY snapshot_date, snapshot_hour"),
         "serving_fold_positions": _flight("SELECT * FROM serving_positions"),
         "serving_fold_metrics": _flight("SELECT * FROM serving_metrics"),
-        "latest_positions_topk": _flight(
-            "SELECT * FROM serving_positions "
-            "ORDER BY ingested_at DESC, aircraft_code, position_timestamp LIMIT 20"),
-        "busiest_countries_topk": _flight(
-            "SELECT * FROM serving_metrics "
-            "ORDER BY snapshot_timestamp DESC, total_flights DESC, country_of_origin LIMIT 20"),
-        "serving_row_counts": _flight(
-            "SELECT 'gold_flight_positions' AS table_name, count(*) AS row_count FROM serving_positions "
-            "UNION ALL SELECT 'gold_country_metrics', count(*) FROM serving_metrics"),
+        "latest_positions_topk": _flight(latest),
+        "serving_latest_positions": _flight(latest),
+        "busiest_countries_topk": _flight(busiest),
+        "serving_busiest_countries": _flight(busiest),
+        "serving_row_counts": _flight(counts),
+        "serving_manifest_counts": _flight(counts),
+        "bronze_default_mixed_formats": _flight(f"SELECT {stream_cols} FROM silver"),
+        "lake_rejects": _flight(f"SELECT {stream_cols}, reject_reason FROM checked WHERE reject_reason IS NOT NULL"),
+        "lake_run_table": _flight(_RUN_TABLE),
+        "stamped_run_emptied": _flight(
+            f"SELECT {GOLD_POS_COLS} FROM silver WHERE (epoch_us(ingested_at) // 3600000000) % 5 <> 0"),
+        "incremental_far_late_run": _flight(f"SELECT {stream_cols} FROM silver"),
         "contract_violations": _violations(),
         "upsert_result": _ORDERS + (
             "SELECT t.* FROM target t WHERE NOT EXISTS "

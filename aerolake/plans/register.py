@@ -9,6 +9,7 @@ directory and return the table as read back.
 from __future__ import annotations
 
 from collections.abc import Callable
+from dataclasses import replace
 from datetime import datetime, timezone
 
 from pyspark.sql import DataFrame, SparkSession
@@ -18,6 +19,7 @@ from aerolake.contracts import (
     GOLD_METRIC_COLUMNS,
     GOLD_METRICS,
     GOLD_POSITION_COLUMNS,
+    GOLD_POSITION_SCHEMA,
     GOLD_POSITIONS,
     METRIC_KEYS,
     POSITION_KEYS,
@@ -40,9 +42,17 @@ from aerolake.operators.silver import (
     valid_positions,
 )
 from aerolake.operators.upsert import fold_latest, insert_ignore, merge_counts, upsert
-from aerolake.plans.pipeline import LakePaths, bronze_to_silver, replay_bronze, run_medallion
-from aerolake.sinks.lake import land_bronze, land_texts, read_lake_table, write_partitioned
-from aerolake.sinks.serving import read_serving, upsert_serving_runs
+from aerolake.plans.pipeline import (
+    LakePaths,
+    bronze_to_silver,
+    process_bronze,
+    read_rejects,
+    read_runs_table,
+    replay_bronze,
+    run_medallion,
+)
+from aerolake.sinks.lake import BRONZE_DIRECTORIES, bronze_directories, land_bronze, land_texts, read_lake_table, write_partitioned
+from aerolake.sinks.serving import newest_serving, read_serving, serving_counts, upsert_serving_runs
 from aerolake.sources.bronze import bronze_partition, corrupt_documents, decode_documents, read_bronze
 from aerolake.sources.events_adapter import snapshot_documents
 from aerolake.storage import fresh_path
@@ -156,10 +166,15 @@ def q_contract_violations(spark, d):
 
 def _landed(spark, d, zone: str) -> str:
     root = fresh_path(spark, "bronze")
-    land_bronze(documents(spark, d), root, zone=zone)
+    land_bronze(documents(spark, d), root, zone=zone, tasks=_tasks(spark))
     return root
 
 
+def _tasks(spark: SparkSession) -> int:
+    """Tasks of a landing: the tables have many hours of few states."""
+    return spark.sparkContext.defaultParallelism
+
+
 def q_bronze_partition_scan(spark, d):
     docs = read_bronze(spark, _landed(spark, d, LOCAL_ZONE), multi_line=False, zone=LOCAL_ZONE)
     entries = F.size(F.try_variant_get(F.col("states"), "$", "array<variant>"))
@@ -189,7 +204,7 @@ def _texts(spark, d) -> DataFrame:
 def q_bronze_land_texts(spark, d):
     """Landed texts, read back as text."""
     root = fresh_path(spark, "bronze-texts")
-    land_texts(_texts(spark, d), root)
+    land_texts(_texts(spark, d), root, tasks=_tasks(spark))
     back = spark.read.text(root)
     return back.select("value", *[F.col(c).cast("int").alias(c) for c in ("year", "month", "day", "hour")])
 
@@ -197,7 +212,7 @@ def q_bronze_land_texts(spark, d):
 def q_bronze_corrupt_documents(spark, d):
     """Documents for the quarantine, with the run they came in."""
     root = fresh_path(spark, "bronze-texts")
-    land_texts(_texts(spark, d), root)
+    land_texts(_texts(spark, d), root, tasks=_tasks(spark))
     bad = corrupt_documents(read_bronze(spark, root))
     return bad.select("record_timestamp_unix", F.col("_corrupt_record").alias("document"))
 
@@ -210,11 +225,68 @@ def q_bronze_multiline_decode(spark, d):
     parts = [f(at) for f in (F.year, F.month, F.dayofmonth, F.hour, F.minute, F.second)]
     stamp = F.format_string("flight_snapshot_%04d-%02d-%02d_%02d-%02d-%02d", *parts)
     docs = documents(spark, d)
-    write_partitioned(docs.select(text.alias("value"), stamp.alias("snapshot")), root, ["snapshot"], fmt="text", max_records_per_file=1)
+    write_partitioned(docs.select(text.alias("value"), stamp.alias("snapshot")), root, ["snapshot"], fmt="text", max_records_per_file=1, tasks=_tasks(spark))
     back = read_bronze(spark, root, multi_line=True)
     return decode_documents(back).drop("state_ordinal", "source_file_path")
 
 
+def _land_indented(docs: DataFrame, root: str, zone: str) -> None:
+    """Snapshots as indented files, one document a file, in the directories of ``land_bronze``."""
+    text = F.to_json(F.struct("time", "states", "state_offset"), {"pretty": "true"}).alias("value")
+    write_partitioned(docs.select(text, *bronze_directories(zone)), root, BRONZE_DIRECTORIES, fmt="text", max_records_per_file=1, tasks=_tasks(docs.sparkSession))
+
+
+def _processed(spark, d) -> LakePaths:
+    """A lake made by one pass over all snapshots, of which every other hour is an indented file."""
+    root, docs = fresh_path(spark, "bronze"), documents(spark, d)
+    indented = (F.col("record_timestamp_unix") / 3600).cast("bigint") % 2 == 0
+    _land_indented(docs.where(indented), root, LOCAL_ZONE)
+    land_bronze(docs.where(~indented), root, zone=LOCAL_ZONE, tasks=_tasks(spark))
+    lake = replace(LakePaths.under(fresh_path(spark, "lake")), gold_positions=None, gold_metrics=None)
+    process_bronze(spark, root, lake, zone=LOCAL_ZONE)
+    return lake
+
+
+def q_bronze_default_mixed_formats(spark, d):
+    """Silver of indented files and JSON Lines in one Bronze, read with the defaults."""
+    return read_lake_table(spark, _processed(spark, d).silver, STREAM_COLUMNS)
+
+
+def q_lake_rejects(spark, d):
+    """The rejected states as the pipeline wrote them beside Silver."""
+    return read_rejects(spark, _processed(spark, d)).select(*STREAM_COLUMNS, "reject_reason")
+
+
+def q_lake_run_table(spark, d):
+    """What the pipeline noted of each run: states read, rejected and kept."""
+    runs = read_runs_table(spark, _processed(spark, d).runs)
+    return runs.select("run", "states", "rejected", "kept", "quarantined")
+
+
+def q_stamped_run_emptied(spark, d):
+    """All of Bronze, then the same runs again, every fifth of them without states: those hold nothing any more."""
+    lake = replace(LakePaths.under(fresh_path(spark, "lake")), gold_metrics=None, rejects=None)
+    process_bronze(spark, _landed(spark, d, LOCAL_ZONE), lake, zone=LOCAL_ZONE)
+    emptied = (F.col("record_timestamp_unix") / 3600).cast("bigint") % 5 == 0
+    docs = documents(spark, d).withColumn("states", F.when(~emptied, F.col("states")))
+    again = fresh_path(spark, "bronze")
+    land_bronze(docs, again, zone=LOCAL_ZONE, tasks=_tasks(spark))
+    process_bronze(spark, again, lake, zone=LOCAL_ZONE)
+    return read_lake_table(spark, lake.gold_positions, GOLD_POSITION_COLUMNS, GOLD_POSITION_SCHEMA)
+
+
+def q_incremental_far_late_run(spark, d):
+    """The first run of all lands last, beside the newest one."""
+    docs = documents(spark, d)
+    first, last = docs.agg(F.min("record_timestamp_unix"), F.max("record_timestamp_unix")).first()
+    far = F.col("record_timestamp_unix").isin(first, last)
+    root, out, ckpt = (fresh_path(spark, n) for n in ("bronze", "silver-stream", "stream-ckpt"))
+    for landed in (docs.where(~far), docs.where(far)):
+        land_bronze(landed, root, tasks=_tasks(spark))
+        start_incremental(spark, root, out, ckpt).awaitTermination()
+    return read_lake_table(spark, out, STREAM_COLUMNS)
+
+
 def q_silver_partition_roundtrip(spark, d):
     path = fresh_path(spark, "silver")
     write_partitioned(silver(spark, d), path)
@@ -264,7 +336,7 @@ def q_bronze_replay_after_correction(spark, d):
     emptied = (F.col("record_timestamp_unix") / 3600).cast("bigint") % 5 == 0
     docs = documents(spark, d).withColumn("states", F.when(~emptied, F.col("states")))
     corrected = fresh_path(spark, "bronze")
-    land_bronze(docs, corrected, zone=LOCAL_ZONE)
+    land_bronze(docs, corrected, zone=LOCAL_ZONE, tasks=_tasks(spark))
     positions, _ = replay_bronze(spark, corrected, lake, zone=LOCAL_ZONE)
     return positions
 
@@ -282,8 +354,8 @@ def q_incremental_split_run(spark, d):
     docs = snapshot_documents(_table(spark, d, "events"), SMALL_PARTS)
     part = F.coalesce("state_offset", F.lit(0)) / SMALL_PARTS
     root, out = fresh_path(spark, "bronze"), fresh_path(spark, "silver-stream")
-    land_bronze(docs.where(part % 2 == 0), root)
-    land_bronze(docs.where(part % 2 == 1), root)
+    land_bronze(docs.where(part % 2 == 0), root, tasks=_tasks(spark))
+    land_bronze(docs.where(part % 2 == 1), root, tasks=_tasks(spark))
     start_incremental(spark, root, out, fresh_path(spark, "stream-ckpt"), max_files_per_trigger=600).awaitTermination()
     return read_lake_table(spark, out, STREAM_COLUMNS)
 
@@ -294,7 +366,7 @@ def q_incremental_late_run(spark, d):
     late = F.dayofmonth(epoch_to_ntz("record_timestamp_unix")) < 16
     root, out, ckpt = (fresh_path(spark, n) for n in ("bronze", "silver-stream", "stream-ckpt"))
     for landed in (docs.where(~late), docs.where(late)):
-        land_bronze(landed, root)
+        land_bronze(landed, root, tasks=_tasks(spark))
         start_incremental(spark, root, out, ckpt).awaitTermination()
     return read_lake_table(spark, out, STREAM_COLUMNS)
 
@@ -329,6 +401,28 @@ def q_serving_upsert_metrics(spark, d):
     )
 
 
+def q_serving_latest_positions(spark, d):
+    """The newest positions of the published table, read from its newest partitions."""
+    path = fresh_path(spark, "serving-positions")
+    _publish_two_batches(spark, silver(spark, d), GOLD_POSITIONS, ["ingested_at", "source_file_path"], path)
+    return latest_positions(newest_serving(spark, path, GOLD_POSITIONS, 20)).select(*GOLD_POSITIONS.columns)
+
+
+def q_serving_busiest_countries(spark, d):
+    """The latest snapshots' busiest countries, read from the published table's newest partitions."""
+    path = fresh_path(spark, "serving-metrics")
+    _publish_two_batches(spark, country_metrics(silver(spark, d), keep_run=True, round_digits=ROUND), GOLD_METRICS, ["ingested_at"], path)
+    return busiest_countries(newest_serving(spark, path, GOLD_METRICS, 20)).select(*GOLD_METRICS.columns)
+
+
+def q_serving_manifest_counts(spark, d):
+    """Rows of both published tables, from their manifests."""
+    root, s = fresh_path(spark, "serving"), silver(spark, d)
+    _publish_two_batches(spark, s, GOLD_POSITIONS, ["ingested_at", "source_file_path"], f"{root}/gold_flight_positions")
+    _publish_two_batches(spark, country_metrics(s, keep_run=True, round_digits=ROUND), GOLD_METRICS, ["ingested_at"], f"{root}/gold_country_metrics")
+    return serving_counts(spark, {n: f"{root}/{n}" for n in ("gold_flight_positions", "gold_country_metrics")})
+
+
 def queries() -> dict[str, Query]:
     return {
         "bronze_states_decode": lambda s, d: decode_documents(documents(s, d)).drop("state_ordinal"),
@@ -365,11 +459,16 @@ def queries() -> dict[str, Query]:
         "bronze_land_texts": q_bronze_land_texts,
         "bronze_corrupt_documents": q_bronze_corrupt_documents,
         "bronze_multiline_decode": q_bronze_multiline_decode,
+        "bronze_default_mixed_formats": q_bronze_default_mixed_formats,
+        "lake_rejects": q_lake_rejects,
+        "lake_run_table": q_lake_run_table,
+        "stamped_run_emptied": q_stamped_run_emptied,
         "bronze_replay_silver": q_bronze_replay_silver,
         "bronze_replay_after_correction": q_bronze_replay_after_correction,
         "live_run_rerun": q_live_run_rerun,
         "incremental_split_run": q_incremental_split_run,
         "incremental_late_run": q_incremental_late_run,
+        "incremental_far_late_run": q_incremental_far_late_run,
         "bronze_partition_scan": q_bronze_partition_scan,
         "silver_partition_roundtrip": q_silver_partition_roundtrip,
         "silver_append_rerun": q_silver_append_rerun,
@@ -379,4 +478,7 @@ def queries() -> dict[str, Query]:
         "incremental_silver": q_incremental_silver,
         "serving_upsert_positions": q_serving_upsert_positions,
         "serving_upsert_metrics": q_serving_upsert_metrics,
+        "serving_latest_positions": q_serving_latest_positions,
+        "serving_busiest_countries": q_serving_busiest_countries,
+        "serving_manifest_counts": q_serving_manifest_counts,
     }

@@ -32,7 +32,7 @@ DOCUMENT_COLUMNS = ["time", "states", "state_offset", "source_file_path", "recor
 
 def read_bronze(
     spark: SparkSession,
-    path: str,
+    path: str | list[str],
     *,
     multi_line: bool = False,
     zone: str = "UTC",
@@ -48,6 +48,7 @@ def read_bronze(
 
     ``multi_line=True`` reads one (indented) document per file, one task per
     file; ``False`` reads JSON Lines, as landed here, which Spark splits across tasks.
+    ``plans.intake`` tells the format of each file and counts what was read.
     """
     raw = (
         spark.read.schema(BRONZE_READ_SCHEMA)

@@ -1,34 +1,38 @@
 """Incremental runs: process only Bronze files not processed before.
 
-A JSON file stream over the Bronze root with a checkpoint replaces the hourly
+A file stream over the Bronze root with a checkpoint replaces the hourly
 scheduler: ``availableNow`` processes everything new and stops, so a rerun
 with nothing new adds nothing.
 
 The run is the unit of work.  A micro-batch only tells which runs have new
-files; those runs are recomputed whole, from all their files in Bronze, by the
-batch operators, and replace their own partitions in Silver and Gold.  So a run
-whose files are spread over micro-batches, a run that lands late and a
-micro-batch that is executed again all end in what one batch run gives, with no
-watermark that could drop anything and no state to keep.
+files (their names; they are not opened for it); those runs are recomputed whole, from
+all their files in Bronze, by the batch operators, and replace their own
+partitions in Silver and Gold, also by nothing.  So a run whose files are spread
+over micro-batches, a run that lands late and a micro-batch that is executed again
+all end in what one batch run gives, with no watermark that could drop anything and
+no state to keep.
 
 Cost: a run with files in k micro-batches is read k times; land a run's files
-together.  The re-read is pruned to the Bronze hours between the first and the
-last touched run, and joined on the touched runs, which stay a table.
+together.  Only the Bronze hours of the touched runs are listed, and of these only the
+touched runs' files are read; of Silver only their directories.  A run of a year ago
+beside one of today reads two hours.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from aerolake.contracts import BRONZE_PARTITION_COLUMNS, SILVER_COLUMNS, SILVER_SCHEMA
-from aerolake.plans.pipeline import bronze_to_silver, publish_runs, quarantine_corrupt, write_gold
-from aerolake.sinks.lake import read_lake_table, write_runs
-from aerolake.sources.bronze import BRONZE_READ_SCHEMA, is_corrupt, read_bronze, stamped_run
-from aerolake.storage import discard, exists, fresh_path
+from aerolake.contracts import SILVER_COLUMNS, SILVER_SCHEMA
+from aerolake.plans.intake import bronze_files, take_in
+from aerolake.plans.pipeline import LakePaths, publish_runs, write_intake
+from aerolake.sinks.lake import read_runs
+from aerolake.sources.bronze import BRONZE_READ_SCHEMA, stamped_run
+from aerolake.storage import discard, exists, fresh_path, uri_path
 
-_HOUR_DIRECTORY = r"/year=(\d+)/month=(\d+)/day=(\d+)/hour=(\d+)/"
+_HOUR_DIRECTORY = r"(/year=\d+/month=\d+/day=\d+/hour=\d+)/"
+FILE_SCHEMA = "path STRING, modificationTime TIMESTAMP, length BIGINT, content BINARY"
 
 
 def bronze_stream(
@@ -61,50 +65,52 @@ def bronze_stream(
     return raw.select("*", fp.alias("source_file_path"), stamped_run(fp, zone).alias("record_timestamp_unix"))
 
 
-def _hour_key(columns: list[Column]) -> Column:
-    """Year, month, day and hour as one number, in order of time."""
-    year, month, day, hour = (c.cast("bigint") for c in columns)
-    return ((year * 100 + month) * 100 + day) * 100 + hour
+def bronze_file_stream(
+    spark: SparkSession, bronze_root: str, *, max_files_per_trigger: int | None = None, archive_dir: str | None = None
+) -> DataFrame:
+    """Streaming frame of the new files of a Bronze root; contents are read only if selected.
+
+    With ``archive_dir`` processed files are moved there after each batch.
+    """
+    reader = spark.readStream.format("binaryFile").schema(FILE_SCHEMA)
+    if max_files_per_trigger is not None:
+        reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
+    if archive_dir is not None:
+        reader = reader.option("cleanSource", "archive").option("sourceArchiveDir", archive_dir)
+    return reader.load(bronze_root)
 
 
-def touched_runs(batch: DataFrame, path: str) -> DataFrame:
-    """Write the runs (and their Bronze hours, if the layout has them) of a micro-batch's files."""
-    part = [F.regexp_extract("source_file_path", _HOUR_DIRECTORY, i) for i in range(1, 5)]
-    hour = F.when(part[0] != "", _hour_key([F.when(p != "", p) for p in part]))
-    batch.select("record_timestamp_unix", hour.alias("hour_key")).distinct().write.parquet(path)
+def touched_runs(batch: DataFrame, path: str, zone: str = "UTC") -> DataFrame:
+    """Write the runs and their Bronze hours (empty if the layout has none) of a micro-batch's files."""
+    hour = F.regexp_extract("path", _HOUR_DIRECTORY, 1)
+    batch.select(stamped_run(F.col("path"), zone).alias("run"), hour.alias("hour")).distinct().write.parquet(path)
     return batch.sparkSession.read.parquet(path)
 
 
-def whole_runs(
-    spark: SparkSession,
-    touched: DataFrame,
-    bronze_root: str,
-    *,
-    zone: str = "UTC",
-    multi_line: bool = False,
-    archive_dir: str | None = None,
+def files_of_runs(
+    spark: SparkSession, touched: DataFrame, bronze_root: str, *, zone: str = "UTC", archive_dir: str | None = None
 ) -> DataFrame:
-    """All documents of the touched runs, also those of earlier micro-batches.
+    """All files of the touched runs (see ``bronze_files``), also those of earlier micro-batches.
 
-    The root is listed before the archive: a file that moves in between fails the
-    read, and the micro-batch is repeated, but it is never missed.
+    Only the hours of the touched runs are listed.  The root is listed before the
+    archive: a file that moves in between fails the read, and the micro-batch is
+    repeated, but it is never missed.
     """
-    span = touched.agg(
-        F.min("hour_key").alias("first"), F.max("hour_key").alias("last"), F.count_if(F.col("hour_key").isNull()).alias("flat")
-    ).first()
-    runs = touched.select("record_timestamp_unix").distinct()
-    roots = [bronze_root]
-    if archive_dir is not None and exists(spark, archive_dir):
-        roots.append(archive_dir)
+    hours = sorted(r.hour for r in touched.select("hour").distinct().collect())
+    root = bronze_root.rstrip("/")
+    roots = [root]
+    if archive_dir is not None:
+        roots.append(f"{archive_dir.rstrip('/')}{uri_path(spark, root)}")
     found = None
-    for root in roots:
-        docs = read_bronze(spark, root, multi_line=multi_line, zone=zone)
-        if not span["flat"] and set(BRONZE_PARTITION_COLUMNS) <= set(docs.columns):
-            hour = _hour_key([F.col(c) for c in BRONZE_PARTITION_COLUMNS])
-            docs = docs.where(hour.between(span["first"], span["last"]))
-        docs = docs.select("time", "states", "state_offset", "_corrupt_record", "source_file_path", "record_timestamp_unix")
-        found = docs if found is None else found.unionByName(docs)
-    return found.join(runs, "record_timestamp_unix", "left_semi")
+    for top in roots:
+        places = [f"{top}{h}" for h in hours] if "" not in hours else [top]
+        places = [p for p in places if exists(spark, p)]
+        if places:
+            files = bronze_files(spark, places, zone=zone, base_path=top)
+            found = files if found is None else found.unionByName(files)
+    if found is None:
+        raise FileNotFoundError(f"no files of the touched runs under {roots}")
+    return found.join(touched.select("run").distinct(), "run", "left_semi").select("file", "source_file_path", "bytes", "run")
 
 
 def incremental_silver(
@@ -114,7 +120,7 @@ def incremental_silver(
     checkpoint: str,
     *,
     zone: str = "UTC",
-    multi_line: bool = False,
+    multi_line: bool | None = None,
     available_now: bool = True,
     processing_time: str | None = None,
     max_files_per_trigger: int | None = None,
@@ -123,6 +129,8 @@ def incremental_silver(
     gold_metrics_path: str | None = None,
     serving_root: str | None = None,
     quarantine_path: str | None = None,
+    rejects_path: str | None = None,
+    runs_path: str | None = None,
     round_digits: int | None = None,
 ) -> StreamingQuery:
     """Start the Bronze -> Silver (-> Gold -> serving) stream; returns the running query.
@@ -131,43 +139,36 @@ def incremental_silver(
     hourly batch job: Gold of its runs from the Silver just written, then the upsert
     (a run that lands late is published late, over what newer runs published for
     the same keys, as separate hourly jobs would).  Documents that cannot be parsed go
-    to ``quarantine_path`` (by run); without one they fail the micro-batch.
+    to ``quarantine_path`` (by run); without one they fail the micro-batch.  Rejected
+    states and the run table are written where paths for them are given.
     """
-    docs = bronze_stream(
-        spark, bronze_root, zone=zone, multi_line=multi_line,
-        max_files_per_trigger=max_files_per_trigger, archive_dir=archive_dir,
-    )
+    files = bronze_file_stream(spark, bronze_root, max_files_per_trigger=max_files_per_trigger, archive_dir=archive_dir)
+    lake = LakePaths(silver_path, gold_positions_path, gold_metrics_path, quarantine_path, rejects_path, runs_path)
 
     def process(batch: DataFrame, batch_id: int) -> None:
         session = batch.sparkSession
         scratch = fresh_path(session, "touched-runs")
-        touched = touched_runs(batch, scratch)
-        whole = whole_runs(session, touched, bronze_root, zone=zone, multi_line=multi_line, archive_dir=archive_dir)
-        if batch.where(is_corrupt()).limit(1).count():
-            if quarantine_path is None:
+        intake = None
+        try:
+            touched = touched_runs(batch, scratch, zone)
+            whole = files_of_runs(session, touched, bronze_root, zone=zone, archive_dir=archive_dir)
+            intake = take_in(session, [], zone=zone, multi_line=multi_line, files=whole, allow_unreadable=quarantine_path is not None)
+            if intake.corrupt is not None and quarantine_path is None:
                 raise ValueError("Bronze documents that cannot be parsed, and no quarantine_path")
-            quarantine_corrupt(whole, quarantine_path)
-        write_runs(bronze_to_silver(whole), silver_path)
-        if gold_positions_path or gold_metrics_path or serving_root:
-            written = silver_of(session, silver_path, touched.select(F.col("record_timestamp_unix").alias("_run")).distinct())
-            write_gold(written, gold_positions_path, gold_metrics_path, mode="replace_partitions", round_digits=round_digits)
+            write_intake(intake, lake, round_digits=round_digits)
             if serving_root:
+                filled = [r.run for r in intake.outcome().where("reject_reason IS NULL").select("run").collect()]
+                written = read_runs(session, silver_path, filled, SILVER_SCHEMA).select(*SILVER_COLUMNS)
                 publish_runs(session, written, serving_root, round_digits=round_digits)
-        discard(session, scratch)
+        finally:
+            if intake is not None:
+                intake.close()
+            discard(session, scratch)
 
-    writer = docs.writeStream.foreachBatch(process).option("checkpointLocation", checkpoint)
+    writer = files.writeStream.foreachBatch(process).option("checkpointLocation", checkpoint)
     if available_now:
         writer = writer.trigger(availableNow=True)
     elif processing_time is not None:
         writer = writer.trigger(processingTime=processing_time)
     return writer.start()
 
-
-def silver_of(spark: SparkSession, silver_path: str, runs: DataFrame) -> DataFrame:
-    """Silver as written of the given runs (``_run``), pruned to the span of their partitions."""
-    span = runs.agg(F.min("_run").alias("first"), F.max("_run").alias("last")).first()
-    silver = read_lake_table(spark, silver_path, schema=SILVER_SCHEMA)
-    if span["first"] is None:
-        return silver.select(*SILVER_COLUMNS).limit(0)
-    silver = silver.where(F.col("run").between(span["first"], span["last"]))
-    return silver.join(runs, F.col("run") == F.col("_run"), "left_semi").select(*SILVER_COLUMNS)
