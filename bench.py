@@ -5,7 +5,9 @@ BENCH_REPEATS (default 3).  Every query is run once to warm up, then timed
 ``BENCH_REPEATS`` times with the ``noop`` sink (the whole plan runs, nothing is
 collected); the median is reported.  Building and landing the Bronze snapshot
 files is timed once on its own (``land_bronze_once``), apart from decoding them.
-``value`` is the sum of the medians of all timed queries and of the landing.
+``value`` is the sum of the medians of all timed queries and of the landing.  The jobs
+that write many partitions (partitioned write, replay, stream, serving upsert) are timed
+once each, landing included, and reported beside it.
 """
 
 from __future__ import annotations
@@ -41,6 +43,8 @@ HEADLINE = [
     "insert_ignore_result",
 ]
 
+WRITING = ["silver_partition_roundtrip", "bronze_replay", "incremental_silver", "serving_upsert_positions"]
+
 
 def main() -> None:
     sf_dir = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
@@ -89,6 +93,13 @@ def main() -> None:
         results[name] = timed(lambda fn=fn: run(fn(spark, sf_dir)))
 
     timed_total = sum(results.values())
+
+    # whole jobs that write hundreds of partitions, timed once and apart from the total
+    jobs: dict[str, float] = {}
+    for name in WRITING:
+        t0 = time.perf_counter()
+        run(R.queries()[name](spark, sf_dir))
+        jobs[name] = round(time.perf_counter() - t0, 3)
     print(
         json.dumps(
             {
@@ -96,6 +107,7 @@ def main() -> None:
                 "value": round(timed_total, 3),
                 "unit": "sec",
                 "queries": results,
+                "writing_jobs_once": jobs,
                 "sf": os.path.basename(sf_dir.rstrip("/")).replace("sf", ""),
                 "cpus": cpus,
                 "repeats": repeats,
