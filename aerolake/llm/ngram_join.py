@@ -24,7 +24,7 @@ divided by ``block``.
 Scale: one map pass gives each document its set's 128-bit key, size and first-level
 paths.  Equal sets, however many, are one row before anything is joined.  Texts are
 shuffled twice: for the longer paths of classes in large buckets, and for the sets (as
-64-bit hashes) of classes with a candidate.  Sets are compared after a size test.
+48-bit hashes) of classes with a candidate.  Sets are compared after a size test.
 Bucket sizes are partial aggregates; collected buckets hold at most ``brute`` classes,
 tasks two blocks (in long sets, of fewer classes); components are joins.  Steps are written tables; the shuffles before
 them are released.
@@ -104,6 +104,19 @@ def set_keys(members: np.ndarray, first: np.ndarray) -> list[bytes]:
     return [row.tobytes() for row in both]
 
 
+def packed(members: np.ndarray) -> bytes:
+    """The upper 48 bits of sorted hashes, six bytes each: a million shingles have no clash in 99.8 % of cases."""
+    upper = np.unique(members >> np.uint64(16)) << np.uint64(16)
+    return np.ascontiguousarray(upper.astype("<u8").view(np.uint8).reshape(-1, 8)[:, 2:]).tobytes()
+
+
+def unpacked(data: pa.Buffer) -> np.ndarray:
+    """The hashes of ``packed``, sorted."""
+    whole = np.zeros((data.size // 6, 8), dtype=np.uint8)
+    whole[:, 2:] = np.frombuffer(data, dtype=np.uint8).reshape(-1, 6)
+    return whole.view("<u8").ravel()
+
+
 def _lists(values: np.ndarray, owner: np.ndarray, n: int) -> pa.Array:
     """Lists of int64, one for each of ``n`` owners (``owner`` is sorted)."""
     return pa.ListArray.from_arrays(pa.array(np.searchsorted(owner, np.arange(n + 1)), pa.int32()), pa.array(values.view(np.int64)))
@@ -118,7 +131,7 @@ def linked_classes(sets: DataFrame, pairs: DataFrame, threshold: float) -> DataF
         for batch in batches:
             keep = []
             for x, y in zip(batch.column(2), batch.column(3)):
-                x, y = (np.frombuffer(v.as_buffer(), dtype=np.uint64) for v in (x, y))
+                x, y = (unpacked(v.as_buffer()) for v in (x, y))
                 both = len(np.intersect1d(x, y, assume_unique=True))
                 keep.append(both >= threshold * (len(x) + len(y) - both))
             yield pa.record_batch([batch.column(0), batch.column(1)], ["a", "b"]).filter(pa.array(keep, pa.bool_()))
@@ -173,7 +186,7 @@ def large_links(dealt: DataFrame, threshold: float) -> DataFrame:
 
     def compared(table: pa.Table) -> pa.Table:
         keys = table["key"].to_pylist()
-        members = [np.frombuffer(v.as_buffer(), dtype=np.uint64) for v in table["members"]]
+        members = [unpacked(v.as_buffer()) for v in table["members"]]
         sides = table["side"].to_numpy()
         same = table["x"][0].as_py() == table["y"][0].as_py()
         links, edges = block_links(same, sides, members, threshold)
@@ -348,11 +361,11 @@ def _longer_paths(rows: DataFrame, reps: DataFrame, shingle: int, branch: float,
 
 
 def _sets_of(rows: DataFrame, reps: DataFrame, shingle: int) -> DataFrame:
-    """key and members (sorted 64-bit hashes as bytes) of the ``reps``; a repeated document may repeat its key."""
+    """key and members (see ``packed``) of the ``reps``; a repeated document may repeat its key."""
 
     def members_of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for piece in pieces(batches, 0):
-            found = [(key, members.tobytes()) for _, key, members in _texts_sets(piece, shingle)]
+            found = [(key, packed(members)) for _, key, members in _texts_sets(piece, shingle)]
             yield pa.record_batch([pa.array([k for k, _ in found], pa.binary()), pa.array([m for _, m in found], pa.binary())], ["key", "members"])
 
     return _rows_of(rows, reps).select("text", "key").mapInArrow(members_of, "key binary, members binary")

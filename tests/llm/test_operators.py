@@ -18,9 +18,9 @@ from aerolake.llm.decontamination import contamination
 from aerolake.llm.host_rules import host_verdicts
 from aerolake.llm.language_id import identify_languages
 from aerolake.llm.mixing import pivotal_mix
-from aerolake.llm.ngram_join import runs_for, similarity_classes
+from aerolake.llm.ngram_join import packed, runs_for, similarity_classes, unpacked
 from aerolake.llm.pii import candidates, personal_data, redacted
-from aerolake.llm.substring_dedup import without_repeats
+from aerolake.llm.substring_dedup import repeated_spans, without_repeats
 from aerolake.llm.toxicity import MASKED, Lexicon, Trie, quotation, toxicity
 
 SCHEMA = "doc_id long, text string, lang string, source string, n_chars long, id string, n_words string, spans string, key string"
@@ -330,3 +330,32 @@ def test_short_terms_are_learned(spark):
     labels = spark.createDataFrame([(i, int(i % 4 == 0)) for i, _ in rows], "doc_id long, toxic int")
     got = toxicity(spark.createDataFrame([*rows, (9000, "oh xq you")], "doc_id long, text string"), labels).where("doc_id = 9000").first()
     assert got.exact > 0
+
+
+def test_many_copies_of_a_row_and_its_passages(spark):
+    """Rows repeated in number are cut alike, and their spans are not multiplied."""
+    rng = random.Random(77)
+    passage = prose(rng, 120, 10_000)
+    texts = {1: passage + " " + prose(rng, 60, 10_000), 2: prose(rng, 40, 10_000) + " " + passage, 3: passage}
+    rows = [(i, texts[i]) for i in (1, 2, 3) for _ in range(300)]
+    spans = repeated_spans(spark.createDataFrame(rows, "doc_id long, text string"), id_col="doc_id", text_col="text", window=50, k=25)
+    assert {r.id for r in spans.collect()} == {2, 3} and max(len(r.spans) for r in spans.collect()) < 100
+    kept = without_repeats(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    want = {1: texts[1], 2: " ".join(texts[2].split()[:40]), 3: ""}
+    assert len(kept) == 900 and all(r.text == want[r.doc_id] for r in kept)
+
+
+def test_texts_without_words_are_alone(spark):
+    rows = [(i, t) for i, t in enumerate([None, "", " \n", None, "a b c d e f", "a b c d e f"])]
+    got = similarity_classes(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert {r.doc_id: (r.class_id, r.n_links) for r in got} == {0: (0, 0), 1: (1, 0), 2: (2, 0), 3: (3, 0), 4: (4, 0), 5: (4, 0)}
+
+
+def test_packed_sets_keep_order_and_distinctness():
+    import numpy as np
+    import pyarrow as pa
+
+    members = np.unique(np.random.default_rng(3).integers(0, 2**63, 5000, dtype=np.uint64) * np.uint64(2))
+    back = unpacked(pa.py_buffer(packed(members)))
+    assert (back == members >> np.uint64(16) << np.uint64(16)).all() and (np.diff(back) > 0).all()
+    assert len(unpacked(pa.py_buffer(packed(members[:0])))) == 0

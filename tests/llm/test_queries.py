@@ -106,3 +106,12 @@ def test_base_spans_match_plain_regexes(spark):
     want = {r.doc_id: base(r.text or "") for r in docs.collect()}
     got = {r.doc_id: sorted((s.start, s.end, s.kind) for s in r.spans if s.base) for r in personal_data(docs).collect()}
     assert got == want and any(want.values())
+
+
+def test_columns_named_like_the_carried_ones(spark):
+    docs = spark.read.parquet(f"{SF_SMALL}/documents.parquet").limit(20)
+    for c in ("_carried0", "_Carried_1", "item_ids", "lang_pred"):
+        docs = docs.withColumn(c, docs.doc_id)
+    for stage in (corpus_pipeline.language, corpus_pipeline.decontaminate):
+        kept = stage(spark, docs, SF_SMALL)
+        assert kept.columns == docs.columns and all(r["_carried0"] == r.doc_id == r["lang_pred"] for r in kept.collect())
