@@ -28,7 +28,7 @@ class Tree:
 
 @dataclass
 class BoostedTrees:
-    """Logistic boosting of trees of a fixed depth, split at quantiles."""
+    """Logistic boosting of trees of a fixed depth, split at values of the rows."""
 
     rounds: int = 25
     depth: int = 3
@@ -42,33 +42,47 @@ class BoostedTrees:
     def fit(self, x: np.ndarray, y: np.ndarray) -> BoostedTrees:
         p = np.clip(y.mean() if len(y) else 0.0, 1e-3, 1 - 1e-3)
         self.base, self.trees = float(np.log(p / (1 - p))), []
-        cuts = [np.unique(np.quantile(x[:, j], np.linspace(0, 1, 17)[1:-1])) if len(x) else np.zeros(1) for j in range(x.shape[1])]
+        # values at even steps of the rows and of the distinct values, so that rare ones are told apart as well
+        part = np.linspace(0, 1, 17)[1:-1]
+        cuts = [np.unique([np.quantile(v, part, method="lower") for v in (x[:, j], np.unique(x[:, j]))]) if len(x) else np.zeros(1) for j in range(x.shape[1])]
+        # the cell of a value is the number of cuts below it
+        cells = [np.searchsorted(c, x[:, j]) for j, c in enumerate(cuts)]
         score = np.full(len(y), self.base)
         for _ in range(self.rounds):
             p = sigmoid(score)
-            tree = self._grow(x, y - p, np.maximum(p * (1 - p), 1e-6), cuts)
+            tree = self._grow(cells, y - p, np.maximum(p * (1 - p), 1e-6), cuts)
             score = score + self.rate * tree.apply(x)
             self.trees.append(tree)
         return self
 
-    def _grow(self, x: np.ndarray, gradient: np.ndarray, weight: np.ndarray, cuts: list[np.ndarray]) -> Tree:
+    def _grow(self, cells: list[np.ndarray], gradient: np.ndarray, weight: np.ndarray, cuts: list[np.ndarray]) -> Tree:
         n = 2**self.depth - 1
         feature, cut = np.zeros(n, dtype=np.int64), np.full(n, np.inf)
-        node = np.zeros(len(x), dtype=np.int64)
+        node = np.zeros(len(gradient), dtype=np.int64)
         for level in range(self.depth):
-            for i in range(2**level - 1, 2 ** (level + 1) - 1):
-                rows = np.flatnonzero(node == i)
-                best = 1e-9
-                g, h = gradient[rows], weight[rows]
-                whole = g.sum() ** 2 / (h.sum() + self.ridge)
-                for j, values in enumerate(cuts):
-                    for c in values:
-                        right = x[rows, j] > c
-                        gr, hr = g[right].sum(), h[right].sum()
-                        gain = gr**2 / (hr + self.ridge) + (g.sum() - gr) ** 2 / (h.sum() - hr + self.ridge) - whole
-                        if gain > best:
-                            best, feature[i], cut[i] = gain, j, c
-            node = 2 * node + 1 + (x[np.arange(len(x)), feature[node]] > cut[node])
+            first, nodes = 2**level - 1, 2**level
+            best = np.full(nodes, 1e-9)
+            for j, values in enumerate(cuts):
+                shape = (nodes, len(values) + 1)
+                place = (node - first) * shape[1] + cells[j]
+                g, h = (np.bincount(place, w, minlength=nodes * shape[1]).reshape(shape) for w in (gradient, weight))
+                g_all, h_all = g.sum(axis=1), h.sum(axis=1)
+                g_left, h_left = g.cumsum(axis=1)[:, :-1], h.cumsum(axis=1)[:, :-1]
+                g_right, h_right = g_all[:, None] - g_left, h_all[:, None] - h_left
+                whole = g_all**2 / (h_all + self.ridge)
+                gain = g_left**2 / (h_left + self.ridge) + g_right**2 / (h_right + self.ridge) - whole[:, None]
+                i = gain.argmax(axis=1)
+                top = gain[np.arange(nodes), i]
+                for k in np.flatnonzero(top > best + 1e-9):
+                    best[k] = top[k]
+                    feature[first + k], cut[first + k] = j, values[i[k]]
+            split = feature[node]
+            right = np.zeros(len(node), dtype=np.int64)
+            for j in np.unique(split):
+                rows = np.flatnonzero(split == j)
+                limit = np.searchsorted(cuts[j], cut[node[rows]]) if len(cuts[j]) else 0
+                right[rows] = cells[j][rows] > limit
+            node = 2 * node + 1 + right
         leaf = node - n
         sums = np.bincount(leaf, gradient, minlength=n + 1) / (np.bincount(leaf, weight, minlength=n + 1) + self.ridge)
         return Tree(feature, cut, sums)

@@ -13,27 +13,36 @@ by boosted trees over format features (lengths, shares of digits and letters, gr
 checksums, variety) and context features (neighbouring characters and words); each kind
 has a threshold on the calibrated probability.
 
-The trees are fitted on weak labels in a bounded sample of documents: candidates that
-pass a strict check of their format are positive, those that fail it negative.  The
-calibration (Platt) and each kind's threshold come from all candidates of all documents,
-counted by kind, step of the score and label.  A threshold is the lowest with the wanted
-precision.  A kind is left to its strict check, with a score of 1, where no threshold
-also finds that share of the candidates that pass, as with a kind too rare for the
-sample: so rare kinds are found at any size.
-
-Scale: documents are read in three map-only passes, over the sample for the trees, over
+What is personal is learned from planted spans (``planting.py``), whose truth is known and is
+no function of the features: values of each added kind, well formed or with a wrong digit,
+are set into the corpus's own texts after words that tell of personal data, or of orders,
+versions and the like, or after none.  Of the candidates that touch a plant, the plant
+itself is right if it was planted as personal, every other one (its parts, other kinds
+of the same characters) is wrong.  So a span that fails the strict check of its format
+can be taken for its context, and one that passes it can be left.  Trees are fitted on a
+fixed number of plants in snippets of a bounded sample of documents; the calibration
+(Platt) and each kind's threshold come from plants in all documents and, so that few documents
+are judged as many, from a fixed number in invented words.  A threshold is the
+lowest step with the wanted precision among the plants and a calibrated probability of a
+half, or of that probability alone where no step has the precision.  All added kinds go by
+the trees at every size.  The precision is that among plants; texts have no other labels.
+
+Scale: documents are read in three map-only passes, over the sample for the snippets, over
 all for the counts and over all for the spans.  Only the counts are shuffled, a bounded
 number of rows a task and on the driver (kinds x steps x 2).  ``sample_documents`` bounds
-the sample (in expectation: ids are taken by hash) and so the candidates on the driver.
+the sample (in expectation: ids are taken by hash) and so the snippets of at most 120
+characters on the driver.
 
 Offsets are code points, end exclusive.  Null texts have no spans.  Repeated rows give
-repeated rows.  Extra columns are not read (``redacted`` keeps them).  Without both
-kinds of labels the strict checks decide for all kinds.
+repeated rows.  Extra columns are not read (``redacted`` keeps them).  An empty table gives
+an empty one; texts of any length are read whole.
 """
 
 from __future__ import annotations
 
+import random
 import re
+import zlib
 from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
@@ -44,6 +53,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from aerolake.llm.boosting import BoostedTrees
+from aerolake.llm.planting import plant, prose, snippet
 from aerolake.llm.session import use_package_on_workers
 
 #: the base kinds, then those the method adds, in the order in which ties are told
@@ -54,6 +64,8 @@ CARD_LIKE, PHONE_LIKE = 8, 9
 BLOCK = 4096
 #: raw scores are counted in this many steps a unit, to +-LIMIT
 STEPS, LIMIT = 32, 16
+#: plants that the trees are fitted on; plants a document, and in invented words, that calibrate them
+FITTED_PLANTS, PLANTS, INVENTED_PLANTS = 6000, 3, 3000
 
 # The base patterns and the added generators.
 LOCAL = frozenset("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789._%+-")
@@ -74,6 +86,18 @@ CONTEXT = (
     re.compile(r"token|secret|passw|key|auth|ssn|social", re.I),
     re.compile(r"host|server|addr|ip\b|login|user", re.I),
 )
+#: words before a span, by what they tell of: mail, phone, payment, secret, person's number, and what is not personal
+CUE = re.compile(
+    r"(?<![^\W\d_])(?:(mail|e-mail|contact|write|schreib|[ée]cri|escrib)|(call|phone|tel|mobil|handy|fax|ring\b|llam|appel)"
+    r"|(card|visa|master|iban|account|konto|karte|compte|carte|cuenta|tarjeta|pay)|(token|secret|passw|api.?key|key\b|auth|bearer|mot de passe|clave)"
+    r"|(ssn|social|tax)|(order|invoice|item|ref\b|version|build|commit|sha|track|serial|isbn|total|part|file|batch|bestell|rechnung"
+    r"|artikel|commande|facture|pedido|factura))",
+    re.I,
+)
+CUES, NO_CUE = 6, 41.0
+GROUP_BEFORE = re.compile(r"([0-9]+)[ ().-]{1,2}\Z")
+GROUP_AFTER = re.compile(r"[ ().-]{1,2}([0-9]+)")
+LAST_LETTERS = re.compile(r"[A-Za-z]*\Z")
 DIGIT = re.compile(r"[0-9]")
 GROUP = re.compile(r"[0-9]+")
 TOKEN_PART = re.compile(r"[^=]{16,}")
@@ -181,7 +205,7 @@ def candidates(text: str) -> list[Candidate]:
     if "at" in text:
         for m in MAILTEXT.finditer(text):
             start = m.start()
-            while start > 0 and m.start() - start < 64 and text[start - 1] in LOCAL:
+            while start > 0 and text[start - 1] in LOCAL:
                 start -= 1
             if start < m.start():
                 out.append(Candidate(7, start, m.end(), "(at)" in m[0] or "[at]" in m[0]))
@@ -189,15 +213,19 @@ def candidates(text: str) -> list[Candidate]:
     return [c for c in out if c.kind < BASE or taken.free(c.start, c.end)]
 
 
-def features(text: str, c: Candidate, n: int) -> list[float]:
-    """Format and context of a candidate among ``n`` of its text."""
-    span = text[c.start : c.end][:256]
+def features(text: str, c: Candidate) -> list[float]:
+    """Format of a candidate, and what stands beside it."""
+    span = text[c.start : c.end]
     before, after = text[max(0, c.start - 40) : c.start], text[c.end : c.end + 20]
     digits = sum(x.isdigit() for x in span)
     letters = sum(x.isalpha() for x in span)
-    runs = re.findall(r"[0-9]+", span)
+    runs = GROUP.findall(span)
+    near = [NO_CUE] * CUES
+    for m in CUE.finditer(before):
+        near[m.lastindex - 1] = float(len(before) - m.start())
+    left, right = GROUP_BEFORE.search(before), GROUP_AFTER.match(after)
     return [
-        *[float(c.kind == k) for k in range(len(KINDS))],
+        *[float(c.kind == k) for k in range(BASE, len(KINDS))],
         float(c.end - c.start),
         digits / len(span),
         letters / len(span),
@@ -205,23 +233,40 @@ def features(text: str, c: Candidate, n: int) -> list[float]:
         float(len(span) - digits - letters),
         float(len(runs)),
         float(max(map(len, runs), default=0)),
+        float(len(runs[0]) if runs else 0),
         float(digits),
         len(set(span)) / len(span),
-        float(13 <= digits <= 19 and luhn("".join(runs))),
+        float(len(LAST_LETTERS.search(span)[0])),
+        float("(" in span or "[" in span),
+        float(c.passed),
+        float(14 <= digits <= 19 and luhn("".join(runs))),
+        float(bool(KNOWN_TOKEN.match(span))),
         float(bool(before) and before[-1].isalnum()),
         float(bool(after) and after[0].isalnum()),
+        float(len(left[1]) if left else 0),
+        float(len(right[1]) if right else 0),
         float(before[-1:] in ("'", '"', "`")),
         float(before.rstrip(" '\"")[-1:] in ("=", ":")),
-        *[float(bool(p.search(before))) for p in CONTEXT],
-        float(min(n, 50)),
+        *near,
+        near[-1] - min(near[:-1]),
     ]
 
 
-def scored(trees: BoostedTrees, text: str, found: list[Candidate], n: int) -> Iterator[tuple[list[Candidate], np.ndarray]]:
+def scored(trees: BoostedTrees, text: str, found: list[Candidate]) -> Iterator[tuple[list[Candidate], np.ndarray]]:
     """The candidates in blocks, with their raw scores."""
     for i in range(0, len(found), BLOCK):
         block = found[i : i + BLOCK]
-        yield block, trees.raw(np.array([features(text, c, n) for c in block]))
+        yield block, trees.raw(np.array([features(text, c) for c in block]))
+
+
+def examples(rng: random.Random, before: str, after: str) -> Iterator[tuple[int, bool, list[float]]]:
+    """Kind, truth and features of the candidates that touch a plant between two pieces of text."""
+    kind = rng.randrange(BASE, len(KINDS))
+    text, personal, spans = plant(rng, KINDS[kind], before, after)
+    first, last = min(a for a, _ in spans), max(b for _, b in spans)
+    for c in candidates(text):
+        if c.kind >= BASE and c.start < last and first < c.end:
+            yield c.kind, personal and c.kind == kind and (c.start, c.end) in spans, features(text, c)
 
 
 def steps(raw: np.ndarray) -> np.ndarray:
@@ -231,11 +276,10 @@ def steps(raw: np.ndarray) -> np.ndarray:
 
 @dataclass
 class Judge:
-    """Fitted trees and each kind's least step of the raw score; ``strict`` kinds go by their check."""
+    """Fitted and calibrated trees, and each kind's least step of the raw score."""
 
     trees: BoostedTrees
     thresholds: np.ndarray
-    strict: np.ndarray
 
     def spans(self, text: str | None) -> list[tuple[int, int, int, bool, float]]:
         """Selected (start, kind, end, base, score), ordered; an added span does not overlap a better one."""
@@ -243,9 +287,8 @@ class Judge:
         chosen = [(c.start, c.kind, c.end, True, 1.0) for c in found if c.kind < BASE and c.passed]
         rest = [c for c in found if c.kind >= BASE]
         if rest:
-            ranked = [(1.0, c) for c in rest if self.strict[c.kind] and c.passed]
-            judged = [c for c in rest if not self.strict[c.kind]]
-            for block, raw in scored(self.trees, text, judged, len(found)):
+            ranked = []
+            for block, raw in scored(self.trees, text, rest):
                 good = steps(raw) >= self.thresholds[[c.kind for c in block]]
                 ranked += [(float(p), c) for p, c, g in zip(self.trees.calibrated(raw), block, good) if g]
             # of equal scores the first, the longest and the most special
@@ -287,71 +330,83 @@ class _Taken:
         return True
 
 
-def fitted_trees(documents: DataFrame, *, id_col: str, text_col: str, sample_documents: int) -> BoostedTrees | None:
-    """Trees of the weak labels in a sample of about ``sample_documents`` documents; none without both labels."""
+def snippets(documents: DataFrame, *, id_col: str, text_col: str, sample_documents: int) -> list[tuple[str, str]]:
+    """Pieces of text around one place of each of about ``sample_documents`` documents, in order."""
     n = documents.count()
     chance = F.pmod(F.xxhash64(F.col(id_col).cast("string")), F.lit(1 << 20))
     rows = documents.where(chance < int(min(1.0, sample_documents / max(n, 1)) * (1 << 20))).select(F.col(text_col).alias("text")).where("text is not null")
 
-    def described(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            passed, table = [], []
-            for text in batch.column(0).to_pylist():
-                found = candidates(text)
-                for c in found:
-                    passed.append(c.passed)
-                    table.append(features(text, c, len(found)))
-            yield pa.record_batch([pa.array(passed, pa.bool_()), pa.array(table, pa.list_(pa.float64()))], ["passed", "features"])
+            pieces = [snippet(random.Random(seed_of(t)), t) for t in batch.column(0).to_pylist()]
+            yield pa.record_batch([pa.array([p[i] for p in pieces], pa.string()) for i in (0, 1)], ["before", "after"])
+
+    return sorted((r.before, r.after) for r in rows.mapInArrow(cut, "before string, after string").collect())
+
+
+def seed_of(text: str) -> int:
+    """The seed of a document's plants, the same wherever and whenever it is read."""
+    return zlib.crc32(text.encode("utf-8", "surrogatepass"))
+
+
+def fitted_trees(pieces: list[tuple[str, str]]) -> BoostedTrees:
+    """Trees of a fixed number of plants, every other one in a snippet, the rest in invented words."""
+    rng, found = random.Random(0), []
+    for i in range(FITTED_PLANTS):
+        before, after = rng.choice(pieces) if pieces and i % 2 else (prose(rng, 6), prose(rng, 4))
+        found += examples(rng, before, after)
+    return BoostedTrees(rounds=60, depth=4).fit(np.array([x for _, _, x in found]), np.array([float(y) for _, y, _ in found]))
+
 
-    found = rows.mapInArrow(described, "passed boolean, features array<double>").collect()
-    found.sort(key=lambda r: (r.features, r.passed))  # the same in any order of rows
-    x, y = np.array([r.features for r in found]), np.array([float(r.passed) for r in found])
-    return BoostedTrees().fit(x, y) if len(set(y)) == 2 else None
+def counted_steps(trees: BoostedTrees, found: list[tuple[int, bool, list[float]]]) -> Counter:
+    """How many examples have each kind, step of the raw score and truth."""
+    if not found:
+        return Counter()
+    return Counter(zip((k for k, _, _ in found), steps(trees.raw(np.array([x for _, _, x in found]))).tolist(), (y for _, y, _ in found)))
 
 
 def score_counts(documents: DataFrame, trees: BoostedTrees, *, text_col: str) -> DataFrame:
-    """Kind, step of the raw score, passed and n of the candidates of all documents."""
+    """Kind, step of the raw score, truth and n of the candidates at the plants of all documents."""
     shared = documents.sparkSession.sparkContext.broadcast(trees)
 
     def counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         mine, counts = shared.value, Counter()
         for batch in batches:
+            found = []
             for text in batch.column(0).to_pylist():
-                found = candidates(text)
-                for block, raw in scored(mine, text, [c for c in found if c.kind >= BASE], len(found)):
-                    counts.update((c.kind, step, c.passed) for c, step in zip(block, steps(raw).tolist()))
-        kinds, at, passed = zip(*counts) if counts else ((), (), ())
-        columns = [pa.array(kinds, pa.int32()), pa.array(at, pa.int64()), pa.array(passed, pa.bool_()), pa.array(counts.values(), pa.int64())]
-        yield pa.record_batch(columns, ["kind", "step", "passed", "n"])
+                rng = random.Random(seed_of(text))
+                for _ in range(PLANTS):
+                    found += examples(rng, *snippet(rng, text))
+            counts += counted_steps(mine, found)
+        kinds, at, true = zip(*counts) if counts else ((), (), ())
+        columns = [pa.array(kinds, pa.int32()), pa.array(at, pa.int64()), pa.array(true, pa.bool_()), pa.array(counts.values(), pa.int64())]
+        yield pa.record_batch(columns, ["kind", "step", "true", "n"])
 
-    rows = documents.select(F.col(text_col).alias("text")).where("text is not null").mapInArrow(counted, "kind int, step long, passed boolean, n long")
-    return rows.groupBy("kind", "step", "passed").agg(F.sum("n").alias("n"))
+    rows = documents.select(F.col(text_col).alias("text")).where("text is not null").mapInArrow(counted, "kind int, step long, true boolean, n long")
+    return rows.groupBy("kind", "step", "true").agg(F.sum("n").alias("n"))
 
 
 def fitted_judge(documents: DataFrame, *, id_col: str, text_col: str, sample_documents: int = 20_000, precision: float = 0.95) -> Judge:
-    """Trees of a sample of about ``sample_documents`` documents; calibration and thresholds of all documents."""
+    """Trees of plants in a sample of about ``sample_documents`` documents; calibration and thresholds of plants in all."""
     use_package_on_workers(documents.sparkSession)
-    trees = fitted_trees(documents, id_col=id_col, text_col=text_col, sample_documents=sample_documents)
-    judge = Judge(trees or BoostedTrees(), np.zeros(len(KINDS), dtype=np.int64), np.ones(len(KINDS), dtype=bool))
-    counts = score_counts(documents, trees, text_col=text_col).collect() if trees else []
-    if not counts:
-        return judge
-    counts.sort(key=lambda r: (r.kind, -r.step, r.passed))
-    kind, step, n = (np.array([r[c] for r in counts]) for c in ("kind", "step", "n"))
-    right = n * np.array([r.passed for r in counts])
-    middle = (step + 0.5) / STEPS
-    trees.calibrate(middle, np.array([float(r.passed) for r in counts]), n.astype(float))
-    if trees.slope <= 0:
-        return judge
-    p = trees.calibrated(middle)
+    trees = fitted_trees(snippets(documents, id_col=id_col, text_col=text_col, sample_documents=sample_documents))
+    rng = random.Random(1)
+    counts = counted_steps(trees, [e for _ in range(INVENTED_PLANTS) for e in examples(rng, prose(rng, 6), prose(rng, 4))])
+    for r in score_counts(documents, trees, text_col=text_col).collect():
+        counts[r.kind, r.step, r.true] += r.n
+    found = sorted((k, -step, true, n) for (k, step, true), n in counts.items())
+    step, true, n = (np.array([f[i] for f in found], dtype=float) for i in (1, 2, 3))
+    trees.calibrate((0.5 - step) / STEPS, true, n)
+    even = steps(np.array([-trees.shift / trees.slope]))[0] if trees.slope > 0 else 0
+    judge = Judge(trees, np.full(len(KINDS), even, dtype=np.int64))
     for k in range(BASE, len(KINDS)):
-        mine = np.flatnonzero(kind == k)
-        last = mine[np.append(step[mine][1:] != step[mine][:-1], True)] if len(mine) else mine  # a step is taken whole
-        found, all_n = np.cumsum(right[mine]), np.cumsum(n[mine])
-        at = last - mine[0] if len(mine) else last
-        good = np.flatnonzero((found[at] >= precision * all_n[at]) & (found[at] >= precision * right[mine].sum()) & (found[at] > 0) & (p[last] >= 0.5))
-        if len(good):
-            judge.thresholds[k], judge.strict[k] = step[last[good[-1]]], False
+        right = every = 0
+        mine = [(-step, true, n) for kind, step, true, n in found if kind == k and -step >= even]
+        for i, (step, true, n) in enumerate(mine):
+            every, right = every + n, right + n * true
+            last = i + 1 == len(mine) or mine[i + 1][0] < step  # a step is taken whole
+            if last and right >= precision * every:
+                judge.thresholds[k] = step
     return judge
 
 

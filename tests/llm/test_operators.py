@@ -7,11 +7,13 @@ import random
 import re
 from collections import Counter
 
+import numpy as np
 import public_tokenizers
 import pytest
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
+from aerolake.llm.boosting import BoostedTrees
 from aerolake.llm.bpe_counts import token_counts
 from aerolake.llm.chat import chat_documents
 from aerolake.llm.decontamination import contamination
@@ -19,7 +21,7 @@ from aerolake.llm.host_rules import host_verdicts
 from aerolake.llm.language_id import identify_languages
 from aerolake.llm.mixing import pivotal_mix
 from aerolake.llm.ngram_join import packed, runs_for, similarity_classes, unpacked
-from aerolake.llm.pii import candidates, personal_data, redacted
+from aerolake.llm.pii import KINDS, candidates, examples, fitted_trees, personal_data, redacted
 from aerolake.llm.substring_dedup import repeated_spans, without_repeats
 from aerolake.llm.toxicity import MASKED, Lexicon, Trie, quotation, toxicity
 
@@ -309,6 +311,46 @@ def test_strict_checks_without_negatives(spark):
     assert [s.kind for s in personal_data(table).first().spans] == ["ssn"]
 
 
+def test_context_and_format_decide_together(spark):
+    """Spans that fail their strict check are kept for their context, and ones that pass it left, at every size."""
+    kept = {0: ("ssn", "ssn 912-34-5678 on file", "912-34-5678"), 1: ("card_like", "card number 4539 1488 0343 6461 here", "4539 1488 0343 6461")}
+    kept |= {2: ("mailtext", f"write to {'long' * 30} at site dot org now", f"{'long' * 30} at site dot org"), 3: ("number", "please call 030 1234567 now", "030 1234567")}
+    left = {10: "during order no. 030 1234567 it", 11: "part 123-45-6789 is new", 12: "order number 4539148803436467 4539148803436467 shipped", 13: "of x9y8z7w6v5u4t3s0001 and"}
+    strict = {i: [c.passed for c in candidates(t) if (KINDS[c.kind], t[c.start : c.end]) == (k, v)] for i, (k, t, v) in kept.items()}
+    assert strict == {0: [False], 1: [False], 2: [False], 3: [True]}
+    assert [any(c.passed for c in candidates(t)) for t in left.values()] == [True, True, True, False]
+    rows = [(i, k[1]) for i, k in kept.items()] + list(left.items())
+    for more in 0, 600:
+        table = spark.createDataFrame(rows + [(100 + i, f"some words number {i} of a text") for i in range(more)] + rows[:1], "doc_id long, text string")
+        got = [(r.doc_id, [(s.kind, s.start, s.end) for s in r.spans]) for r in personal_data(table).where("doc_id < 100").collect()]
+        want = [(i, [(k, t.index(v), t.index(v) + len(v))]) for i, (k, t, v) in kept.items()] + [(i, []) for i in left]
+        assert sorted(got) == sorted(want + want[:1])
+
+
+def test_trees_split_as_brute_force():
+    rng = np.random.default_rng(4)
+    x, y = rng.integers(0, 6, (300, 3)).astype(float), rng.integers(0, 2, 300).astype(float)
+    trees = BoostedTrees(rounds=1, depth=1, rate=1.0).fit(x, y)
+    g, h = y - y.mean(), np.full(300, y.mean() * (1 - y.mean()))
+
+    def gain(j, c):
+        return sum(g[m].sum() ** 2 / (h[m].sum() + 1) for m in (x[:, j] > c, x[:, j] <= c))
+
+    best = max(((gain(j, c), j, c) for j in range(3) for c in range(5)))
+    assert (trees.trees[0].feature[0], trees.trees[0].cut[0]) == best[1:]
+    side = x[:, best[1]] > best[2]
+    assert np.allclose(trees.raw(x)[side], trees.base + g[side].sum() / (h[side].sum() + 1))
+
+
+def test_plants_are_told_apart_on_texts_not_fitted_on():
+    trees, rng = fitted_trees([]), random.Random(99)
+    found = [e for _ in range(1500) for e in examples(rng, prose(rng, 6), prose(rng, 4))]
+    truth, sure = np.array([y for _, y, _ in found]), trees.raw(np.array([x for _, _, x in found])) > 0
+    for kind in range(4, 10):
+        mine = np.array([k == kind for k, _, _ in found])
+        assert (truth & sure & mine).sum() >= 0.9 * max((truth & mine).sum(), (sure & mine).sum()) > 50, kind
+
+
 def test_toxicity_samples_thirty_thousand_labels():
     assert inspect.signature(toxicity).parameters["sample_labels"].default == 30_000
 
