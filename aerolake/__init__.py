@@ -12,7 +12,7 @@ from aerolake.operators.gold import (
     gold_positions,
     latest_positions,
 )
-from aerolake.operators.quality import assert_unique_keys, contract_violations
+from aerolake.operators.quality import CheckedTable, assert_unique_keys, contract_violations, tables_violations
 from aerolake.operators.silver import (
     dedup_positions,
     rejected_positions,
@@ -40,6 +40,8 @@ __all__ = [
     "bronze_to_silver",
     "busiest_countries",
     "contract_violations",
+    "CheckedTable",
+    "tables_violations",
     "country_metrics",
     "decode_documents",
     "dedup_positions",

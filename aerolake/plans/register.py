@@ -34,7 +34,7 @@ from aerolake.operators.gold import (
     latest_positions,
     row_counts,
 )
-from aerolake.operators.quality import contract_violations
+from aerolake.operators.quality import CheckedTable, tables_violations
 from aerolake.operators.silver import (
     dedup_positions,
     rejected_positions,
@@ -153,17 +153,25 @@ def q_metrics_two_runs(spark, d):
 
 
 def q_contract_violations(spark, d):
-    t = typed(spark, d)
-    s = silver(spark, d)
-    m = country_metrics(s, keep_run=True, round_digits=ROUND)
+    """Three tables in one pass; states are decoded once and Silver is read as written."""
+    t = _written(typed(spark, d), "typed")
+    s = _written(dedup_positions(valid_positions(t)), "silver")
     run = ["ingested_at"]
-    return (
-        contract_violations(t, GOLD_POSITIONS, batch_columns=run, label="gold_flight_positions@typed")
-        .unionByName(contract_violations(s, GOLD_POSITIONS, batch_columns=run))
-        .unionByName(contract_violations(m, GOLD_METRICS, batch_columns=run))
+    return tables_violations(
+        [
+            CheckedTable(t, GOLD_POSITIONS, run, "gold_flight_positions@typed"),
+            CheckedTable(s, GOLD_POSITIONS, run),
+            CheckedTable(country_metrics(s, keep_run=True, round_digits=ROUND), GOLD_METRICS, run),
+        ]
     )
 
 
+def _written(rows: DataFrame, name: str) -> DataFrame:
+    path = fresh_path(rows.sparkSession, name)
+    rows.write.parquet(path)
+    return rows.sparkSession.read.parquet(path)
+
+
 def _landed(spark, d, zone: str) -> str:
     root = fresh_path(spark, "bronze")
     land_bronze(documents(spark, d), root, zone=zone, tasks=_tasks(spark))
