@@ -64,6 +64,9 @@ ROUND = 6
 # Bronze directories are written in this local zone by the replay queries.
 LOCAL_ZONE = "America/Recife"
 ORDER_KEYS = ["o_orderkey"]
+# The published table of positions: codes made of ``events`` are wider than the feed's, the
+# widest being "short" and a 64-bit event id.
+EVENT_POSITIONS = replace(GOLD_POSITIONS, max_len=GOLD_POSITIONS.max_len | {"aircraft_code": 25})
 # The run instant of the live-run query, and the part size that spreads a run over files.
 LIVE_RUN = 1_716_084_000
 SMALL_PARTS = 50
@@ -397,7 +400,7 @@ def _publish_two_batches(spark, history, contract, order, path) -> DataFrame:
 
 def q_serving_upsert_positions(spark, d):
     return _publish_two_batches(
-        spark, silver(spark, d), GOLD_POSITIONS, ["ingested_at", "source_file_path"],
+        spark, silver(spark, d), EVENT_POSITIONS, ["ingested_at", "source_file_path"],
         fresh_path(spark, "serving-positions"),
     )
 
@@ -412,8 +415,8 @@ def q_serving_upsert_metrics(spark, d):
 def q_serving_latest_positions(spark, d):
     """The newest positions of the published table, read from its newest partitions."""
     path = fresh_path(spark, "serving-positions")
-    _publish_two_batches(spark, silver(spark, d), GOLD_POSITIONS, ["ingested_at", "source_file_path"], path)
-    return latest_positions(newest_serving(spark, path, GOLD_POSITIONS, 20)).select(*GOLD_POSITIONS.columns)
+    _publish_two_batches(spark, silver(spark, d), EVENT_POSITIONS, ["ingested_at", "source_file_path"], path)
+    return latest_positions(newest_serving(spark, path, EVENT_POSITIONS, 20)).select(*EVENT_POSITIONS.columns)
 
 
 def q_serving_busiest_countries(spark, d):
@@ -426,7 +429,7 @@ def q_serving_busiest_countries(spark, d):
 def q_serving_manifest_counts(spark, d):
     """Rows of both published tables, from their manifests."""
     root, s = fresh_path(spark, "serving"), silver(spark, d)
-    _publish_two_batches(spark, s, GOLD_POSITIONS, ["ingested_at", "source_file_path"], f"{root}/gold_flight_positions")
+    _publish_two_batches(spark, s, EVENT_POSITIONS, ["ingested_at", "source_file_path"], f"{root}/gold_flight_positions")
     _publish_two_batches(spark, country_metrics(s, keep_run=True, round_digits=ROUND), GOLD_METRICS, ["ingested_at"], f"{root}/gold_country_metrics")
     return serving_counts(spark, {n: f"{root}/{n}" for n in ("gold_flight_positions", "gold_country_metrics")})
 

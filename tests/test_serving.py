@@ -1,15 +1,19 @@
 """Serving upsert: contract, column mismatch, pruning, and publishes that died."""
 
+import duckdb
 import pytest
 from pyspark.sql import functions as F
 
 from aerolake.contracts import GOLD_POSITIONS
 from aerolake.operators.quality import ContractError
+from aerolake.plans.oracle import oracle_queries
 from aerolake.plans.pipeline import bronze_to_silver
+from aerolake.plans.register import queries
 from aerolake.sinks import serving as S
 from aerolake.operators.gold import latest_positions
 from aerolake.storage import create_new, names
 from fixtures import HOUR, doc, documents, state
+from oracle_compare import compare
 from plan_utils import plan_text
 
 
@@ -174,3 +178,16 @@ def test_empty_batch(spark, scratch):
     S.upsert_serving(spark, path, silver(spark, "a"), GOLD_POSITIONS)
     assert S.upsert_serving(spark, path, silver(spark), GOLD_POSITIONS) == {"inserted_count": 0, "updated_count": 0}
     assert codes(spark, path) == ["a"]
+
+
+@pytest.mark.parametrize("name", ["serving_upsert_positions", "serving_latest_positions", "serving_manifest_counts"])
+def test_positions_made_of_events_of_large_ids_are_published(spark, tmp_path, name):
+    # every 61st event has a code of "short" and its id, which has 6 digits and more in larger tables
+    ids = [61 * i for i in (1, 2, 3, 2000, 2001, 10**15, 10**15 + 1)] + [9_000_000_000_000_000_001]
+    rows = [(e, f"2024-01-{10 + i % 9:02d} 0{i % 3}:10:00", e % 1000 + 2**50 * (i % 2), "click", 1.5) for i, e in enumerate(ids)]
+    events = spark.createDataFrame(rows, "event_id long, ts string, user_id long, event_type string, value double")
+    events.withColumn("ts", F.col("ts").cast("timestamp_ntz")).write.parquet(f"{tmp_path}/events.parquet")
+    con = duckdb.connect()
+    con.execute(f"CREATE VIEW events AS SELECT * FROM '{tmp_path}/events.parquet/*.parquet'")
+    ok, msg = compare(queries()[name](spark, str(tmp_path)), con, oracle_queries()[name])
+    assert ok, msg
