@@ -4,7 +4,11 @@ A table lies under one path:
 
     data/version=<id>/key_date=/key_slot=/key_part=/   rows, written by one publish and never changed
     manifests/<id>/                                    one row a live partition, written by one publish
-    log/<number>                                       one small file a publish, which names its manifest
+    log/_<number>                                      one small file a publish, which names its manifest
+
+Ids of versions and manifests, and log entries, begin with an underscore, so Spark, which lists
+no such names, sees the rows alone under the path: those of all versions, replaced ones too.
+Use ``read_serving`` for the table.
 
 Every key lives in one partition: the day and the slot of the day (an hour by
 default) of its time key, and a hash of the key if the table has several parts.
@@ -80,15 +84,21 @@ def partition_columns(contract: TableContract, slots: int, parts: int) -> list[C
 def snapshots(spark: SparkSession, path: str) -> list[Snapshot]:
     """The table's committed versions that are still kept, oldest first."""
     found = []
-    for name in sorted(filter(str.isdigit, names(spark, f"{path}/log"))):
+    for number, name in _entries(spark, path):
         try:
             entry = json.loads(read_small(spark, f"{path}/log/{name}"))
         except ValueError:  # being written, or left by a writer that died: not committed
             continue
-        found.append(Snapshot(path, int(name), entry["manifest"], entry["slots"], entry["parts"]))
+        found.append(Snapshot(path, number, entry["manifest"], entry["slots"], entry["parts"]))
     return found
 
 
+def _entries(spark: SparkSession, path: str) -> list[tuple[int, str]]:
+    """Numbers and names of the log's files, in order; earlier ones have no underscore."""
+    found = [(n.removeprefix("_"), n) for n in names(spark, f"{path}/log")]
+    return sorted((int(number), name) for number, name in found if number.isdigit())
+
+
 def current(spark: SparkSession, path: str) -> Snapshot | None:
     return next(reversed(snapshots(spark, path.rstrip("/"))), None)
 
@@ -215,7 +225,7 @@ def _merge(
         if newer_than is not None:
             counts = merge_counts(affected, rows, keys, newer_than=newer_than).first().asDict()
         merged = upsert(affected, rows, keys, [*contract.columns, *PARTITION], newer_than=newer_than)
-    version = uuid4().hex[:16]
+    version = f"_{uuid4().hex[:16]}"
     stats = _write_version(spark, path, merged, version, report_column(contract), few_tasks(spark, size))
     if not counts:
         # merged = (affected - updated) + batch, so the counts follow from row counts
@@ -247,12 +257,11 @@ def commit(
 ) -> None:
     """Write the manifest and make it the current one, in one step."""
     manifest.coalesce(1).write.parquet(f"{path}/manifests/{version}")
-    taken = list(filter(str.isdigit, names(spark, f"{path}/log")))
-    number = max(map(int, taken), default=-1) + 1
+    number = max((n for n, _ in _entries(spark, path)), default=-1) + 1
     newest = current(spark, path)
     if newest is not None and (last is None or newest.number != last.number):
         raise RuntimeError(f"{path} was published by another writer meanwhile")
-    create_new(spark, f"{path}/log/{number:010d}", json.dumps({"manifest": version, "slots": slots, "parts": parts}))
+    create_new(spark, f"{path}/log/_{number:010d}", json.dumps({"manifest": version, "slots": slots, "parts": parts}))
 
 
 def vacuum(spark: SparkSession, path: str, keep: int = KEEP) -> None:
@@ -279,9 +288,9 @@ def vacuum(spark: SparkSession, path: str, keep: int = KEEP) -> None:
     for name in names(spark, f"{path}/manifests"):
         if name not in manifests:
             discard(spark, f"{path}/manifests/{name}")
-    numbers = {f"{s.number:010d}" for s in kept}
+    entries = {name for number, name in _entries(spark, path) if number in {s.number for s in kept}}
     for name in names(spark, f"{path}/log"):
-        if name not in numbers:
+        if name not in entries:
             discard(spark, f"{path}/log/{name}")
 
 
