@@ -360,9 +360,11 @@ def fitted_trees(pieces: list[tuple[str, str]]) -> BoostedTrees:
 
 def counted_steps(trees: BoostedTrees, found: list[tuple[int, bool, list[float]]]) -> Counter:
     """How many examples have each kind, step of the raw score and truth."""
-    if not found:
-        return Counter()
-    return Counter(zip((k for k, _, _ in found), steps(trees.raw(np.array([x for _, _, x in found]))).tolist(), (y for _, y, _ in found)))
+    counts = Counter()
+    for i in range(0, len(found), BLOCK):
+        block = found[i : i + BLOCK]
+        counts.update(zip((k for k, _, _ in block), steps(trees.raw(np.array([x for _, _, x in block]))).tolist(), (y for _, y, _ in block)))
+    return counts
 
 
 def score_counts(documents: DataFrame, trees: BoostedTrees, *, text_col: str) -> DataFrame:
@@ -370,14 +372,17 @@ def score_counts(documents: DataFrame, trees: BoostedTrees, *, text_col: str) ->
     shared = documents.sparkSession.sparkContext.broadcast(trees)
 
     def counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        mine, counts = shared.value, Counter()
+        mine, counts, found = shared.value, Counter(), []
         for batch in batches:
-            found = []
-            for text in batch.column(0).to_pylist():
+            for text in batch.column(0):
+                text = text.as_py()
                 rng = random.Random(seed_of(text))
                 for _ in range(PLANTS):
                     found += examples(rng, *snippet(rng, text))
-            counts += counted_steps(mine, found)
+                if len(found) >= BLOCK:
+                    counts.update(counted_steps(mine, found))
+                    found = []
+        counts.update(counted_steps(mine, found))
         kinds, at, true = zip(*counts) if counts else ((), (), ())
         columns = [pa.array(kinds, pa.int32()), pa.array(at, pa.int64()), pa.array(true, pa.bool_()), pa.array(counts.values(), pa.int64())]
         yield pa.record_batch(columns, ["kind", "step", "true", "n"])
