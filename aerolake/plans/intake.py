@@ -33,7 +33,7 @@ class UnreadableBronze(ValueError):
 def bronze_files(
     spark: SparkSession, paths: Sequence[str], *, zone: str = "UTC", record_epoch: int | None = None, base_path: str | None = None
 ) -> DataFrame:
-    """file, source_file_path (as rows name it), bytes and run of the files under ``paths``; no file is opened.
+    """file, source_file_path (as rows name it), bytes, run and time of change of the files under ``paths``; no file is opened.
 
     Spark leaves out files of no bytes; a run that has no others counts as not read.
     """
@@ -43,7 +43,8 @@ def bronze_files(
     listed = reader.load(list(paths))
     named = F.col("_metadata.file_path")
     run = stamped_run(named, zone) if record_epoch is None else F.lit(record_epoch).cast("bigint")
-    return listed.select(F.col("path").alias("file"), named.alias("source_file_path"), F.col("length").alias("bytes"), run.alias("run"))
+    modified = F.col("modificationTime").alias("modified")
+    return listed.select(F.col("path").alias("file"), named.alias("source_file_path"), F.col("length").alias("bytes"), run.alias("run"), modified)
 
 
 def _is_document() -> Column:
@@ -73,6 +74,10 @@ class Intake:
     corrupt: DataFrame | None = None
     bytes_of: dict[int, tuple[int, int]] = field(default_factory=dict)
 
+    @property
+    def files(self) -> DataFrame:
+        return self.spark.read.parquet(f"{self.scratch}/files")
+
     @property
     def states(self) -> DataFrame:
         return self.spark.read.parquet(f"{self.scratch}/states")
@@ -112,7 +117,7 @@ def take_in(
     try:
         listed = bronze_files(spark, paths, zone=zone, record_epoch=record_epoch) if files is None else files
         listed.write.parquet(f"{intake.scratch}/files")
-        listed = spark.read.parquet(f"{intake.scratch}/files")
+        listed = intake.files
         for r in listed.groupBy("run").agg(F.count("*").alias("files"), F.sum("bytes").alias("bytes")).collect():
             intake.bytes_of[r.run] = (r.files, r.bytes)
         intake.runs = sorted(intake.bytes_of)

@@ -12,10 +12,14 @@ over micro-batches, a run that lands late and a micro-batch that is executed aga
 all end in what one batch run gives, with no watermark that could drop anything and
 no state to keep.
 
-Cost: a run with files in k micro-batches is read k times; land a run's files
-together.  Only the Bronze hours of the touched runs are listed, and of these only the
-touched runs' files are read; of Silver only their directories.  A run of a year ago
-beside one of today reads two hours.
+A run is read with all the files it has by then, also those that a later micro-batch
+will name.  They are noted in the checkpoint (``read-ahead``); a later micro-batch passes
+over the runs of which it names noted files alone, since these already hold them.
+
+Cost: a run is read again only by a micro-batch that names files which landed, or changed,
+since it was last read.  Only the Bronze hours of the touched runs are listed, and of
+these only the touched runs' files are read; of Silver only their directories.  A run of
+a year ago beside one of today reads two hours.
 """
 
 from __future__ import annotations
@@ -27,12 +31,15 @@ from pyspark.sql.streaming import StreamingQuery
 from aerolake.contracts import SILVER_COLUMNS, SILVER_SCHEMA
 from aerolake.plans.intake import bronze_files, take_in
 from aerolake.plans.pipeline import LakePaths, publish_runs, write_intake
-from aerolake.sinks.lake import read_runs
+from aerolake.sinks.lake import read_runs, run_directory
 from aerolake.sources.bronze import BRONZE_READ_SCHEMA, stamped_run
 from aerolake.storage import discard, exists, fresh_path, uri_path
 
 _HOUR_DIRECTORY = r"(/year=\d+/month=\d+/day=\d+/hour=\d+)/"
 FILE_SCHEMA = "path STRING, modificationTime TIMESTAMP, length BIGINT, content BINARY"
+# A file as it was read: one that changes afterwards is another.
+FILE_KEYS = ["path", "modified", "length"]
+AHEAD_SCHEMA = "path STRING, modified TIMESTAMP, length BIGINT"
 
 
 def bronze_stream(
@@ -80,13 +87,35 @@ def bronze_file_stream(
     return reader.load(bronze_root)
 
 
-def touched_runs(batch: DataFrame, path: str, zone: str = "UTC") -> DataFrame:
-    """Write the runs and their Bronze hours (empty if the layout has none) of a micro-batch's files."""
+def batch_files(batch: DataFrame, path: str, zone: str = "UTC") -> DataFrame:
+    """Write the files of a micro-batch with their runs and Bronze hours (empty if the layout has none)."""
     hour = F.regexp_extract("path", _HOUR_DIRECTORY, 1)
-    batch.select(stamped_run(F.col("path"), zone).alias("run"), hour.alias("hour")).distinct().write.parquet(path)
+    run, modified = stamped_run(F.col("path"), zone), F.col("modificationTime")
+    batch.select("path", modified.alias("modified"), "length", run.alias("run"), hour.alias("hour")).write.parquet(path)
     return batch.sparkSession.read.parquet(path)
 
 
+def read_ahead(spark: SparkSession, checkpoint: str, batch_id: int) -> DataFrame:
+    """Files that micro-batches before this one read and that none of them named."""
+    path = _ahead_path(checkpoint, batch_id - 1)
+    return spark.read.schema(AHEAD_SCHEMA).parquet(path) if exists(spark, path) else spark.createDataFrame([], AHEAD_SCHEMA)
+
+
+def note_read_ahead(ahead: DataFrame, named: DataFrame, read: DataFrame | None, checkpoint: str, batch_id: int) -> None:
+    """Note the files read by now (state as read) and not named yet, for the next micro-batch.
+
+    Written when all tables are, so a micro-batch that dies is repeated from the same note.
+    """
+    files = ahead if read is None else ahead.unionByName(read.select(F.col("file").alias("path"), "modified", F.col("bytes").alias("length")))
+    left = files.distinct().join(named, FILE_KEYS, "left_anti")
+    left.write.mode("overwrite").parquet(_ahead_path(checkpoint, batch_id))
+    discard(ahead.sparkSession, _ahead_path(checkpoint, batch_id - 2))
+
+
+def _ahead_path(checkpoint: str, batch_id: int) -> str:
+    return f"{checkpoint.rstrip('/')}/read-ahead/{batch_id}"
+
+
 def files_of_runs(
     spark: SparkSession, touched: DataFrame, bronze_root: str, *, zone: str = "UTC", archive_dir: str | None = None
 ) -> DataFrame:
@@ -110,7 +139,7 @@ def files_of_runs(
             found = files if found is None else found.unionByName(files)
     if found is None:
         raise FileNotFoundError(f"no files of the touched runs under {roots}")
-    return found.join(touched.select("run").distinct(), "run", "left_semi").select("file", "source_file_path", "bytes", "run")
+    return found.join(touched.select("run").distinct(), "run", "left_semi").select("file", "source_file_path", "bytes", "run", "modified")
 
 
 def incremental_silver(
@@ -147,19 +176,25 @@ def incremental_silver(
 
     def process(batch: DataFrame, batch_id: int) -> None:
         session = batch.sparkSession
-        scratch = fresh_path(session, "touched-runs")
+        scratch = fresh_path(session, "batch-files")
         intake = None
         try:
-            touched = touched_runs(batch, scratch, zone)
-            whole = files_of_runs(session, touched, bronze_root, zone=zone, archive_dir=archive_dir)
-            intake = take_in(session, [], zone=zone, multi_line=multi_line, files=whole, allow_unreadable=quarantine_path is not None)
-            if intake.corrupt is not None and quarantine_path is None:
-                raise ValueError("Bronze documents that cannot be parsed, and no quarantine_path")
-            write_intake(intake, lake, round_digits=round_digits)
+            named = batch_files(batch, f"{scratch}/files", zone)
+            ahead = read_ahead(session, checkpoint, batch_id)
+            touched = named.join(ahead, FILE_KEYS, "left_anti").select("run", "hour").distinct()
+            if not touched.isEmpty():
+                whole = files_of_runs(session, touched, bronze_root, zone=zone, archive_dir=archive_dir)
+                intake = take_in(session, [], zone=zone, multi_line=multi_line, files=whole, allow_unreadable=quarantine_path is not None)
+                if intake.corrupt is not None and quarantine_path is None:
+                    raise ValueError("Bronze documents that cannot be parsed, and no quarantine_path")
+                write_intake(intake, lake, round_digits=round_digits)
             if serving_root:
-                filled = [r.run for r in intake.outcome().where("reject_reason IS NULL").select("run").collect()]
+                # also of the runs passed over: they are published as late as their last file is named
+                runs = sorted(r.run for r in named.select("run").distinct().collect())
+                filled = [run for run in runs if exists(session, run_directory(silver_path, run))]
                 written = read_runs(session, silver_path, filled, SILVER_SCHEMA).select(*SILVER_COLUMNS)
                 publish_runs(session, written, serving_root, round_digits=round_digits)
+            note_read_ahead(ahead, named, intake.files if intake is not None else None, checkpoint, batch_id)
         finally:
             if intake is not None:
                 intake.close()

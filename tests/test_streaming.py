@@ -125,3 +125,65 @@ def test_stream_continues_to_gold_and_serving(spark, scratch):
     got = read_serving(spark, f"{serving}/gold_flight_positions", GOLD_POSITIONS).select(*GOLD_POSITIONS.columns)
     assert got.exceptAll(R.serving_positions(spark, SF_SMALL)).count() == 0
     assert got.count() == R.serving_positions(spark, SF_SMALL).count()
+
+
+def _counted_intakes(monkeypatch):
+    """Files of every intake of the stream, in turn."""
+    from aerolake.streaming import incremental as S
+
+    counts, take_in = [], S.take_in
+
+    def counting(*args, **kw):
+        taken = take_in(*args, **kw)
+        counts.append(taken.counts["files"])
+        return taken
+
+    monkeypatch.setattr(S, "take_in", counting)
+    return counts
+
+
+def test_files_of_a_split_run_are_read_once(spark, scratch, monkeypatch):
+    counts = _counted_intakes(monkeypatch)
+    root, out, ckpt = scratch("bronze"), scratch("silver"), scratch("ckpt")
+    for codes in ("ab", "cd", "e"):
+        land_bronze(documents(spark, [doc([state(code=c) for c in codes])]), root)
+    kw = dict(max_files_per_trigger=1)
+    incremental_silver(spark, root, out, ckpt, **kw).awaitTermination()
+    assert sorted(r.aircraft_code for r in read_lake_table(spark, out).collect()) == list("abcde")
+    assert counts == [3]
+    # a file that lands after that makes its run be read again, whole
+    land_bronze(documents(spark, [doc([state(code="f")])]), root)
+    incremental_silver(spark, root, out, ckpt, **kw).awaitTermination()
+    assert sorted(r.aircraft_code for r in read_lake_table(spark, out).collect()) == list("abcdef")
+    assert counts == [3, 4]
+
+
+def test_file_read_ahead_that_changed_since_is_read_again(spark, scratch, monkeypatch):
+    import glob
+    import os
+
+    from aerolake.plans import pipeline
+    from aerolake.streaming import incremental as S
+
+    counts = _counted_intakes(monkeypatch)
+    root, out = scratch("bronze"), scratch("silver")
+    land_bronze(documents(spark, [doc([state(code="a")])]), root)
+    first = set(glob.glob(f"{root}/**/*.json", recursive=True))
+    land_bronze(documents(spark, [doc([state(code="b")])]), root)
+    (second,) = set(glob.glob(f"{root}/**/*.json", recursive=True)) - first
+    os.utime(first.pop(), (1_700_000_000, 1_700_000_000))  # the first is named first
+
+    def written_then_changed(intake, lake, **kw):
+        done = pipeline.write_intake(intake, lake, **kw)
+        if len(counts) == 1:
+            crc = os.path.join(os.path.dirname(second), f".{os.path.basename(second)}.crc")
+            if os.path.exists(crc):
+                os.remove(crc)
+            with open(second, "w") as f:
+                f.write(doc([state(code="b"), state(code="c")]))
+        return done
+
+    monkeypatch.setattr(S, "write_intake", written_then_changed)
+    incremental_silver(spark, root, out, scratch("ckpt"), max_files_per_trigger=1).awaitTermination()
+    assert sorted(r.aircraft_code for r in read_lake_table(spark, out).collect()) == ["a", "b", "c"]
+    assert counts == [2, 2]
