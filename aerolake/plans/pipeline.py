@@ -125,13 +125,20 @@ def write_gold(
     round_digits: int | None = None,
     tasks: int | None = None,
 ) -> None:
-    """Write the Gold of these Silver rows: of the processed runs, or (None) the whole tables anew."""
+    """Write the Gold of these Silver rows: of the processed runs, or (None) the whole tables anew.
+
+    ``silver`` is read from the lake, where a file holds rows of one run: the positions
+    are written as they are read, without a shuffle.
+    """
     metrics = country_metrics(silver, keep_run=True, round_digits=round_digits)
-    for df, path, columns in ((gold_positions(silver), lake.gold_positions, None), (metrics, lake.gold_metrics, GOLD_METRIC_COLUMNS)):
+    for df, path, columns, how in (
+        (gold_positions(silver), lake.gold_positions, None, {"rebalance": False}),
+        (metrics, lake.gold_metrics, GOLD_METRIC_COLUMNS, {"tasks": tasks}),
+    ):
         if path and processed is None:
-            write_runs(df, path, "overwrite", columns, tasks)
+            write_runs(df, path, "overwrite", columns, **how)
         elif path:
-            write_processed_runs(df, path, processed, filled, columns, tasks)
+            write_processed_runs(df, path, processed, filled, columns, **how)
 
 
 def write_quarantine(intake: Intake, path: str, *, rebuild: bool = False) -> dict[int, int]:

@@ -42,7 +42,8 @@ def write_partitioned(
     holding a third of the data) into several tasks, so there are neither
     tasks x partitions tiny files nor one giant task.  When the rows all fall
     into one partition (a live hourly run) and already come from a shuffle
-    that AQE sized, pass ``rebalance=False`` to save that extra shuffle.
+    that AQE sized, pass ``rebalance=False`` to save that extra shuffle; also when they
+    are read from files that hold one partition each, as those of a lake table do.
     AQE packs a small input with many partitions into one task, which then makes
     all the files in turn; ``tasks`` deals the partitions over that many tasks
     instead, for inputs known to be small (see ``few_tasks``).
@@ -77,7 +78,13 @@ def few_tasks(spark: SparkSession, size: int) -> int | None:
 
 
 def write_runs(
-    df: DataFrame, path: str, mode: str = "replace_partitions", columns: Sequence[str] | None = None, tasks: int | None = None
+    df: DataFrame,
+    path: str,
+    mode: str = "replace_partitions",
+    columns: Sequence[str] | None = None,
+    tasks: int | None = None,
+    *,
+    rebalance: bool = True,
 ) -> str:
     """Write rows (``columns`` of them) of any number of runs (by ``ingested_at``), each run to its own partition.
 
@@ -85,7 +92,7 @@ def write_runs(
     replaces the whole table.
     """
     rows = df.select(*(columns or df.columns), ntz_to_epoch("ingested_at").alias(RUN_COLUMN))
-    return write_partitioned(rows, path, RUN_PARTITION_COLUMNS, mode, tasks=tasks)
+    return write_partitioned(rows, path, RUN_PARTITION_COLUMNS, mode, rebalance=rebalance, tasks=tasks)
 
 
 def run_directory(path: str, record_epoch: int) -> str:
@@ -111,12 +118,14 @@ def write_processed_runs(
     filled: Sequence[int],
     columns: Sequence[str] | None = None,
     tasks: int | None = None,
+    *,
+    rebalance: bool = True,
 ) -> None:
     """Write the rows of the processed runs, and take away what those of them that have no rows held.
 
     ``filled``: the processed runs that have rows in ``df``.  Runs that were not processed stay.
     """
-    write_runs(df, path, "replace_partitions", columns, tasks)
+    write_runs(df, path, "replace_partitions", columns, tasks, rebalance=rebalance)
     for run in set(processed) - set(filled):
         discard(df.sparkSession, run_directory(path, run))
 

@@ -208,3 +208,28 @@ def test_corrupt_documents_of_a_run_are_quarantined(spark, scratch, tmp_path):
     pos, _ = run_medallion(spark, str(tmp_path), lake, record_epoch=1716084000, multi_line=True)
     assert pos.count() == 1
     assert [r.document for r in spark.read.parquet(lake.quarantine).collect()] == ['{"time": 1, "states": [[']
+
+
+def test_gold_positions_are_written_as_read_without_a_shuffle(spark, scratch):
+    from dataclasses import replace
+
+    from aerolake.contracts import SILVER_COLUMNS, SILVER_SCHEMA
+    from aerolake.plans.pipeline import LakePaths, bronze_to_silver, write_gold
+    from aerolake.sinks.lake import read_runs, write_runs
+    from fixtures import INGEST, doc, documents, state
+
+    lake = replace(LakePaths.under(scratch("lake")), gold_metrics=None)
+    runs = [INGEST, INGEST + 3600]
+    for run in runs:
+        write_runs(bronze_to_silver(documents(spark, [doc([state(code="a"), state(code="b")])], ingest=run)), lake.silver)
+    silver = read_runs(spark, lake.silver, runs, SILVER_SCHEMA).select(*SILVER_COLUMNS)
+    sc = spark.sparkContext
+    sc.setJobGroup("gold", "positions")
+    try:
+        write_gold(silver, lake, processed=runs, filled=runs, tasks=4)
+    finally:
+        sc.setLocalProperty("spark.jobGroup.id", None)
+    jobs = [sc.statusTracker().getJobInfo(j) for j in sc.statusTracker().getJobIdsForGroup("gold")]
+    assert sum(len(j.stageIds) for j in jobs) == 1
+    back = read_lake_table(spark, lake.gold_positions)
+    assert sorted((r.aircraft_code, r.run) for r in back.collect()) == [(c, r) for c in "ab" for r in runs]
