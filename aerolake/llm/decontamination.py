@@ -8,7 +8,8 @@ separators.  A stretch between separators that is shorter than the shortest phra
 can hold no occurrence and is left out, so the index stays small and exact.  All
 phrases are searched backward through the ranks of a wavelet matrix over the shard's
 Burrows-Wheeler transform; each hit is located by stepping back to a sampled suffix
-position; spans that overlap are merged.
+position; spans that overlap are merged.  A shard's texts are split and looked up a slice
+at a time, and of its words only the symbols are held.
 
 The work is map-only.  The phrases are broadcast in blocks of items of at most
 ``block_bytes`` of benchmark text: with one block there is no shuffle, with more each
@@ -17,7 +18,8 @@ bytes than a block is a block of its own.
 
 Null text has no words: 0 words, no spans, no items.  Null items and items without
 words have no phrases.  Items with the same text all count; a repeated (item_id, text)
-row counts once.  Repeated documents give repeated rows.  Extra columns are not read.
+row counts once.  Repeated documents give repeated rows.  Extra columns are not read;
+a carried text goes to the search and back once.
 """
 
 from __future__ import annotations
@@ -34,6 +36,9 @@ from aerolake.llm.words import ALPHANUMERIC, SequenceHash, pieces, split_words,
 
 WINDOW = 13
 SAMPLE = 8
+#: bytes of text in a shard, and of those split at once; one longer text is handled alone
+SHARD_BYTES = 4 << 20
+SLICE_BYTES = 512 << 10
 
 
 class WaveletMatrix:
@@ -45,7 +50,7 @@ class WaveletMatrix:
         self.zeros: list[int] = []
         for b in reversed(range(bits)):
             bit = ((symbols >> b) & 1).astype(bool)
-            ones = np.zeros(len(symbols) + 1, dtype=np.int64)
+            ones = np.zeros(len(symbols) + 1, dtype=np.int32 if len(symbols) < 1 << 31 else np.int64)
             np.cumsum(bit, out=ones[1:])
             self.ones.append(ones)
             self.zeros.append(len(symbols) - int(ones[-1]))
@@ -141,7 +146,7 @@ class Phrases:
         item = np.repeat(np.arange(len(sizes)), n_windows)
         start = words.first[:-1][item] + np.arange(len(item)) - (np.cumsum(n_windows) - n_windows)[item]
         length = np.minimum(sizes[item], window)
-        rows = np.zeros((len(item), window), dtype=np.int64)
+        rows = np.zeros((len(item), window), dtype=np.int32)  # fewer words than bytes of a block of items
         for back in range(1, window + 1):
             has = length >= back
             rows[has, -back] = symbols[start[has] + length[has] - back]
@@ -154,19 +159,28 @@ class Phrases:
         self.first_item = np.searchsorted(pairs[:, 0], np.arange(len(rows) + 1))
         self.item_of = pairs[:, 1]
 
+    def symbols(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """The symbol of each word of the texts, 0 for words of no phrase, and the first word of each text (one entry more than texts)."""
+        found, sizes = [np.empty(0, np.int32)], [np.empty(0, np.int64)]
+        for part in pieces(iter([pa.record_batch([texts], ["text"])]), 0, SLICE_BYTES):
+            words = split_words(part.column(0), ALPHANUMERIC, lower=True)
+            hashes = word_hashes(words)
+            at = np.minimum(np.searchsorted(self.vocabulary, hashes), max(0, len(self.vocabulary) - 1))
+            found.append(np.where(self.vocabulary[at] == hashes, at + 1, 0).astype(np.int32) if len(self.vocabulary) else np.zeros(len(at), np.int32))
+            sizes.append(np.diff(words.first))
+        return np.concatenate(found), np.concatenate([[0], np.cumsum(np.concatenate(sizes))])
+
     def find(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """Word counts of the texts, merged spans (text, start, end) and pairs (text, item), each sorted."""
-        words = split_words(texts, ALPHANUMERIC, lower=True)
-        sizes = np.diff(words.first)
+        symbols, first = self.symbols(texts)
+        sizes = np.diff(first)
         none = sizes, np.empty((0, 3), np.int64), np.empty((0, 2), np.int64)
-        if not len(self.rows) or not len(words.starts):
+        if not len(self.rows) or not len(symbols):
             return none
-        hashes = word_hashes(words)
-        at = np.minimum(np.searchsorted(self.vocabulary, hashes), len(self.vocabulary) - 1)
-        known = self.vocabulary[at] == hashes
+        known = symbols > 0
         # stretches of known words within a text
         edge = np.zeros(len(known) + 1, dtype=bool)
-        edge[words.first] = True
+        edge[first] = True
         padded = np.concatenate([[False], known, [False]])
         begins = np.flatnonzero(padded[1:-1] & (~padded[:-2] | edge[:-1]))
         finishes = np.flatnonzero(padded[1:-1] & (~padded[2:] | edge[1:])) + 1
@@ -177,7 +191,7 @@ class Phrases:
         spans = finishes - begins + 1  # with the separator
         offset = np.cumsum(spans) - spans
         origin = np.arange(int(spans.sum())) - np.repeat(offset - begins, spans)
-        text = at[np.minimum(origin, len(at) - 1)] + 1
+        text = symbols[np.minimum(origin, len(symbols) - 1)]
         text[offset + spans - 1] = 0
         index = ShardIndex(text, self.bits)
         low, high = index.search(self.rows, self.lengths)
@@ -187,15 +201,15 @@ class Phrases:
             return none
         row = np.arange(len(phrase)) + np.repeat(low - (np.cumsum(hits) - hits), hits)
         start = origin[index.locate(row)]
-        owner = np.searchsorted(words.first, start, side="right") - 1
+        owner = np.searchsorted(first, start, side="right") - 1
         covered = np.zeros(len(known) + 1, dtype=np.int64)
         np.add.at(covered, start, 1)
         np.add.at(covered, start + self.lengths[phrase], -1)
         covered = np.concatenate([[False], np.cumsum(covered)[:-1] > 0, [False]])
         begins = np.flatnonzero(covered[1:-1] & (~covered[:-2] | edge[:-1]))
         finishes = np.flatnonzero(covered[1:-1] & (~covered[2:] | edge[1:])) + 1
-        span_owner = np.searchsorted(words.first, begins, side="right") - 1
-        base = words.first[span_owner]
+        span_owner = np.searchsorted(first, begins, side="right") - 1
+        base = first[span_owner]
         pairs = np.unique(np.stack([owner, phrase], axis=1), axis=0)
         counts = (self.first_item[1:] - self.first_item[:-1])[pairs[:, 1]]
         item = self.item_of[np.arange(counts.sum()) + np.repeat(self.first_item[pairs[:, 1]] - (np.cumsum(counts) - counts), counts)]
@@ -236,9 +250,11 @@ def contaminated_spans(
     """Per document: ``id_col``, the ``carry`` columns, n_words, spans (array of start, end in words, merged), n_hit, item_ids (sorted strings)."""
     spark = documents.sparkSession
     use_package_on_workers(spark)
-    # carried columns travel under numbers: their names may be anything
-    carried = [f"k{i}" for i in range(len(carry))]
-    rows = documents.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"), *[F.col(c).alias(k) for c, k in zip(carry, carried)])
+    # carried columns travel under numbers: their names may be anything; the text travels once
+    travels = ["text" if c == text_col else f"k{i}" for i, c in enumerate(carry)]
+    others = {k: c for c, k in zip(carry, travels) if k != "text"}
+    carried = [*["text"] * ("text" in travels), *others]
+    rows = documents.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"), *[F.col(c).alias(k) for k, c in others.items()])
     kinds = "".join(f", {f.name} {f.dataType.simpleString()}" for f in rows.schema if f.name in carried)
     kind = rows.schema["id"].dataType.simpleString()
     spans_type = pa.list_(pa.struct([("start", pa.int32()), ("end", pa.int32())]))
@@ -248,7 +264,7 @@ def contaminated_spans(
 
         def search(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             mine = phrases.value
-            for piece in pieces(batches, 1, 4 << 20):
+            for piece in pieces(batches, 1, SHARD_BYTES):
                 sizes, spans, pairs = mine.find(piece.column(1))
                 owners = np.arange(piece.num_rows + 1)
                 found = pa.StructArray.from_arrays([pa.array(spans[:, 1], pa.int32()), pa.array(spans[:, 2], pa.int32())], ["start", "end"])
@@ -260,10 +276,10 @@ def contaminated_spans(
                     pa.ListArray.from_arrays(pa.array(np.searchsorted(pairs[:, 0], owners), pa.int32()), items),
                 ]
                 names = ["id", "n_words", "spans", "item_ids", *carried, *["key"] * keyed]
-                yield pa.record_batch([*out, *piece.columns[2:]], names)
+                yield pa.record_batch([*out, *piece.columns[1 if "text" in carried else 2 :]], names)
 
         schema = f"id {kind}, n_words long, spans array<struct<start:int,end:int>>, item_ids array<string>{kinds}"
-        source = rows.withColumn("key", F.xxhash64("text", *carried)) if keyed else rows
+        source = rows.withColumn("key", F.xxhash64("text", *others)) if keyed else rows
         return source.mapInArrow(search, schema + (", key long" if keyed else ""))
 
     blocks = _item_blocks(benchmark, item_col, item_text_col, block_bytes)
@@ -295,7 +311,7 @@ def contaminated_spans(
         )
     return found.select(
         F.col("id").alias(id_col),
-        *[F.col(k).alias(c) for c, k in zip(carry, carried)],
+        *[F.col(k).alias(c) for c, k in zip(carry, travels)],
         "n_words",
         "spans",
         F.expr("aggregate(spans, 0L, (a, s) -> a + s.end - s.start)").alias("n_hit"),

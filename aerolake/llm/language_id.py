@@ -20,14 +20,14 @@ bytes.  Prediction is one map pass.  No text is shuffled.
 Null texts and texts without letters get ``und`` with score 0; without any training
 text so does every document.  Null languages are not learned.  Equal similarities go to
 the language that sorts first.  Repeated rows give repeated rows; extra columns are
-not read.
+not read.  A kept text goes to the prediction and back once.
 """
 
 from __future__ import annotations
 
 import sys
 import unicodedata
-from collections.abc import Iterator, Sequence
+from collections.abc import Iterable, Iterator, Sequence
 from functools import lru_cache
 
 import numpy as np
@@ -36,6 +36,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from aerolake.llm.session import use_package_on_workers
+from aerolake.llm.words import pieces
 
 DIMENSIONS = 512
 SLOTS = 64
@@ -89,7 +90,12 @@ def counted(codes: np.ndarray, owner: np.ndarray, n: int) -> tuple[np.ndarray, n
     return distinct, counts.reshape(n, len(distinct))
 
 
-def groups(texts: list[str | None]) -> Iterator[tuple[int, list[str]]]:
+def strings(column: pa.Array) -> Iterator[str | None]:
+    """The texts of a column, one string at a time."""
+    return (t.as_py() for t in column)
+
+
+def groups(texts: Iterable[str | None]) -> Iterator[tuple[int, list[str]]]:
     """Consecutive texts of about ``CHARACTERS`` characters, at most 64, with the first one's index."""
     at, part, size = 0, [], 0
     for i, t in enumerate(texts):
@@ -110,7 +116,7 @@ def prototypes(documents: DataFrame, *, text_col: str, lang_col: str, dimensions
         counts: dict[str, np.ndarray] = {}
         for batch in batches:
             languages = batch.column(1).to_pylist()
-            for at, part in groups(batch.column(0).to_pylist()):
+            for at, part in groups(strings(batch.column(0))):
                 codes, owner = trigrams(part)
                 mine = languages[at : at + len(part)]
                 for language in set(mine):
@@ -134,8 +140,8 @@ def prototypes(documents: DataFrame, *, text_col: str, lang_col: str, dimensions
     return {r.lang: np.array(r.v) for r in sorted(found, key=lambda r: r.lang)}
 
 
-def predicted_languages(documents: DataFrame, learned: dict[str, np.ndarray], *, text_col: str, keep: dict[str, Column], dimensions: int = DIMENSIONS) -> DataFrame:
-    """The ``keep`` columns (name, expression), lang_pred and score (cosine, at least 0) of every row."""
+def predicted_languages(documents: DataFrame, learned: dict[str, np.ndarray], *, text_col: str, keep: dict[str, Column | None], dimensions: int = DIMENSIONS) -> DataFrame:
+    """The ``keep`` columns (name, expression; none: the text), lang_pred and score (cosine, at least 0) of every row."""
     spark = documents.sparkSession
     use_package_on_workers(spark)
     names = list(learned)
@@ -144,16 +150,18 @@ def predicted_languages(documents: DataFrame, learned: dict[str, np.ndarray], *,
     directions = directions - centre
     directions /= np.maximum(np.linalg.norm(directions, axis=1, keepdims=True), 1e-12)
     model = spark.sparkContext.broadcast((names, directions.astype(np.float32), centre.astype(np.float32)))
-    # kept columns travel under numbers: their names may be anything
-    rows = documents.select(F.col(text_col).alias("text"), *[c.alias(f"k{i}") for i, c in enumerate(keep.values())])
-    schema = "".join(f"{f.name} {f.dataType.simpleString()}, " for f in rows.schema[1:])
-    names_out = [f"k{i}" for i in range(len(keep))]
+    # kept columns travel under numbers: their names may be anything; the text travels once
+    travels = ["text" if c is None else f"k{i}" for i, c in enumerate(keep.values())]
+    rows = documents.select(F.col(text_col).alias("text"), *[c.alias(k) for k, c in zip(travels, keep.values()) if c is not None])
+    fields = rows.schema[0 if "text" in travels else 1 :]
+    schema = "".join(f"{f.name} {f.dataType.simpleString()}, " for f in fields)
+    names_out = [f.name for f in fields]
 
     def predict(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         names, directions, centre = model.value
         for batch in batches:
             languages, scores = [], []
-            for _, part in groups(batch.column(0).to_pylist()):
+            for _, part in groups(strings(batch.column(0))):
                 codes, owner = trigrams(part)
                 if not len(codes) or not names:
                     languages += [UNDETERMINED] * len(part)
@@ -169,11 +177,12 @@ def predicted_languages(documents: DataFrame, learned: dict[str, np.ndarray], *,
                 some = counts.any(axis=1)
                 languages += [names[b] if s else UNDETERMINED for b, s in zip(best, some)]
                 scores += [float(min(1.0, max(0.0, c[b]))) if s else 0.0 for b, s, c in zip(best, some, cosines)]
-            out = [*batch.columns[1:], pa.array(languages, pa.string()), pa.array(scores, pa.float64())]
-            yield pa.record_batch(out, [*names_out, "lang_pred", "score"])
+            out = [*batch.columns[len(batch.columns) - len(names_out) :], pa.array(languages, pa.string()), pa.array(scores, pa.float64())]
+            out = pa.record_batch(out, [*names_out, "lang_pred", "score"])
+            yield from pieces(iter([out]), 0) if names_out[:1] == ["text"] else [out]
 
     found = rows.mapInArrow(predict, f"{schema}lang_pred string, score double")
-    return found.select(*[F.col(f"k{i}").alias(k) for i, k in enumerate(keep)], "lang_pred", "score")
+    return found.select(*[F.col(t).alias(k) for k, t in zip(keep, travels)], "lang_pred", "score")
 
 
 def identify_languages(
@@ -194,5 +203,5 @@ def identify_languages(
     """
     part = F.crc32(F.col(id_col).cast("string")) % folds
     learned = prototypes(documents.where(part != fold), text_col=text_col, lang_col=lang_col, dimensions=dimensions)
-    keep = {c: F.col(c) for c in (id_col, *carry)} | {"held_out": F.coalesce(part == fold, F.lit(False))}
+    keep = {id_col: F.col(id_col)} | {c: None if c == text_col else F.col(c) for c in carry} | {"held_out": F.coalesce(part == fold, F.lit(False))}
     return predicted_languages(documents, learned, text_col=text_col, keep=keep, dimensions=dimensions)

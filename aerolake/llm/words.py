@@ -16,6 +16,8 @@ import pyarrow as pa
 
 #: bytes of text handled at once; one longer text is handled alone
 PIECE_BYTES = 2 << 20
+#: bytes of words hashed at once; one longer word is hashed alone
+HASHED_BYTES = 256 << 10
 
 
 def _table(outside: list[tuple[int, int]]) -> np.ndarray:
@@ -119,15 +121,20 @@ def split_words(column: pa.Array, kind: np.ndarray, lower: bool = False) -> Word
 def word_hashes(words: Words) -> np.ndarray:
     """A 64-bit fingerprint of each word's bytes."""
     n = len(words.starts)
-    if not n:
-        return np.empty(0, dtype=np.uint64)
-    lengths = words.ends - words.starts
-    total = int(lengths.sum())
-    begins = np.cumsum(lengths) - lengths  # of each word in the bytes of all words
-    within = np.arange(total) - np.repeat(begins, lengths)
-    values = _BYTE[words.raw[within + np.repeat(words.starts, lengths)]]
-    values *= powers(int(lengths.max()))[within]
-    return mixed(np.add.reduceat(values, begins) + lengths.astype(np.uint64))
+    found = np.empty(n, dtype=np.uint64)
+    upto = np.cumsum(words.ends - words.starts)
+    at = done = 0
+    while at < n:
+        end = max(at + 1, int(np.searchsorted(upto, done + HASHED_BYTES, side="right")))
+        starts = words.starts[at:end]
+        lengths = words.ends[at:end] - starts
+        begins = upto[at:end] - lengths - done  # of each word in the bytes of these words
+        within = np.arange(int(upto[end - 1]) - done) - np.repeat(begins, lengths)
+        values = _BYTE[words.raw[within + np.repeat(starts, lengths)]]
+        values *= powers(int(lengths.max()))[within]
+        found[at:end] = mixed(np.add.reduceat(values, begins) + lengths.astype(np.uint64))
+        at, done = end, int(upto[end - 1])
+    return found
 
 
 class SequenceHash:

@@ -42,7 +42,7 @@ def _original(rows: DataFrame, second: dict[str, str]) -> DataFrame:
 def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents with a language: all but null and letterless texts, and, with one learned language, those unlike it."""
     second, rows = _numbered(docs)
-    found = identify_languages(rows, carry=list(second.values()))
+    found = identify_languages(rows, text_col=second.get("text", "text"), carry=list(second.values()))
     return _original(found.where((F.col("lang_pred") != UNDETERMINED) & (F.col("score") > 0)), second)
 
 
@@ -57,7 +57,7 @@ def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
     """Documents not contaminated by the benchmark."""
     second, rows = _numbered(docs)
     benchmark = spark.read.parquet(f"{sf_dir}/benchmark.parquet")
-    found = contamination(rows, benchmark, carry=list(second.values()))
+    found = contamination(rows, benchmark, text_col=second.get("text", "text"), carry=list(second.values()))
     return _original(found.where(~F.col("contaminated")), second)
 
 

@@ -5,10 +5,12 @@ import inspect
 import math
 import random
 import re
+import tracemalloc
 from collections import Counter
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
@@ -16,7 +18,7 @@ from tokenizers import Tokenizer
 from aerolake.llm.boosting import BoostedTrees
 from aerolake.llm.bpe_counts import token_counts
 from aerolake.llm.chat import chat_documents
-from aerolake.llm.decontamination import contamination
+from aerolake.llm.decontamination import SHARD_BYTES, Phrases, contamination
 from aerolake.llm.host_rules import host_verdicts
 from aerolake.llm.language_id import identify_languages
 from aerolake.llm.mixing import pivotal_mix
@@ -24,6 +26,7 @@ from aerolake.llm.ngram_join import packed, runs_for, similarity_classes, unpack
 from aerolake.llm.pii import KINDS, candidates, examples, fitted_trees, personal_data, redacted
 from aerolake.llm.substring_dedup import repeated_spans, without_repeats
 from aerolake.llm.toxicity import MASKED, Lexicon, Trie, quotation, toxicity
+from aerolake.llm.words import HASHED_BYTES, SPACED, split_words, word_hashes
 
 SCHEMA = "doc_id long, text string, lang string, source string, n_chars long, id string, n_words string, spans string, key string"
 VOCABULARY = public_tokenizers.path("word_bpe_49k.json")
@@ -57,6 +60,30 @@ def empty(spark):
     return spark.createDataFrame([], SCHEMA)
 
 
+def test_a_shard_is_searched_in_bounded_memory():
+    rng = random.Random(11)
+    passage = prose(rng, 20, 10_000)
+    text = prose(rng, 500, 10_000) + " " + passage
+    texts = pa.array([text] * (SHARD_BYTES // len(text)), pa.string())
+    phrases = Phrases(["a"], [passage])
+    tracemalloc.start()
+    try:
+        sizes, spans, pairs = phrases.find(texts)
+        peak = tracemalloc.get_traced_memory()[1]
+    finally:
+        tracemalloc.stop()
+    assert set(sizes) == {520} and spans[:, 1:].tolist() == [[500, 520]] * len(texts) and len(pairs) == len(texts)
+    assert peak < 12 * SHARD_BYTES, peak
+
+
+def test_words_hash_alike_in_every_block():
+    long = "x" * (HASHED_BYTES + 1)
+    texts = [long + " a", None, "", "b " + long, "c a " * HASHED_BYTES, "a"]
+    got = word_hashes(split_words(pa.array(texts, pa.string()), SPACED)).tolist()
+    alone = {w: word_hashes(split_words(pa.array([w]), SPACED)).tolist()[0] for w in (long, "a", "b", "c")}
+    assert got == [alone[w] for t in texts for w in words(t)] and len(set(alone.values())) == 4
+
+
 def test_contamination_matches_brute_force(spark, docs, empty):
     rng = random.Random(9)
     some = [r.text for r in docs.orderBy("doc_id").collect() if r.text and len(words(r.text)) > 40]

@@ -115,3 +115,11 @@ def test_columns_named_like_the_carried_ones(spark):
     for stage in (corpus_pipeline.language, corpus_pipeline.decontaminate):
         kept = stage(spark, docs, SF_SMALL)
         assert kept.columns == docs.columns and all(r["_carried0"] == r.doc_id == r["lang_pred"] for r in kept.collect())
+
+
+def test_a_text_travels_to_the_workers_once(spark):
+    docs = spark.read.parquet(f"{SF_SMALL}/documents.parquet").limit(20)
+    for stage in (corpus_pipeline.language, corpus_pipeline.decontaminate):
+        plan = stage(spark, docs, SF_SMALL)._jdf.queryExecution().optimizedPlan().toString()
+        sent = re.search(r"Project \[(.*)\]", plan[plan.index("MapInArrow") :])[1]
+        assert len(re.findall(r"\btext#\d+(?: AS|,)", sent)) == 1, sent
